@@ -118,6 +118,39 @@ class Normalised:
     def counts(self) -> DataFrame:
         return table_counts(self.tables())
 
+    STORED = ("comarca", "vara", "classe", "proc_raw", "processo", "movimentacao")
+
+    def materialize(self, base_dir: str) -> "StoredModel":
+        """Write every derived table once and return them read back from Parquet."""
+        spark = self._cases.sparkSession
+        stored = {}
+        for name in self.STORED:  # dependency order: later tables read earlier files
+            path = f"{base_dir}/{name}"
+            getattr(self, name).write.mode("overwrite").parquet(path)
+            stored[name] = spark.read.parquet(path)
+            self.__dict__[name] = stored[name]
+        stored["situacao"] = self.situacao
+        stored["tipo_movimento"] = self.tipo_movimento
+        return StoredModel(stored)
+
+
+class StoredModel:
+    """The normalised tables as written files (same attributes as ``Normalised``)."""
+
+    TABLES = Normalised.TABLES
+
+    def __init__(self, tables: dict[str, DataFrame]):
+        self._t = tables
+        for name, df in tables.items():
+            setattr(self, name, df)
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: self._t[name] for name in self.TABLES}
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        return table_counts(self.tables())
+
 
 def normalise(cases: DataFrame, districts: DataFrame, classes: DataFrame,
               c: CaseCols = CaseCols(), d: DistrictCols = DistrictCols(),

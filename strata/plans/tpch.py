@@ -19,13 +19,16 @@ The same derivation in DuckDB SQL lives in ``strata.plans.tpch_sql``.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.constants import STATUS_CLOSED, STATUS_OPEN
 from strata.operators.events import first_event
 from strata.plans import medallion as M
-from strata.plans.normalise import Normalised, normalise
+from strata.plans.normalise import normalise
+from strata.session import scratch_dir
 
 # --- fixed values ---------------------------------------------------------
 # Market segments, in the order that numbers the courts 1..5.
@@ -138,14 +141,39 @@ def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "classes": bronze_classes(spark, sf_dir), "events": bronze_events(spark, sf_dir)}
 
 
-def model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Silver and gold tables of the bound model (lazy)."""
-    return M.medallion(bronze(spark, sf_dir))
+_BUILT: dict[tuple, object] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
+    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), what)
+
+
+def model(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str, DataFrame]:
+    """Silver and gold tables of the bound model.
+
+    ``materialize`` (default) builds the layers once per session the way a
+    medallion runs: silver is written to Parquet in the shared checkpoint folder,
+    gold is built from the written silver and written too, and every report reads
+    those files. ``materialize=False`` returns the lazy end-to-end plans.
+    """
+    if not materialize:
+        return M.medallion(bronze(spark, sf_dir))
+    key = _key(spark, sf_dir, "medallion")
+    if key not in _BUILT:
+        _BUILT[key] = M.build_medallion(bronze(spark, sf_dir), scratch_dir(spark, "medallion"))
+    return _BUILT[key]
 
 
-def normalised(spark: SparkSession, sf_dir: str) -> Normalised:
+def normalised(spark: SparkSession, sf_dir: str, materialize: bool = True):
+    """The event-sourced model of the bound cases (written once per session by default)."""
     b = bronze(spark, sf_dir)
-    return normalise(b["cases"], b["districts"], b["classes"])
+    norm = normalise(b["cases"], b["districts"], b["classes"])
+    if not materialize:
+        return norm
+    key = _key(spark, sf_dir, "normalised")
+    if key not in _BUILT:
+        _BUILT[key] = norm.materialize(scratch_dir(spark, "normalised"))
+    return _BUILT[key]
 
 
 def clean_part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
