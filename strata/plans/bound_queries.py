@@ -16,6 +16,7 @@ from strata.operators.events import lifecycle_events
 from strata.plans import reports as R
 from strata.plans import tpch
 from strata.plans.ingest import ingest_file
+from strata.plans.lakehouse import default_rules
 from strata.plans.medallion import parse_mixed_date
 from strata.session import scratch_dir
 from strata.sources import file_sizes, parquet_path_sql, storage_footprint
@@ -149,20 +150,7 @@ def events_equal_gold(spark, sf):
 
 # --- data quality --------------------------------------------------------------------------
 
-RULES = [
-    Q.not_null("stg_cases", "case_id"), Q.unique("stg_cases", "case_id"),
-    Q.not_null("stg_cases", "opened"),
-    Q.accepted_values("stg_cases", "status", ["Baixado", "Em andamento"]),
-    Q.not_null("stg_districts", "district_id"), Q.unique("stg_districts", "district_id"),
-    Q.not_null("stg_classes", "class_id"), Q.unique("stg_classes", "class_id"),
-    Q.not_null("stg_events", "case_id"), Q.not_null("stg_events", "event_date"),
-    Q.not_null("fact_cases", "case_id"), Q.unique("fact_cases", "case_id"),
-    Q.relationships("fact_cases", "district_id", "dim_district", "district_id"),
-    Q.relationships("fact_cases", "class_id", "dim_class", "class_id"),
-    Q.not_null("dim_district", "district_id"), Q.unique("dim_district", "district_id"),
-    Q.not_null("dim_class", "class_id"), Q.unique("dim_class", "class_id"),
-    Q.not_null("dim_calendar", "cal_date"), Q.unique("dim_calendar", "cal_date"),
-]
+RULES = default_rules()
 
 
 def _suite(spark, sf, kinds=None):
