@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions._util import as_col
@@ -66,13 +66,17 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str,
 def spelling_variants(df: DataFrame, key, label: str, key_name: str = "key") -> DataFrame:
     """Keys written with more than one spelling: ``(key, spelling, n_rows, n_spellings)``.
 
-    Counted per (key, spelling) first (partial aggregation), so the window below
-    only ever sees one row per distinct spelling.
+    Counted per (key, spelling) first (partial aggregation); the spellings per key
+    are then counted by a second aggregate and joined back on the key — no window,
+    so a key with very many spellings is never handled by a single task (AQE
+    splits a skewed join partition).
     """
     per = (df.groupBy(as_col(key).alias(key_name), F.col(label).alias("spelling"))
              .agg(F.count(F.lit(1)).alias("n_rows")))
-    n = F.count(F.lit(1)).over(Window.partitionBy(key_name))
-    return per.withColumn("n_spellings", n).filter(F.col("n_spellings") > 1)
+    many = (per.groupBy(key_name).agg(F.count(F.lit(1)).alias("n_spellings"))
+               .filter(F.col("n_spellings") > 1))
+    return per.join(many, per[key_name].eqNullSafe(many[key_name])).select(
+        per[key_name], "spelling", "n_rows", "n_spellings")
 
 
 def schema_drift(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -202,6 +202,7 @@ select o_orderstatus, count(*) as n_orders, cast(min(o_orderdate) as date) as fi
 from orders group by o_orderstatus"""
 SQL["bronze_csv_roundtrip"] = """
 select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer"""
+SQL["bronze_stream_roundtrip"] = SQL["bronze_csv_roundtrip"]
 SQL["bronze_json_roundtrip"] = """
 select o_orderkey, o_custkey, o_orderstatus, o_totalprice, cast(o_orderdate as date) as o_orderdate,
        o_orderpriority from orders"""

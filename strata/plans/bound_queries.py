@@ -265,6 +265,17 @@ def bronze_json_roundtrip(spark, sf):
                     parse_mixed_date("o_orderdate").alias("o_orderdate"), "o_orderpriority")
 
 
+def bronze_stream_roundtrip(spark, sf):
+    """customer → CSV landing folder → incremental (streaming) bronze → typed again."""
+    from strata.streaming import ingest_available
+
+    src = _customer_csv(spark, sf)
+    base = scratch_dir(spark, "stream")
+    bronze = ingest_available(spark, "csv", src, CUSTOMER_COLS, f"{base}/bronze",
+                              f"{base}/checkpoint")
+    return _typed_customer(bronze)
+
+
 def ingest_checks(spark, sf):
     src = _customer_csv(spark, sf)
     out = ingest_file(spark, "csv", src, scratch_dir(spark, "bronze") + "/customer",
@@ -326,6 +337,7 @@ QUERIES = {
     "parquet_path_scan": parquet_path_scan,
     "bronze_csv_roundtrip": bronze_csv_roundtrip,
     "bronze_json_roundtrip": bronze_json_roundtrip,
+    "bronze_stream_roundtrip": bronze_stream_roundtrip,
     "ingest_checks": ingest_checks,
     "file_sizes": file_sizes_q,
     "storage_footprint": storage_footprint_q,
