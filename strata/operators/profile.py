@@ -73,10 +73,11 @@ def spelling_variants(df: DataFrame, key, label: str, key_name: str = "key") ->
     """
     per = (df.groupBy(as_col(key).alias(key_name), F.col(label).alias("spelling"))
              .agg(F.count(F.lit(1)).alias("n_rows")))
-    many = (per.groupBy(key_name).agg(F.count(F.lit(1)).alias("n_spellings"))
+    many = (per.groupBy(F.col(key_name).alias("_k"))
+               .agg(F.count(F.lit(1)).alias("n_spellings"))
                .filter(F.col("n_spellings") > 1))
-    return per.join(many, per[key_name].eqNullSafe(many[key_name])).select(
-        per[key_name], "spelling", "n_rows", "n_spellings")
+    return per.join(many, F.col(key_name).eqNullSafe(F.col("_k"))).select(
+        key_name, "spelling", "n_rows", "n_spellings")
 
 
 def schema_drift(before: DataFrame, after: DataFrame) -> DataFrame:
