@@ -49,6 +49,10 @@ CASE_NUMBER_MOD = 10_000_000
 COURT_LABEL_SUFFIX = "ª Vara"
 COURTS_PER_DISTRICT = 5
 
+# "Unknown" member added to a dimension so orphan facts stay visible.
+UNKNOWN_KEY = 0
+UNKNOWN_LABEL = "Não informado"
+
 # Technical ingestion column stamped on every bronze table.
 INGESTED_AT = "_ingerido_em"
 

@@ -212,3 +212,69 @@ select 'row_count' as check_name, cast(count(*) as varchar) as expected,
 union all select 'stamp_column', '_ingerido_em', '_ingerido_em', true
 union all select 'required_columns', 'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment',
                  'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment', true"""
+
+# --- optional tier ---------------------------------------------------------------------------
+
+SQL["quarantine_cases"] = with_ctes("typed_cases", "stg_districts") + """,
+d as (select distinct * from typed_cases),
+tagged as (
+  select d.*, case when d.case_id is null then 'missing_id'
+                   when k.district_id is null then 'unknown_district' end as reject_reason
+  from d left join stg_districts k on d.district_id = k.district_id)
+select * from tagged where reject_reason is not null"""
+
+SQL["duration_by_district_with_unknown"] = with_ctes("stg_cases", "stg_districts") + """,
+dim as (select district_id, district_name, uf from stg_districts
+        union all select 0, 'Não informado', null),
+cases as (
+  select coalesce(k.district_id, 0) as district_id,
+         case when s.closed is not null and s.closed >= s.opened
+              then date_diff('day', s.opened, s.closed) end as duration_days
+  from stg_cases s left join stg_districts k on s.district_id = k.district_id)
+select dim.district_name, count(*) as n_closed, round(avg(duration_days), 1) as avg_days
+from cases join dim on cases.district_id = dim.district_id
+where duration_days is not null group by 1 order by 1"""
+
+SQL["bronze_lineage"] = """
+select cast(c_custkey as varchar) as c_custkey,
+       sha256(concat_ws('␟', coalesce(cast(c_custkey as varchar), '␀'), coalesce(c_name, '␀'),
+                        coalesce(c_mktsegment, '␀'))) as _row_hash
+from customer"""
+
+SQL["open_case_age"] = with_ctes("fact_cases", "dim_district") + """
+select dd.district_name, count(*) as n_open,
+       round(avg(case when date '2002-01-01' >= f.opened
+                      then date_diff('day', f.opened, date '2002-01-01') end), 1) as avg_age_days
+from fact_cases f join dim_district dd on f.district_id = dd.district_id
+where f.closed is null group by 1"""
+
+SQL["fact_upsert"] = with_ctes("fact_cases") + "select * from fact_cases"
+
+SQL["drill_across_district"] = with_ctes("fact_cases", "stg_events") + """,
+durations as (select district_id, count(*) as n_closed, round(avg(duration_days), 1) as avg_days
+              from fact_cases where duration_days is not null group by 1),
+volumes as (select f.district_id, count(*) as n_events
+            from stg_events e join fact_cases f on f.case_id = e.case_id group by 1)
+select coalesce(d.district_id, v.district_id) as district_id, d.n_closed, d.avg_days, v.n_events
+from durations d full outer join volumes v on d.district_id = v.district_id"""
+
+SQL["district_history"] = with_ctes("stg_districts") + """,
+snaps as (
+  select district_id, district_name, uf, date '2024-01-01' as valid_from from stg_districts
+  union all
+  select district_id, case when district_id % 3 = 0 then upper(district_name)
+                           else district_name end, uf, date '2024-02-01' from stg_districts
+  union all
+  select district_id, case when district_id % 5 = 0 then lower(district_name)
+                           else district_name end, uf, date '2024-03-01' from stg_districts),
+marked as (
+  select *, lag(district_name) over w as pn, lag(uf) over w as pu,
+         row_number() over w as rn
+  from snaps window w as (partition by district_id order by valid_from)),
+changes as (
+  select district_id, district_name, uf, valid_from from marked
+  where rn = 1 or pn is distinct from district_name or pu is distinct from uf)
+select district_id, district_name, uf, valid_from,
+       lead(valid_from) over (partition by district_id order by valid_from) as valid_to,
+       lead(valid_from) over (partition by district_id order by valid_from) is null as is_current
+from changes"""

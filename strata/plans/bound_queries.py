@@ -293,6 +293,120 @@ def storage_footprint_q(spark, sf):
     return storage_footprint(spark, f"{sf.rstrip('/')}/lineitem.parquet")
 
 
+# --- optional tier: improvements described by the model, not applied by it -------------
+
+AS_OF = "2002-01-01"          # date open cases are aged to
+UPSERT_CUTOFF = "2000-01-01"  # snapshot date of the older fact in the upsert check
+
+
+def quarantine_cases(spark, sf):
+    """Rows silver would drop, kept with the reason instead of vanishing."""
+    from strata.operators.dedup import distinct_typed
+    from strata.operators.extras import split_rejects, tag_rejects
+    from strata.plans.medallion import type_cases
+
+    typed = distinct_typed(type_cases(tpch.bronze_cases(spark, sf)))
+    known = tpch.model(spark, sf)["stg_districts"].select(F.col("district_id").alias("_known"))
+    joined = typed.join(known, typed["district_id"] == F.col("_known"), "left")
+    tagged = tag_rejects(joined, [("missing_id", F.col("case_id").isNull()),
+                                  ("unknown_district", F.col("_known").isNull())]).drop("_known")
+    return split_rejects(tagged)[1]
+
+
+def duration_by_district_with_unknown(spark, sf):
+    """Orphan cases reported under the unknown district instead of being dropped."""
+    from strata.functions import duration_days
+    from strata.operators.extras import remap_orphans, with_unknown_member
+    from strata.operators.star import Dim, star_join
+
+    m = tpch.model(spark, sf)
+    dim = with_unknown_member(m["stg_districts"], "district_id", "district_name")
+    cases = remap_orphans(m["stg_cases"], m["stg_districts"], "district_id").withColumn(
+        "duration_days", duration_days("opened", "closed"))
+    from strata.operators.measures import duration_by
+    return duration_by(star_join(cases, [Dim(dim, "district_id")]), ["district_name"])
+
+
+def bronze_lineage(spark, sf):
+    """Source file and row hash stamped at ingestion (hash over the text columns)."""
+    from strata.operators.extras import with_lineage
+    from strata.sources.text_files import null_tokens_to_null, read_csv_text
+
+    src = _customer_csv(spark, sf)
+    raw = read_csv_text(spark, src, CUSTOMER_COLS, null_tokens=None)
+    lined = null_tokens_to_null(with_lineage(raw, ["c_custkey", "c_name", "c_mktsegment"]),
+                                columns=CUSTOMER_COLS)
+    return lined.select("c_custkey", "_row_hash")
+
+
+def open_case_age(spark, sf):
+    """Open cases aged to a fixed date, by district."""
+    from strata.operators.extras import aged_duration_days
+
+    m = tpch.model(spark, sf)
+    open_cases = (m["fact_cases"].filter(F.col("closed").isNull())
+                  .withColumn("age_days", aged_duration_days("opened", "closed", AS_OF)))
+    return (open_cases.join(m["dim_district"], "district_id")
+            .groupBy("district_name")
+            .agg(F.count(F.lit(1)).alias("n_open"),
+                 F.round(F.avg("age_days"), 1).alias("avg_age_days")))
+
+
+def fact_upsert(spark, sf):
+    """An older snapshot of the fact (cases closed after the cutoff still open) plus
+    the closings since, upserted: equals the current fact."""
+    from strata.operators.extras import upsert_snapshot
+
+    fact = tpch.model(spark, sf)["fact_cases"]
+    late = F.col("closed") > F.lit(UPSERT_CUTOFF).cast("date")
+    older = fact.select(
+        *[F.when(late, F.lit(None).cast(fact.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+          if c in ("closed", "duration_days") else
+          (F.when(late, F.lit("Em andamento")).otherwise(F.col(c)).alias(c) if c == "status"
+           else F.col(c)) for c in fact.columns],
+        F.lit(UPSERT_CUTOFF).cast("date").alias("snapshot_date"))
+    updates = fact.filter(late).withColumn("snapshot_date", F.col("closed"))
+    return upsert_snapshot(older, updates, "case_id", "snapshot_date").drop("snapshot_date")
+
+
+def drill_across_district(spark, sf):
+    """Closed-case durations and event volumes side by side per district."""
+    from strata.operators.extras import drill_across
+
+    m = tpch.model(spark, sf)
+    fact = m["fact_cases"]
+    durations = (fact.filter(F.col("duration_days").isNotNull()).groupBy("district_id")
+                 .agg(F.count(F.lit(1)).alias("n_closed"),
+                      F.round(F.avg("duration_days"), 1).alias("avg_days")))
+    per_case = m["stg_events"].groupBy("case_id").agg(F.count(F.lit(1)).alias("_n"))
+    volumes = (per_case.join(fact.select("case_id", "district_id"), "case_id")
+               .groupBy("district_id").agg(F.sum("_n").alias("n_events")))
+    return drill_across(durations, volumes, ["district_id"])
+
+
+SNAPSHOT_DATES = ("2024-01-01", "2024-02-01", "2024-03-01")
+
+
+def district_history(spark, sf):
+    """Type-2 history of the district dimension over three dated snapshots (the
+    later ones re-spell some names)."""
+    from strata.operators.extras import scd2_history
+
+    d = tpch.model(spark, sf)["stg_districts"]
+    k = F.col("district_id")
+    snaps = [
+        d.withColumn("as_of", F.lit(SNAPSHOT_DATES[0]).cast("date")),
+        d.withColumn("district_name", F.when(k % 3 == 0, F.upper("district_name"))
+                     .otherwise(F.col("district_name")))
+         .withColumn("as_of", F.lit(SNAPSHOT_DATES[1]).cast("date")),
+        d.withColumn("district_name", F.when(k % 5 == 0, F.lower("district_name"))
+                     .otherwise(F.col("district_name")))
+         .withColumn("as_of", F.lit(SNAPSHOT_DATES[2]).cast("date")),
+    ]
+    allsnaps = snaps[0].unionByName(snaps[1]).unionByName(snaps[2])
+    return scd2_history(allsnaps, "district_id", ["district_name", "uf"], "as_of")
+
+
 QUERIES = {
     "duration_by_district_class_year": duration_by_district_class_year,
     "duration_by_district_year": duration_by_district_year,
@@ -341,4 +455,11 @@ QUERIES = {
     "ingest_checks": ingest_checks,
     "file_sizes": file_sizes_q,
     "storage_footprint": storage_footprint_q,
+    "quarantine_cases": quarantine_cases,
+    "duration_by_district_with_unknown": duration_by_district_with_unknown,
+    "bronze_lineage": bronze_lineage,
+    "open_case_age": open_case_age,
+    "fact_upsert": fact_upsert,
+    "drill_across_district": drill_across_district,
+    "district_history": district_history,
 }
