@@ -182,34 +182,34 @@ def dq_relationships(spark, sf):
 
 
 def profile_mixed_dates(spark, sf):
-    return P.mixed_formats(tpch.bronze_cases(spark, sf), "opened")
+    return P.mixed_formats(tpch.bronze(spark, sf)["cases"], "opened")
 
 
 def profile_slash_dates(spark, sf):
-    return P.values_with(tpch.bronze_cases(spark, sf), "closed", "/")
+    return P.values_with(tpch.bronze(spark, sf)["cases"], "closed", "/")
 
 
 def profile_duplicates(spark, sf):
-    return P.duplicate_keys(tpch.bronze_cases(spark, sf), "case_id")
+    return P.duplicate_keys(tpch.bronze(spark, sf)["cases"], "case_id")
 
 
 def profile_missing_ids(spark, sf):
-    return P.missing_ids(tpch.bronze_cases(spark, sf), "case_id")
+    return P.missing_ids(tpch.bronze(spark, sf)["cases"], "case_id")
 
 
 def profile_orphans(spark, sf):
-    return P.orphans(tpch.bronze_cases(spark, sf), tpch.bronze_districts(spark, sf),
+    return P.orphans(tpch.bronze(spark, sf)["cases"], tpch.bronze(spark, sf)["districts"],
                      "district_id", select=["case_id", "district_id"])
 
 
 def profile_spellings(spark, sf):
-    return P.spelling_variants(tpch.bronze_classes(spark, sf), "class_id", "class_name",
+    return P.spelling_variants(tpch.bronze(spark, sf)["classes"], "class_id", "class_name",
                                key_name="class_id")
 
 
 def schema_drift(spark, sf):
     m = tpch.model(spark, sf)
-    return P.schema_drift(tpch.bronze_cases(spark, sf), m["stg_cases"])
+    return P.schema_drift(tpch.bronze(spark, sf)["cases"], m["stg_cases"])
 
 
 # --- sources and sinks -------------------------------------------------------------------
@@ -305,7 +305,7 @@ def quarantine_cases(spark, sf):
     from strata.operators.extras import split_rejects, tag_rejects
     from strata.plans.medallion import type_cases
 
-    typed = distinct_typed(type_cases(tpch.bronze_cases(spark, sf)))
+    typed = distinct_typed(type_cases(tpch.bronze(spark, sf)["cases"]))
     known = tpch.model(spark, sf)["stg_districts"].select(F.col("district_id").alias("_known"))
     joined = typed.join(known, typed["district_id"] == F.col("_known"), "left")
     tagged = tag_rejects(joined, [("missing_id", F.col("case_id").isNull()),

@@ -130,26 +130,26 @@ def build_medallion(bronze: dict[str, DataFrame], base_dir: str, today=None,
     """Write silver, build gold *from the written silver*, write gold; return every
     table read back from its files.
 
-    Each layer is one write job per table; the files cut the lineage, so a lost
+    The tables of a layer are independent, so they are written as concurrent jobs;
+    the files cut the lineage, so a lost
     executor never forces a recomputation from raw, and reports scan compact
     Parquet instead of re-deriving silver. ``fact_partition_by`` (e.g. a year
     column) lays the fact out for partition pruning at scale.
     """
-    spark = bronze["cases"].sparkSession
+    from strata.sinks.writers import write_tables
+
     lazy = medallion(bronze, today)
-    out: dict[str, DataFrame] = {}
-    for name in SILVER:
-        path = f"{base_dir}/{name}"
-        lazy[name].write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path)
+    out = write_tables({name: lazy[name] for name in SILVER}, base_dir)
     built = gold(out["stg_cases"], out["stg_districts"], out["stg_classes"], today=today)
-    for name in ("dim_calendar", "fact_cases"):
-        path = f"{base_dir}/{name}"
-        writer = built[name].write.mode("overwrite")
-        if name == "fact_cases" and fact_partition_by:
-            writer = writer.partitionBy(*fact_partition_by)
-        writer.parquet(path)
-        out[name] = spark.read.parquet(path)
+
+    def writer(df, path):
+        w = df.write.mode("overwrite")
+        if path.endswith("/fact_cases") and fact_partition_by:
+            w = w.partitionBy(*fact_partition_by)
+        w.parquet(path)
+
+    out.update(write_tables({n: built[n] for n in ("dim_calendar", "fact_cases")}, base_dir,
+                            writer=writer))
     # Conformed dimensions are the silver tables as they are (type-1).
     out["dim_district"] = out["stg_districts"]
     out["dim_class"] = out["stg_classes"]

@@ -118,17 +118,19 @@ class Normalised:
     def counts(self) -> DataFrame:
         return table_counts(self.tables())
 
-    STORED = ("comarca", "vara", "classe", "proc_raw", "processo", "movimentacao")
+    STORED = ("comarca", "classe", "vara", "proc_raw", "processo", "movimentacao")
 
     def materialize(self, base_dir: str) -> "StoredModel":
         """Write every derived table once and return them read back from Parquet."""
-        spark = self._cases.sparkSession
+        from strata.sinks.writers import write_tables
+
         stored = {}
-        for name in self.STORED:  # dependency order: later tables read earlier files
-            path = f"{base_dir}/{name}"
-            getattr(self, name).write.mode("overwrite").parquet(path)
-            stored[name] = spark.read.parquet(path)
-            self.__dict__[name] = stored[name]
+        # Waves of independent tables; each wave reads the files of the earlier ones.
+        for wave in (("comarca", "classe"), ("vara", "proc_raw"), ("processo", "movimentacao")):
+            written = write_tables({name: getattr(self, name) for name in wave}, base_dir)
+            for name, df in written.items():
+                stored[name] = df
+                self.__dict__[name] = df
         stored["situacao"] = self.situacao
         stored["tipo_movimento"] = self.tipo_movimento
         return StoredModel(stored)

@@ -24,11 +24,12 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.constants import STATUS_CLOSED, STATUS_OPEN
+from strata.constants import INGESTED_AT, STATUS_CLOSED, STATUS_OPEN
 from strata.operators.events import first_event
 from strata.plans import medallion as M
 from strata.plans.normalise import normalise
 from strata.session import scratch_dir
+from strata.sinks.writers import batch_timestamp, write_bronze, write_tables
 
 # --- fixed values ---------------------------------------------------------
 # Market segments, in the order that numbers the courts 1..5.
@@ -38,6 +39,13 @@ RETURNFLAG_EVENT = (("A", "Baixa Definitiva"), ("R", "Sentença"))
 OTHER_EVENT = "Despacho"
 
 
+_BUILT: dict[tuple, object] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
+    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), what)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -136,16 +144,26 @@ def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The four raw text tables (lazy derivations from the test tables)."""
     return {"cases": bronze_cases(spark, sf_dir), "districts": bronze_districts(spark, sf_dir),
             "classes": bronze_classes(spark, sf_dir), "events": bronze_events(spark, sf_dir)}
 
 
-_BUILT: dict[tuple, object] = {}
-
-
-def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
-    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), what)
+def bronze(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str, DataFrame]:
+    """The bronze layer: the raw text tables landed once per session as stamped
+    Parquet in the shared checkpoint folder (the stamp column is dropped on read, as
+    silver never uses it). Silver and the normaliser both read these files, so the
+    joins that derive the raw cases run once."""
+    if not materialize:
+        return raw_extracts(spark, sf_dir)
+    key = _key(spark, sf_dir, "bronze")
+    if key not in _BUILT:
+        ts = batch_timestamp()
+        landed = write_tables(raw_extracts(spark, sf_dir), scratch_dir(spark, "bronze"),
+                              writer=lambda df, path: write_bronze(df, path, ts))
+        _BUILT[key] = {name: df.drop(INGESTED_AT) for name, df in landed.items()}
+    return _BUILT[key]
 
 
 def model(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str, DataFrame]:
@@ -157,7 +175,7 @@ def model(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[st
     those files. ``materialize=False`` returns the lazy end-to-end plans.
     """
     if not materialize:
-        return M.medallion(bronze(spark, sf_dir))
+        return M.medallion(raw_extracts(spark, sf_dir))
     key = _key(spark, sf_dir, "medallion")
     if key not in _BUILT:
         _BUILT[key] = M.build_medallion(bronze(spark, sf_dir), scratch_dir(spark, "medallion"))
@@ -166,10 +184,11 @@ def model(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[st
 
 def normalised(spark: SparkSession, sf_dir: str, materialize: bool = True):
     """The event-sourced model of the bound cases (written once per session by default)."""
+    if not materialize:
+        b = raw_extracts(spark, sf_dir)
+        return normalise(b["cases"], b["districts"], b["classes"])
     b = bronze(spark, sf_dir)
     norm = normalise(b["cases"], b["districts"], b["classes"])
-    if not materialize:
-        return norm
     key = _key(spark, sf_dir, "normalised")
     if key not in _BUILT:
         _BUILT[key] = norm.materialize(scratch_dir(spark, "normalised"))

@@ -44,6 +44,31 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     writer.parquet(path)
 
 
+def write_tables(frames: dict[str, DataFrame], base_dir: str, parallel: int = 4,
+                 writer=None) -> dict[str, DataFrame]:
+    """Write independent tables as concurrent Spark jobs and return them read back.
+
+    Each table is its own job; submitting them from a few threads lets small jobs
+    share the executors instead of running back to back. ``writer(df, path)``
+    defaults to an overwrite of Parquet at ``base_dir/<name>``.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    def run(item):
+        name, df = item
+        path = f"{base_dir.rstrip('/')}/{name}"
+        if writer is None:
+            df.write.mode("overwrite").parquet(path)
+        else:
+            writer(df, path)
+        return name, path
+
+    spark = next(iter(frames.values())).sparkSession if frames else None
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(frames) or 1))) as pool:
+        written = list(pool.map(run, frames.items()))
+    return {name: spark.read.parquet(path) for name, path in written}
+
+
 def register_view(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Serve a written table under ``name`` for SQL consumers."""
     df = spark.read.parquet(path)
