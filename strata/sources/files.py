@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,31 +47,6 @@ FOOTPRINT_SCHEMA = T.StructType([
 ])
 
 
-def _local(uri: str) -> str:
-    return uri[len("file:"):] if uri.startswith("file:") else uri
-
-
-def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-
-    for batch in batches:
-        rows = []
-        for uri in batch["file_path"]:
-            if "://" in uri and not uri.startswith("file:"):
-                fs, p = pafs.FileSystem.from_uri(uri)
-                meta = pq.ParquetFile(fs.open_input_file(p)).metadata
-            else:
-                meta = pq.ParquetFile(_local(uri)).metadata
-            for rg in range(meta.num_row_groups):
-                group = meta.row_group(rg)
-                for ci in range(group.num_columns):
-                    col = group.column(ci)
-                    rows.append((uri, col.path_in_schema, col.compression,
-                                 col.total_compressed_size, col.total_uncompressed_size))
-        yield pd.DataFrame(rows, columns=[f.name for f in FOOTPRINT_SCHEMA.fields])
-
-
 def storage_footprint(spark: SparkSession, path: str, by_file: bool = False) -> DataFrame:
     """Per-column compressed and uncompressed bytes of a Parquet dataset.
 
@@ -80,9 +54,34 @@ def storage_footprint(spark: SparkSession, path: str, by_file: bool = False) ->
     only the footers of its files (Arrow, inside ``mapInPandas``); the per-column
     totals are a grouped sum.
     """
+    columns = [f.name for f in FOOTPRINT_SCHEMA.fields]
+
+    # Self-contained (no module-level references) so it is shipped to the Python
+    # workers by value and needs nothing installed there beyond pyarrow/pandas.
+    def read_footers(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            rows = []
+            for uri in batch["file_path"]:
+                if "://" in uri and not uri.startswith("file:"):
+                    fs, p = pafs.FileSystem.from_uri(uri)
+                    meta = pq.ParquetFile(fs.open_input_file(p)).metadata
+                else:
+                    meta = pq.ParquetFile(uri[len("file:"):] if uri.startswith("file:") else uri).metadata
+                for rg in range(meta.num_row_groups):
+                    group = meta.row_group(rg)
+                    for ci in range(group.num_columns):
+                        col = group.column(ci)
+                        rows.append((uri, col.path_in_schema, col.compression,
+                                     col.total_compressed_size, col.total_uncompressed_size))
+            yield pd.DataFrame(rows, columns=columns)
+
     files = list_files(spark, path, "*.parquet").select("file_path")
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    per_file = files.repartition(n, "file_path").mapInPandas(_read_footers, FOOTPRINT_SCHEMA)
+    per_file = files.repartition(n, "file_path").mapInPandas(read_footers, FOOTPRINT_SCHEMA)
     if by_file:
         return per_file
     return per_file.groupBy("column_name", "compression").agg(
