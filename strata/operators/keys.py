@@ -29,16 +29,23 @@ def dense_ids(df: DataFrame, order: Sequence, out: str = "id", start: int = 1,
     """Add ``out`` = 1-based rank of each row in ``order`` (ascending, NULLS LAST).
 
     Rows equal on ``order`` get consecutive ids in an unspecified order; all other
-    columns are appended as tie-breaks, so only identical rows are interchangeable.
+    columns are appended as tie-breaks, so only identical rows are interchangeable
+    (and even a group of millions of identical rows is spread over partitions).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     sort_keys = [as_col(o).asc_nulls_last() for o in order]
     sort_keys += [F.col(c).asc_nulls_last() for c in df.columns]
+    # Final tie-break: the row's position in the input. It only orders identical
+    # rows (interchangeable), but lets the range partitioner split a hot group of
+    # copies over many partitions instead of sending it to one task.
+    sort_keys.append(F.col("_seq").asc())
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(n, *sort_keys)
+    tagged = (df.withColumn("_seq", F.monotonically_increasing_id())
+                .repartitionByRange(n, *sort_keys)
                 .sortWithinPartitions(*sort_keys)
                 .withColumn("_mid", F.monotonically_increasing_id())
+                .drop("_seq")
                 .checkpoint(eager=True))
     part = F.shiftright(F.col("_mid"), _POS_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))

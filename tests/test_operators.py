@@ -61,6 +61,17 @@ def test_dense_ids_global_order_nulls_last(spark):
     assert got == expect
 
 
+def test_dense_ids_spreads_identical_rows(spark):
+    hot = spark.range(0, 6000).select(F.lit(7).alias("k"), F.lit("same").alias("v"))
+    rest = spark.range(0, 60).select(F.col("id").cast("int").alias("k"), F.lit("x").alias("v"))
+    df = hot.unionByName(rest)
+    out = dense_ids(df, ["k"], "id", num_partitions=6)
+    per_part = (out.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect())
+    assert max(r["count"] for r in per_part) < 6000       # the hot group was split
+    ids = sorted(r.id for r in out.select("id").collect())
+    assert ids == list(range(1, 6061))
+
+
 def test_calendar_reference_bounds_and_today(spark):
     cases = spark.createDataFrame([(D(2024, 1, 30), D(2024, 2, 2)), (D(2024, 2, 1), None)],
                                   "o date, c date")
