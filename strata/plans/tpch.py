@@ -20,6 +20,7 @@ The same derivation in DuckDB SQL lives in ``strata.plans.tpch_sql``.
 from __future__ import annotations
 
 import os
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,7 @@ OTHER_EVENT = "Despacho"
 
 
 _BUILT: dict[tuple, object] = {}
+_LOCK = threading.RLock()  # one build per key even when queries run from several threads
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
@@ -158,12 +160,14 @@ def bronze(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[s
     if not materialize:
         return raw_extracts(spark, sf_dir)
     key = _key(spark, sf_dir, "bronze")
-    if key not in _BUILT:
+    with _LOCK:
+        if key in _BUILT:
+            return _BUILT[key]
         ts = batch_timestamp()
         landed = write_tables(raw_extracts(spark, sf_dir), scratch_dir(spark, "bronze"),
                               writer=lambda df, path: write_bronze(df, path, ts))
         _BUILT[key] = {name: df.drop(INGESTED_AT) for name, df in landed.items()}
-    return _BUILT[key]
+        return _BUILT[key]
 
 
 def model(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str, DataFrame]:
@@ -177,9 +181,10 @@ def model(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[st
     if not materialize:
         return M.medallion(raw_extracts(spark, sf_dir))
     key = _key(spark, sf_dir, "medallion")
-    if key not in _BUILT:
-        _BUILT[key] = M.build_medallion(bronze(spark, sf_dir), scratch_dir(spark, "medallion"))
-    return _BUILT[key]
+    with _LOCK:
+        if key not in _BUILT:
+            _BUILT[key] = M.build_medallion(bronze(spark, sf_dir), scratch_dir(spark, "medallion"))
+        return _BUILT[key]
 
 
 def normalised(spark: SparkSession, sf_dir: str, materialize: bool = True):
@@ -187,12 +192,13 @@ def normalised(spark: SparkSession, sf_dir: str, materialize: bool = True):
     if not materialize:
         b = raw_extracts(spark, sf_dir)
         return normalise(b["cases"], b["districts"], b["classes"])
-    b = bronze(spark, sf_dir)
-    norm = normalise(b["cases"], b["districts"], b["classes"])
     key = _key(spark, sf_dir, "normalised")
-    if key not in _BUILT:
-        _BUILT[key] = norm.materialize(scratch_dir(spark, "normalised"))
-    return _BUILT[key]
+    with _LOCK:
+        if key not in _BUILT:
+            b = bronze(spark, sf_dir)
+            norm = normalise(b["cases"], b["districts"], b["classes"])
+            _BUILT[key] = norm.materialize(scratch_dir(spark, "normalised"))
+        return _BUILT[key]
 
 
 def clean_part_names(spark: SparkSession, sf_dir: str) -> DataFrame:

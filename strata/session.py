@@ -17,6 +17,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Planning-time broadcast decisions use size estimates that, without CBO, are
+    # upper bounds derived from file sizes; scale them for Parquet decompression so
+    # a side is broadcast only when its in-memory size is safely under the limit.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
