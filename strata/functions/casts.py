@@ -11,21 +11,41 @@ from strata.functions._util import as_col
 _INT_TYPES = {"bigint": T.LongType(), "long": T.LongType(), "int": T.IntegerType(),
               "integer": T.IntegerType(), "smallint": T.ShortType()}
 
-# A value is an ISO-like date when it starts with digits, a dash or slash,
-# one-or-two digits, a dash or slash and one-or-two digits; anything may follow
-# (a clock suffix is accepted). Bare years are not dates.
-ISO_LIKE = r"^\s*[0-9]+[-/][0-9]{1,2}[-/][0-9]{1,2}"
+# A value is an ISO-like date when it is (after blanks) a 1-7 digit year, a dash or
+# slash, a 1-2 digit month, the *same* separator and a 1-2 digit day, followed
+# either by nothing but blanks or by a valid clock time (HH:MM[:SS[.fff]]), after
+# which anything may follow. Bare years are not dates.
+ISO_LIKE = (r"^\s*([0-9]{1,7})([-/])([0-9]{1,2})\2([0-9]{1,2})"
+            r"(\s*$|[ T]([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\.[0-9]*)?)?)")
+# Day-first dates (d/M/yyyy) with 1-2 digit day and month and a 1-4 digit year,
+# blanks around allowed.
+DAY_FIRST = r"^\s*([0-9]{1,2})/([0-9]{1,2})/([0-9]{1,4})\s*$"
+
+
+def _ymd_date(year: Column, month: Column, day: Column) -> Column:
+    """DATE from text parts (year padded to four digits), NULL when impossible."""
+    y = F.when(F.length(year) < 4, F.lpad(year, 4, "0")).otherwise(year)
+    return F.concat_ws("-", y, month, day).try_cast(T.DateType())
 
 
 def safe_int(c, type_name: str = "bigint") -> Column:
     """Lenient integer cast: NULL instead of an error.
 
     Text such as ``'8000001.0'`` or ``'1e3'`` is a valid integer (rounded half
-    away from zero), so the value goes through a wide decimal first.
+    away from zero), so the value goes through a wide decimal first; ``0x1F``,
+    ``0b101`` and digit groups written ``1_000`` are read too.
     """
     target = _INT_TYPES[type_name]
-    as_decimal = as_col(c).try_cast(T.DecimalType(38, 10))
-    return F.round(as_decimal, 0).try_cast(target)
+    col = as_col(c)
+    as_decimal = col.try_cast(T.DecimalType(38, 10))
+    hex_text = F.when(F.regexp_like(col, F.lit(r"^0[xX][0-9a-fA-F]+$")),
+                      F.conv(F.substring(col, 3, 64), 16, 10))
+    bin_text = F.when(F.regexp_like(col, F.lit(r"^0[bB][01]+$")),
+                      F.conv(F.substring(col, 3, 256), 2, 10))
+    grouped = F.when(F.regexp_like(col, F.lit(r"^\s*[+-]?[0-9]+(_[0-9]+)+\s*$")),
+                     F.regexp_replace(col, "_", ""))
+    return F.coalesce(F.round(as_decimal, 0).try_cast(target),
+                      F.coalesce(hex_text, bin_text, grouped).try_cast(target))
 
 
 def strict_int(c, type_name: str = "int") -> Column:
@@ -34,21 +54,30 @@ def strict_int(c, type_name: str = "int") -> Column:
 
 
 def iso_date(c) -> Column:
-    """ISO-like text (``yyyy-M-d`` or ``yyyy/M/d``, optional suffix) to DATE, else NULL."""
+    """ISO-like text (``yyyy-M-d`` or ``yyyy/M/d``, optional clock time) to DATE, else NULL."""
+    col = as_col(c)
+    part = lambda i: F.regexp_extract(col, ISO_LIKE, i)
+    return F.when(F.regexp_like(col, F.lit(ISO_LIKE)), _ymd_date(part(1), part(3), part(4)))
+
+
+def day_first_date(c) -> Column:
+    """Day-first text ``d/M/yyyy`` (blanks around allowed) to DATE, else NULL."""
     col = as_col(c)
-    return F.when(F.regexp_like(col, F.lit(ISO_LIKE)),
-                  F.regexp_replace(col, "/", "-").try_cast(T.DateType()))
+    part = lambda i: F.regexp_extract(col, DAY_FIRST, i)
+    return F.when(F.regexp_like(col, F.lit(DAY_FIRST)), _ymd_date(part(3), part(2), part(1)))
 
 
 def pattern_date(c, pattern: str) -> Column:
-    """Text in a datetime ``pattern`` (e.g. ``d/M/yyyy``) to DATE, else NULL."""
+    """Text in a datetime ``pattern`` to DATE, else NULL (Spark's parser)."""
     return F.try_to_timestamp(as_col(c), F.lit(pattern)).cast(T.DateType())
 
 
 def parse_mixed_date(c, formats=("iso", "d/M/yyyy")) -> Column:
     """First successful parse over an ordered list of formats.
 
-    ``"iso"`` is the ISO-like parser; every other entry is a datetime pattern.
+    ``"iso"`` and ``"d/M/yyyy"`` are regex-driven parsers (no exception per failed
+    row); any other entry is a Spark datetime pattern.
     """
-    parsers = [iso_date(c) if f == "iso" else pattern_date(c, f) for f in formats]
+    named = {"iso": iso_date, "d/M/yyyy": day_first_date}
+    parsers = [named[f](c) if f in named else pattern_date(c, f) for f in formats]
     return parsers[0] if len(parsers) == 1 else F.coalesce(*parsers)
