@@ -57,10 +57,15 @@ def build_fact(cases: DataFrame, district_dim: DataFrame, district_key: str,
     return known.withColumn(measure, duration_days(open_col, close_col))
 
 
-def star_join(fact: DataFrame, dims: Sequence[Dim]) -> DataFrame:
-    """Inner-join the fact to each dimension (the dimension key column is dropped)."""
+def star_join(fact: DataFrame, dims: Sequence) -> DataFrame:
+    """Inner-join the fact to each dimension (the dimension key column is dropped).
+
+    ``dims`` holds ``Dim`` objects or ``(df, fact_key, dim_key)`` tuples.
+    """
     out = fact
     for dim in dims:
+        if not isinstance(dim, Dim):
+            dim = Dim(*dim)
         dim_key = dim.dim_key or dim.fact_key
         side = dim.side()
         if dim_key == dim.fact_key:

@@ -29,7 +29,7 @@ from strata.constants import INGESTED_AT, STATUS_CLOSED, STATUS_OPEN
 from strata.operators.events import first_event
 from strata.plans import medallion as M
 from strata.plans.normalise import normalise
-from strata.session import scratch_dir
+from strata.session import scratch_dir, session_id
 from strata.sinks.writers import batch_timestamp, write_bronze, write_tables
 
 # --- fixed values ---------------------------------------------------------
@@ -45,7 +45,7 @@ _LOCK = threading.RLock()  # one build per key even when queries run from severa
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
-    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), what)
+    return (session_id(spark), os.path.abspath(sf_dir), what)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -44,7 +44,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("WARN")
+    try:
+        spark.sparkContext.setLogLevel("WARN")
+    except Exception:
+        pass
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -56,17 +59,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as-is. Only when nothing is configured — local runs and tests — a private
     folder is created so ``checkpoint()`` works at all.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote (Connect) sessions manage checkpoints server-side
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is None:
+        return configured or tempfile.mkdtemp(prefix="strata-ckpt-")
     if not configured:
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def session_id(spark: SparkSession) -> str:
+    """Identifier of the running application (stable for the session's lifetime)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_dir(spark: SparkSession, label: str = "scratch") -> str:
     """A fresh, unique folder under the shared checkpoint location.
 

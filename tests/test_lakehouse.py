@@ -106,3 +106,19 @@ def test_normalised_model_agrees_with_gold(spark, lake):
     assert (diff.only_in_gold, diff.only_in_events) == (0, 0)
     numbers = dict(norm.processo.select("case_id", "case_number").collect())
     assert numbers[100001] == "0100001-25.2026.8.12.0001"
+
+
+def test_without_the_second_date_parser_the_rules_fail(spark, lake):
+    """Negative check: parse ISO only and the day-first dates turn into NULLs, which
+    the not-null rule reports, and the two spellings of case 100003 no longer
+    collapse, which the unique rule reports."""
+    from strata.operators import quality as Q
+    from strata.plans import medallion as M
+
+    bronze = lake.bronze["cases"].bronze.drop("_ingerido_em")
+    iso_only = M.distinct_typed(M.type_cases(bronze, formats=("iso",))).filter("case_id is not null")
+    got = {(r.column_name, r.rule): r.violations for r in Q.run_suite(
+        {"stg_cases": iso_only}, [Q.not_null("stg_cases", "opened"),
+                                  Q.unique("stg_cases", "case_id")]).collect()}
+    assert got[("opened", "not_null")] == 2        # '05/03/2020' and the 'NA' token
+    assert got[("case_id", "unique")] == 1         # 100003 twice
