@@ -121,18 +121,18 @@ class Normalised:
     STORED = ("comarca", "classe", "vara", "proc_raw", "processo", "movimentacao")
 
     def materialize(self, base_dir: str) -> "StoredModel":
-        """Write every derived table once and return them read back from Parquet."""
+        """Write all seven tables (plus ``proc_raw``) once and return them read back."""
         from strata.sinks.writers import write_tables
 
         stored = {}
         # Waves of independent tables; each wave reads the files of the earlier ones.
-        for wave in (("comarca", "classe"), ("vara", "proc_raw"), ("processo", "movimentacao")):
+        for wave in (("comarca", "classe", "situacao", "tipo_movimento"), ("vara", "proc_raw"),
+                     ("processo", "movimentacao")):
             written = write_tables({name: getattr(self, name) for name in wave}, base_dir)
             for name, df in written.items():
                 stored[name] = df
-                self.__dict__[name] = df
-        stored["situacao"] = self.situacao
-        stored["tipo_movimento"] = self.tipo_movimento
+                if name in self.STORED:
+                    self.__dict__[name] = df
         return StoredModel(stored)
 
 
