@@ -213,6 +213,9 @@ union all select 'stamp_column', '_ingerido_em', '_ingerido_em', true
 union all select 'required_columns', 'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment',
                  'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment', true"""
 
+SQL["flagship_sql"] = SQL["duration_by_district_class_year"]
+SQL["by_court_sql"] = SQL["duration_by_court_min_support"]
+
 # --- optional tier ---------------------------------------------------------------------------
 
 SQL["quarantine_cases"] = with_ctes("typed_cases", "stg_districts") + """,

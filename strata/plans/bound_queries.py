@@ -293,6 +293,24 @@ def storage_footprint_q(spark, sf):
     return storage_footprint(spark, f"{sf.rstrip('/')}/lineitem.parquet")
 
 
+# --- SQL serving ------------------------------------------------------------------------
+
+
+def flagship_sql(spark, sf):
+    """The flagship report written in SQL over the gold tables served as views."""
+    from strata.plans.sql_reports import run_report, serve_views
+
+    serve_views(tpch.model(spark, sf), prefix="gold_")
+    return run_report(spark, "by_district_class_year", prefix="gold_")
+
+
+def by_court_sql(spark, sf):
+    from strata.plans.sql_reports import run_report, serve_views
+
+    serve_views(tpch.model(spark, sf), prefix="gold_")
+    return run_report(spark, "by_court", prefix="gold_", min_support=3)
+
+
 # --- optional tier: improvements described by the model, not applied by it -------------
 
 AS_OF = "2002-01-01"          # date open cases are aged to
@@ -455,6 +473,8 @@ QUERIES = {
     "ingest_checks": ingest_checks,
     "file_sizes": file_sizes_q,
     "storage_footprint": storage_footprint_q,
+    "flagship_sql": flagship_sql,
+    "by_court_sql": by_court_sql,
     "quarantine_cases": quarantine_cases,
     "duration_by_district_with_unknown": duration_by_district_with_unknown,
     "bronze_lineage": bronze_lineage,

@@ -122,3 +122,20 @@ def test_without_the_second_date_parser_the_rules_fail(spark, lake):
                                   Q.unique("stg_cases", "case_id")]).collect()}
     assert got[("opened", "not_null")] == 2        # '05/03/2020' and the 'NA' token
     assert got[("case_id", "unique")] == 1         # 100003 twice
+
+
+def test_sql_views_answer_like_the_dataframe_reports(spark, lake):
+    from strata.plans.sql_reports import REPORT_SQL, run_report, serve_views
+
+    t = lake.tables
+    serve_views(t, prefix="fx_")
+    pairs = {"by_district_class_year": R.by_district_class_year(t),
+             "by_district_year": R.by_district_year(t),
+             "by_court": R.by_court(t, min_support=1),
+             "court_key_not_unique": R.court_key_not_unique(t),
+             "grain_mean": R.grain(t)}
+    assert set(pairs) == set(REPORT_SQL)
+    for name, df in pairs.items():
+        got = run_report(spark, name, prefix="fx_", min_support=1)
+        assert got.columns == df.columns, name
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect())), name
