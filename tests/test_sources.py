@@ -50,3 +50,21 @@ def test_file_sizes_and_footprint(spark, tmp_dir):
     fp = {r.column_name: r for r in storage_footprint(spark, f"{SF_SMALL}/nation.parquet").collect()}
     assert set(fp) == {"n_nationkey", "n_name", "n_regionkey"}
     assert all(r.uncompressed_bytes > 0 for r in fp.values())
+
+
+def test_catalog_path_sql_and_views(spark, tmp_dir):
+    from strata.sinks import register_view, write_table
+    from strata.sources import SourceCatalog, parquet_path_sql
+
+    cat = SourceCatalog(SF_SMALL + "/{name}.parquet")
+    views = cat.register(spark, ["nation", "region"])
+    assert spark.sql("select count(*) from nation").collect()[0][0] == views["nation"].count() == 25
+    got = parquet_path_sql(spark, cat.path("region"),
+                           "select count(*) as n from {src} where r_regionkey >= 0").collect()[0].n
+    assert got == 5
+    out = os.path.join(tmp_dir, "nation_by_region")
+    write_table(views["nation"], out, partition_by=["n_regionkey"])
+    assert sorted(d for d in os.listdir(out) if d.startswith("n_regionkey="))[0] == "n_regionkey=0"
+    served = register_view(spark, "served_nation", out)
+    assert spark.sql("select count(*) from served_nation where n_regionkey = 1").collect()[0][0] == 5
+    assert served.filter("n_regionkey = 1").count() == 5
