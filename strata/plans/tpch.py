@@ -45,7 +45,8 @@ _LOCK = threading.RLock()  # one build per key even when queries run from severa
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
-    return (session_id(spark), os.path.abspath(sf_dir), what)
+    # per session object: cached frames (and views made from them) belong to it
+    return (session_id(spark), id(spark), os.path.abspath(sf_dir), what)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
