@@ -9,8 +9,6 @@ from __future__ import annotations
 from strata.plans.bound_queries import RULES
 from strata.plans.tpch_sql import with_ctes
 
-STAR = """fact_cases f join dim_district dd on f.district_id = dd.district_id"""
-
 SQL: dict[str, str] = {}
 
 SQL["duration_by_district_class_year"] = with_ctes(
@@ -130,7 +128,6 @@ e as ({_EVENTS_BY_COURT})
 select (select count(*) from (select * from g except all select * from e)) as only_in_gold,
        (select count(*) from (select * from e except all select * from g)) as only_in_events"""
 
-
 def _rule_sql(r) -> str:
     t, c = r.table, r.column
     if r.kind == "not_null":
@@ -147,13 +144,11 @@ def _rule_sql(r) -> str:
     return (f"select '{t}' as table_name, '{c}' as column_name, '{r.kind}' as rule, "
             f"cast({v} as bigint) as violations, {v} = 0 as passed")
 
-
 def _suite_sql(kinds=None) -> str:
     rules = [r for r in RULES if kinds is None or r.kind in kinds]
     ctes = sorted({r.table for r in rules} | {r.to_table for r in rules if r.to_table})
     return with_ctes(*ctes) + "\nunion all\n".join(_rule_sql(r) for r in rules)
 
-
 SQL["dq_suite"] = _suite_sql()
 SQL["dq_not_null"] = _suite_sql({"not_null"})
 SQL["dq_unique"] = _suite_sql({"unique"})
