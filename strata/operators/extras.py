@@ -138,6 +138,43 @@ def scd2_history(snapshots: DataFrame, key: str, tracked: Sequence[str], as_of_c
                    .drop("_h", "_prev"))
 
 
+def scd2_merge(history: DataFrame | None, snapshot: DataFrame, key: str, tracked: Sequence[str],
+               as_of, valid_from: str = "valid_from", valid_to: str = "valid_to",
+               current_col: str = "is_current") -> DataFrame:
+    """Apply one dated snapshot to a type-2 history (the incremental form).
+
+    Current versions whose tracked values changed are closed at ``as_of`` and a new
+    version opens; keys seen for the first time open a version; everything else is
+    kept. One full outer join of the current versions with the snapshot on the key
+    (a shuffle on the key, no window), plus the closed versions passed through.
+    """
+    as_of_col = F.lit(as_of).cast("date")
+    h = lambda prefix: F.sha2(F.concat_ws("␟", *[
+        F.coalesce(F.col(f"{prefix}{c}").cast("string"), F.lit("␀")) for c in tracked]), 256)
+    snap = snapshot.select(F.col(key).alias("_sk"), *[F.col(c).alias(f"_s_{c}") for c in tracked])
+    opened = snap.select(F.col("_sk").alias(key),
+                         *[F.col(f"_s_{c}").alias(c) for c in tracked],
+                         as_of_col.alias(valid_from), F.lit(None).cast("date").alias(valid_to),
+                         F.lit(True).alias(current_col))
+    if history is None:
+        return opened
+    closed_before = history.filter(~F.col(current_col))
+    current = history.filter(F.col(current_col))
+    j = current.join(snap, current[key] == snap["_sk"], "full")
+    changed = F.col(key).isNotNull() & F.col("_sk").isNotNull() & (h("") != h("_s_"))
+    brand_new = F.col(key).isNull()
+    kept = j.filter(F.col("_sk").isNull() | (F.col(key).isNotNull() & ~changed))
+    cols = [key, *tracked, valid_from, valid_to, current_col]
+    still = kept.select(*cols)
+    closing = j.filter(changed).select(key, *tracked, valid_from, as_of_col.alias(valid_to),
+                                       F.lit(False).alias(current_col))
+    opening = (j.filter(changed | brand_new)
+                .select(F.col("_sk").alias(key), *[F.col(f"_s_{c}").alias(c) for c in tracked],
+                        as_of_col.alias(valid_from), F.lit(None).cast("date").alias(valid_to),
+                        F.lit(True).alias(current_col)))
+    return closed_before.select(*cols).unionByName(still).unionByName(closing).unionByName(opening)
+
+
 # --- drill-across ------------------------------------------------------------------------------------
 
 

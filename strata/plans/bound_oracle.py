@@ -276,3 +276,5 @@ select district_id, district_name, uf, valid_from,
        lead(valid_from) over (partition by district_id order by valid_from) as valid_to,
        lead(valid_from) over (partition by district_id order by valid_from) is null as is_current
 from changes"""
+
+SQL["district_history_merged"] = SQL["district_history"]

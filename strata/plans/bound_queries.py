@@ -425,6 +425,29 @@ def district_history(spark, sf):
     return scd2_history(allsnaps, "district_id", ["district_name", "uf"], "as_of")
 
 
+def _district_snapshots(spark, sf):
+    d = tpch.model(spark, sf)["stg_districts"]
+    k = F.col("district_id")
+    return [
+        d,
+        d.withColumn("district_name", F.when(k % 3 == 0, F.upper("district_name"))
+                     .otherwise(F.col("district_name"))),
+        d.withColumn("district_name", F.when(k % 5 == 0, F.lower("district_name"))
+                     .otherwise(F.col("district_name"))),
+    ]
+
+
+def district_history_merged(spark, sf):
+    """The same type-2 history built incrementally: each snapshot merged into the
+    history so far (one join on the key per snapshot)."""
+    from strata.operators.extras import scd2_merge
+
+    hist = None
+    for as_of, snap in zip(SNAPSHOT_DATES, _district_snapshots(spark, sf)):
+        hist = scd2_merge(hist, snap, "district_id", ["district_name", "uf"], as_of)
+    return hist
+
+
 QUERIES = {
     "duration_by_district_class_year": duration_by_district_class_year,
     "duration_by_district_year": duration_by_district_year,
@@ -482,4 +505,5 @@ QUERIES = {
     "fact_upsert": fact_upsert,
     "drill_across_district": drill_across_district,
     "district_history": district_history,
+    "district_history_merged": district_history_merged,
 }

@@ -53,3 +53,22 @@ def test_drill_across_and_row_hash(spark):
     h = spark.createDataFrame([("a", None), ("a", "")], "p string, q string").select(
         X.row_hash(["p", "q"]).alias("h")).collect()
     assert h[0].h != h[1].h                          # NULL and empty differ
+
+
+def test_scd2_merge_step_by_step_equals_history(spark):
+    snaps = [
+        (D(2024, 1, 1), [(1, "a"), (2, "x")]),
+        (D(2024, 2, 1), [(1, "a"), (2, "y"), (3, "n")]),
+        (D(2024, 3, 1), [(1, "b"), (2, "y"), (3, "n")]),
+    ]
+    hist = None
+    for as_of, rows in snaps:
+        snap = spark.createDataFrame(rows, "k int, name string")
+        hist = X.scd2_merge(hist, snap, "k", ["name"], as_of)
+        hist = spark.createDataFrame(hist.collect(), hist.schema)   # materialise the step
+    allsnaps = spark.createDataFrame([(k, n, d) for d, rows in snaps for k, n in rows],
+                                     "k int, name string, as_of date")
+    expected = X.scd2_history(allsnaps, "k", ["name"], "as_of")
+    key = lambda r: (r.k, r.valid_from)
+    assert sorted(map(tuple, hist.collect()), key=lambda t: (t[0], t[2])) == \
+        sorted(map(tuple, expected.select(hist.columns).collect()), key=lambda t: (t[0], t[2]))
