@@ -29,6 +29,8 @@ def main(argv=None) -> int:
     for role in ("cases", "districts", "classes", "events"):
         b.add_argument(f"--{role}", type=_source, required=role != "events")
     b.add_argument("--incremental", action="store_true")
+    b.add_argument("--splittable", action="store_true",
+                   help="JSON-lines and single-line CSV: split large files across tasks")
     b.add_argument("--today", default=None)
     r = sub.add_parser("report", help="run a duration report over a built lakehouse")
     r.add_argument("name", choices=sorted(REPORT_SQL))
@@ -46,7 +48,8 @@ def main(argv=None) -> int:
         sources = {role: getattr(args, role) for role in ("cases", "districts", "classes", "events")
                    if getattr(args, role)}
         lake = build_lakehouse(spark, sources, args.root, today=args.today,
-                               incremental=args.incremental)
+                               incremental=args.incremental, json_array=not args.splittable,
+                               csv_multiline=not args.splittable)
         lake.quality.orderBy("table_name", "column_name", "rule").show(100, truncate=False)
         return 0
     from strata.plans.lakehouse import open_lakehouse

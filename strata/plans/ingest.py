@@ -46,15 +46,20 @@ def ingest_file(spark: SparkSession, fmt: str, source_path: str, bronze_path: st
 
 
 def ingest_all(spark: SparkSession, sources: Mapping[str, tuple[str, str]], bronze_dir: str,
-               columns: Mapping[str, Sequence[str]] | None = None) -> dict[str, Ingested]:
+               columns: Mapping[str, Sequence[str]] | None = None, json_array: bool = True,
+               csv_multiline: bool = True) -> dict[str, Ingested]:
     """Ingest ``name → (format, path)`` in the given order into ``bronze_dir/<name>``.
 
-    One batch timestamp per table call; the first failure stops the run.
+    One batch timestamp per table call; the first failure stops the run. The two
+    switches trade fidelity for splitting: a JSON-array document and a CSV with
+    quoted newlines must each be read by one task per file; JSON-lines and
+    single-line CSV split across tasks.
     """
     out = {}
     for name, (fmt, path) in sources.items():
         out[name] = ingest_file(spark, fmt, path, f"{bronze_dir.rstrip('/')}/{name}",
-                                (columns or {}).get(name), batch_timestamp(), name=name)
+                                (columns or {}).get(name), batch_timestamp(),
+                                json_array=json_array, csv_multiline=csv_multiline, name=name)
     return out
 
 

@@ -53,7 +53,8 @@ DEFAULT_COLUMNS = {
 
 
 def land_incremental(spark: SparkSession, sources: Mapping[str, tuple[str, str]], root: str,
-                     columns: Mapping[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
+                     columns: Mapping[str, Sequence[str]] | None = None, json_array: bool = True,
+                     csv_multiline: bool = True) -> dict[str, DataFrame]:
     """Land every role's landing folder into bronze with the streaming ingestion
     (only files not seen before are read; the checkpoints live under ``root``)."""
     from strata.streaming import ingest_available
@@ -66,28 +67,32 @@ def land_incremental(spark: SparkSession, sources: Mapping[str, tuple[str, str]]
         fmt, path = sources[role]
         out[role] = ingest_available(spark, fmt, path, cols[role],
                                      f"{root.rstrip('/')}/bronze/{role}",
-                                     f"{root.rstrip('/')}/_checkpoints/{role}")
+                                     f"{root.rstrip('/')}/_checkpoints/{role}",
+                                     json_array=json_array, csv_multiline=csv_multiline)
     return out
 
 
 def build_lakehouse(spark: SparkSession, sources: Mapping[str, tuple[str, str]], root: str,
                     columns: Mapping[str, Sequence[str]] | None = None, today=None,
-                    rules: Sequence[Q.Rule] | None = None, incremental: bool = False) -> Lakehouse:
+                    rules: Sequence[Q.Rule] | None = None, incremental: bool = False,
+                    json_array: bool = True, csv_multiline: bool = True) -> Lakehouse:
     """``sources`` maps each role (cases, districts, classes, events) to
     ``(format, path)``; layers are written under ``root/bronze`` and ``root/model``.
 
     ``incremental`` treats each path as a landing folder: new extracts are appended
     to bronze by the streaming ingestion, then silver and gold are fully rebuilt
     from the whole of bronze (the model is a full refresh either way).
+    ``json_array`` / ``csv_multiline``: set False for JSON-lines and single-line CSV
+    so large extracts split across tasks.
     """
     if incremental:
-        landed = land_incremental(spark, sources, root, columns)
+        landed = land_incremental(spark, sources, root, columns, json_array, csv_multiline)
         frames = {r: df.drop(INGESTED_AT) for r, df in landed.items()}
         tables = build_medallion(frames, f"{root.rstrip('/')}/model", today=today)
         quality = Q.run_suite(tables, list(rules) if rules is not None else default_rules())
         return Lakehouse({}, tables, quality)
     bronze = ingest_all(spark, {r: sources[r] for r in ROLES if r in sources},
-                        f"{root.rstrip('/')}/bronze", columns)
+                        f"{root.rstrip('/')}/bronze", columns, json_array, csv_multiline)
     frames = {r: bronze[r].bronze.drop(INGESTED_AT) for r in bronze}
     tables = build_medallion(frames, f"{root.rstrip('/')}/model", today=today)
     quality = Q.run_suite(tables, list(rules) if rules is not None else default_rules())
