@@ -210,6 +210,7 @@ union all select 'required_columns', 'c_custkey,c_name,c_nationkey,c_acctbal,c_m
 
 SQL["flagship_sql"] = SQL["duration_by_district_class_year"]
 SQL["by_court_sql"] = SQL["duration_by_court_min_support"]
+SQL["duration_from_events_sql"] = SQL["duration_from_events"]
 
 # --- optional tier ---------------------------------------------------------------------------
 

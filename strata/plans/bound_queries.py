@@ -311,6 +311,14 @@ def by_court_sql(spark, sf):
     return run_report(spark, "by_court", prefix="gold_", min_support=3)
 
 
+def duration_from_events_sql(spark, sf):
+    """The by-court question in SQL over the event-sourced tables served as views."""
+    from strata.plans.sql_reports import run_event_model_report, serve_normalised_views
+
+    serve_normalised_views(tpch.normalised(spark, sf), prefix="oltp_")
+    return run_event_model_report(spark, prefix="oltp_", min_support=3)
+
+
 # --- optional tier: improvements described by the model, not applied by it -------------
 
 AS_OF = "2002-01-01"          # date open cases are aged to
@@ -498,6 +506,7 @@ QUERIES = {
     "storage_footprint": storage_footprint_q,
     "flagship_sql": flagship_sql,
     "by_court_sql": by_court_sql,
+    "duration_from_events_sql": duration_from_events_sql,
     "quarantine_cases": quarantine_cases,
     "duration_by_district_with_unknown": duration_by_district_with_unknown,
     "bronze_lineage": bronze_lineage,

@@ -11,7 +11,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-GOLD_VIEWS = ("fact_cases", "dim_district", "dim_class", "dim_calendar")
+GOLD_VIEWS = ("fact_cases", "dim_district", "dim_class", "dim_calendar", "stg_events")
+NORMALISED_VIEWS = ("comarca", "vara", "processo", "movimentacao", "tipo_movimento")
 
 REPORT_SQL = {
     "by_district_class_year": """
@@ -50,8 +51,33 @@ REPORT_SQL = {
     "grain_mean": """
         select count(*) as n_rows, round(avg(duration_days), 1) as mean_days
         from {p}fact_cases where duration_days is not null""",
+    # Joining the case-grain fact to events changes the grain: the mean moves.
+    "fanout_mean": """
+        select count(*) as n_rows, round(avg(f.duration_days), 1) as mean_days
+        from {p}fact_cases f join {p}stg_events e on e.case_id = f.case_id
+        where f.duration_days is not null""",
 }
 
+# The by-court question on the event-sourced model: closing is the first event of
+# the closing type, and the district is reached through the court.
+EVENT_MODEL_SQL = """
+    with closing as (
+        select m.case_id, min(m.event_date) as closed
+        from {p}movimentacao m
+        join {p}tipo_movimento t on t.event_type_id = m.event_type_id
+        where t.description = '{closing}'
+        group by m.case_id)
+    select c.district_name, v.court_name, count(*) as n_closed,
+           round(avg(datediff(k.closed, p.opened)), 1) as avg_days
+    from {p}processo p
+    join {p}vara v on v.court_id = p.court_id
+    join {p}comarca c on c.district_id = v.district_id
+    join closing k on k.case_id = p.case_id
+    where p.opened is not null and k.closed >= p.opened
+    group by c.district_name, v.court_name
+    having count(*) >= {min_support}
+    order by avg_days desc"""
+
 
 def serve_views(tables: Mapping[str, DataFrame], prefix: str = "",
                 names=GOLD_VIEWS) -> list[str]:
@@ -63,6 +89,19 @@ def serve_views(tables: Mapping[str, DataFrame], prefix: str = "",
     return registered
 
 
+def serve_normalised_views(norm, prefix: str = "") -> list[str]:
+    """Register the event-sourced tables as temporary views."""
+    return serve_views({name: getattr(norm, name) for name in NORMALISED_VIEWS}, prefix,
+                       NORMALISED_VIEWS)
+
+
+def run_event_model_report(spark: SparkSession, prefix: str = "", min_support: int = 3) -> DataFrame:
+    from strata.constants import CLOSURE_DESCRIPTION
+
+    return spark.sql(EVENT_MODEL_SQL.format(p=prefix, min_support=int(min_support),
+                                            closing=CLOSURE_DESCRIPTION.replace("'", "''")))
+
+
 def run_report(spark: SparkSession, report: str, prefix: str = "", min_support: int = 3) -> DataFrame:
     """One of ``REPORT_SQL`` over views registered with ``serve_views``."""
     return spark.sql(REPORT_SQL[report].format(p=prefix, min_support=int(min_support)))

@@ -129,11 +129,19 @@ def test_sql_views_answer_like_the_dataframe_reports(spark, lake):
 
     t = lake.tables
     serve_views(t, prefix="fx_")
+    from strata.plans.sql_reports import run_event_model_report, serve_normalised_views
+    b = {k: v.bronze.drop("_ingerido_em") for k, v in lake.bronze.items()}
+    norm = normalise(b["cases"], b["districts"], b["classes"])
+    serve_normalised_views(norm, prefix="fx_")
+    ev = R.duration_from_events(norm, min_support=1)
+    assert sorted(map(tuple, run_event_model_report(spark, "fx_", 1).collect())) == \
+        sorted(map(tuple, ev.collect()))
     pairs = {"by_district_class_year": R.by_district_class_year(t),
              "by_district_year": R.by_district_year(t),
              "by_court": R.by_court(t, min_support=1),
              "court_key_not_unique": R.court_key_not_unique(t),
-             "grain_mean": R.grain(t)}
+             "grain_mean": R.grain(t),
+             "fanout_mean": R.fanout(t, t["stg_events"])}
     assert set(pairs) == set(REPORT_SQL)
     for name, df in pairs.items():
         got = run_report(spark, name, prefix="fx_", min_support=1)
