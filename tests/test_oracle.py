@@ -7,7 +7,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.conftest import SF_SMALL
-from tools.check_oracle import TABLES, rows_of
+from tools.check_oracle import TABLES, rows_of, type_mismatches
 
 QUERIES = queries()
 SQL = oracle_sql()
@@ -46,6 +46,7 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = rel.columns
     drows = rel.fetchall()
     assert sorted(cols) == sorted(dcols)
+    assert type_mismatches(df.dtypes, dcols, rel.types) == {}
     order = sorted(cols)
     a = rows_of([[r[cols.index(c)] for c in order] for r in srows])
     b = rows_of([[r[dcols.index(c)] for c in order] for r in drows])
