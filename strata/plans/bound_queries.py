@@ -327,16 +327,9 @@ UPSERT_CUTOFF = "2000-01-01"  # snapshot date of the older fact in the upsert ch
 
 def quarantine_cases(spark, sf):
     """Rows silver would drop, kept with the reason instead of vanishing."""
-    from strata.operators.dedup import distinct_typed
-    from strata.operators.extras import split_rejects, tag_rejects
-    from strata.plans.medallion import type_cases
-
-    typed = distinct_typed(type_cases(tpch.bronze(spark, sf)["cases"]))
-    known = tpch.model(spark, sf)["stg_districts"].select(F.col("district_id").alias("_known"))
-    joined = typed.join(known, typed["district_id"] == F.col("_known"), "left")
-    tagged = tag_rejects(joined, [("missing_id", F.col("case_id").isNull()),
-                                  ("unknown_district", F.col("_known").isNull())]).drop("_known")
-    return split_rejects(tagged)[1]
+    from strata.plans.medallion import quarantine_cases as quarantined
+
+    return quarantined(tpch.bronze(spark, sf)["cases"], tpch.model(spark, sf)["stg_districts"])
 
 
 def duration_by_district_with_unknown(spark, sf):

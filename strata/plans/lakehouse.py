@@ -88,13 +88,14 @@ def build_lakehouse(spark: SparkSession, sources: Mapping[str, tuple[str, str]],
     if incremental:
         landed = land_incremental(spark, sources, root, columns, json_array, csv_multiline)
         frames = {r: df.drop(INGESTED_AT) for r, df in landed.items()}
-        tables = build_medallion(frames, f"{root.rstrip('/')}/model", today=today)
+        tables = build_medallion(frames, f"{root.rstrip('/')}/model", today=today,
+                                 quarantine=True)
         quality = Q.run_suite(tables, list(rules) if rules is not None else default_rules())
         return Lakehouse({}, tables, quality)
     bronze = ingest_all(spark, {r: sources[r] for r in ROLES if r in sources},
                         f"{root.rstrip('/')}/bronze", columns, json_array, csv_multiline)
     frames = {r: bronze[r].bronze.drop(INGESTED_AT) for r in bronze}
-    tables = build_medallion(frames, f"{root.rstrip('/')}/model", today=today)
+    tables = build_medallion(frames, f"{root.rstrip('/')}/model", today=today, quarantine=True)
     quality = Q.run_suite(tables, list(rules) if rules is not None else default_rules())
     return Lakehouse(bronze, tables, quality)
 

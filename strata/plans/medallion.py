@@ -70,6 +70,20 @@ def silver_cases(bronze: DataFrame, c: CaseCols = CaseCols(), formats=DATE_FORMA
     return typed.filter(F.col(c.case_id).isNotNull())
 
 
+def quarantine_cases(bronze: DataFrame, stg_districts: DataFrame, c: CaseCols = CaseCols(),
+                     d: DistrictCols = DistrictCols(), formats=DATE_FORMATS) -> DataFrame:
+    """The typed, de-duplicated cases that silver or gold leave out, with the reason
+    (``missing_id`` before ``unknown_district``) instead of a silent drop."""
+    from strata.operators.extras import tag_rejects
+
+    typed = distinct_typed(type_cases(bronze, c, formats))
+    known = stg_districts.select(F.col(d.district_id).alias("_known")).distinct()
+    joined = typed.join(known, typed[c.district_id] == F.col("_known"), "left")
+    tagged = tag_rejects(joined, [("missing_id", F.col(c.case_id).isNull()),
+                                  ("unknown_district", F.col("_known").isNull())]).drop("_known")
+    return tagged.filter(F.col("reject_reason").isNotNull())
+
+
 def silver_districts(bronze: DataFrame, c: DistrictCols = DistrictCols()) -> DataFrame:
     """Strict id, title-cased name, upper-cased state code. No de-duplication."""
     return bronze.select(strict_int(c.district_id, "int").alias(c.district_id),
@@ -126,7 +140,8 @@ GOLD = ("dim_district", "dim_class", "dim_calendar", "fact_cases")
 
 
 def build_medallion(bronze: dict[str, DataFrame], base_dir: str, today=None,
-                    fact_partition_by: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+                    fact_partition_by: tuple[str, ...] = (),
+                    quarantine: bool = False) -> dict[str, DataFrame]:
     """Write silver, build gold *from the written silver*, write gold; return every
     table read back from its files.
 
@@ -134,7 +149,8 @@ def build_medallion(bronze: dict[str, DataFrame], base_dir: str, today=None,
     the files cut the lineage, so a lost
     executor never forces a recomputation from raw, and reports scan compact
     Parquet instead of re-deriving silver. ``fact_partition_by`` (e.g. a year
-    column) lays the fact out for partition pruning at scale.
+    column) lays the fact out for partition pruning at scale. ``quarantine`` also
+    writes ``quarantine_cases``: the rows silver or gold leave out, with the reason.
     """
     from strata.sinks.writers import write_tables
 
@@ -150,6 +166,10 @@ def build_medallion(bronze: dict[str, DataFrame], base_dir: str, today=None,
 
     out.update(write_tables({n: built[n] for n in ("dim_calendar", "fact_cases")}, base_dir,
                             writer=writer))
+    if quarantine:
+        out.update(write_tables({"quarantine_cases": quarantine_cases(bronze["cases"],
+                                                                      out["stg_districts"])},
+                                base_dir))
     # Conformed dimensions are the silver tables as they are (type-1).
     out["dim_district"] = out["stg_districts"]
     out["dim_class"] = out["stg_classes"]

@@ -204,3 +204,8 @@ def test_splittable_inputs_give_the_same_bronze(spark, tmp_path):
                     json_array=False).bronze.drop("_ingerido_em")
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
     assert b.count() == 7
+
+
+def test_quarantine_written_with_reasons(lake):
+    q = {r.reject_reason: r.case_id for r in lake.tables["quarantine_cases"].collect()}
+    assert q == {"missing_id": None, "unknown_district": 100006}
