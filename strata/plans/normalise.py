@@ -13,14 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.constants import COURTS_PER_DISTRICT, EVENT_TYPE_CODES, STATUS_CODES
-from strata.functions import case_number, court_label
+from strata.functions import case_number, court_label, strict_int
 from strata.operators.counts import table_counts
 from strata.operators.dedup import keep_any
 from strata.operators.events import lifecycle_events
 from strata.operators.keys import dense_ids
 from strata.operators.star import semi_join
 from strata.plans.medallion import CaseCols, ClassCols, DistrictCols, silver_districts, type_cases
-from strata.functions import strict_int
 
 
 def code_tables(spark: SparkSession) -> dict[str, DataFrame]:
