@@ -36,3 +36,10 @@ def parquet_path_sql(spark: SparkSession, path: str, select_sql: str, alias: str
     """
     src = f"parquet.`{path}` {alias}"
     return spark.sql(select_sql.format(src=src))
+
+
+def preview(df: DataFrame, n: int = 10, order=None) -> DataFrame:
+    """The first ``n`` rows for a look at a table (``LIMIT n``; with ``order`` the top
+    ``n`` by it). Spark stops reading once ``n`` rows are found (or keeps a per-task
+    top ``n`` when ordered), so a preview never scans or sorts a whole table."""
+    return (df.orderBy(*order) if order else df).limit(n)

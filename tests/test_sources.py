@@ -68,3 +68,16 @@ def test_catalog_path_sql_and_views(spark, tmp_dir):
     served = register_view(spark, "served_nation", out)
     assert spark.sql("select count(*) from served_nation where n_regionkey = 1").collect()[0][0] == 5
     assert served.filter("n_regionkey = 1").count() == 5
+
+
+def test_preview(spark):
+    from pyspark.sql import functions as F
+
+    from strata.sources import preview
+
+    df = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    assert preview(df).count() == 10
+    top = preview(df, 3, [F.col("o_orderkey").desc()]).collect()
+    assert [r.o_orderkey for r in top] == sorted((r.o_orderkey for r in df.collect()), reverse=True)[:3]
+    plan = preview(df, 3, [F.col("o_orderkey").desc()])._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
