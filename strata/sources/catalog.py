@@ -40,6 +40,7 @@ def parquet_path_sql(spark: SparkSession, path: str, select_sql: str, alias: str
 
 def preview(df: DataFrame, n: int = 10, order=None) -> DataFrame:
     """The first ``n`` rows for a look at a table (``LIMIT n``; with ``order`` the top
-    ``n`` by it). Spark stops reading once ``n`` rows are found (or keeps a per-task
-    top ``n`` when ordered), so a preview never scans or sorts a whole table."""
+    ``n`` by it). Unordered, Spark stops reading once ``n`` rows are found; ordered,
+    every task keeps only its own top ``n``, so the table is scanned but never sorted
+    or shuffled as a whole."""
     return (df.orderBy(*order) if order else df).limit(n)
