@@ -9,4 +9,20 @@ normaliser and duration reports. Every operator is a lazy ``DataFrame -> DataFra
 
 from strata.session import build_session, scratch_dir
 
-__all__ = ["build_session", "scratch_dir"]
+
+def __getattr__(name):
+    # Convenience entry points, imported on first use.
+    if name in ("build_lakehouse", "open_lakehouse", "default_rules"):
+        from strata.plans import lakehouse
+        return getattr(lakehouse, name)
+    if name == "normalise":
+        from strata.plans.normalise import normalise
+        return normalise
+    if name == "reports":
+        from strata.plans import reports
+        return reports
+    raise AttributeError(name)
+
+
+__all__ = ["build_session", "scratch_dir", "build_lakehouse", "open_lakehouse", "default_rules",
+           "normalise", "reports"]
