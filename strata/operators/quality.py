@@ -54,6 +54,46 @@ def relationships(table: str, column: str, to_table: str, to_column: str) -> Rul
     return Rule(table, column, "relationships", (), to_table, to_column)
 
 
+def rules_from_spec(spec, ref_prefix: str = "ref(") -> list[Rule]:
+    """Rules from a declarative spec: ``{"models": [{"name", "columns": [{"name",
+    "tests": [...]}]}]}`` — the usual shape of column-test declarations. A test is
+    ``"not_null"``, ``"unique"``, ``{"accepted_values": {"values": [...]}}`` or
+    ``{"relationships": {"to": "ref('parent')", "field": "key"}}`` (arguments may
+    also sit under an ``arguments`` key). ``spec`` may be YAML text (PyYAML needed).
+    """
+    if isinstance(spec, str):
+        import yaml  # optional dependency, only for YAML text
+
+        spec = yaml.safe_load(spec)
+    rules: list[Rule] = []
+    for model in spec.get("models", []):
+        table = model["name"]
+        for column in model.get("columns", []):
+            for test in column.get("tests", []) or []:
+                if isinstance(test, str):
+                    kind, args = test, {}
+                else:
+                    (kind, args), = test.items()
+                    args = dict(args or {})
+                    args = dict(args.get("arguments", {}), **{k: v for k, v in args.items()
+                                                               if k != "arguments"})
+                name = column["name"]
+                if kind == "not_null":
+                    rules.append(not_null(table, name))
+                elif kind == "unique":
+                    rules.append(unique(table, name))
+                elif kind == "accepted_values":
+                    rules.append(accepted_values(table, name, args["values"]))
+                elif kind == "relationships":
+                    to = str(args["to"]).strip()
+                    if to.startswith(ref_prefix):
+                        to = to[len(ref_prefix):].rstrip(")").strip().strip("'\"")
+                    rules.append(relationships(table, name, to, args["field"]))
+                else:
+                    raise ValueError(f"unknown test {kind!r} on {table}.{name}")
+    return rules
+
+
 def _result(rule: Rule, violations: Column) -> Column:
     v = F.coalesce(violations.cast("bigint"), F.lit(0).cast("bigint"))
     return F.struct(F.lit(rule.table).alias("table_name"), F.lit(rule.column).alias("column_name"),

@@ -76,3 +76,45 @@ def test_schema_drift(spark):
     assert got["id"] == ("string", 2, "int", 1)
     assert got["name"] == ("string", 1, None, None)
     assert got["extra"] == (None, None, "int", 2)
+
+
+SPEC = """
+version: 2
+models:
+  - name: child
+    columns:
+      - name: id
+        tests:
+          - not_null
+          - unique
+      - name: status
+        tests:
+          - accepted_values:
+              arguments:
+                values: ['a', 'b']
+      - name: fk
+        tests:
+          - relationships:
+              arguments:
+                to: ref('parent')
+                field: k
+  - name: parent
+    columns:
+      - name: k
+        tests: [not_null, unique]
+"""
+
+
+def test_rules_from_declarative_spec(spark):
+    rules = Q.rules_from_spec(SPEC)
+    assert [(r.table, r.column, r.kind) for r in rules] == [
+        ("child", "id", "not_null"), ("child", "id", "unique"),
+        ("child", "status", "accepted_values"), ("child", "fk", "relationships"),
+        ("parent", "k", "not_null"), ("parent", "k", "unique")]
+    assert rules[2].values == ("a", "b") and rules[3].to_table == "parent"
+    child = spark.createDataFrame([(1, "a", "x"), (1, "c", "y")], "id int, status string, fk string")
+    parent = spark.createDataFrame([("x",)], "k string")
+    got = {(r.column_name, r.rule): r.violations
+           for r in Q.run_suite({"child": child, "parent": parent}, rules).collect()}
+    assert got[("id", "unique")] == 1 and got[("status", "accepted_values")] == 1
+    assert got[("fk", "relationships")] == 1 and got[("k", "unique")] == 0
