@@ -32,6 +32,8 @@ def main(argv=None) -> int:
     b.add_argument("--splittable", action="store_true",
                    help="JSON-lines and single-line CSV: split large files across tasks")
     b.add_argument("--today", default=None)
+    b.add_argument("--rules", default=None,
+                   help="YAML file of models/columns/tests (default: the model's 20 rules)")
     r = sub.add_parser("report", help="run a duration report over a built lakehouse")
     r.add_argument("name", choices=sorted(REPORT_SQL))
     r.add_argument("--root", required=True)
@@ -47,7 +49,13 @@ def main(argv=None) -> int:
 
         sources = {role: getattr(args, role) for role in ("cases", "districts", "classes", "events")
                    if getattr(args, role)}
-        lake = build_lakehouse(spark, sources, args.root, today=args.today,
+        rules = None
+        if args.rules:
+            from strata.operators.quality import rules_from_spec
+
+            with open(args.rules, encoding="utf-8") as f:
+                rules = rules_from_spec(f.read())
+        lake = build_lakehouse(spark, sources, args.root, today=args.today, rules=rules,
                                incremental=args.incremental, json_array=not args.splittable,
                                csv_multiline=not args.splittable)
         lake.quality.orderBy("table_name", "column_name", "rule").show(100, truncate=False)

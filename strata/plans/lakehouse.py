@@ -19,22 +19,34 @@ from strata.plans.medallion import build_medallion
 ROLES = ("cases", "districts", "classes", "events")
 
 
+def _cols(*tests_by_column):
+    return [{"name": name, "tests": list(tests)} for name, *tests in tests_by_column]
+
+
+def default_rule_spec(statuses: Sequence[str] = (STATUS_CLOSED, STATUS_OPEN)) -> dict:
+    """The model's twenty column tests (ten on silver, ten on gold), declared."""
+    rel = lambda to, field: {"relationships": {"to": f"ref('{to}')", "field": field}}
+    return {"models": [
+        {"name": "stg_cases", "columns": _cols(
+            ("case_id", "not_null", "unique"), ("opened", "not_null"),
+            ("status", {"accepted_values": {"values": list(statuses)}}))},
+        {"name": "stg_districts", "columns": _cols(("district_id", "not_null", "unique"))},
+        {"name": "stg_classes", "columns": _cols(("class_id", "not_null", "unique"))},
+        {"name": "stg_events", "columns": _cols(("case_id", "not_null"),
+                                                ("event_date", "not_null"))},
+        {"name": "fact_cases", "columns": _cols(
+            ("case_id", "not_null", "unique"),
+            ("district_id", rel("dim_district", "district_id")),
+            ("class_id", rel("dim_class", "class_id")))},
+        {"name": "dim_district", "columns": _cols(("district_id", "not_null", "unique"))},
+        {"name": "dim_class", "columns": _cols(("class_id", "not_null", "unique"))},
+        {"name": "dim_calendar", "columns": _cols(("cal_date", "not_null", "unique"))},
+    ]}
+
+
 def default_rules(statuses: Sequence[str] = (STATUS_CLOSED, STATUS_OPEN)) -> list[Q.Rule]:
     """The model's twenty column rules (ten on silver, ten on gold)."""
-    return [
-        Q.not_null("stg_cases", "case_id"), Q.unique("stg_cases", "case_id"),
-        Q.not_null("stg_cases", "opened"),
-        Q.accepted_values("stg_cases", "status", list(statuses)),
-        Q.not_null("stg_districts", "district_id"), Q.unique("stg_districts", "district_id"),
-        Q.not_null("stg_classes", "class_id"), Q.unique("stg_classes", "class_id"),
-        Q.not_null("stg_events", "case_id"), Q.not_null("stg_events", "event_date"),
-        Q.not_null("fact_cases", "case_id"), Q.unique("fact_cases", "case_id"),
-        Q.relationships("fact_cases", "district_id", "dim_district", "district_id"),
-        Q.relationships("fact_cases", "class_id", "dim_class", "class_id"),
-        Q.not_null("dim_district", "district_id"), Q.unique("dim_district", "district_id"),
-        Q.not_null("dim_class", "class_id"), Q.unique("dim_class", "class_id"),
-        Q.not_null("dim_calendar", "cal_date"), Q.unique("dim_calendar", "cal_date"),
-    ]
+    return Q.rules_from_spec(default_rule_spec(statuses))
 
 
 @dataclass
