@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.constants import INGESTED_AT, PANDAS_NA_TOKENS
 from strata.sources.text_files import null_tokens_to_null, text_schema
 
-ISO_INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+ISO_INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"  # same shape as the batch stamp (+00:00)
 
 
 def read_landing(spark: SparkSession, fmt: str, landing_dir: str, columns: Sequence[str],

@@ -32,3 +32,15 @@ def test_json_stream(spark, tmp_dir):
                             os.path.join(tmp_dir, "b"), os.path.join(tmp_dir, "c"))
     q.awaitTermination()
     assert spark.read.parquet(os.path.join(tmp_dir, "b")).count() == 7
+
+
+def test_stream_stamp_has_the_batch_stamp_shape(spark, tmp_dir):
+    import re
+
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    shutil.copy(os.path.join(FIXTURES, "cases.csv"), os.path.join(landing, "a.csv"))
+    out = ingest_available(spark, "csv", landing, COLS, os.path.join(tmp_dir, "b"),
+                           os.path.join(tmp_dir, "c"))
+    stamp = out.select("_ingerido_em").first()[0]
+    assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}\+00:00", stamp), stamp
