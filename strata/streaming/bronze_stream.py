@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.constants import INGESTED_AT, PANDAS_NA_TOKENS
 from strata.sources.text_files import null_tokens_to_null, text_schema
 
-ISO_INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"  # same shape as the batch stamp (+00:00)
+UTC_CLOCK = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def read_landing(spark: SparkSession, fmt: str, landing_dir: str, columns: Sequence[str],
@@ -38,10 +38,13 @@ def read_landing(spark: SparkSession, fmt: str, landing_dir: str, columns: Seque
 
 
 def stamp_batches(df: DataFrame, stamp: str = INGESTED_AT) -> DataFrame:
-    """Add the ingestion instant as ISO-8601 text. In a streaming query
-    ``current_timestamp`` is fixed per micro-batch, so every row of a batch
-    carries the same stamp."""
-    return df.withColumn(stamp, F.date_format(F.current_timestamp(), ISO_INSTANT))
+    """Add the ingestion instant as ISO-8601 UTC text (``…+00:00``, the batch stamp's
+    shape). In a streaming query ``current_timestamp`` is fixed per micro-batch, so
+    every row of a batch carries the same stamp; it is shifted from the session time
+    zone to UTC before rendering."""
+    tz = df.sparkSession.conf.get("spark.sql.session.timeZone", "UTC")
+    utc = F.to_utc_timestamp(F.current_timestamp(), tz)
+    return df.withColumn(stamp, F.concat(F.date_format(utc, UTC_CLOCK), F.lit("+00:00")))
 
 
 def start_bronze_stream(spark: SparkSession, fmt: str, landing_dir: str, columns: Sequence[str],
