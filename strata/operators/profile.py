@@ -102,3 +102,33 @@ def schema_drift(before: DataFrame, after: DataFrame) -> DataFrame:
 def iso_like(c) -> "F.Column":
     """True when text looks like an ISO date (same test the parser uses)."""
     return F.regexp_like(as_col(c), F.lit(ISO_LIKE))
+
+
+def profile_summary(cases: DataFrame, districts: DataFrame, classes: DataFrame,
+                    case_key: str = "case_id", open_col: str = "opened",
+                    district_key: str = "district_id", class_key: str = "class_id",
+                    class_label: str = "class_name") -> DataFrame:
+    """One row per defect check on raw tables: ``(check_name, findings)``.
+
+    non-ISO open dates, duplicated case keys, missing case ids, cases pointing at an
+    unknown district, class keys written more than one way. Each check is a small
+    aggregate (one row); the union is the report.
+    """
+    def one(name: str, df: DataFrame, count: "F.Column") -> DataFrame:
+        return df.agg(count.cast("bigint").alias("findings")).select(
+            F.lit(name).alias("check_name"), "findings")
+
+    fmt = date_format_class(open_col)
+    parts = [
+        one("non_iso_dates", cases, F.count(F.when(~fmt.isin("iso", "null"), F.lit(1)))),
+        one("duplicated_keys", duplicate_keys(cases, case_key), F.count(F.lit(1))),
+        one("missing_ids", missing_ids(cases, case_key), F.count(F.lit(1))),
+        one("orphan_references", orphans(cases, districts, district_key), F.count(F.lit(1))),
+        one("spelling_variants",
+            spelling_variants(classes, class_key, class_label, key_name="_key").select("_key")
+            .distinct(), F.count(F.lit(1))),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

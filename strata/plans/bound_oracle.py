@@ -179,6 +179,23 @@ select class_id, spelling, n_rows, n_spellings from (
   from (select class_id, class_name as spelling, count(*) as n_rows
         from bronze_classes group by 1, 2)) where n_spellings > 1"""
 
+SQL["profile_summary"] = with_ctes("bronze_cases", "bronze_districts", "bronze_classes") + """
+select 'non_iso_dates' as check_name, count(*) filter (
+         where opened is not null
+           and not regexp_matches(trim(opened), '^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$')) as findings
+from bronze_cases
+union all
+select 'duplicated_keys', count(*) from (
+  select case_id from bronze_cases group by case_id having count(*) > 1)
+union all
+select 'missing_ids', count(*) from bronze_cases where case_id is null or case_id = ''
+union all
+select 'orphan_references', count(*) from bronze_cases p
+  left join bronze_districts d on p.district_id = d.district_id where d.district_id is null
+union all
+select 'spelling_variants', count(*) from (
+  select class_id from bronze_classes group by class_id having count(distinct class_name) > 1)"""
+
 _DRIFT_COLS = [("case_id", "bigint"), ("class_id", "int"), ("district_id", "int"),
                ("court_id", "int"), ("opened", "date"), ("closed", "date"), ("status", "string")]
 SQL["schema_drift"] = with_ctes("bronze_cases", "stg_cases") + ",\nb as (" + " union all ".join(

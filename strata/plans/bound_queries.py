@@ -207,6 +207,11 @@ def profile_spellings(spark, sf):
                                key_name="class_id")
 
 
+def profile_summary(spark, sf):
+    b = tpch.bronze(spark, sf)
+    return P.profile_summary(b["cases"], b["districts"], b["classes"])
+
+
 def schema_drift(spark, sf):
     m = tpch.model(spark, sf)
     return P.schema_drift(tpch.bronze(spark, sf)["cases"], m["stg_cases"])
@@ -489,6 +494,7 @@ QUERIES = {
     "profile_missing_ids": profile_missing_ids,
     "profile_orphans": profile_orphans,
     "profile_spellings": profile_spellings,
+    "profile_summary": profile_summary,
     "schema_drift": schema_drift,
     "parquet_path_scan": parquet_path_scan,
     "bronze_csv_roundtrip": bronze_csv_roundtrip,

@@ -209,3 +209,12 @@ def test_splittable_inputs_give_the_same_bronze(spark, tmp_path):
 def test_quarantine_written_with_reasons(lake):
     q = {r.reject_reason: r.case_id for r in lake.tables["quarantine_cases"].collect()}
     assert q == {"missing_id": None, "unknown_district": 100006}
+
+
+def test_profile_summary_finds_each_planted_defect(lake):
+    from strata.operators.profile import profile_summary
+
+    b = {k: v.bronze for k, v in lake.bronze.items()}
+    got = dict(profile_summary(b["cases"], b["districts"], b["classes"]).collect())
+    assert got == {"non_iso_dates": 1, "duplicated_keys": 1, "missing_ids": 1,
+                   "orphan_references": 1, "spelling_variants": 1}
