@@ -52,6 +52,29 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+MIB = 1024 * 1024
+
+
+def sized_conf(input_bytes: int, cores: int, max_split: int = 128 * MIB, min_split: int = MIB,
+               shuffle_bytes: int = 256 * MIB, max_shuffle_partitions: int = 100_000) -> dict:
+    """Split, row-group and shuffle sizes for ``input_bytes`` of input on ``cores``.
+
+    Input splits aim at four per core, bounded to [1 MB, 128 MB]: tiny inputs still
+    give every core work, big ones keep the usual 128 MB splits (and row groups for
+    the layers written). Shuffle partitions: one per 256 MB of input, at least one
+    per core; AQE coalesces the small ones and splits skewed ones at runtime.
+    """
+    split = max(min_split, min(max_split, input_bytes // max(1, cores * 4)))
+    shuffle = max(cores, min(max_shuffle_partitions, -(-input_bytes // shuffle_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.files.openCostInBytes": str(max(64 * 1024, min(4 * MIB, split // 4))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(split),
+        "spark.hadoop.parquet.block.size": str(split),
+        "spark.sql.shuffle.partitions": str(shuffle),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 

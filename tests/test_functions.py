@@ -83,3 +83,16 @@ def test_case_number(spark):
     df = spark.createDataFrame([(8000001, 1), (123456789012, 42)], "id long, d int")
     got = [r[0] for r in df.select(case_number("id", "d")).collect()]
     assert got == ["8000001-25.2026.8.12.0001", "6789012-25.2026.8.12.0042"]
+
+
+def test_sized_conf_scales_from_tiny_to_huge():
+    from strata.session import MIB, sized_conf
+
+    tiny = sized_conf(14 * MIB, 8)
+    assert tiny["spark.sql.files.maxPartitionBytes"] == str(MIB)
+    assert tiny["spark.sql.shuffle.partitions"] == "8"
+    huge = sized_conf(100 * 1024 ** 4, 8000)
+    assert huge["spark.sql.files.maxPartitionBytes"] == str(128 * MIB)
+    assert huge["spark.hadoop.parquet.block.size"] == str(128 * MIB)
+    assert huge["spark.sql.shuffle.partitions"] == "100000"
+    assert huge["spark.sql.files.openCostInBytes"] == str(4 * MIB)
