@@ -9,9 +9,10 @@ semantics of the common column tests:
 * ``relationships``    — non-NULL child rows whose key is missing from the parent.
 
 ``run_suite`` fuses every ``not_null``/``accepted_values`` rule of a table into one
-aggregate (one scan per table, not one per rule); ``unique`` and
-``relationships`` pre-aggregate per key before shuffling, so a key holding a
-third of all rows is reduced map-side.
+aggregate (one scan per table, not one per rule), answers a ``not_null`` next to a
+``unique`` on the same column from the unique rule's per-value aggregate, and
+pre-aggregates ``unique`` and ``relationships`` per key before shuffling, so a key
+holding a third of all rows is reduced map-side.
 """
 
 from __future__ import annotations
@@ -119,11 +120,18 @@ def _fused_row_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return _explode_results(df.agg(*aggs), results)
 
 
-def _unique_rule(df: DataFrame, rule: Rule) -> DataFrame:
+def _unique_rule(df: DataFrame, rule: Rule, not_null_rule: Rule | None = None) -> DataFrame:
+    """Values occurring more than once; with ``not_null_rule`` on the same column the
+    NULL count comes from the same per-value aggregate (NULL is one group)."""
     col = F.col(rule.column)
-    dups = (df.filter(col.isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-              .filter(F.col("_n") > 1))
-    return _explode_results(dups.agg(F.count(F.lit(1)).alias("_v")), [_result(rule, F.col("_v"))])
+    per_value = df.groupBy(col.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    row = per_value.agg(
+        F.count(F.when(F.col("_v").isNotNull() & (F.col("_n") > 1), F.lit(1))).alias("_dup"),
+        F.sum(F.when(F.col("_v").isNull(), F.col("_n"))).alias("_nulls"))
+    results = [_result(rule, F.col("_dup"))]
+    if not_null_rule is not None:
+        results.insert(0, _result(not_null_rule, F.col("_nulls")))
+    return _explode_results(row, results)
 
 
 def _relationship_rule(child: DataFrame, parent: DataFrame, rule: Rule) -> DataFrame:
@@ -137,14 +145,24 @@ def _relationship_rule(child: DataFrame, parent: DataFrame, rule: Rule) -> DataF
 
 def run_suite(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
     """Evaluate every rule; one result row per rule:
-    ``(table_name, column_name, rule, violations, passed)``."""
+    ``(table_name, column_name, rule, violations, passed)``.
+
+    Per table: a ``unique`` rule and a ``not_null`` rule on the same column share one
+    per-value aggregate; the remaining ``not_null``/``accepted_values`` rules share
+    one fused aggregate; each ``relationships`` rule is a pre-aggregated anti join.
+    """
     parts: list[DataFrame] = []
+    unique_cols = {(r.table, r.column) for r in rules if r.kind == "unique"}
+    paired = {(r.table, r.column): r for r in rules
+              if r.kind == "not_null" and (r.table, r.column) in unique_cols}
     row_rules: dict[str, list[Rule]] = defaultdict(list)
     for r in rules:
+        if r.kind == "not_null" and (r.table, r.column) in paired:
+            continue  # answered by the unique rule's aggregate
         if r.kind in ("not_null", "accepted_values"):
             row_rules[r.table].append(r)
         elif r.kind == "unique":
-            parts.append(_unique_rule(tables[r.table], r))
+            parts.append(_unique_rule(tables[r.table], r, paired.get((r.table, r.column))))
         elif r.kind == "relationships":
             parts.append(_relationship_rule(tables[r.table], tables[r.to_table], r))
         else:
