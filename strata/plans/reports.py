@@ -98,13 +98,19 @@ def duration_from_events(norm: Normalised, min_support: int = 3) -> DataFrame:
 
 def events_equal_gold(gold: Gold, norm: Normalised, min_support: int = 3) -> DataFrame:
     """Rows only in the gold answer and rows only in the event answer (both 0 when
-    the two paths agree). Multiset differences (``EXCEPT ALL``) both ways, counted
-    in one aggregate."""
+    the two paths agree), as multiset differences (``EXCEPT ALL``) both ways.
+
+    One pass: the two answers are tagged, unioned and counted per full row (NULLs
+    compare equal, as in ``EXCEPT ALL``); each side is computed once.
+    """
+    cols = ["district_name", "court_name", "n_closed", "avg_days"]
     g = by_court(gold, min_support).select(
         "district_name", court_label("court_id").alias("court_name"), "n_closed", "avg_days")
-    e = duration_from_events(norm, min_support).select(
-        "district_name", "court_name", "n_closed", "avg_days")
-    tagged = (g.exceptAll(e).select(F.lit(1).alias("_g"), F.lit(0).alias("_e"))
-              .unionByName(e.exceptAll(g).select(F.lit(0).alias("_g"), F.lit(1).alias("_e"))))
-    return tagged.agg(F.coalesce(F.sum("_g"), F.lit(0)).cast("bigint").alias("only_in_gold"),
-                      F.coalesce(F.sum("_e"), F.lit(0)).cast("bigint").alias("only_in_events"))
+    e = duration_from_events(norm, min_support).select(*cols)
+    tagged = (g.select(*cols, F.lit(1).alias("_g"), F.lit(0).alias("_e"))
+              .unionByName(e.select(*cols, F.lit(0).alias("_g"), F.lit(1).alias("_e"))))
+    per_row = tagged.groupBy(*cols).agg(F.sum("_g").alias("_cg"), F.sum("_e").alias("_ce"))
+    extra = lambda a, b: F.greatest(F.col(a) - F.col(b), F.lit(0))
+    return per_row.agg(
+        F.coalesce(F.sum(extra("_cg", "_ce")), F.lit(0)).cast("bigint").alias("only_in_gold"),
+        F.coalesce(F.sum(extra("_ce", "_cg")), F.lit(0)).cast("bigint").alias("only_in_events"))

@@ -157,3 +157,25 @@ def test_table_counts(spark):
     a = spark.range(3)
     b = spark.range(0)
     assert sorted(tuple(r) for r in table_counts({"a": a, "b": b}).collect()) == [("a", 3), ("b", 0)]
+
+
+def test_events_equal_gold_counts_multiset_differences(spark):
+    from strata.plans import reports as R
+
+    class Stub:  # minimal stand-ins: the report only needs by_court / events answers
+        pass
+
+    g = spark.createDataFrame([("A", 1, 3, 10.0), ("A", 1, 3, 10.0), ("B", 2, 4, None)],
+                              "district_name string, court_id long, n_closed long, avg_days double")
+    e = spark.createDataFrame([("A", "1ª Vara", 3, 10.0), ("B", "2ª Vara", 4, None),
+                               ("C", "3ª Vara", 5, 1.0)],
+                              "district_name string, court_name string, n_closed long, avg_days double")
+    orig_by_court, orig_events = R.by_court, R.duration_from_events
+    try:
+        R.by_court = lambda gold, m: g
+        R.duration_from_events = lambda norm, m: e
+        row = R.events_equal_gold(None, None, 3).collect()[0]
+    finally:
+        R.by_court, R.duration_from_events = orig_by_court, orig_events
+    # gold has one extra copy of the A row; events has the C row; NULL avg matches NULL
+    assert (row.only_in_gold, row.only_in_events) == (1, 1)
