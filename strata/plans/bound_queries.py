@@ -28,76 +28,76 @@ def duration_by_district_class_year(spark: SparkSession, sf: str) -> DataFrame:
     return R.by_district_class_year(tpch.model(spark, sf))
 
 
-def duration_by_district_year(spark, sf):
+def duration_by_district_year(spark: SparkSession, sf: str) -> DataFrame:
     return R.by_district_year(tpch.model(spark, sf))
 
 
-def duration_by_court_min_support(spark, sf):
+def duration_by_court_min_support(spark: SparkSession, sf: str) -> DataFrame:
     return R.by_court(tpch.model(spark, sf), min_support=3)
 
 
-def court_key_not_unique(spark, sf):
+def court_key_not_unique(spark: SparkSession, sf: str) -> DataFrame:
     return R.court_key_not_unique(tpch.model(spark, sf))
 
 
-def grain_mean(spark, sf):
+def grain_mean(spark: SparkSession, sf: str) -> DataFrame:
     return R.grain(tpch.model(spark, sf))
 
 
-def fanout_mean(spark, sf):
+def fanout_mean(spark: SparkSession, sf: str) -> DataFrame:
     m = tpch.model(spark, sf)
     return R.fanout(m, m["stg_events"])
 
 
-def grain_report(spark, sf):
+def grain_report(spark: SparkSession, sf: str) -> DataFrame:
     m = tpch.model(spark, sf)
     return R.grain_vs_fanout(m, m["stg_events"])
 
 
-def close_role_by_year(spark, sf):
+def close_role_by_year(spark: SparkSession, sf: str) -> DataFrame:
     return R.close_role_by_year(tpch.model(spark, sf))
 
 
 # --- gold and silver tables ------------------------------------------------------
 
 
-def calendar_dim(spark, sf):
+def calendar_dim(spark: SparkSession, sf: str) -> DataFrame:
     return tpch.model(spark, sf)["dim_calendar"]
 
 
-def fact_cases(spark, sf):
+def fact_cases(spark: SparkSession, sf: str) -> DataFrame:
     return tpch.model(spark, sf)["fact_cases"]
 
 
-def clean_cases(spark, sf):
+def clean_cases(spark: SparkSession, sf: str) -> DataFrame:
     return tpch.model(spark, sf)["stg_cases"]
 
 
-def clean_names(spark, sf):
+def clean_names(spark: SparkSession, sf: str) -> DataFrame:
     return tpch.clean_part_names(spark, sf)
 
 
-def clean_districts(spark, sf):
+def clean_districts(spark: SparkSession, sf: str) -> DataFrame:
     return tpch.model(spark, sf)["stg_districts"]
 
 
-def preferred_spelling(spark, sf):
+def preferred_spelling(spark: SparkSession, sf: str) -> DataFrame:
     return tpch.model(spark, sf)["stg_classes"]
 
 
-def clean_events(spark, sf):
+def clean_events(spark: SparkSession, sf: str) -> DataFrame:
     return tpch.model(spark, sf)["stg_events"]
 
 
-def dim_district(spark, sf):
+def dim_district(spark: SparkSession, sf: str) -> DataFrame:
     return tpch.model(spark, sf)["dim_district"]
 
 
-def dim_class(spark, sf):
+def dim_class(spark: SparkSession, sf: str) -> DataFrame:
     return tpch.model(spark, sf)["dim_class"]
 
 
-def case_number_q(spark, sf):
+def case_number_q(spark: SparkSession, sf: str) -> DataFrame:
     s = tpch.model(spark, sf)["stg_cases"]
     return s.select("case_id", "district_id",
                     case_number("case_id", "district_id").alias("case_number"))
@@ -106,45 +106,45 @@ def case_number_q(spark, sf):
 # --- normalised (event-sourced) model -------------------------------------------------
 
 
-def norm_courts(spark, sf):
+def norm_courts(spark: SparkSession, sf: str) -> DataFrame:
     return tpch.normalised(spark, sf).vara
 
 
-def norm_classes(spark, sf):
+def norm_classes(spark: SparkSession, sf: str) -> DataFrame:
     return tpch.normalised(spark, sf).classe
 
 
-def norm_districts(spark, sf):
+def norm_districts(spark: SparkSession, sf: str) -> DataFrame:
     return tpch.normalised(spark, sf).comarca
 
 
-def norm_cases(spark, sf):
+def norm_cases(spark: SparkSession, sf: str) -> DataFrame:
     n = tpch.normalised(spark, sf)
     return n.processo.join(F.broadcast(n.situacao.withColumnRenamed("description", "status")),
                            "status_id")
 
 
-def norm_events(spark, sf):
+def norm_events(spark: SparkSession, sf: str) -> DataFrame:
     return tpch.normalised(spark, sf).movimentacao
 
 
-def norm_counts(spark, sf):
+def norm_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tpch.normalised(spark, sf).counts
 
 
-def event_union(spark, sf):
+def event_union(spark: SparkSession, sf: str) -> DataFrame:
     return lifecycle_events(tpch.normalised(spark, sf).proc_raw, "case_id", "opened", "closed")
 
 
-def first_close_event(spark, sf):
+def first_close_event(spark: SparkSession, sf: str) -> DataFrame:
     return R.first_closure(tpch.normalised(spark, sf))
 
 
-def duration_from_events(spark, sf):
+def duration_from_events(spark: SparkSession, sf: str) -> DataFrame:
     return R.duration_from_events(tpch.normalised(spark, sf), min_support=3)
 
 
-def events_equal_gold(spark, sf):
+def events_equal_gold(spark: SparkSession, sf: str) -> DataFrame:
     return R.events_equal_gold(tpch.model(spark, sf), tpch.normalised(spark, sf), 3)
 
 
@@ -158,61 +158,61 @@ def _suite(spark, sf, kinds=None):
     return Q.run_suite(tpch.model(spark, sf), rules)
 
 
-def dq_suite(spark, sf):
+def dq_suite(spark: SparkSession, sf: str) -> DataFrame:
     return _suite(spark, sf)
 
 
-def dq_not_null(spark, sf):
+def dq_not_null(spark: SparkSession, sf: str) -> DataFrame:
     return _suite(spark, sf, {"not_null"})
 
 
-def dq_unique(spark, sf):
+def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
     return _suite(spark, sf, {"unique"})
 
 
-def dq_accepted_values(spark, sf):
+def dq_accepted_values(spark: SparkSession, sf: str) -> DataFrame:
     return _suite(spark, sf, {"accepted_values"})
 
 
-def dq_relationships(spark, sf):
+def dq_relationships(spark: SparkSession, sf: str) -> DataFrame:
     return _suite(spark, sf, {"relationships"})
 
 
 # --- profiling ------------------------------------------------------------------------------
 
 
-def profile_mixed_dates(spark, sf):
+def profile_mixed_dates(spark: SparkSession, sf: str) -> DataFrame:
     return P.mixed_formats(tpch.bronze(spark, sf)["cases"], "opened")
 
 
-def profile_slash_dates(spark, sf):
+def profile_slash_dates(spark: SparkSession, sf: str) -> DataFrame:
     return P.values_with(tpch.bronze(spark, sf)["cases"], "closed", "/")
 
 
-def profile_duplicates(spark, sf):
+def profile_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return P.duplicate_keys(tpch.bronze(spark, sf)["cases"], "case_id")
 
 
-def profile_missing_ids(spark, sf):
+def profile_missing_ids(spark: SparkSession, sf: str) -> DataFrame:
     return P.missing_ids(tpch.bronze(spark, sf)["cases"], "case_id")
 
 
-def profile_orphans(spark, sf):
+def profile_orphans(spark: SparkSession, sf: str) -> DataFrame:
     return P.orphans(tpch.bronze(spark, sf)["cases"], tpch.bronze(spark, sf)["districts"],
                      "district_id", select=["case_id", "district_id"])
 
 
-def profile_spellings(spark, sf):
+def profile_spellings(spark: SparkSession, sf: str) -> DataFrame:
     return P.spelling_variants(tpch.bronze(spark, sf)["classes"], "class_id", "class_name",
                                key_name="class_id")
 
 
-def profile_summary(spark, sf):
+def profile_summary(spark: SparkSession, sf: str) -> DataFrame:
     b = tpch.bronze(spark, sf)
     return P.profile_summary(b["cases"], b["districts"], b["classes"])
 
 
-def schema_drift(spark, sf):
+def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
     m = tpch.model(spark, sf)
     return P.schema_drift(tpch.bronze(spark, sf)["cases"], m["stg_cases"])
 
@@ -220,7 +220,7 @@ def schema_drift(spark, sf):
 # --- sources and sinks -------------------------------------------------------------------
 
 
-def parquet_path_scan(spark, sf):
+def parquet_path_scan(spark: SparkSession, sf: str) -> DataFrame:
     return parquet_path_sql(
         spark, f"{sf.rstrip('/')}/orders.parquet",
         "select o_orderstatus, count(*) as n_orders, "
@@ -247,7 +247,7 @@ def _typed_customer(bronze: DataFrame) -> DataFrame:
                          "c_mktsegment")
 
 
-def bronze_csv_roundtrip(spark, sf):
+def bronze_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """customer → CSV extract → text bronze (stamped Parquet) → typed again."""
     src = _customer_csv(spark, sf)
     out = ingest_file(spark, "csv", src, scratch_dir(spark, "bronze") + "/customer",
@@ -255,7 +255,7 @@ def bronze_csv_roundtrip(spark, sf):
     return _typed_customer(out.bronze)
 
 
-def bronze_json_roundtrip(spark, sf):
+def bronze_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """orders → JSON-lines extract → text bronze → typed again."""
     src = scratch_dir(spark, "json-src")
     (tpch.table(spark, sf, "orders").select(*ORDER_COLS)
@@ -270,7 +270,7 @@ def bronze_json_roundtrip(spark, sf):
                     parse_mixed_date("o_orderdate").alias("o_orderdate"), "o_orderpriority")
 
 
-def bronze_stream_roundtrip(spark, sf):
+def bronze_stream_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """customer → CSV landing folder → incremental (streaming) bronze → typed again."""
     from strata.streaming import ingest_available
 
@@ -281,27 +281,27 @@ def bronze_stream_roundtrip(spark, sf):
     return _typed_customer(bronze)
 
 
-def ingest_checks(spark, sf):
+def ingest_checks(spark: SparkSession, sf: str) -> DataFrame:
     src = _customer_csv(spark, sf)
     out = ingest_file(spark, "csv", src, scratch_dir(spark, "bronze") + "/customer",
                       columns=CUSTOMER_COLS)
     return Q.ingestion_checks(out.source, out.bronze, CUSTOMER_COLS)
 
 
-def file_sizes_q(spark, sf):
+def file_sizes_q(spark: SparkSession, sf: str) -> DataFrame:
     src = _customer_csv(spark, sf)
     return file_sizes(spark, {"customer_csv": ("csv", src),
                               "customer_parquet": ("parquet", f"{sf.rstrip('/')}/customer.parquet")})
 
 
-def storage_footprint_q(spark, sf):
+def storage_footprint_q(spark: SparkSession, sf: str) -> DataFrame:
     return storage_footprint(spark, f"{sf.rstrip('/')}/lineitem.parquet")
 
 
 # --- SQL serving ------------------------------------------------------------------------
 
 
-def flagship_sql(spark, sf):
+def flagship_sql(spark: SparkSession, sf: str) -> DataFrame:
     """The flagship report written in SQL over the gold tables served as views."""
     from strata.plans.sql_reports import run_report, serve_views
 
@@ -309,14 +309,14 @@ def flagship_sql(spark, sf):
     return run_report(spark, "by_district_class_year", prefix="gold_")
 
 
-def by_court_sql(spark, sf):
+def by_court_sql(spark: SparkSession, sf: str) -> DataFrame:
     from strata.plans.sql_reports import run_report, serve_views
 
     serve_views(tpch.model(spark, sf), prefix="gold_")
     return run_report(spark, "by_court", prefix="gold_", min_support=3)
 
 
-def duration_from_events_sql(spark, sf):
+def duration_from_events_sql(spark: SparkSession, sf: str) -> DataFrame:
     """The by-court question in SQL over the event-sourced tables served as views."""
     from strata.plans.sql_reports import run_event_model_report, serve_normalised_views
 
@@ -330,14 +330,14 @@ AS_OF = "2002-01-01"          # date open cases are aged to
 UPSERT_CUTOFF = "2000-01-01"  # snapshot date of the older fact in the upsert check
 
 
-def quarantine_cases(spark, sf):
+def quarantine_cases(spark: SparkSession, sf: str) -> DataFrame:
     """Rows silver would drop, kept with the reason instead of vanishing."""
     from strata.plans.medallion import quarantine_cases as quarantined
 
     return quarantined(tpch.bronze(spark, sf)["cases"], tpch.model(spark, sf)["stg_districts"])
 
 
-def duration_by_district_with_unknown(spark, sf):
+def duration_by_district_with_unknown(spark: SparkSession, sf: str) -> DataFrame:
     """Orphan cases reported under the unknown district instead of being dropped."""
     from strata.functions import duration_days
     from strata.operators.extras import remap_orphans, with_unknown_member
@@ -351,7 +351,7 @@ def duration_by_district_with_unknown(spark, sf):
     return duration_by(star_join(cases, [Dim(dim, "district_id")]), ["district_name"])
 
 
-def bronze_lineage(spark, sf):
+def bronze_lineage(spark: SparkSession, sf: str) -> DataFrame:
     """Source file and row hash stamped at ingestion (hash over the text columns)."""
     from strata.operators.extras import with_lineage
     from strata.sources.text_files import null_tokens_to_null, read_csv_text
@@ -363,7 +363,7 @@ def bronze_lineage(spark, sf):
     return lined.select("c_custkey", "_row_hash")
 
 
-def open_case_age(spark, sf):
+def open_case_age(spark: SparkSession, sf: str) -> DataFrame:
     """Open cases aged to a fixed date, by district."""
     from strata.operators.extras import aged_duration_days
 
@@ -376,7 +376,7 @@ def open_case_age(spark, sf):
                  F.round(F.avg("age_days"), 1).alias("avg_age_days")))
 
 
-def fact_upsert(spark, sf):
+def fact_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """An older snapshot of the fact (cases closed after the cutoff still open) plus
     the closings since, upserted: equals the current fact."""
     from strata.operators.extras import upsert_snapshot
@@ -393,7 +393,7 @@ def fact_upsert(spark, sf):
     return upsert_snapshot(older, updates, "case_id", "snapshot_date").drop("snapshot_date")
 
 
-def drill_across_district(spark, sf):
+def drill_across_district(spark: SparkSession, sf: str) -> DataFrame:
     """Closed-case durations and event volumes side by side per district."""
     from strata.operators.extras import drill_across
 
@@ -411,7 +411,7 @@ def drill_across_district(spark, sf):
 SNAPSHOT_DATES = ("2024-01-01", "2024-02-01", "2024-03-01")
 
 
-def district_history(spark, sf):
+def district_history(spark: SparkSession, sf: str) -> DataFrame:
     """Type-2 history of the district dimension over three dated snapshots (the
     later ones re-spell some names)."""
     from strata.operators.extras import scd2_history
@@ -431,7 +431,7 @@ def district_history(spark, sf):
     return scd2_history(allsnaps, "district_id", ["district_name", "uf"], "as_of")
 
 
-def _district_snapshots(spark, sf):
+def _district_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     d = tpch.model(spark, sf)["stg_districts"]
     k = F.col("district_id")
     return [
@@ -443,7 +443,7 @@ def _district_snapshots(spark, sf):
     ]
 
 
-def district_history_merged(spark, sf):
+def district_history_merged(spark: SparkSession, sf: str) -> DataFrame:
     """The same type-2 history built incrementally: each snapshot merged into the
     history so far (one join on the key per snapshot)."""
     from strata.operators.extras import scd2_merge
