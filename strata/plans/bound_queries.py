@@ -431,7 +431,7 @@ def district_history(spark: SparkSession, sf: str) -> DataFrame:
     return scd2_history(allsnaps, "district_id", ["district_name", "uf"], "as_of")
 
 
-def _district_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+def _district_snapshots(spark: SparkSession, sf: str) -> list[DataFrame]:
     d = tpch.model(spark, sf)["stg_districts"]
     k = F.col("district_id")
     return [
