@@ -416,17 +416,8 @@ def district_history(spark: SparkSession, sf: str) -> DataFrame:
     later ones re-spell some names)."""
     from strata.operators.extras import scd2_history
 
-    d = tpch.model(spark, sf)["stg_districts"]
-    k = F.col("district_id")
-    snaps = [
-        d.withColumn("as_of", F.lit(SNAPSHOT_DATES[0]).cast("date")),
-        d.withColumn("district_name", F.when(k % 3 == 0, F.upper("district_name"))
-                     .otherwise(F.col("district_name")))
-         .withColumn("as_of", F.lit(SNAPSHOT_DATES[1]).cast("date")),
-        d.withColumn("district_name", F.when(k % 5 == 0, F.lower("district_name"))
-                     .otherwise(F.col("district_name")))
-         .withColumn("as_of", F.lit(SNAPSHOT_DATES[2]).cast("date")),
-    ]
+    snaps = [snap.withColumn("as_of", F.lit(as_of).cast("date"))
+             for as_of, snap in zip(SNAPSHOT_DATES, _district_snapshots(spark, sf))]
     allsnaps = snaps[0].unionByName(snaps[1]).unionByName(snaps[2])
     return scd2_history(allsnaps, "district_id", ["district_name", "uf"], "as_of")
 
