@@ -122,7 +122,14 @@ def gold(stg_cases: DataFrame, stg_districts: DataFrame, stg_classes: DataFrame,
 
 def medallion(bronze: dict[str, DataFrame], today=None) -> dict[str, DataFrame]:
     """Every silver and gold table from the four bronze tables
-    (``cases``, ``districts``, ``classes``, ``events``)."""
+    (``cases``, ``districts``, ``classes``, ``events``). Without an events extract
+    the events tables are empty (the case model does not depend on them)."""
+    if "events" not in bronze:
+        from strata.sources.text_files import text_schema
+
+        c = EventCols()
+        bronze = dict(bronze, events=bronze["cases"].sparkSession.createDataFrame(
+            [], text_schema([c.case_id, c.event_type, c.event_date])))
     silver = {
         "stg_cases": silver_cases(bronze["cases"]),
         "stg_districts": silver_districts(bronze["districts"]),

@@ -218,3 +218,17 @@ def test_profile_summary_finds_each_planted_defect(lake):
     got = dict(profile_summary(b["cases"], b["districts"], b["classes"]).collect())
     assert got == {"non_iso_dates": 1, "duplicated_keys": 1, "missing_ids": 1,
                    "orphan_references": 1, "spelling_variants": 1}
+
+
+def test_command_line_rules_file(spark, tmp_path, capsys):
+    from strata.__main__ import main
+
+    spec = tmp_path / "rules.yml"
+    spec.write_text("models:\n  - name: stg_cases\n    columns:\n      - name: opened\n"
+                    "        tests: [not_null]\n", encoding="utf-8")
+    root = str(tmp_path / "cli_rules")
+    assert main(["build", "--root", root, "--cases", f"csv:{FIXTURES}/cases.csv",
+                 "--districts", f"csv:{FIXTURES}/districts.csv",
+                 "--classes", f"csv:{FIXTURES}/classes.csv", "--rules", str(spec)]) == 0
+    out = capsys.readouterr().out
+    assert "stg_cases" in out and "not_null" in out and "unique" not in out
