@@ -232,3 +232,33 @@ def test_command_line_rules_file(spark, tmp_path, capsys):
                  "--classes", f"csv:{FIXTURES}/classes.csv", "--rules", str(spec)]) == 0
     out = capsys.readouterr().out
     assert "stg_cases" in out and "not_null" in out and "unique" not in out
+
+
+def test_normaliser_with_custom_column_names(spark, lake):
+    from strata.plans.medallion import CaseCols, ClassCols, DistrictCols
+
+    b = {k: v.bronze.drop("_ingerido_em") for k, v in lake.bronze.items()}
+    cases = b["cases"].toDF("pid", "cls", "dist", "court", "open_txt", "close_txt", "state")
+    districts = b["districts"].toDF("did", "dname", "state_code")
+    classes = b["classes"].toDF("cid", "cname")
+    norm = normalise(cases, districts, classes,
+                     CaseCols("pid", "cls", "dist", "court", "open_txt", "close_txt", "state"),
+                     DistrictCols("did", "dname", "state_code"), ClassCols("cid", "cname"))
+    ref = normalise(b["cases"], b["districts"], b["classes"])
+    for name in ("comarca", "classe", "processo", "movimentacao"):
+        assert sorted(map(tuple, getattr(norm, name).collect()), key=repr) == \
+            sorted(map(tuple, getattr(ref, name).collect()), key=repr), name
+
+
+def test_command_line_fanout_report(spark, tmp_path):
+    from strata.__main__ import main
+
+    root = str(tmp_path / "cli_fan")
+    assert main(["build", "--root", root, "--cases", f"csv:{FIXTURES}/cases.csv",
+                 "--districts", f"csv:{FIXTURES}/districts.csv",
+                 "--classes", f"csv:{FIXTURES}/classes.csv",
+                 "--events", f"json:{FIXTURES}/events.json"]) == 0
+    out = str(tmp_path / "fan")
+    assert main(["report", "fanout_mean", "--root", root, "--out", out]) == 0
+    row = spark.read.parquet(out).collect()[0]
+    assert (row.n_rows, row.mean_days) == (5, 253.0)
