@@ -262,3 +262,19 @@ def test_command_line_fanout_report(spark, tmp_path):
     assert main(["report", "fanout_mean", "--root", root, "--out", out]) == 0
     row = spark.read.parquet(out).collect()[0]
     assert (row.n_rows, row.mean_days) == (5, 253.0)
+
+
+def test_positional_column_mapping(spark, lake, tmp_path):
+    from strata.plans.lakehouse import DEFAULT_COLUMNS, build_lakehouse
+
+    lines = open(os.path.join(FIXTURES, "cases.csv"), encoding="utf-8").read().splitlines()
+    renamed = tmp_path / "cases_other_header.csv"
+    renamed.write_text("\n".join(["id,klass,dist,court,opened_on,closed_on,state"] + lines[1:])
+                       + "\n", encoding="utf-8")
+    other = build_lakehouse(spark, {"cases": ("csv", str(renamed)),
+                                    "districts": ("csv", os.path.join(FIXTURES, "districts.csv")),
+                                    "classes": ("csv", os.path.join(FIXTURES, "classes.csv"))},
+                            str(tmp_path / "lake_pos"), columns={"cases": DEFAULT_COLUMNS["cases"]})
+    assert sorted(map(tuple, other.tables["stg_cases"].collect()), key=repr) == \
+        sorted(map(tuple, lake.tables["stg_cases"].collect()), key=repr)
+    assert other.tables["stg_events"].count() == 0
