@@ -23,9 +23,14 @@ DAY_FIRST = r"^\s*([0-9]{1,2})/([0-9]{1,2})/([0-9]{1,4})\s*$"
 
 
 def _ymd_date(year: Column, month: Column, day: Column) -> Column:
-    """DATE from text parts (year padded to four digits), NULL when impossible."""
+    """DATE from text parts (year padded to four digits), NULL when impossible.
+
+    Year 0 is rejected: it would be 1 BC, which no case data means and which most
+    clients (Python's ``datetime.date`` among them) cannot represent.
+    """
     y = F.when(F.length(year) < 4, F.lpad(year, 4, "0")).otherwise(year)
-    return F.concat_ws("-", y, month, day).try_cast(T.DateType())
+    return F.when(year.try_cast("int") > 0,
+                  F.concat_ws("-", y, month, day).try_cast(T.DateType()))
 
 
 def safe_int(c, type_name: str = "bigint") -> Column:

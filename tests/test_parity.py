@@ -18,14 +18,16 @@ DATES = ["2025-03-11", "2025-3-1", " 2025-03-11", "2025-03-11 ", "\t2025-03-11",
          "1/3/2025", "31/02/2025", "2025-02-30", "2025-13-01", "11/03/25", "1/3/5", "5-3-1", "2025",
          "11-03-2025", "2025.03.11", "20250311", "11/03/2025 ", " 11/03/2025", "\t11/03/2025",
          "11/3/25", "11/03/0025", "25/12/99", "13/13/25", "011/03/2025", "11/03/2025 x",
-         "0001-01-01", "9999-12-31", "2024-02-29", "2023-02-29", "29/02/2024", None]
+         "0001-01-01", "9999-12-31", "2024-02-29", "2023-02-29", "29/02/2024", "1/01/00",
+         "0000-01-01", None]
 NAMES = ["  TRÊS LAGOAS", "são  joão", "anti-horário d'oeste", "ÉVORA", "mcDONALD", "a\tb", " x ",
          "", None]
 
 DUCK = {
     "int": "try_cast(?::varchar as bigint)",
-    "date": "coalesce(try_cast(?::varchar as date), "
-            "try_cast(try_strptime(?::varchar, '%d/%m/%Y') as date))",
+    "date": "(select case when cast(d as varchar) like '%(BC)' then null else d end from "
+            "(select coalesce(try_cast(?::varchar as date), "
+            "try_cast(try_strptime(?::varchar, '%d/%m/%Y') as date)) as d))",
     "title": "array_to_string(list_transform(string_split(lower(trim(?::varchar)), ' '), "
              "lambda w: upper(w[1]) || w[2:]), ' ')",
 }
