@@ -33,24 +33,33 @@ def _ymd_date(year: Column, month: Column, day: Column) -> Column:
                   F.concat_ws("-", y, month, day).try_cast(T.DateType()))
 
 
+def _drop_digit_separators(col: Column, digits: str) -> Column:
+    """Remove single underscores that sit between two ``digits`` (``1_000`` → ``1000``).
+
+    Only values containing ``_`` pay for the regex."""
+    pattern = rf"(?<=[{digits}])_(?=[{digits}])"
+    return F.when(col.contains("_"), F.regexp_replace(col, pattern, "")).otherwise(col)
+
+
 def safe_int(c, type_name: str = "bigint") -> Column:
     """Lenient integer cast: NULL instead of an error.
 
     Text such as ``'8000001.0'`` or ``'1e3'`` is a valid integer (rounded half
     away from zero), so the value goes through a wide decimal first; ``0x1F``,
-    ``0b101`` and digit groups written ``1_000`` are read too.
+    ``0b101`` and digit separators (``1_000``, ``0x1_0``) are read too.
     """
     target = _INT_TYPES[type_name]
     col = as_col(c)
-    as_decimal = col.try_cast(T.DecimalType(38, 10))
-    hex_text = F.when(F.regexp_like(col, F.lit(r"^0[xX][0-9a-fA-F]+$")),
-                      F.conv(F.substring(col, 3, 64), 16, 10))
-    bin_text = F.when(F.regexp_like(col, F.lit(r"^0[bB][01]+$")),
-                      F.conv(F.substring(col, 3, 256), 2, 10))
-    grouped = F.when(F.regexp_like(col, F.lit(r"^\s*[+-]?[0-9]+(_[0-9]+)+\s*$")),
-                     F.regexp_replace(col, "_", ""))
+    decimal_text = _drop_digit_separators(col, "0-9")
+    as_decimal = decimal_text.try_cast(T.DecimalType(38, 10))
+    hex_text = _drop_digit_separators(col, "0-9A-Fa-f")
+    hex_value = F.when(F.regexp_like(hex_text, F.lit(r"^0[xX][0-9a-fA-F]+$")),
+                       F.conv(F.substring(hex_text, 3, 64), 16, 10))
+    bin_text = _drop_digit_separators(col, "01")
+    bin_value = F.when(F.regexp_like(bin_text, F.lit(r"^0[bB][01]+$")),
+                       F.conv(F.substring(bin_text, 3, 256), 2, 10))
     return F.coalesce(F.round(as_decimal, 0).try_cast(target),
-                      F.coalesce(hex_text, bin_text, grouped).try_cast(target))
+                      F.coalesce(hex_value, bin_value).try_cast(target))
 
 
 def strict_int(c, type_name: str = "int") -> Column:
