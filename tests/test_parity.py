@@ -27,6 +27,7 @@ NAMES = ["  TRÊS LAGOAS", "são  joão", "anti-horário d'oeste", "ÉVORA", "mc
 
 DUCK = {
     "int": "try_cast(?::varchar as bigint)",
+    "int32": "try_cast(?::varchar as integer)",
     "date": "(select case when cast(d as varchar) like '%(BC)' then null else d end from "
             "(select coalesce(try_cast(?::varchar as date), "
             "try_cast(try_strptime(?::varchar, '%d/%m/%Y') as date)) as d))",
@@ -36,6 +37,10 @@ DUCK = {
 
 
 @pytest.mark.parametrize("kind,values,fn", [("int", INTS, lambda c: safe_int(c, "bigint")),
+                                            ("int32", INTS + ["2147483647", "2147483648",
+                                                              "-2147483648", "0x7FFFFFFF",
+                                                              "0x80000000"],
+                                             lambda c: safe_int(c, "int")),
                                             ("date", DATES, parse_mixed_date),
                                             ("title", NAMES, title_case)])
 def test_matches_duckdb(spark, kind, values, fn):
