@@ -50,9 +50,9 @@ FOOTPRINT_SCHEMA = T.StructType([
 def storage_footprint(spark: SparkSession, path: str, by_file: bool = False) -> DataFrame:
     """Per-column compressed and uncompressed bytes of a Parquet dataset.
 
-    Files are listed without being read, spread over tasks, and each task opens
-    only the footers of its files (Arrow, inside ``mapInPandas``); the per-column
-    totals are a grouped sum.
+    Files are listed without being read, spread over tasks in proportion to their
+    number, and each task opens only the footers of its files (Arrow, inside
+    ``mapInPandas``); the per-column totals are a grouped sum.
     """
     columns = [f.name for f in FOOTPRINT_SCHEMA.fields]
 
@@ -80,7 +80,10 @@ def storage_footprint(spark: SparkSession, path: str, by_file: bool = False) ->
             yield pd.DataFrame(rows, columns=columns)
 
     files = list_files(spark, path, "*.parquet").select("file_path")
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # About 32 footers per task (a listing count, no file is read), capped by the
+    # shuffle-partition setting: a million files spread wide, one file is one task.
+    n_files = files.count()
+    n = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_files // 32)))
     per_file = files.repartition(n, "file_path").mapInPandas(read_footers, FOOTPRINT_SCHEMA)
     if by_file:
         return per_file
