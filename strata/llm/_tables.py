@@ -18,15 +18,12 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
-def written(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: the lineage ends
     there, so a lost executor never recomputes (or re-randomises) what came before."""
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

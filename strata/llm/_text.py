@@ -179,3 +179,38 @@ def binary_rows(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(counts),
                                  [None, pa.py_buffer(offs.astype(np.int64)), pa.py_buffer(flat)]
                                  ).cast(pa.binary())
+
+
+class HashTable:
+    """Open-addressing table of 64-bit keys for vectorised lookups (-1: not there)."""
+
+    def __init__(self, keys: np.ndarray):
+        """``keys``: distinct uint64; position i answers for key i."""
+        bits = max(4, int(2 * max(1, len(keys)) - 1).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.mask = (1 << bits) - 1
+        self.keys = np.zeros(1 << bits, np.uint64)
+        self.slot = np.full(1 << bits, -1, np.int32)
+        todo = np.arange(len(keys), dtype=np.int32)
+        at = self._home(keys)
+        while len(todo):
+            free = self.slot[at] < 0
+            # of several keys for one free slot, the last written stays
+            self.slot[at[free]] = todo[free]
+            self.keys[at[free]] = keys[todo[free]]
+            lost = self.slot[at] != todo
+            todo, at = todo[lost], (at[lost] + 1) & self.mask
+
+    def _home(self, h: np.ndarray) -> np.ndarray:
+        return ((h * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        out = np.full(len(h), -1, np.int32)
+        todo, at = np.arange(len(h)), self._home(h)
+        while len(todo):
+            s = self.slot[at]
+            hit = (s >= 0) & (self.keys[at] == h[todo])
+            out[todo[hit]] = s[hit]
+            go = (s >= 0) & ~hit
+            todo, at = todo[go], (at[go] + 1) & self.mask
+        return out

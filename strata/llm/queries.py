@@ -2,19 +2,61 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.llm.decontaminate import contamination
+from strata.llm.mixing import mix
 from strata.llm.near_dup import NearDupParams, near_duplicates
+from strata.llm.pii import digest, find_pii
+from strata.llm.token_counts import token_counts
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public vocabulary file (``TOKENIZER_DIR`` overrides the package)."""
+    folder = os.environ.get("TOKENIZER_DIR")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_sainte_lague_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """Words that each document gives to a mix of 150 % of all words."""
+    return mix(_table(spark, sf, "documents"))
+
+
+def op3_pii_disclosure(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data and the terms that give it away, per document."""
+    return digest(find_pii(_table(spark, sf, "documents")))
+
+
+def op4_positional_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Benchmark windows of 10 words found in documents through the positional index."""
+    found = contamination(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"), width=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op5_minhash_near_dup(spark: SparkSession, sf: str) -> DataFrame:
     """Classes of documents whose 4-word shingle sets are 80 % alike."""
     return near_duplicates(_table(spark, sf, "documents"), NearDupParams(k=4))
 
 
-QUERIES = {f.__name__: f for f in (op5_minhash_near_dup,)}
+def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Token counts of all documents under word_bpe_49k.json."""
+    return token_counts(_table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_sainte_lague_mix, op3_pii_disclosure, op4_positional_decontamination, op5_minhash_near_dup,
+    op10_token_counts)}
 SQL: dict[str, str] = {}
