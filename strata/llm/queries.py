@@ -7,6 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm import ann, language_model, quality, toxicity
+from strata.llm._labelled import fold
 from strata.llm.decontaminate import contamination
 from strata.llm.mixing import mix
 from strata.llm.near_dup import NearDupParams, near_duplicates
@@ -28,6 +30,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_nn_descent_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The 20 nearest of every 20th vector, found by greedy search on the NN-descent graph."""
+    index = ann.build_index(_table(spark, sf, "embeddings"))
+    return ann.search(index, index.vectors.filter("id % 20 = 0"), k=20)
+
+
 def op2_sainte_lague_mix(spark: SparkSession, sf: str) -> DataFrame:
     """Words that each document gives to a mix of 150 % of all words."""
     return mix(_table(spark, sf, "documents"))
@@ -51,12 +59,43 @@ def op5_minhash_near_dup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents"), NearDupParams(k=4))
 
 
+def _scored(scores: DataFrame, parts: int, value: int) -> DataFrame:
+    return scores.select("doc_id", F.coalesce(fold("doc_id", parts) == value, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"),
+                         *[c for c in scores.columns if c not in ("doc_id", "score")])
+
+
+def op6_bradley_terry_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality of every document from preference pairs of the rows outside fold 2 of 4."""
+    docs = _table(spark, sf, "documents")
+    model = quality.fit(docs, _table(spark, sf, "labels"), allowed=lambda c: fold(c, 4) != 2)
+    return _scored(quality.score_texts(docs, model), 4, 2)
+
+
+def op7_gru_language_model(spark: SparkSession, sf: str) -> DataFrame:
+    """Log-likelihood of every document, learnt from the rows outside fold 2 of 7."""
+    docs = _table(spark, sf, "documents")
+    out = language_model.log_likelihood(docs, fold("doc_id", 7) != 2)
+    return out.select("doc_id", language_model.in_fold("doc_id", 7, 2).alias("held_out"),
+                      *[c for c in out.columns if c != "doc_id"])
+
+
+def op8_cnn_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity of every document, learnt from the rows outside fold 1 of 3; ``flagged``
+    is the decision at the language's calibrated threshold."""
+    docs = _table(spark, sf, "documents")
+    net = toxicity.fit(docs, _table(spark, sf, "labels"), allowed=lambda c: fold(c, 3) != 1)
+    scores = toxicity.score_texts(docs, net, keep=("doc_id", "lang"))
+    cut = toxicity.threshold_of(net, F.col("lang"))
+    return _scored(scores.withColumn("threshold", cut).withColumn("flagged", F.col("score") >= cut).drop("lang"), 3, 1)
+
+
 def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Token counts of all documents under word_bpe_49k.json."""
     return token_counts(_table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_sainte_lague_mix, op3_pii_disclosure, op4_positional_decontamination, op5_minhash_near_dup,
-    op10_token_counts)}
+    op1_nn_descent_search, op2_sainte_lague_mix, op3_pii_disclosure, op4_positional_decontamination, op5_minhash_near_dup,
+    op6_bradley_terry_quality, op7_gru_language_model, op8_cnn_toxicity, op10_token_counts)}
 SQL: dict[str, str] = {}
