@@ -212,9 +212,17 @@ def phrase_matches(index: Index, windows: DataFrame) -> DataFrame:
                                     part["term_ids"].to_pylist()):
             at = None  # candidate places of the window's first word
             for p, t in zip(pos, terms):
-                own = lists[t] - p
-                at = own if at is None else at[np.isin(at, own, assume_unique=True)] if len(at) * 8 > len(own) else \
-                    at[own[np.minimum(np.searchsorted(own, at), len(own) - 1)] == at]
+                own = lists.get(t)
+                if own is None:  # the segment lacks this term
+                    at = ()
+                    break
+                own = own - p
+                if at is None:
+                    at = own
+                elif 8 * len(at) > len(own):
+                    at = at[np.isin(at, own, assume_unique=True)]
+                else:
+                    at = at[own[np.minimum(np.searchsorted(own, at), len(own) - 1)] == at]
                 if not len(at):
                     break
             if len(at):
@@ -243,6 +251,8 @@ def proximity_matches(index: Index, windows: DataFrame, span: int) -> DataFrame:
     def meet(segment, starts, ids, lists, part):
         for item, terms in zip(part["item_id"].to_pylist(), part["term_ids"].to_pylist()):
             uniq = list(dict.fromkeys(terms))
+            if any(t not in lists for t in uniq):
+                continue
             anchors = lists[uniq[0]]
             found = []
             for shift in range(span):  # stretch starts at anchor - shift

@@ -90,23 +90,25 @@ def shingle_sets(col, k: int):
 
 def signatures(docs: DataFrame, p: NearDupParams, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """``(id, n, key, sig)`` for every row; ``key`` and ``sig`` are null for empty sets."""
+    """``(id, text_key, n, key, sig)`` for every row; ``key`` and ``sig`` are null for empty
+    sets, ``text_key`` is a hash of the text."""
     prepare(docs.sparkSession)
 
     def sign(batches):
         a, b = _hash_params(p)
         for batch in batches:
             ns, keys, sigs = [], [], []
-            for s in shingle_sets(batch.column(1), p.k):
+            for s in shingle_sets(batch.column(2), p.k):
                 ns.append(len(s))
                 keys.append(_set_key(s))
                 sigs.append(minhash(s, a, b).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(ns, pa.int64()),
-                 pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())], ["id", "n", "key", "sig"])
+                [batch.column(0), batch.column(1), pa.array(ns, pa.int64()), pa.array(keys, pa.binary()),
+                 pa.array(sigs, pa.binary())], ["id", "text_key", "n", "key", "sig"])
 
-    return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-                .mapInArrow(sign, "id long, n long, key binary, sig binary"))
+    return (docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_key"),
+                        F.col(text_col).alias("t"))
+                .mapInArrow(sign, "id long, text_key long, n long, key binary, sig binary"))
 
 
 def _signature_rows(col, p: NearDupParams) -> np.ndarray:
@@ -379,7 +381,8 @@ def links(docs: DataFrame, reps: DataFrame, p: NearDupParams) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, p: NearDupParams = NearDupParams(), id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, n_shingles, component_id, kept``.
+    """One row per input row: ``doc_id, n_shingles, component_id, kept, text_key`` (the
+    last a hash of the text, which tells rows of one id apart).
 
     ``component_id`` is the smallest id reachable over links (its own included) and
     ``kept`` marks it. Texts without words (null, empty) have an empty set and link with
@@ -403,7 +406,7 @@ def near_duplicates(docs: DataFrame, p: NearDupParams = NearDupParams(), id_col:
     first = comp.groupBy("comp").agg(F.min("rep").alias("first"))
     smallest = comp.join(first, "comp").select("node", "first")
     by_key = classes.join(smallest, "node", "left").select("key", F.coalesce("first", "rep").alias("cid"))
-    out = sig.select("id", "n", "key").join(by_key, "key", "left")
+    out = sig.select("id", "n", "key", "text_key").join(by_key, "key", "left")
     cid = F.coalesce("cid", "id")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-                      cid.alias("component_id"), F.col("id").eqNullSafe(cid).alias("kept"))
+                      cid.alias("component_id"), F.col("id").eqNullSafe(cid).alias("kept"), "text_key")

@@ -7,12 +7,13 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann, language_model, quality, toxicity
+from strata.llm import ann, language_model, oracle, quality, toxicity
 from strata.llm._labelled import fold
 from strata.llm.decontaminate import contamination
 from strata.llm.mixing import mix
 from strata.llm.near_dup import NearDupParams, near_duplicates
 from strata.llm.pii import digest, find_pii
+from strata.llm.revisits import captures_of_pages, resolve_revisits
 from strata.llm.token_counts import token_counts
 
 
@@ -56,7 +57,7 @@ def op4_positional_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 def op5_minhash_near_dup(spark: SparkSession, sf: str) -> DataFrame:
     """Classes of documents whose 4-word shingle sets are 80 % alike."""
-    return near_duplicates(_table(spark, sf, "documents"), NearDupParams(k=4))
+    return near_duplicates(_table(spark, sf, "documents"), NearDupParams(k=4)).drop("text_key")
 
 
 def _scored(scores: DataFrame, parts: int, value: int) -> DataFrame:
@@ -90,6 +91,13 @@ def op8_cnn_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return _scored(scores.withColumn("threshold", cut).withColumn("flagged", F.col("score") >= cut).drop("lang"), 3, 1)
 
 
+def op9_revisit_resolution(spark: SparkSession, sf: str) -> DataFrame:
+    """Revisits of page sections resolved to the latest earlier response; headers as text."""
+    out = resolve_revisits(captures_of_pages(_table(spark, sf, "pages")))
+    line = F.transform("headers", lambda h: F.concat(h["name"], F.lit("="), F.coalesce(h["value"], F.lit(""))))
+    return out.withColumn("headers", F.when(F.col("headers").isNotNull(), F.array_join(F.array_sort(line), ";")))
+
+
 def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Token counts of all documents under word_bpe_49k.json."""
     return token_counts(_table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
@@ -97,5 +105,6 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_nn_descent_search, op2_sainte_lague_mix, op3_pii_disclosure, op4_positional_decontamination, op5_minhash_near_dup,
-    op6_bradley_terry_quality, op7_gru_language_model, op8_cnn_toxicity, op10_token_counts)}
-SQL: dict[str, str] = {}
+    op6_bradley_terry_quality, op7_gru_language_model, op8_cnn_toxicity, op9_revisit_resolution,
+    op10_token_counts)}
+SQL: dict[str, str] = dict(oracle.SQL)
