@@ -14,23 +14,25 @@ _INT_TYPES = {"bigint": T.LongType(), "long": T.LongType(), "int": T.IntegerType
 # A value is an ISO-like date when it is (after blanks) a 1-7 digit year, a dash or
 # slash, a 1-2 digit month, the *same* separator and a 1-2 digit day, followed
 # either by nothing but blanks or by a valid clock time (HH:MM[:SS[.fff]]), after
-# which anything may follow. Bare years are not dates.
-ISO_LIKE = (r"^\s*([0-9]{1,7})([-/])([0-9]{1,2})\2([0-9]{1,2})"
-            r"(\s*$|[ T]([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\.[0-9]*)?)?)")
+# which anything may follow. Bare years are not dates. Year 0 is rejected: it would be
+# 1 BC, which no case data means and which most clients cannot represent.
+ISO_LIKE = (r"^\s*(?!0+[-/])([0-9]{1,7})([-/])([0-9]{1,2})\2([0-9]{1,2})"
+            r"(?:\s*$|[ T](?:[01]?[0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9](?:\.[0-9]*)?)?)")
 # Day-first dates (d/M/yyyy) with 1-2 digit day and month and a 1-4 digit year,
 # blanks around allowed.
-DAY_FIRST = r"^\s*([0-9]{1,2})/([0-9]{1,2})/([0-9]{1,4})\s*$"
+DAY_FIRST = r"^\s*([0-9]{1,2})/([0-9]{1,2})/(?!0+\s*$)([0-9]{1,4})\s*$"
 
 
-def _ymd_date(year: Column, month: Column, day: Column) -> Column:
-    """DATE from text parts (year padded to four digits), NULL when impossible.
+def _rewritten_date(col: Column, pattern: str, year: int, month: int, day: int) -> Column:
+    """DATE from the groups of ``pattern``, NULL when it does not match or names no day.
 
-    Year 0 is rejected: it would be 1 BC, which no case data means and which most
-    clients (Python's ``datetime.date`` among them) cannot represent.
+    One pass: the match is rewritten to ``y-m-d`` (anything else to ``--``, which is no
+    date) and cast once; short years are padded without another pattern.
     """
-    y = F.when(F.length(year) < 4, F.lpad(year, 4, "0")).otherwise(year)
-    return F.when(year.try_cast("int") > 0,
-                  F.concat_ws("-", y, month, day).try_cast(T.DateType()))
+    ymd = F.regexp_replace(col, rf"(?s){pattern}.*$|^.*$", f"${year}-${month}-${day}")
+    dash = F.instr(ymd, "-")
+    padded = F.when(dash.between(2, 4), F.concat(F.substring(F.lit("000"), F.lit(1), 5 - dash), ymd)).otherwise(ymd)
+    return padded.try_cast(T.DateType())
 
 
 def _drop_digit_separators(col: Column, digits: str) -> Column:
@@ -41,6 +43,15 @@ def _drop_digit_separators(col: Column, digits: str) -> Column:
     return F.when(col.contains("_"), F.regexp_replace(col, pattern, "")).otherwise(col)
 
 
+def _radix_value(text: Column, mark: str, digits: str, base: int, most: int) -> Column:
+    """Decimal text of ``0x…`` / ``0b…`` values, NULL for other text and for values of more
+    than ``most`` digits after leading zeros (beyond 64 bits)."""
+    bare = F.when(F.regexp_like(text, F.lit(rf"^0{mark}[{digits}]+$")),
+                  F.regexp_replace(text, rf"^0{mark}0*", ""))
+    # the guarded text, not the guarded result: conv raises on what 64 bits cannot hold
+    return F.conv(F.when(bare == "", F.lit("0")).when(F.length(bare) <= most, bare), base, 10)
+
+
 def safe_int(c, type_name: str = "bigint") -> Column:
     """Lenient integer cast: NULL instead of an error.
 
@@ -50,16 +61,11 @@ def safe_int(c, type_name: str = "bigint") -> Column:
     """
     target = _INT_TYPES[type_name]
     col = as_col(c)
-    decimal_text = _drop_digit_separators(col, "0-9")
-    as_decimal = decimal_text.try_cast(T.DecimalType(38, 10))
-    hex_text = _drop_digit_separators(col, "0-9A-Fa-f")
-    hex_value = F.when(F.regexp_like(hex_text, F.lit(r"^0[xX][0-9a-fA-F]+$")),
-                       F.conv(F.substring(hex_text, 3, 64), 16, 10))
-    bin_text = _drop_digit_separators(col, "01")
-    bin_value = F.when(F.regexp_like(bin_text, F.lit(r"^0[bB][01]+$")),
-                       F.conv(F.substring(bin_text, 3, 256), 2, 10))
-    return F.coalesce(F.round(as_decimal, 0).try_cast(target),
-                      F.coalesce(hex_value, bin_value).try_cast(target))
+    # Scale 0: the text is rounded once, whatever the number of its decimals.
+    as_decimal = _drop_digit_separators(col, "0-9").try_cast(T.DecimalType(38, 0))
+    hex_value = _radix_value(_drop_digit_separators(col, "0-9A-Fa-f"), "[xX]", "0-9a-fA-F", 16, 16)
+    bin_value = _radix_value(_drop_digit_separators(col, "01"), "[bB]", "01", 2, 64)
+    return F.coalesce(as_decimal.try_cast(target), F.coalesce(hex_value, bin_value).try_cast(target))
 
 
 def strict_int(c, type_name: str = "int") -> Column:
@@ -69,16 +75,12 @@ def strict_int(c, type_name: str = "int") -> Column:
 
 def iso_date(c) -> Column:
     """ISO-like text (``yyyy-M-d`` or ``yyyy/M/d``, optional clock time) to DATE, else NULL."""
-    col = as_col(c)
-    part = lambda i: F.regexp_extract(col, ISO_LIKE, i)
-    return F.when(F.regexp_like(col, F.lit(ISO_LIKE)), _ymd_date(part(1), part(3), part(4)))
+    return _rewritten_date(as_col(c), ISO_LIKE, 1, 3, 4)
 
 
 def day_first_date(c) -> Column:
     """Day-first text ``d/M/yyyy`` (blanks around allowed) to DATE, else NULL."""
-    col = as_col(c)
-    part = lambda i: F.regexp_extract(col, DAY_FIRST, i)
-    return F.when(F.regexp_like(col, F.lit(DAY_FIRST)), _ymd_date(part(3), part(2), part(1)))
+    return _rewritten_date(as_col(c), DAY_FIRST, 3, 2, 1)
 
 
 def pattern_date(c, pattern: str) -> Column:

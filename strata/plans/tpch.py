@@ -120,13 +120,13 @@ def bronze_districts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    x = F.substring("o_orderpriority", 3, 1000)
+    x = F.expr("substring(o_orderpriority, 3)")
     k = F.col("o_orderkey")
     return o.select(
         F.substring("o_orderpriority", 1, 1).alias("class_id"),
         F.when(k % 3 == 0, F.upper(x))
          .when(k % 3 == 1, F.lower(x))
-         .otherwise(F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, 2, 1000))))
+         .otherwise(F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, F.lit(2), F.length(x)))))
          .alias("class_name"))
 
 

@@ -12,7 +12,9 @@ INTS = ["8000001", "8000001.0", "1e3", " 12", "12 ", "+5", "-0", ".5", "-2.5", "
         "9223372036854775807", "9223372036854775808", "0x7FFFFFFFFFFFFFFF", "0x8000000000000000",
         "1.5e2", "  7  ", "007", "-12.4999", "1__000", "_1", "1_", "-1_000", "+1_000",
         "1_000.5", "1e_3", "0x1_0", "0b1_0", "1_000e2", " 1_000 ", "0X", "0x-1", "00x10", "1.",
-        "-.5", "+.5", "1e-1", "5e-1", "1.5e0", None]
+        "-.5", "+.5", "1e-1", "5e-1", "1.5e0", "2.49999999999",
+        "2.50000000000000000001", "0x" + "0" * 64 + "1F", "0b" + "0" * 256 + "101",
+        "0x11111111111111111", "0x" + "0" * 20 + "FFFFFFFFFFFFFFFF", "0x0000", "0b0", "0b" + "1" * 65, None]
 DATES = ["2025-03-11", "2025-3-1", " 2025-03-11", "2025-03-11 ", "\t2025-03-11", "2025-03-11T10:00",
          "2025-03-11 10:00:00", "2025-03-11 10:00", "2025-03-11 10", "2025-03-11T", "2025-03-11 x",
          "2025-03-11 25:00:00", "2025-03-11 10:00:00 x", "2025-03-11T10:00:00Z", "+2025-03-11",
