@@ -21,10 +21,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, allowed,
 
     The ids are chosen before any text is touched, so only the sample's texts move.
     """
-    known = (labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_label"))
+    known = labels.filter(F.col(label_col).isin(*range(len(per_class))))
+    known = (known.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_label"))
                    .filter(F.col("_id").isNotNull() & allowed("_id")).distinct())
+    draw = F.xxhash64(F.lit(11), "_id")
+    totals = {r["_label"]: r["n"] for r in known.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).collect()
+              if r["_label"] in range(len(per_class))}
+    # A first cut by hash leaves little more than the sample, so its sort stays small.
+    share = {v: min(1.0, (1.3 * n + 50) / max(1, totals.get(v, 0))) for v, n in enumerate(per_class)}
     picked = reduce(DataFrame.unionByName, [
-        known.filter(F.col("_label") == v).orderBy(F.xxhash64(F.lit(11), "_id"), "_id").limit(n)
+        known.filter((F.col("_label") == v) & (F.pmod(draw, F.lit(1 << 30)) < F.lit(int(share[v] * (1 << 30)))))
+             .orderBy(draw, "_id").limit(n)
         for v, n in enumerate(per_class)])
     own = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"),
                       *[F.col(c).alias(f"_x{i}") for i, c in enumerate(extra)])

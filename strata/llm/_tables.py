@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.session import scratch_dir
 
@@ -34,3 +35,21 @@ def partition_id() -> int:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def most_frequent(df: DataFrame, count_col: str, n: int) -> DataFrame:
+    """At most ``n`` rows with the largest counts, without a sort.
+
+    Counts fall into levels of 1/8 power of two; levels are taken from the top while their
+    rows fit, so rows of one level come all or not at all. Only the histogram (a few
+    hundred numbers) reaches the driver, whatever the number of rows or partitions.
+    """
+    level = F.floor(F.log2(F.col(count_col)) * 8).cast("int")
+    sizes = df.filter(F.col(count_col) > 0).groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    total, cut = 0, None
+    for r in sorted(sizes, key=lambda r: -r["level"]):
+        total += r["rows"]
+        if total > n:
+            break
+        cut = r["level"]
+    return df.filter(level >= cut) if cut is not None else df.limit(0)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm._labelled import fold
-from strata.llm._tables import prepare, written
+from strata.llm._tables import most_frequent, prepare, written
 from strata.llm._text import SPACED, HashTable, split_words
 
 END = -1  # the end-of-text token's key in the count table
@@ -129,7 +129,8 @@ def vocabulary(counts: DataFrame, p: LmParams) -> Vocabulary:
     totals = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
     words = counts.filter(F.col("cls") < TAIL)
     end = counts.filter(F.col("cls") == TAIL).agg(F.sum("c")).first()[0] or 0
-    top = words.orderBy(F.desc("c"), "h").limit(p.known).toPandas()  # at most ``known`` rows of three numbers
+    top = most_frequent(words, "c", p.known).toPandas()  # at most ``known`` rows of three numbers
+    top = top.sort_values(["c", "h"], ascending=[False, True], ignore_index=True)
     head = top.iloc[:p.head]
     per = {r["cls"]: (r["n"], r["v"]) for r in words.groupBy("cls").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
     n = np.array([per.get(k, (0, 0))[0] for k in range(TAIL)], np.int64)

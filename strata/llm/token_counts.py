@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm._tables import prepare
+from strata.llm._tables import most_frequent, prepare, written
 from strata.llm._text import slices, text_bytes
 
 
@@ -54,7 +54,7 @@ def _runs(col) -> Iterable[tuple[int, list[list[bytes]]]]:
 
 def frequent_runs(docs: DataFrame, text_col: str, frequent: int, run_bytes: int,
                   summary: int = 1 << 17) -> list[bytes]:
-    """The most frequent runs over all texts, at most ``frequent`` of them (ties by bytes)."""
+    """The most frequent runs over all texts, at most ``frequent`` of them, by falling count."""
     prepare(docs.sparkSession)
 
     def summarise(batches):
@@ -69,10 +69,10 @@ def frequent_runs(docs: DataFrame, text_col: str, frequent: int, run_bytes: int,
         yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in best], pa.binary()),
                                           pa.array([n for _, n in best], pa.int64())], ["run", "n"])
 
-    best = (docs.select(text_col).mapInArrow(summarise, "run binary, n long")
-                .groupBy("run").agg(F.sum("n").alias("n"))
-                .orderBy(F.desc("n"), "run").limit(frequent))
-    return [bytes(r.run) for r in best.select("run").collect()]
+    sums = written(docs.select(text_col).mapInArrow(summarise, "run binary, n long")
+                       .groupBy("run").agg(F.sum("n").alias("n")), "runs")
+    best = most_frequent(sums, "n", frequent).collect()  # at most ``frequent`` short runs
+    return [bytes(r.run) for r in sorted(best, key=lambda r: (-r.n, bytes(r.run)))]
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
