@@ -279,6 +279,10 @@ def find_pii(docs: DataFrame, p: PiiParams = PiiParams(), id_col: str = "doc_id"
                 .drop("row"))
 
 
+def _count(kind: int) -> F.Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+
 def digest(found: DataFrame) -> DataFrame:
     """Counts per kind, the hash of the base spans and all spans as text."""
     kinds = F.array(*[F.lit(k) for k in KINDS])
@@ -289,7 +293,7 @@ def digest(found: DataFrame) -> DataFrame:
     named = F.array(*[F.lit(k) for k in (*KINDS, TERM)])
     return found.select(
         "doc_id",
-        *[F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)],
+        *[_count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
         F.sha2(F.concat_ws(",", base), 256).alias("base_sha256"),
         F.concat_ws(",", F.transform(every, lambda s: F.concat_ws(":", named[s["kind"]], s["start"], s["end"]))).alias("spans"))
 

@@ -33,8 +33,7 @@ def test_base_spans_equal_the_plain_patterns(parts):
 
 
 def test_hopeless_runs_take_no_time():
-    t = "1" * 200_000 + " " + "a" * 200_000 + "@ " + "9." * 100_000
-    assert base_spans(t) == by_patterns("1") + []
+    assert base_spans("1" * 200_000 + " " + "a" * 200_000 + "@ " + "9" * 200_000 + ".") == []
 
 
 def test_terms_that_reveal_an_entity_are_flagged(spark):
@@ -67,7 +66,7 @@ def test_odd_rows_and_empty_table(spark):
     rows = odd_rows() + [(9, None), (10, "+49 30 1234567 x")]
     df = clashing(docs(spark, rows))
     out = digest(find_pii(df)).collect()
-    assert len(out) == len(rows) and sum(r.n_phone for r in out) == 1
+    assert len(out) == len(rows) and [(r.n_email, r.n_ip, r.n_card, r.n_phone) for r in out if r.doc_id == 10] == [(0, 0, 0, 1)]
     clean = sanitised(df)
     assert clean.columns == df.columns and clean.count() == len(rows)
     got = {r.doc_id: r.text for r in clean.collect() if r.doc_id in (3, 4, 10)}
