@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm._tables import shuffle_partitions, written
@@ -31,7 +31,8 @@ from strata.llm._tables import shuffle_partitions, written
 class AnnParams:
     """``degree`` neighbours a node; ``projections`` start orders with blocks of
     ``block``; at most ``rounds`` rounds, fewer once less than ``settled`` of all
-    neighbours changed. ``beam`` nodes are kept per query, ``expand`` expanded at a time."""
+    neighbours changed. ``beam`` nodes are kept per query, ``expand`` expanded at a time. A search returns fewer
+    than ``ids_kept`` rows a query."""
 
     degree: int = 20
     projections: int = 4
@@ -43,14 +44,19 @@ class AnnParams:
     expand: int = 16
     seeds: int = 256
     query_block: int = 1 << 14
+    ids_kept: int = 101
     seed: int = 9
 
 
 @dataclass(frozen=True)
 class AnnIndex:
-    """``vectors``: (id, v array<double>); ``graph``: (id, nbrs array<long>), both ways."""
+    """``vectors``: (id, v array<double>), all rows; ``nodes``: the same, one row per
+    distinct vector under its smallest id; ``members``: (node, id), the ``ids_kept``
+    smallest ids of each node; ``graph``: (id, nbrs array<long>) of nodes, both ways."""
 
     vectors: DataFrame
+    nodes: DataFrame
+    members: DataFrame
     graph: DataFrame
     dim: int
 
@@ -226,7 +232,13 @@ def _meetings(graph: DataFrame, codes: DataFrame, dim: int, p: AnnParams, rnd: i
 def build_index(df: DataFrame, p: AnnParams = AnnParams(), id_col: str = "vec_id", vec_col: str = "embedding") -> AnnIndex:
     """NN-descent graph over every usable vector of ``df``."""
     vectors, dim = usable(df, id_col, vec_col)
-    codes = written(_codes(vectors, dim), "ann-codes")
+    same = Window.partitionBy("v")
+    # the limit on row_number is applied before the rows of a vector meet
+    members = (vectors.withColumn("_r", F.row_number().over(same.orderBy("id"))).filter(F.col("_r") <= p.ids_kept)
+                      .withColumn("node", F.min("id").over(same)))
+    members = written(members, "ann-members")
+    nodes = members.filter("_r = 1").select("id", "v")
+    codes = written(_codes(nodes, dim), "ann-codes")
     n = codes.count()
     graph = written(_best(_start(codes, dim, p).withColumn("old", F.lit(False)), p), "ann-graph")
     for rnd in range(p.rounds):
@@ -247,15 +259,15 @@ def build_index(df: DataFrame, p: AnnParams = AnnParams(), id_col: str = "vec_id
                  .groupBy("id").agg(F.slice(F.sort_array(F.flatten(F.collect_list("l"))), 1, p.degree).alias("l"))
                  .select("id", F.explode("l.m").alias("n")))
     nbrs = both.unionByName(back).groupBy("id").agg(F.collect_set("n").alias("nbrs"))
-    return AnnIndex(vectors, written(nbrs, "ann-both"), dim)
+    return AnnIndex(vectors, nodes, members.select("node", "id"), written(nbrs, "ann-both"), dim)
 
 
 def _search_block(index: AnnIndex, queries: DataFrame, p: AnnParams, k: int) -> DataFrame:
+    """``(q, n, s)``: the beam of every query ``(id, v)``; distinct vectors, bounded many."""
     spark, dim = queries.sparkSession, index.dim
-    rows = queries.select("id", "v").orderBy("id").collect()  # at most query_block
+    rows = queries.select("id", "v").orderBy("id").collect()  # about query_block at most
     q_ids = np.array([r["id"] for r in rows], np.int64)
     shared = spark.sparkContext.broadcast((q_ids, np.array([r["v"] for r in rows], np.float64).reshape(-1, dim)))
-    seeds = index.vectors.orderBy(F.xxhash64("id", F.lit(p.seed)), "id").limit(p.seeds).select("id")
 
     def score(batches):
         ids, x = shared.value
@@ -266,17 +278,16 @@ def _search_block(index: AnnIndex, queries: DataFrame, p: AnnParams, k: int) ->
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s)], ["q", "n", "s"])
 
     def scored(pairs):
-        return (pairs.join(index.vectors.withColumnRenamed("id", "n"), "n").select("q", "n", "v")
+        return (pairs.join(index.nodes.withColumnRenamed("id", "n"), "n").select("q", "n", "v")
                      .mapInArrow(score, "q long, n long, s double"))
 
-    wanted = queries.select(F.col("id").alias("q"))
-    known = wanted.join(index.graph, wanted["q"] == index.graph["id"])
-    start = known.select("q", F.explode("nbrs").alias("n"))
-    lost = wanted.join(known.select("q"), "q", "left_anti")
-    # seeds for queries that are no node: a bounded set, every one scored
-    seeds = written(seeds, "ann-seeds")
-    start = start.unionByName(lost.withColumn("n", F.explode(F.lit([r["id"] for r in seeds.collect()]).cast("array<long>"))))
-    beam = scored(start.filter("q <> n")).withColumn("done", F.lit(False))
+    # A query whose vector is a node starts there, the others at the bounded set of seeds.
+    own = queries.select(F.col("id").alias("q"), "v").join(index.nodes.withColumnRenamed("id", "n"), "v").select("q", "n")
+    own = written(own, "ann-own")
+    lost = queries.select(F.col("id").alias("q")).join(own, "q", "left_anti")
+    seeds = index.nodes.orderBy(F.xxhash64("id", F.lit(p.seed)), "id").limit(p.seeds).select("id").collect()
+    start = own.unionByName(lost.withColumn("n", F.explode(F.lit([r["id"] for r in seeds]).cast("array<long>"))))
+    beam = scored(start).withColumn("done", F.lit(False))
     while True:
         lists = (beam.groupBy("q", "n").agg(F.max("s").alias("s"), F.max("done").alias("done"))
                      .groupBy("q").agg(F.sort_array(F.collect_list(F.struct((-F.col("s")).alias("d"), "n", "done"))).alias("l"))
@@ -285,11 +296,10 @@ def _search_block(index: AnnIndex, queries: DataFrame, p: AnnParams, k: int) ->
         todo = lists.select("q", F.slice(F.filter("l", lambda e: ~e["done"]), 1, p.expand)["n"].alias("f"))
         front = todo.filter(F.size("f") > 0)
         if not front.limit(1).count():
-            return lists.select("q", F.posexplode(F.slice("l", 1, k)).alias("rank", "e")).select(
-                "q", (F.col("rank") + 1).alias("rank"), F.col("e.n").alias("n"), (-F.col("e.d")).alias("s"))
+            return lists.select("q", F.explode("l").alias("e")).select("q", F.col("e.n").alias("n"), (-F.col("e.d")).alias("s"))
         open_ = front.select("q", F.explode("f").alias("id"))
         seen = lists.select("q", F.explode("l.n").alias("n"))
-        fresh = (open_.join(index.graph, "id").select("q", F.explode("nbrs").alias("n")).filter("q <> n")
+        fresh = (open_.join(index.graph, "id").select("q", F.explode("nbrs").alias("n"))
                       .distinct().join(seen, ["q", "n"], "left_anti"))
         marked = lists.join(todo, "q").select("q", F.explode("l").alias("e"), "f").select(
             "q", F.col("e.n").alias("n"), (-F.col("e.d")).alias("s"),
@@ -304,14 +314,24 @@ def search(index: AnnIndex, queries: DataFrame, k: int, p: AnnParams = AnnParams
     precision on the original vectors; ties go to the smaller id; a query's own row is no
     candidate. An empty index or no queries give no rows.
     """
-    n = queries.count()
+    if k >= p.ids_kept:
+        raise ValueError("k must be below ids_kept")
+    firsts = queries.groupBy("v").agg(F.min("id").alias("q"))
+    firsts = written(firsts, "ann-queries")
+    n = firsts.count()
     blocks = max(1, -(-n // p.query_block))
-    # about equal blocks by hash; a little room keeps each below the bound
-    blocks = blocks if blocks == 1 else blocks + blocks // 4 + 1
-    out = None
+    blocks = blocks if blocks == 1 else blocks + blocks // 4 + 1  # room for uneven hashes
+    beams = None
     for b in range(blocks):
-        own = queries if blocks == 1 else queries.filter(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)) == b)
-        part = _search_block(index, own, p, k)
-        out = part if out is None else out.unionByName(part)
-    return out.select(F.col("q").alias("query_id"), F.col("rank").cast("int").alias("rank"),
-                      F.col("n").alias("vec_id"), F.col("s").alias("score"))
+        own = firsts.select(F.col("q").alias("id"), "v")
+        own = own if blocks == 1 else own.filter(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)) == b)
+        part = _search_block(index, own, p, k + 1)
+        beams = part if beams is None else beams.unionByName(part)
+    order = Window.partitionBy("q").orderBy(F.desc("s"), "id")
+    found = (beams.join(index.members, beams["n"] == index.members["node"]).select("q", "id", "s")
+                  .withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k + 1))
+    lists = found.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("_r", "id", "s"))).alias("l"))  # k + 1 each
+    each = queries.select(F.col("id").alias("query_id"), "v").join(firsts, "v").select("query_id", "q").join(lists, "q")
+    others = F.slice(F.filter("l", lambda e: e["id"] != F.col("query_id")), 1, k)
+    return each.select("query_id", F.posexplode(others).alias("rank", "e")).select(
+        "query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("e.id").alias("vec_id"), F.col("e.s").alias("score"))
