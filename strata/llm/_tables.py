@@ -19,12 +19,12 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: the lineage ends
     there, so a lost executor never recomputes (or re-randomises) what came before."""
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,98 +1,101 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
 ``build_index`` cuts the corpus into segments of whole documents (about
-``segment_words`` words) and writes, per segment and term, the term's positions: the
-postings of every token of every text. Nothing is shuffled to build it.
+``segment_words`` words). A segment holds its own inverted index: its terms in order, and
+for each the ascending positions of all its occurrences, so every token of every text has
+its posting. Segments are built where the documents are and nothing is shuffled.
 
-A search asks the index for test windows (runs of consecutive words):
+A search asks every segment for test windows (runs of consecutive words):
 
-1. document counts of the test terms come from the postings; windows with a term that
-   occurs nowhere are dropped, the others are anchored at their rarest term;
-2. windows travel only to the segments that hold their anchor, and of the postings only
-   the terms of those windows travel there too;
-3. per segment the offset-adjusted position lists are intersected from the rarest term
-   on. What is left are exact phrase matches; ``proximity_matches`` keeps, from the same
-   lists, the places where all terms of a window lie within a span in any order.
+1. a window with a term that the segment lacks is dropped by looking up all terms at once;
+2. for the others the offset-adjusted position lists are intersected from the rarest term
+   on. What is left are exact phrase matches;
+3. ``proximity_matches`` keeps, from the same lists, the places where all terms of a window
+   lie within a span in any order.
 
-Terms are 64-bit word hashes: a false match needs equal hashes at every word of a window.
+Windows come in blocks of at most ``BLOCK``, one broadcast and one pass over the segments a
+block; all blocks are searched. Terms are 64-bit word hashes: a false match needs equal
+hashes at every word of a window.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm._tables import partition_id, prepare, shuffle_partitions, written
-from strata.llm._text import ALNUM, binary_rows, split_words
+from strata.llm._tables import partition_id, prepare, written
+from strata.llm._text import ALNUM, split_words
 
 _GAP = 64  # positions left free between documents: no phrase or span crosses them
+BLOCK = 1 << 17  # windows a pass
+SEGMENT = ("segment long, terms binary, counts binary, deltas binary, "
+           "starts array<int>, doc_ids array<long>, n_words array<long>")
 
 
 @dataclass(frozen=True)
 class Index:
-    """``postings``: (segment, term, n, at binary int32 positions, ascending);
-    ``docs``: (segment, start, doc_id, n_words), one row per document."""
+    """``segments``: one row a segment. ``terms`` are sorted 64-bit hashes as differences,
+    ``counts`` their occurrences, ``deltas`` the positions of term after term as
+    differences (the first one of a term counts from 0)."""
 
-    postings: DataFrame
-    docs: DataFrame
+    segments: DataFrame
 
+    @property
+    def docs(self) -> DataFrame:
+        """``(segment, start, doc_id, n_words)``, one row per document."""
+        z = F.explode(F.arrays_zip("starts", "doc_ids", "n_words")).alias("z")
+        return self.segments.select("segment", z).select(
+            "segment", F.col("z.starts").alias("start"), F.col("z.doc_ids").alias("doc_id"), F.col("z.n_words").alias("n_words"))
 
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                segment_words: int = 1 << 21) -> Index:
-    """Index every word of every text (null texts have none)."""
-    spark = docs.sparkSession
-    prepare(spark)
-    schema = ("kind string, segment long, term long, n int, at binary, "
-              "start int, doc_id long, n_words long")
 
-    kinds = {"kind": pa.string(), "segment": pa.int64(), "term": pa.int64(), "n": pa.int32(),
-             "at": pa.binary(), "start": pa.int32(), "doc_id": pa.int64(), "n_words": pa.int64()}
+def _posting_lists(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted terms, their counts, and all positions by term (ascending within a term)."""
+    order = np.argsort(h, kind="stable")
+    h, at = h[order], at[order]
+    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
+    return h[first], np.diff(np.concatenate((first, [len(h)]))), at
+
 
-    def rows(kind, segment, size, **cols):
-        cols |= {"kind": pa.array([kind] * size, pa.string()), "segment": pa.array(np.full(size, segment))}
-        return pa.RecordBatch.from_arrays([cols.get(c, pa.nulls(size, t)) for c, t in kinds.items()], list(kinds))
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                segment_words: int = 1 << 20) -> Index:
+    """Index every word of every text (null texts have none)."""
+    prepare(docs.sparkSession)
 
     def index(batches):
         segment = partition_id() << 33
-        hashes, places, held = [], [], 0
-        ids, starts, counts = [], [], []
+        hashes, places, ids, starts, counts, held = [], [], [], [], [], 0
 
         def flush():
             nonlocal segment, held
-            n = sum(map(len, ids))
-            if n:
-                yield from (rows("docs", segment, len(i), doc_id=i,
-                                 start=pa.array(s.astype(np.int32)), n_words=pa.array(c))
-                            for i, s, c in zip(ids, starts, counts))
-            if hashes:
-                h, at = np.concatenate(hashes), np.concatenate(places)
-                order = np.argsort(h, kind="stable")
-                h, at = h[order], at[order].astype(np.int32)
-                first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, int)
-                n = np.diff(np.concatenate((first, [len(h)])))
-                for s in range(0, len(first), 1 << 16):
-                    cut = slice(s, s + (1 << 16))
-                    f, m = first[cut], n[cut]
-                    yield rows("postings", segment, len(f), term=pa.array(h[f].view(np.int64)),
-                               n=pa.array(m.astype(np.int32)),
-                               at=binary_rows(at[f[0]:f[-1] + m[-1]], m))
+            if ids:
+                terms, n, at = _posting_lists(np.concatenate(hashes), np.concatenate(places))
+                first = np.concatenate(([0], np.cumsum(n)))[:-1]
+                deltas = np.diff(at, prepend=0).astype(np.int32)
+                deltas[first] = at[first]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([segment]), pa.array([np.diff(terms, prepend=np.uint64(0)).tobytes()], pa.binary()),
+                     pa.array([n.astype(np.int32).tobytes()], pa.binary()), pa.array([deltas.tobytes()], pa.binary()),
+                     pa.array([np.concatenate(starts).astype(np.int32)], pa.list_(pa.int32())),
+                     pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(pa.int64())),
+                     pa.array([np.concatenate(counts)], pa.list_(pa.int64()))],
+                    ["segment", "terms", "counts", "deltas", "starts", "doc_ids", "n_words"])
             for x in (hashes, places, ids, starts, counts):
                 x.clear()
             segment, held = segment + 1, 0
 
         for batch in batches:
-            own = batch.column(0).cast(pa.int64())
-            for w in split_words(batch.column(1), ALNUM):
-                n = w.counts.astype(np.int64)
+            for w in split_words(batch.column(1), ALNUM, max_bytes=min(1 << 21, 8 * segment_words)):
+                n, offs = w.counts.astype(np.int64), w.offsets()
                 start = held + np.concatenate(([0], np.cumsum(n + _GAP)))[:-1]
-                offs = w.offsets()
                 hashes.append(w.hashes())
                 places.append(np.arange(offs[-1]) + np.repeat(start - offs[:-1], n))
-                ids.append(own.slice(w.first, len(n)))
+                ids.append(batch.column(0).slice(w.first, len(n)))
                 starts.append(start)
                 counts.append(n)
                 held = int(start[-1] + n[-1] + _GAP)
@@ -101,13 +104,11 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         yield from flush()
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
-    out = written(source.mapInArrow(index, schema), "index")
-    return Index(out.filter("kind = 'postings'").select("segment", "term", "n", "at"),
-                 out.filter("kind = 'docs'").select("segment", "start", "doc_id", "n_words"))
+    return Index(written(source.mapInArrow(index, SEGMENT), "index", compression="zstd"))
 
 
 def windows_of(items: DataFrame, width: int, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``(window, item_id, terms array)``: runs of ``width`` consecutive words of each
+    """``(item_id, terms array)``: runs of ``width`` consecutive words of each
     item; an item of fewer words, but not none, is one window. Repeated windows and
     repeated items stay apart only by their item id."""
     prepare(items.sparkSession)
@@ -126,153 +127,124 @@ def windows_of(items: DataFrame, width: int, id_col: str = "item_id", text_col:
                          pa.array(runs, pa.list_(pa.int64()))], ["item_id", "terms"])
 
     return (items.select(F.col(id_col).cast("string").alias("item_id"), F.col(text_col).alias("t"))
-                 .mapInArrow(cut, "item_id string, terms array<long>").distinct()
-                 .withColumn("window", F.xxhash64("item_id", "terms")))
-
-
-def _routed(index: Index, windows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Windows with the segments that hold their rarest term, and those segments'
-    postings of the windows' terms: ``(segment, window, item_id, terms, by rarity)`` and
-    ``(segment, term, at)``."""
-    term_rows = windows.select("window", "item_id", F.posexplode("terms").alias("pos", "term"))
-    vocab = term_rows.select("term").distinct()
-    held = written(index.postings.join(vocab, "term", "left_semi"), "index-hits")
-    df = held.groupBy("term").agg(F.sum("n").alias("df"))
-    ranked = term_rows.join(df, "term").groupBy("window", "item_id").agg(
-        F.sort_array(F.collect_list(F.struct("df", "pos", "term"))).alias("by"))  # a window's few words
-    live = (windows.join(ranked, ["window", "item_id"])
-                   .filter(F.size("by") == F.size("terms"))
-                   .select("window", "item_id", F.col("by.pos").alias("pos"), F.col("by.term").alias("term"),
-                           F.col("by.term")[0].alias("anchor")))
-    places = held.select("segment", F.col("term").alias("anchor"))
-    routed = written(live.join(places, "anchor").drop("anchor"), "index-routed")
-    wanted = routed.select("segment", F.explode("term").alias("term")).distinct()
-    return routed, held.join(wanted, ["segment", "term"]).select("segment", "term", "at")
-
-
-def _by_segment(index: Index, windows: DataFrame, meet, schema: str) -> DataFrame:
-    """Run ``meet(lists, windows)`` per segment; rows gain the document's row.
-
-    A segment's postings are bounded by its size; its windows arrive in blocks.
-    """
-    routed, held = _routed(index, windows)
-    none = {"window": "long", "item_id": "string", "pos": "array<int>", "term_ids": "array<long>",
-            "start": "int", "doc_id": "long", "n_words": "long", "term": "long", "at": "binary"}
-
-    def tagged(df, kind, **cols):
-        return df.select("segment", F.lit(kind).alias("kind"),
-                         *[(F.col(cols[c]) if c in cols else F.lit(None)).cast(t).alias(c) for c, t in none.items()])
-
-    seg = routed.select("segment").distinct()
-    rows = (tagged(index.docs.join(seg, "segment", "left_semi"), 0, start="start", doc_id="doc_id", n_words="n_words")
-            .unionByName(tagged(held, 1, term="term", at="at"))
-            .unionByName(tagged(routed, 2, window="window", item_id="item_id", pos="pos", term_ids="term")))
-
-    def run(batches):
-        unit, docs, lists, starts = None, [], {}, None
-        for batch in batches:
-            cols = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
-            seg, kind = cols["segment"].to_numpy(), cols["kind"].to_numpy()
-            edges = [0, *(np.flatnonzero((seg[1:] != seg[:-1]) | (kind[1:] != kind[:-1])) + 1).tolist(), len(seg)]
-            for s, e in zip(edges, edges[1:]):
-                if s == e:
-                    continue
-                if seg[s] != unit:
-                    unit, docs, lists, starts = seg[s], [], {}, None
-                part = {c: v.slice(s, e - s) for c, v in cols.items()}
-                if kind[s] == 0:
-                    docs.append((part["start"].to_numpy(), part["doc_id"], part["n_words"].to_numpy()))
-                elif kind[s] == 1:
-                    lists |= {t: np.frombuffer(a.as_py(), np.int32).astype(np.int64)
-                              for t, a in zip(part["term"].to_pylist(), part["at"])}
-                else:
-                    if starts is None:
-                        starts = np.concatenate([d[0] for d in docs]).astype(np.int64)
-                        ids = pa.chunked_array([d[1] for d in docs]).combine_chunks()
-                        order = np.argsort(starts, kind="stable")
-                        starts, ids = starts[order], ids.take(pa.array(order))
-                    yield from meet(int(unit), starts, ids, lists, part)
-
-    keys = ("segment", "kind")
-    return (rows.repartition(shuffle_partitions(index.docs.sparkSession), "segment")
-                .sortWithinPartitions(*keys).mapInArrow(run, schema))
-
-
-def _docs_of(starts: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The document row of each position (empty documents share no start: gaps differ)."""
-    return np.searchsorted(starts, at, side="right") - 1
+                 .mapInArrow(cut, "item_id string, terms array<long>").distinct())
+
+
+class _Segment:
+    """A segment's lists, looked up for a block of windows."""
+
+    def __init__(self, row: dict):
+        self.segment = row["segment"]
+        self.terms = np.cumsum(np.frombuffer(row["terms"], np.uint64))
+        self.n = np.frombuffer(row["counts"], np.int32).astype(np.int64)
+        self.first = np.concatenate(([0], np.cumsum(self.n)))
+        self.deltas = np.frombuffer(row["deltas"], np.int32)
+        self.starts = np.array(row["starts"], np.int64)
+        self.doc_ids = pa.array(row["doc_ids"], pa.int64())
+
+    def find(self, vocab: np.ndarray) -> np.ndarray:
+        """Row of each term, -1 where the segment lacks it."""
+        if not len(self.terms):
+            return np.full(len(vocab), -1)
+        at = np.minimum(np.searchsorted(self.terms, vocab), len(self.terms) - 1)
+        return np.where(self.terms[at] == vocab, at, -1)
+
+    def places(self, row: int) -> np.ndarray:
+        return np.cumsum(self.deltas[self.first[row]:self.first[row + 1]], dtype=np.int64)
+
+    def doc_of(self, at: np.ndarray) -> np.ndarray:
+        """Document of each position (documents without words have starts of their own)."""
+        return np.searchsorted(self.starts, at, side="right") - 1
+
+
+def _blocks(windows: DataFrame) -> Iterator[list]:
+    """The windows in blocks by hash, each about ``BLOCK`` at most."""
+    windows = written(windows, "windows")
+    n = windows.count()
+    blocks = -(-n // BLOCK) if n <= BLOCK else -(-n * 5 // (4 * BLOCK))  # room for uneven hashes
+    for b in range(blocks):
+        own = windows if blocks == 1 else windows.filter(F.pmod(F.xxhash64("item_id", "terms"), F.lit(blocks)) == b)
+        yield own.orderBy("item_id", "terms").collect()
+
+
+def _search(index: Index, windows: DataFrame, meet, schema: str) -> DataFrame:
+    """``meet(segment, items, rows, order)`` per segment and block: ``rows`` are the live
+    windows' term rows, ``order`` their terms from the rarest on."""
+    spark = index.segments.sparkSession
+    out = []
+    for block in _blocks(windows):
+        sizes = np.array([len(r["terms"]) for r in block])
+        flat = np.array([t for r in block for t in r["terms"]], np.int64).view(np.uint64)
+        vocab, at = np.unique(flat, return_inverse=True)
+        shared = spark.sparkContext.broadcast(([r["item_id"] for r in block], sizes, vocab, at.astype(np.int32)))
+
+        def run(batches, shared=shared):
+            items, sizes, vocab, at = shared.value
+            offs = np.concatenate(([0], np.cumsum(sizes)))
+            for batch in batches:
+                for row in batch.to_pylist():
+                    seg = _Segment(row)
+                    rows = seg.find(vocab)[at]
+                    for i in np.flatnonzero(np.minimum.reduceat(rows, offs[:-1]) >= 0).tolist():
+                        own = rows[offs[i]:offs[i + 1]]
+                        yield from meet(seg, items[i], own, np.argsort(seg.n[own], kind="stable"))
+
+        out.append(index.segments.drop("n_words").mapInArrow(run, schema))
+    if not out:
+        return spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, out)
 
 
 def phrase_matches(index: Index, windows: DataFrame) -> DataFrame:
     """Exact occurrences: ``(segment, start, doc_id, item_id, first, last)``, word
     positions inside the document, one row per window and place."""
 
-    def meet(segment, starts, ids, lists, part):
-        for item, pos, terms in zip(part["item_id"].to_pylist(), part["pos"].to_pylist(),
-                                    part["term_ids"].to_pylist()):
-            at = None  # candidate places of the window's first word
-            for p, t in zip(pos, terms):
-                own = lists.get(t)
-                if own is None:  # the segment lacks this term
-                    at = ()
-                    break
-                own = own - p
-                if at is None:
-                    at = own
-                elif 8 * len(at) > len(own):
-                    at = at[np.isin(at, own, assume_unique=True)]
-                else:
-                    at = at[own[np.minimum(np.searchsorted(own, at), len(own) - 1)] == at]
-                if not len(at):
-                    break
-            if len(at):
-                doc = _docs_of(starts, at)
-                first = at - starts[doc]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), segment)), pa.array(starts[doc]), ids.take(pa.array(doc)),
-                     pa.array([item] * len(at), pa.string()), pa.array(first),
-                     pa.array(first + len(terms) - 1)],
-                    ["segment", "start", "doc_id", "item_id", "first", "last"])
+    def meet(seg, item, rows, order):
+        at = None  # candidate places of the window's first word
+        for k in order.tolist():
+            own = seg.places(rows[k]) - k
+            at = own if at is None else at[own[np.minimum(np.searchsorted(own, at), len(own) - 1)] == at]
+            if not len(at):
+                return
+        doc = seg.doc_of(at)
+        first = at - seg.starts[doc]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(at), seg.segment)), pa.array(seg.starts[doc]), seg.doc_ids.take(pa.array(doc)),
+             pa.array([item] * len(at), pa.string()), pa.array(first), pa.array(first + len(rows) - 1)],
+            ["segment", "start", "doc_id", "item_id", "first", "last"])
 
-    return _by_segment(index, windows, meet, "segment long, start long, doc_id long, item_id string, first long, last long")
+    return _search(index, windows, meet, "segment long, start long, doc_id long, item_id string, first long, last long")
 
 
 def proximity_matches(index: Index, windows: DataFrame, span: int) -> DataFrame:
-    """Places where all distinct terms of a window lie within ``span`` consecutive words
-    of one document, in any order: ``(doc_id, item_id, first, last)`` with the first such
-    stretch that starts at each occurrence of the rarest term's neighbourhood.
-
-    For every occurrence of the rarest term, the stretches of ``span`` words that contain
-    it are searched; the smallest first position is reported. ``span`` is at most 64.
-    """
+    """``(doc_id, item_id, first, last)``: for every occurrence of a window's rarest term,
+    the first stretch of ``span`` words of the document that holds it and all other
+    distinct terms of the window, in any order. ``span`` is at most 64."""
     if not 1 <= span <= _GAP:
         raise ValueError(f"span must be 1 to {_GAP}")
-
-    def meet(segment, starts, ids, lists, part):
-        for item, terms in zip(part["item_id"].to_pylist(), part["term_ids"].to_pylist()):
-            uniq = list(dict.fromkeys(terms))
-            if any(t not in lists for t in uniq):
-                continue
-            anchors = lists[uniq[0]]
-            found = []
-            for shift in range(span):  # stretch starts at anchor - shift
-                lo = anchors - shift
-                ok = np.ones(len(lo), bool)
-                for t in uniq[1:]:
-                    own = lists[t]
-                    k = np.searchsorted(own, lo)
-                    ok &= (k < len(own)) & (own[np.minimum(k, len(own) - 1)] < lo + span)
-                found.append(np.where(ok, lo, np.iinfo(np.int64).max))
-            best = np.min(found, axis=0) if found else anchors
-            hit = best < np.iinfo(np.int64).max
-            doc = _docs_of(starts, anchors[hit])
-            first = np.maximum(best[hit], starts[doc]) - starts[doc]
-            if len(first):
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(doc)), pa.array([item] * len(first), pa.string()), pa.array(first),
-                     pa.array(best[hit] + span - 1 - starts[doc])], ["doc_id", "item_id", "first", "last"])
-
-    return _by_segment(index, windows, meet, "doc_id long, item_id string, first long, last long").distinct()
+    none = np.iinfo(np.int64).max
+
+    def meet(seg, item, rows, order):
+        uniq = list(dict.fromkeys(rows[order].tolist()))
+        anchors = seg.places(uniq[0])
+        others = [seg.places(r) for r in uniq[1:]]
+        best = np.full(len(anchors), none)
+        for shift in range(span - 1, -1, -1):  # the stretch starts at anchor - shift
+            lo = anchors - shift
+            ok = best == none
+            for own in others:
+                k = np.searchsorted(own, lo)
+                ok &= (k < len(own)) & (own[np.minimum(k, len(own) - 1)] < lo + span)
+            best[ok] = lo[ok]
+        hit = best < none
+        if hit.any():
+            doc = seg.doc_of(anchors[hit])
+            first = best[hit] - seg.starts[doc]
+            yield pa.RecordBatch.from_arrays(
+                [seg.doc_ids.take(pa.array(doc)), pa.array([item] * len(first), pa.string()),
+                 pa.array(np.maximum(first, 0)), pa.array(first + span - 1)], ["doc_id", "item_id", "first", "last"])
+
+    return _search(index, windows, meet, "doc_id long, item_id string, first long, last long").distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str = "doc_id",
@@ -285,8 +257,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10, id_col: st
     rows are each reported. Other columns are not read.
     """
     index = build_index(docs, id_col, text_col)
-    hits = written(phrase_matches(index, written(windows_of(items, width, item_col, item_text), "windows")),
-                   "phrases")
+    hits = written(phrase_matches(index, windows_of(items, width, item_col, item_text)), "phrases")
     # Words covered by the union of the occurrences of one document row.
     spans = hits.select("segment", "start", "first", "last").distinct()
     w = Window.partitionBy("segment", "start").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)

@@ -55,7 +55,7 @@ def test_equals_brute_force_with_few_words_and_small_segments(spark):
     items = [(i, " ".join(rng.choice("abcde") for _ in range(rng.randint(0, 6)))) for i in range(12)] + [(1, "a b a")]
     want = brute(rows, items, 3)
     assert result(contamination(docs(spark, rows), item_table(spark, items), width=3)) == want
-    index = build_index(docs(spark, rows).coalesce(1), segment_words=50)
+    index = build_index(docs(spark, rows).coalesce(1), segment_words=4)
     assert index.docs.select("segment").distinct().count() > 1
     got = phrase_matches(index, windows_of(item_table(spark, items), 3))
     hits = {(r.doc_id, r.item_id) for r in got.collect()}
