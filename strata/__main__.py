@@ -19,8 +19,30 @@ def _source(text: str) -> tuple[str, str]:
     return fmt, path
 
 
+def _show(df) -> None:
+    """Print every row of a report (streamed partition by partition)."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
+def _columns(entries) -> dict[str, dict[str, str]]:
+    """``role.column=name`` entries over the model's own column names."""
+    from strata.plans.lakehouse import DEFAULT_COLUMNS
+
+    out = {role: {c: c for c in cols} for role, cols in DEFAULT_COLUMNS.items()}
+    for entry in entries or ():
+        target, eq, name = entry.partition("=")
+        role, dot, column = target.partition(".")
+        if not (eq and dot and column in out.get(role, {})):
+            raise SystemExit(f"--column {entry}: expected role.column=name, one of "
+                             + ", ".join(f"{r}.{c}" for r, cs in out.items() for c in cs))
+        out[role][column] = name
+    return out
+
+
 def main(argv=None) -> int:
-    from strata.plans.sql_reports import REPORT_SQL
+    from strata.plans.sql_reports import REPORTS
 
     parser = argparse.ArgumentParser(prog="python -m strata")
     sub = parser.add_subparsers(dest="command", required=True)
@@ -31,11 +53,13 @@ def main(argv=None) -> int:
     b.add_argument("--incremental", action="store_true")
     b.add_argument("--splittable", action="store_true",
                    help="JSON-lines and single-line CSV: split large files across tasks")
+    b.add_argument("--column", action="append", metavar="ROLE.COLUMN=NAME",
+                   help="an extract's own name of a model column, e.g. cases.case_id=number")
     b.add_argument("--today", default=None)
     b.add_argument("--rules", default=None,
                    help="YAML file of models/columns/tests (default: the model's 20 rules)")
     r = sub.add_parser("report", help="run a duration report over a built lakehouse")
-    r.add_argument("name", choices=sorted(REPORT_SQL))
+    r.add_argument("name", choices=sorted(REPORTS))
     r.add_argument("--root", required=True)
     r.add_argument("--min-support", type=int, default=3)
     r.add_argument("--out", default=None, help="write the report as Parquet instead of showing it")
@@ -55,10 +79,10 @@ def main(argv=None) -> int:
 
             with open(args.rules, encoding="utf-8") as f:
                 rules = rules_from_spec(f.read())
-        lake = build_lakehouse(spark, sources, args.root, today=args.today, rules=rules,
+        lake = build_lakehouse(spark, sources, args.root, columns=_columns(args.column), today=args.today, rules=rules,
                                incremental=args.incremental, json_array=not args.splittable,
                                csv_multiline=not args.splittable)
-        lake.quality.orderBy("table_name", "column_name", "rule").show(100, truncate=False)
+        _show(lake.quality.orderBy("table_name", "column_name", "rule"))
         return 0
     from strata.plans.lakehouse import open_lakehouse
     from strata.plans.sql_reports import run_report, serve_views
@@ -68,7 +92,7 @@ def main(argv=None) -> int:
     if args.out:
         result.write.mode("overwrite").parquet(args.out)
     else:
-        result.show(50, truncate=False)
+        _show(result)
     return 0
 
 

@@ -176,13 +176,16 @@ def run_suite(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFra
 
 
 def ingestion_checks(source: DataFrame, bronze: DataFrame, required: Sequence[str],
-                     stamp: str = INGESTED_AT) -> DataFrame:
+                     stamp: str = INGESTED_AT, records: DataFrame | None = None) -> DataFrame:
     """Bronze invariants: same row count as the source, stamp column present,
     required columns present. Rows ``(check_name, expected, actual, passed)``.
 
     Both counts come from one aggregate over a tagged union (no join of counts).
+    ``records`` (one row ``n``) is the source's count taken on its raw text, before any
+    parsing; without it the rows of ``source`` are counted.
     """
-    tagged = (source.select(F.lit(1).alias("_s"), F.lit(0).alias("_b"))
+    left = source.select(F.lit(1).alias("_s")) if records is None else records.select(F.col("n").alias("_s"))
+    tagged = (left.select("_s", F.lit(0).alias("_b"))
               .unionByName(bronze.select(F.lit(0).alias("_s"), F.lit(1).alias("_b"))))
     counts = tagged.agg(F.sum("_s").cast("bigint").alias("_src"),
                         F.sum("_b").cast("bigint").alias("_brz"))

@@ -6,14 +6,14 @@ cleaning belong to silver.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.constants import INGESTED_AT
 from strata.sinks.writers import batch_timestamp, write_bronze
-from strata.sources.text_files import read_csv_text, read_json_text
+from strata.sources.text_files import Columns, count_records, read_csv_text, read_json_text
 
 
 @dataclass
@@ -23,30 +23,33 @@ class Ingested:
     bronze: DataFrame   # the written bronze table, read back
     rows: int           # rows written (observed during the write)
     path: str
+    records: DataFrame | None = None  # (n): records counted on the raw text
 
 
-def read_source(spark: SparkSession, fmt: str, path: str, columns: Sequence[str] | None = None,
-                json_array: bool = True, csv_multiline: bool = True) -> DataFrame:
+def read_source(spark: SparkSession, fmt: str, path: str, columns: Columns | None = None,
+                json_array: bool = True, csv_multiline: bool = True,
+                on_malformed: str = "fail") -> DataFrame:
     if fmt == "csv":
-        return read_csv_text(spark, path, columns, multiline=csv_multiline)
+        return read_csv_text(spark, path, columns, multiline=csv_multiline, on_malformed=on_malformed)
     if fmt == "json":
-        return read_json_text(spark, path, columns, array=json_array)
+        return read_json_text(spark, path, columns, array=json_array, on_malformed=on_malformed)
     raise ValueError(f"unsupported source format {fmt!r}")
 
 
 def ingest_file(spark: SparkSession, fmt: str, source_path: str, bronze_path: str,
-                columns: Sequence[str] | None = None, batch_ts: str | None = None,
+                columns: Columns | None = None, batch_ts: str | None = None,
                 json_array: bool = True, csv_multiline: bool = True,
-                name: str | None = None) -> Ingested:
+                name: str | None = None, on_malformed: str = "fail") -> Ingested:
     """Ingest one extract into bronze and hand back both sides for checks."""
-    src = read_source(spark, fmt, source_path, columns, json_array, csv_multiline)
+    src = read_source(spark, fmt, source_path, columns, json_array, csv_multiline, on_malformed)
     rows = write_bronze(src, bronze_path, batch_ts)
     return Ingested(name or bronze_path.rsplit("/", 1)[-1], src,
-                    spark.read.parquet(bronze_path), rows, bronze_path)
+                    spark.read.parquet(bronze_path), rows, bronze_path,
+                    count_records(spark, fmt, source_path, json_array, csv_multiline))
 
 
 def ingest_all(spark: SparkSession, sources: Mapping[str, tuple[str, str]], bronze_dir: str,
-               columns: Mapping[str, Sequence[str]] | None = None, json_array: bool = True,
+               columns: Mapping[str, Columns] | None = None, json_array: bool = True,
                csv_multiline: bool = True) -> dict[str, Ingested]:
     """Ingest ``name → (format, path)`` in the given order into ``bronze_dir/<name>``.
 
@@ -62,6 +65,3 @@ def ingest_all(spark: SparkSession, sources: Mapping[str, tuple[str, str]], bron
                                 json_array=json_array, csv_multiline=csv_multiline, name=name)
     return out
 
-
-def drop_stamp(df: DataFrame, stamp: str = INGESTED_AT) -> DataFrame:
-    return df.drop(stamp)

@@ -10,11 +10,16 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.constants import INGESTED_AT, STATUS_CLOSED, STATUS_OPEN
 from strata.operators import quality as Q
 from strata.plans.ingest import Ingested, ingest_all
+from strata.functions import safe_int
 from strata.plans.medallion import build_medallion
+from strata.session import apply_sizes, input_bytes
+from strata.sources.text_files import Columns
+from strata.streaming.bronze_stream import EXTRACT
 
 ROLES = ("cases", "districts", "classes", "events")
 
@@ -64,8 +69,24 @@ DEFAULT_COLUMNS = {
 }
 
 
+#: The key of each role's rows; of a key the rows of the newest extract count.
+KEYS = {"cases": "case_id", "districts": "district_id", "classes": "class_id"}
+
+
+def newest_per_key(bronze: DataFrame, key: str, extract: str = EXTRACT) -> DataFrame:
+    """Rows of the newest extract (a file) that has their key (all of them: one extract may
+    hold a key in several spellings). Rows without a readable key are kept.
+
+    The newest extract per key is a partially aggregated maximum, joined back on the key.
+    """
+    keyed = bronze.withColumn("_key", safe_int(key, "bigint"))
+    newest = keyed.groupBy("_key").agg(F.max(extract).alias("_newest")).filter(F.col("_key").isNotNull())
+    return (keyed.join(newest, "_key", "left")
+                 .filter(F.col("_key").isNull() | (F.col(extract) == F.col("_newest"))).drop("_key", "_newest"))
+
+
 def land_incremental(spark: SparkSession, sources: Mapping[str, tuple[str, str]], root: str,
-                     columns: Mapping[str, Sequence[str]] | None = None, json_array: bool = True,
+                     columns: Mapping[str, Columns] | None = None, json_array: bool = True,
                      csv_multiline: bool = True) -> dict[str, DataFrame]:
     """Land every role's landing folder into bronze with the streaming ingestion
     (only files not seen before are read; the checkpoints live under ``root``)."""
@@ -85,28 +106,32 @@ def land_incremental(spark: SparkSession, sources: Mapping[str, tuple[str, str]]
 
 
 def build_lakehouse(spark: SparkSession, sources: Mapping[str, tuple[str, str]], root: str,
-                    columns: Mapping[str, Sequence[str]] | None = None, today=None,
+                    columns: Mapping[str, Columns] | None = None, today=None,
                     rules: Sequence[Q.Rule] | None = None, incremental: bool = False,
                     json_array: bool = True, csv_multiline: bool = True) -> Lakehouse:
     """``sources`` maps each role (cases, districts, classes, events) to
     ``(format, path)``; layers are written under ``root/bronze`` and ``root/model``.
 
-    ``incremental`` treats each path as a landing folder: new extracts are appended
-    to bronze by the streaming ingestion, then silver and gold are fully rebuilt
-    from the whole of bronze (the model is a full refresh either way).
+    ``columns`` maps a role's model columns to the names in its extract (or lists them if
+    they are the same); binding is by name, whatever the order.
+
+    ``incremental`` treats each path as a landing folder of snapshots: new extracts are
+    appended to bronze by the streaming ingestion, then silver and gold are rebuilt from
+    the newest rows of every key (events: from all of them, distinct).
     ``json_array`` / ``csv_multiline``: set False for JSON-lines and single-line CSV
-    so large extracts split across tasks.
+    so large extracts split across tasks. Splits and shuffles are sized from the extracts.
     """
+    apply_sizes(spark, input_bytes(spark, [path for _, path in sources.values()]))
+    bronze: dict[str, Ingested] = {}
     if incremental:
         landed = land_incremental(spark, sources, root, columns, json_array, csv_multiline)
-        frames = {r: df.drop(INGESTED_AT) for r, df in landed.items()}
-        tables = build_medallion(frames, f"{root.rstrip('/')}/model", today=today,
-                                 quarantine=True)
-        quality = Q.run_suite(tables, list(rules) if rules is not None else default_rules())
-        return Lakehouse({}, tables, quality)
-    bronze = ingest_all(spark, {r: sources[r] for r in ROLES if r in sources},
-                        f"{root.rstrip('/')}/bronze", columns, json_array, csv_multiline)
-    frames = {r: bronze[r].bronze.drop(INGESTED_AT) for r in bronze}
+        frames = {r: (newest_per_key(df, KEYS[r]) if r in KEYS else df).drop(INGESTED_AT, EXTRACT)
+                  for r, df in landed.items()}
+    else:
+        names = dict(DEFAULT_COLUMNS, **(columns or {}))
+        bronze = ingest_all(spark, {r: sources[r] for r in ROLES if r in sources},
+                            f"{root.rstrip('/')}/bronze", names, json_array, csv_multiline)
+        frames = {r: bronze[r].bronze.drop(INGESTED_AT) for r in bronze}
     tables = build_medallion(frames, f"{root.rstrip('/')}/model", today=today, quarantine=True)
     quality = Q.run_suite(tables, list(rules) if rules is not None else default_rules())
     return Lakehouse(bronze, tables, quality)

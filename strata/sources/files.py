@@ -1,4 +1,4 @@
-"""File-level audits: on-disk size per format and per-column Parquet footprint."""
+"""File-level audit: on-disk size per format."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -37,57 +36,3 @@ def file_sizes(spark: SparkSession, locations: Mapping[str, tuple[str, str]]) ->
         F.sum("file_size").cast("bigint").alias("bytes"),
         F.count(F.lit(1)).alias("n_files"))
 
-
-FOOTPRINT_SCHEMA = T.StructType([
-    T.StructField("file_path", T.StringType()),
-    T.StructField("column_name", T.StringType()),
-    T.StructField("compression", T.StringType()),
-    T.StructField("compressed_bytes", T.LongType()),
-    T.StructField("uncompressed_bytes", T.LongType()),
-])
-
-
-def storage_footprint(spark: SparkSession, path: str, by_file: bool = False) -> DataFrame:
-    """Per-column compressed and uncompressed bytes of a Parquet dataset.
-
-    Files are listed without being read, spread over tasks in proportion to their
-    number, and each task opens only the footers of its files (Arrow, inside
-    ``mapInPandas``); the per-column totals are a grouped sum.
-    """
-    columns = [f.name for f in FOOTPRINT_SCHEMA.fields]
-
-    # Self-contained (no module-level references) so it is shipped to the Python
-    # workers by value and needs nothing installed there beyond pyarrow/pandas.
-    def read_footers(batches):
-        import pandas as pd
-        import pyarrow.fs as pafs
-        import pyarrow.parquet as pq
-
-        for batch in batches:
-            rows = []
-            for uri in batch["file_path"]:
-                if "://" in uri and not uri.startswith("file:"):
-                    fs, p = pafs.FileSystem.from_uri(uri)
-                    meta = pq.ParquetFile(fs.open_input_file(p)).metadata
-                else:
-                    meta = pq.ParquetFile(uri[len("file:"):] if uri.startswith("file:") else uri).metadata
-                for rg in range(meta.num_row_groups):
-                    group = meta.row_group(rg)
-                    for ci in range(group.num_columns):
-                        col = group.column(ci)
-                        rows.append((uri, col.path_in_schema, col.compression,
-                                     col.total_compressed_size, col.total_uncompressed_size))
-            yield pd.DataFrame(rows, columns=columns)
-
-    files = list_files(spark, path, "*.parquet").select("file_path")
-    # About 32 footers per task (a listing count, no file is read), capped by the
-    # shuffle-partition setting: a million files spread wide, one file is one task.
-    n_files = files.count()
-    n = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_files // 32)))
-    per_file = files.repartition(n, "file_path").mapInPandas(read_footers, FOOTPRINT_SCHEMA)
-    if by_file:
-        return per_file
-    return per_file.groupBy("column_name", "compression").agg(
-        F.sum("compressed_bytes").alias("compressed_bytes"),
-        F.sum("uncompressed_bytes").alias("uncompressed_bytes"),
-        F.count(F.lit(1)).alias("n_chunks"))

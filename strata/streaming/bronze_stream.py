@@ -9,31 +9,47 @@ output exactly-once even when a batch is retried after an executor loss.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.constants import INGESTED_AT, PANDAS_NA_TOKENS
-from strata.sources.text_files import null_tokens_to_null, text_schema
+from strata.sources.text_files import (CORRUPT, Columns, checked, column_mapping, csv_header, null_tokens_to_null,
+                                       renamed, surplus_fields, text_schema, unreadable_json)
 
+EXTRACT = "_extract"
 UTC_CLOCK = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def read_landing(spark: SparkSession, fmt: str, landing_dir: str, columns: Sequence[str],
+def read_landing(spark: SparkSession, fmt: str, landing_dir: str, columns: Columns,
                  json_array: bool = True, csv_multiline: bool = True,
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming text read of a landing folder (schema fixed: every column a string)."""
-    reader = spark.readStream.schema(text_schema(columns))
+    """Streaming text read of a landing folder, every column a string, bound by name.
+
+    The header of the files that have landed fixes the CSV columns; a later file with
+    another header, a record with surplus fields and unreadable JSON fail the batch.
+    ``EXTRACT`` orders the extracts: modification time, then name, of a row's file.
+    """
+    mapping = column_mapping(columns)
+    reader = (spark.readStream.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    extract = F.concat(F.date_format("_metadata.file_modification_time", UTC_CLOCK), F.lit(" "),
+                       F.col("_metadata.file_name")).alias(EXTRACT)
     if fmt == "csv":
-        df = (reader.option("header", True).option("multiLine", csv_multiline)
-              .option("escape", '"').csv(landing_dir))
-        return null_tokens_to_null(df, PANDAS_NA_TOKENS)
+        header = csv_header(spark, landing_dir, csv_multiline)
+        missing = [c for c in mapping.values() if c not in header]
+        if missing:
+            raise ValueError(f"columns {missing} are not in the header {header} of {landing_dir}")
+        df = (reader.schema(text_schema([*header, CORRUPT])).option("header", True).option("enforceSchema", False)
+              .option("multiLine", csv_multiline).option("escape", '"').csv(landing_dir)).select("*", extract)
+        df = renamed(checked(df, surplus_fields(len(header)), "CSV", "fail"), mapping)
+        return null_tokens_to_null(df, PANDAS_NA_TOKENS, [c for c in df.columns if c != EXTRACT])
     if fmt == "json":
-        return reader.option("multiLine", json_array).json(landing_dir)
+        names = list(mapping.values())
+        df = (reader.schema(text_schema([*names, CORRUPT])).option("multiLine", json_array).json(landing_dir)
+              .select("*", extract))
+        return renamed(checked(df, unreadable_json(names), "JSON", "fail"), mapping)
     raise ValueError(f"unsupported source format {fmt!r}")
 
 
@@ -47,7 +63,7 @@ def stamp_batches(df: DataFrame, stamp: str = INGESTED_AT) -> DataFrame:
     return df.withColumn(stamp, F.concat(F.date_format(utc, UTC_CLOCK), F.lit("+00:00")))
 
 
-def start_bronze_stream(spark: SparkSession, fmt: str, landing_dir: str, columns: Sequence[str],
+def start_bronze_stream(spark: SparkSession, fmt: str, landing_dir: str, columns: Columns,
                         bronze_path: str, checkpoint_path: str, available_now: bool = True,
                         processing_time: str | None = None, **read_options) -> StreamingQuery:
     """Start the ingestion query.
@@ -66,7 +82,7 @@ def start_bronze_stream(spark: SparkSession, fmt: str, landing_dir: str, columns
     return writer.start()
 
 
-def ingest_available(spark: SparkSession, fmt: str, landing_dir: str, columns: Sequence[str],
+def ingest_available(spark: SparkSession, fmt: str, landing_dir: str, columns: Columns,
                      bronze_path: str, checkpoint_path: str, **read_options) -> DataFrame:
     """Run one incremental pass to completion and return the bronze table."""
     q = start_bronze_stream(spark, fmt, landing_dir, columns, bronze_path, checkpoint_path,

@@ -63,10 +63,10 @@ def test_profiles(spark):
 
 
 def test_spelling_variants(spark):
-    df = spark.createDataFrame([(2, "Execução Fiscal"), (2, "EXECUCAO FISCAL"), (2, "EXECUCAO FISCAL"),
+    df = spark.createDataFrame([(2, "Cobrança Estadual"), (2, "COBRANCA ESTADUAL"), (2, "COBRANCA ESTADUAL"),
                                 (1, "Ação")], "k int, name string")
     got = sorted(tuple(r) for r in P.spelling_variants(df, "k", "name").collect())
-    assert got == [(2, "EXECUCAO FISCAL", 2, 2), (2, "Execução Fiscal", 1, 2)]
+    assert got == [(2, "COBRANCA ESTADUAL", 2, 2), (2, "Cobrança Estadual", 1, 2)]
 
 
 def test_schema_drift(spark):

@@ -2,7 +2,7 @@ import json
 import os
 
 from strata.plans.ingest import ingest_file
-from strata.sources import file_sizes, read_csv_text, read_json_text, storage_footprint
+from strata.sources import file_sizes, read_csv_text, read_json_text
 from tests.conftest import FIXTURES, SF_SMALL
 
 
@@ -40,18 +40,6 @@ def test_ingest_preserves_rows_and_stamps(spark, tmp_dir):
     assert set(out.bronze.columns) >= {"case_id", "opened", "closed"}
 
 
-def test_file_sizes_and_footprint(spark, tmp_dir):
-    sizes = {r.dataset: (r.format, r.bytes, r.n_files) for r in file_sizes(
-        spark, {"csv": ("csv", FIXTURES), "pq": ("parquet", f"{SF_SMALL}/nation.parquet")}).collect()}
-    assert sizes["csv"][0] == "csv" and sizes["csv"][1] == os.path.getsize(
-        os.path.join(FIXTURES, "cases.csv")) + sum(
-        os.path.getsize(os.path.join(FIXTURES, f)) for f in ("districts.csv", "classes.csv"))
-    assert sizes["pq"][1] == os.path.getsize(f"{SF_SMALL}/nation.parquet")
-    fp = {r.column_name: r for r in storage_footprint(spark, f"{SF_SMALL}/nation.parquet").collect()}
-    assert set(fp) == {"n_nationkey", "n_name", "n_regionkey"}
-    assert all(r.uncompressed_bytes > 0 for r in fp.values())
-
-
 def test_catalog_path_sql_and_views(spark, tmp_dir):
     from strata.sinks import register_view, write_table
     from strata.sources import SourceCatalog, parquet_path_sql
@@ -81,3 +69,41 @@ def test_preview(spark):
     assert [r.o_orderkey for r in top] == sorted((r.o_orderkey for r in df.collect()), reverse=True)[:3]
     plan = preview(df, 3, [F.col("o_orderkey").desc()])._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_csv_is_bound_by_name_and_malformed_records_do_not_vanish(spark, tmp_dir):
+    import pytest
+
+    from strata.sources import count_records
+    from strata.sources.text_files import CORRUPT
+
+    path = os.path.join(tmp_dir, "m.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write('b,a,extra\n1,2,3\n4,5,6,7\n8\n"x, ""y""",9,\n')
+    with pytest.raises(Exception, match="4,5,6,7"):
+        read_csv_text(spark, path, ["a", "b"]).collect()
+    got = read_csv_text(spark, path, {"A": "a", "B": "b"}, on_malformed="quarantine")
+    assert got.columns[:2] == ["A", "B"] and "extra" in got.columns
+    rows = {(r.A, r.B, r[CORRUPT]) for r in got.collect()}
+    assert rows == {("2", "1", None), ("5", "4", "4,5,6,7"), (None, "8", None), ("9", 'x, "y"', None)}
+    with pytest.raises(ValueError, match="not in the header"):
+        read_csv_text(spark, path, ["a", "zzz"])
+    assert count_records(spark, "csv", path).first().n == count_records(spark, "csv", path, multiline=False).first().n == 4
+
+
+def test_json_is_bound_by_key_and_broken_records_fail(spark, tmp_dir):
+    import pytest
+
+    from strata.sources import count_records
+
+    path = os.path.join(tmp_dir, "m.json")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write('{"k": 1, "v": "a"}\n{"v": "b", "k": 2}\n')
+    assert sorted(map(tuple, read_json_text(spark, path, {"id": "k"}, array=False).collect())) == [("1",), ("2",)]
+    with pytest.raises(Exception, match="malformed JSON"):
+        read_json_text(spark, path, ["other"], array=False).collect()
+    with open(path, "a", encoding="utf-8") as f:
+        f.write("{broken\n")
+    with pytest.raises(Exception, match="broken"):
+        read_json_text(spark, path, ["k", "v"], array=False).collect()
+    assert count_records(spark, "json", path, array=False).first().n == 3
