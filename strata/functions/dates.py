@@ -28,6 +28,3 @@ def is_weekend(d) -> Column:
     """Saturday or Sunday (``weekday`` is Monday=0 … Sunday=6)."""
     return F.weekday(as_col(d)).isin(5, 6)
 
-
-def as_bigint_part(fn, d) -> Column:
-    return fn(as_col(d)).cast("bigint")

@@ -33,12 +33,19 @@ def calendar(cases: DataFrame, open_col: str, close_col: str, today=None,
              date_col: str = "cal_date") -> DataFrame:
     """Every day between the bounds (inclusive) with its attributes.
 
-    The scalar bounds are computed by a global aggregate (partial per task) and
-    expanded with ``sequence``; nothing is collected to the driver. The result is
-    bounded by the date span (≈366 rows per year), so it is safe to broadcast.
+    The bounds come from a global aggregate (partial per task); nothing is collected. They
+    are expanded to years, the years are spread over tasks, and each task expands its years
+    to days: one mistyped year (``12025``) makes a long calendar, not a huge row. No size
+    is assumed: joins choose by statistics.
     """
-    days = (calendar_bounds(cases, open_col, close_col, today, bounds)
-            .select(F.explode(F.sequence("lo", "hi")).alias(date_col)))
+    spark = cases.sparkSession
+    years = (calendar_bounds(cases, open_col, close_col, today, bounds)
+             .select("lo", "hi", F.explode(F.sequence(F.year("lo"), F.year("hi"))).alias("_y")))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first = F.make_date("_y", F.lit(1), F.lit(1))
+    last = F.make_date("_y", F.lit(12), F.lit(31))
+    days = (years.repartition(n, "_y")
+                 .select(F.explode(F.sequence(F.greatest("lo", first), F.least("hi", last))).alias(date_col)))
     d = F.col(date_col)
     return days.select(
         d,

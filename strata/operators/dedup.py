@@ -46,6 +46,8 @@ def keep_preferred(df: DataFrame, key: str | Sequence[str], order: Sequence) ->
     keys = [key] if isinstance(key, str) else list(key)
     payload = [c for c in df.columns if c not in keys]
     tiebreak = list(order) + [F.col(c) for c in payload]
+    # Exact copies go first: a distinct hashes, while a minimum over text sorts its rows.
+    df = df.distinct()
     best = F.min(F.struct(*_sort_fields(tiebreak), *[F.col(c).alias(f"_p_{c}") for c in payload]))
     out = df.groupBy(*keys).agg(best.alias("_best"))
     return out.select(*keys, *[F.col(f"_best._p_{c}").alias(c) for c in payload]).select(*df.columns)

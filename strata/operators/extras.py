@@ -110,8 +110,15 @@ def keep_latest(df: DataFrame, key: str | Sequence[str], recency: str) -> DataFr
 
 def upsert_snapshot(current: DataFrame, updates: DataFrame, key: str, version_col: str) -> DataFrame:
     """Apply a batch of changed rows to an accumulating-snapshot table: for every key
-    the row with the newest ``version_col`` wins."""
-    return keep_latest(current.unionByName(updates), key, version_col)
+    the row with the newest ``version_col`` wins.
+
+    Rows whose key is not in the batch pass through an anti-join with the batch's keys;
+    only the touched rows and the batch are grouped.
+    """
+    keys = updates.select(F.col(key).alias("_k")).distinct()
+    same = current[key].eqNullSafe(keys["_k"])
+    touched = current.join(keys, same, "left_semi").unionByName(updates)
+    return current.join(keys, same, "left_anti").unionByName(keep_latest(touched, key, version_col))
 
 
 # --- type-2 history ------------------------------------------------------------------------------

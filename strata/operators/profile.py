@@ -99,11 +99,6 @@ def schema_drift(before: DataFrame, after: DataFrame) -> DataFrame:
     return side(before, "before").join(side(after, "after"), "column_name", "full")
 
 
-def iso_like(c) -> "F.Column":
-    """True when text looks like an ISO date (same test the parser uses)."""
-    return F.regexp_like(as_col(c), F.lit(ISO_LIKE))
-
-
 def profile_summary(cases: DataFrame, districts: DataFrame, classes: DataFrame,
                     case_key: str = "case_id", open_col: str = "opened",
                     district_key: str = "district_id", class_key: str = "class_id",

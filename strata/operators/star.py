@@ -1,7 +1,7 @@
 """Star-schema operators: fact build, dimension joins, role-playing calendar.
 
-Join strategy. Dimensions whose size is bounded by construction (the calendar,
-literal code tables) are broadcast explicitly. Every other dimension is joined
+Join strategy. Dimensions whose size is bounded by construction (literal code tables)
+may be broadcast explicitly. Every other dimension, the calendar too, is joined
 declaratively: Catalyst broadcasts it when file statistics are under
 ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans a sort-merge join into a
 broadcast join at runtime when the materialised side turns out small — a size
@@ -86,4 +86,4 @@ def role_dim(calendar_df: DataFrame, role_col: str, date_col: str = "cal_date",
     if prefix:
         cal = cal.select(*[F.col(c).alias(f"{prefix}_{c}") for c in cal.columns])
         date_col = f"{prefix}_{date_col}"
-    return Dim(cal, role_col, date_col, bounded=True)
+    return Dim(cal, role_col, date_col)

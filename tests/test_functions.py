@@ -58,7 +58,7 @@ def test_title_case(spark):
 
 
 def test_is_shouting(spark):
-    got = one_col(spark, ["EXECUCAO FISCAL", "Execução Fiscal", None], is_shouting)
+    got = one_col(spark, ["COBRANCA ESTADUAL", "Cobrança Estadual", None], is_shouting)
     assert got == [True, False, None]
 
 
@@ -94,5 +94,24 @@ def test_sized_conf_scales_from_tiny_to_huge():
     huge = sized_conf(100 * 1024 ** 4, 8000)
     assert huge["spark.sql.files.maxPartitionBytes"] == str(128 * MIB)
     assert huge["spark.hadoop.parquet.block.size"] == str(128 * MIB)
-    assert huge["spark.sql.shuffle.partitions"] == "100000"
+    assert huge["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // (256 * MIB))
     assert huge["spark.sql.files.openCostInBytes"] == str(4 * MIB)
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    import pytest
+
+    from strata.session import ensure_checkpoint_dir, is_local
+
+    class Session:
+        def __init__(self, master):
+            self.sparkContext = self
+            self.master, self.conf = master, {}
+
+        def getCheckpointDir(self):
+            return None
+
+    assert all(is_local(Session(m)) for m in ("local", "local[4]", "local[*]"))
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]", "k8s://h"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(Session(master))
