@@ -1,68 +1,43 @@
-"""DuckDB SQL equivalents of ``bound_queries`` (the correctness oracle).
-
-Queries whose output is not deterministic across engines (file sizes, Parquet
-footer bytes) have no entry here and get a rows-only check.
-"""
+"""DuckDB SQL equivalents of ``bound_queries`` (the correctness oracle)."""
 
 from __future__ import annotations
 
-from strata.plans.bound_queries import RULES
-from strata.plans.tpch_sql import with_ctes
+from strata.plans.tpch_sql import calendar, with_ctes
 
 SQL: dict[str, str] = {}
 
-SQL["duration_by_district_class_year"] = with_ctes(
-    "fact_cases", "dim_district", "dim_class", "dim_calendar") + """
-select dd.district_name, dc.class_name, t.cal_year,
-       count(*) as n_closed, round(avg(f.duration_days), 1) as avg_days
-from fact_cases f
-join dim_district dd on f.district_id = dd.district_id
-join dim_class dc on f.class_id = dc.class_id
-join dim_calendar t on f.opened = t.cal_date
-where f.duration_days is not null
-group by 1, 2, 3 order by 1, 2, 3"""
-
-SQL["duration_by_district_year"] = with_ctes("fact_cases", "dim_district", "dim_calendar") + """
-select dd.district_name, t.cal_year, count(*) as n_closed, round(avg(f.duration_days), 1) as avg_days
-from fact_cases f
-join dim_district dd on f.district_id = dd.district_id
-join dim_calendar t on f.opened = t.cal_date
-where f.duration_days is not null
-group by 1, 2 order by 1, 2"""
-
-SQL["duration_by_court_min_support"] = with_ctes("fact_cases", "dim_district") + """
-select dd.district_name, f.court_id, count(*) as n_closed, round(avg(f.duration_days), 1) as avg_days
-from fact_cases f join dim_district dd on f.district_id = dd.district_id
-where f.duration_days is not null
-group by 1, 2 having count(*) >= 3 order by avg_days desc"""
+
+def _mean_by(keys: str, source: str, support: int = 1) -> str:
+    """Closed cases and their mean duration per key combination."""
+    return (f"select {keys}, count(duration_days) as n_closed, "
+            f"round(sum(duration_days) / count(duration_days), 1) as avg_days "
+            f"from {source} group by all having count(duration_days) >= {support}")
+
+
+_BY_DISTRICT = "fact_cases join dim_district using (district_id)"
+_OPENED = "join (select cal_date as opened, cal_year from dim_calendar) using (opened)"
+_CLOSED = "join (select cal_date as closed, cal_year from dim_calendar) using (closed)"
+
+SQL["duration_by_district_class_year"] = with_ctes("fact_cases", "dim_district", "dim_class", "dim_calendar") + _mean_by(
+    "district_name, class_name, cal_year", f"{_BY_DISTRICT} join dim_class using (class_id) {_OPENED}")
+SQL["duration_by_district_year"] = with_ctes("fact_cases", "dim_district", "dim_calendar") + _mean_by(
+    "district_name, cal_year", f"{_BY_DISTRICT} {_OPENED}")
+SQL["duration_by_court_min_support"] = with_ctes("fact_cases", "dim_district") + _mean_by(
+    "district_name, court_id", _BY_DISTRICT, 3)
+SQL["close_role_by_year"] = with_ctes("fact_cases", "dim_calendar") + _mean_by("cal_year", f"fact_cases {_CLOSED}")
 
 SQL["court_key_not_unique"] = with_ctes("fact_cases") + """
-select court_id, count(*) as n_cases, count(distinct district_id) as n_districts
-from fact_cases where duration_days is not null group by 1 order by 1"""
-
-SQL["grain_mean"] = with_ctes("fact_cases") + """
-select count(*) as n_rows, round(avg(duration_days), 1) as mean_days
-from fact_cases where duration_days is not null"""
-
-SQL["fanout_mean"] = with_ctes("fact_cases", "stg_events") + """
-select count(*) as n_rows, round(avg(f.duration_days), 1) as mean_days
-from fact_cases f join stg_events e on e.case_id = f.case_id
-where f.duration_days is not null"""
-
-SQL["grain_report"] = with_ctes("fact_cases", "stg_events") + """
-select (select count(*) from fact_cases where duration_days is not null) as grain_rows,
-       (select round(avg(duration_days), 1) from fact_cases where duration_days is not null)
-         as grain_mean,
-       (select count(*) from fact_cases f join stg_events e on e.case_id = f.case_id
-         where f.duration_days is not null) as fanout_rows,
-       (select round(avg(f.duration_days), 1) from fact_cases f
-         join stg_events e on e.case_id = f.case_id where f.duration_days is not null)
-         as fanout_mean"""
-
-SQL["close_role_by_year"] = with_ctes("fact_cases", "dim_calendar") + """
-select t.cal_year, count(*) as n_closed, round(avg(f.duration_days), 1) as avg_days
-from fact_cases f join dim_calendar t on f.closed = t.cal_date
-where f.duration_days is not null group by 1 order by 1"""
+select court_id, cast(sum(n) as bigint) as n_cases, count(*) as n_districts
+from (select court_id, district_id, count(duration_days) as n from fact_cases group by all having count(duration_days) > 0)
+group by court_id"""
+
+_GRAIN = "select count(duration_days) as n_rows, round(avg(duration_days), 1) as mean_days from fact_cases"
+_FANOUT = "select count(duration_days) as n_rows, round(avg(duration_days), 1) as mean_days from fact_cases join stg_events using (case_id)"
+SQL["grain_mean"] = with_ctes("fact_cases") + _GRAIN
+SQL["fanout_mean"] = with_ctes("fact_cases", "stg_events") + _FANOUT
+SQL["grain_report"] = with_ctes("fact_cases", "stg_events") + f"""
+select g.n_rows as grain_rows, g.mean_days as grain_mean, f.n_rows as fanout_rows, f.mean_days as fanout_mean
+from ({_GRAIN}) g, ({_FANOUT}) f"""
 
 SQL["calendar_dim"] = with_ctes("dim_calendar") + "select * from dim_calendar"
 SQL["fact_cases"] = with_ctes("fact_cases") + "select * from fact_cases"
@@ -74,14 +49,11 @@ SQL["dim_district"] = with_ctes("dim_district") + "select * from dim_district"
 SQL["dim_class"] = with_ctes("dim_class") + "select * from dim_class"
 SQL["clean_names"] = """
 select p_partkey as part_id,
-       array_to_string(list_transform(string_split(lower(trim(
-         case when p_partkey % 3 = 0 then '  ' || upper(p_name) || ' '
-              when p_partkey % 3 = 1 then upper(p_name) else p_name end)), ' '),
-         lambda w: upper(w[1]) || w[2:]), ' ') as part_name
+       array_to_string([upper(left(w, 1)) || lower(substr(w, 2)) for w in string_split(p_name, ' ')], ' ') as part_name
 from part"""
 SQL["case_number"] = with_ctes("stg_cases") + """
-select case_id, district_id,
-       printf('%07d-25.2026.8.12.%04d', case_id % 10000000, district_id) as case_number
+select case_id, district_id, lpad(cast(case_id % 10000000 as varchar), 7, '0') || '-25.2026.8.12.'
+       || lpad(cast(district_id as varchar), 4, '0') as case_number
 from stg_cases"""
 
 SQL["norm_courts"] = with_ctes("vara") + "select * from vara"
@@ -104,23 +76,12 @@ union all select 'movimentacao', count(*) from movimentacao"""
 SQL["event_union"] = with_ctes("event_union") + "select * from event_union"
 SQL["first_close_event"] = with_ctes("closure") + "select * from closure"
 
-_EVENTS_BY_COURT = """
-select c.district_name, v.court_name, count(*) as n_closed,
-       round(avg(date_diff('day', p.opened, b.closed)), 1) as avg_days
-from processo p
-join vara v on v.court_id = p.court_id
-join comarca c on c.district_id = v.district_id
-join closure b on b.case_id = p.case_id
-where p.opened is not null and b.closed >= p.opened
-group by 1, 2 having count(*) >= 3"""
-SQL["duration_from_events"] = with_ctes("processo", "vara", "comarca", "closure") + \
-    _EVENTS_BY_COURT + " order by avg_days desc"
-
-_GOLD_BY_COURT = """
-select dd.district_name, cast(f.court_id as varchar) || 'ª Vara' as court_name,
-       count(*) as n_closed, round(avg(f.duration_days), 1) as avg_days
-from fact_cases f join dim_district dd on f.district_id = dd.district_id
-where f.duration_days is not null group by 1, 2 having count(*) >= 3"""
+_EVENTS_BY_COURT = _mean_by(
+    "district_name, court_name",
+    "(select *, date_diff('day', opened, closed) as duration_days from processo join vara using (court_id) "
+    "join comarca using (district_id) join closure using (case_id) where closed >= opened)", 3)
+SQL["duration_from_events"] = with_ctes("processo", "vara", "comarca", "closure") + _EVENTS_BY_COURT
+_GOLD_BY_COURT = _mean_by("district_name, court_id || 'ª Vara' as court_name", _BY_DISTRICT, 3)
 SQL["events_equal_gold"] = with_ctes("fact_cases", "dim_district", "processo", "vara", "comarca",
                                      "closure") + f""",
 g as ({_GOLD_BY_COURT}),
@@ -128,32 +89,35 @@ e as ({_EVENTS_BY_COURT})
 select (select count(*) from (select * from g except all select * from e)) as only_in_gold,
        (select count(*) from (select * from e except all select * from g)) as only_in_events"""
 
-def _rule_sql(r) -> str:
-    t, c = r.table, r.column
-    if r.kind == "not_null":
-        v = f"(select count(*) from {t} where {c} is null)"
-    elif r.kind == "unique":
-        v = (f"(select count(*) from (select {c} from {t} where {c} is not null "
-             f"group by {c} having count(*) > 1))")
-    elif r.kind == "accepted_values":
-        vals = ", ".join("'" + x.replace("'", "''") + "'" for x in r.values)
-        v = f"(select count(distinct {c}) from {t} where {c} is not null and {c} not in ({vals}))"
-    else:
-        v = (f"(select count(*) from {t} ch left join {r.to_table} pa on ch.{c} = pa.{r.to_column}"
-             f" where ch.{c} is not null and pa.{r.to_column} is null)")
-    return (f"select '{t}' as table_name, '{c}' as column_name, '{r.kind}' as rule, "
-            f"cast({v} as bigint) as violations, {v} = 0 as passed")
-
-def _suite_sql(kinds=None) -> str:
-    rules = [r for r in RULES if kinds is None or r.kind in kinds]
-    ctes = sorted({r.table for r in rules} | {r.to_table for r in rules if r.to_table})
-    return with_ctes(*ctes) + "\nunion all\n".join(_rule_sql(r) for r in rules)
+_STATUSES = "'Baixado', 'Em andamento'"
+#: The model's column tests: (table, column, rule, rows or values that break it).
+_NULLS = [("stg_cases", "case_id"), ("stg_cases", "opened"), ("stg_districts", "district_id"),
+          ("stg_classes", "class_id"), ("stg_events", "case_id"), ("stg_events", "event_date"),
+          ("fact_cases", "case_id"), ("dim_district", "district_id"), ("dim_class", "class_id"),
+          ("dim_calendar", "cal_date")]
+_KEYS = [("stg_cases", "case_id"), ("stg_districts", "district_id"), ("stg_classes", "class_id"),
+         ("fact_cases", "case_id"), ("dim_district", "district_id"), ("dim_class", "class_id"),
+         ("dim_calendar", "cal_date")]
+_PARENTS = [("fact_cases", "district_id", "dim_district"), ("fact_cases", "class_id", "dim_class")]
+_CHECKS = (
+    [(t, c, "not_null", f"count(*) - count({c}) from {t}") for t, c in _NULLS]
+    + [(t, c, "unique", f"count(*) from (select {c} from {t} where {c} is not null group by 1 having count(*) > 1)")
+       for t, c in _KEYS]
+    + [("stg_cases", "status", "accepted_values", f"count(distinct status) from stg_cases where status not in ({_STATUSES})")]
+    + [(t, c, "relationships", f"count({c}) from {t} anti join {p} using ({c})") for t, c, p in _PARENTS])
+
+
+def _suite_sql(*kinds: str) -> str:
+    own = [r for r in _CHECKS if not kinds or r[2] in kinds]
+    tables = {r[0] for r in own} | ({p for _, _, p in _PARENTS} if not kinds or "relationships" in kinds else set())
+    one = [f"select '{t}' as table_name, '{c}' as column_name, '{k}' as rule, cast((select {v}) as bigint) as violations"
+           for t, c, k, v in own]
+    return with_ctes(*sorted(tables)) + f"select *, violations = 0 as passed from ({' union all '.join(one)})"
+
 
 SQL["dq_suite"] = _suite_sql()
-SQL["dq_not_null"] = _suite_sql({"not_null"})
-SQL["dq_unique"] = _suite_sql({"unique"})
-SQL["dq_accepted_values"] = _suite_sql({"accepted_values"})
-SQL["dq_relationships"] = _suite_sql({"relationships"})
+for _kind in ("not_null", "unique", "accepted_values", "relationships"):
+    SQL[f"dq_{_kind}"] = _suite_sql(_kind)
 
 SQL["profile_mixed_dates"] = with_ctes("bronze_cases") + """
 select case when opened is null then 'null'
@@ -227,17 +191,38 @@ union all select 'required_columns', 'c_custkey,c_name,c_nationkey,c_acctbal,c_m
 
 SQL["flagship_sql"] = SQL["duration_by_district_class_year"]
 SQL["by_court_sql"] = SQL["duration_by_court_min_support"]
-SQL["duration_from_events_sql"] = SQL["duration_from_events"]
+SQL["by_district_year_sql"] = SQL["duration_by_district_year"]
+for _name in ("court_key_not_unique", "grain_mean", "fanout_mean", "duration_from_events"):
+    SQL[f"{_name}_sql"] = SQL[_name]
+
+SQL["bronze_csv_by_name"] = """
+select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'x' as extra from customer"""
+SQL["bronze_malformed"] = """
+select 'csv' as source, c_custkey % 10 = 3 as malformed, count(*) as n_records,
+       count(*) filter (where c_custkey % 10 <> 4) as n_nations from customer group by 2
+union all
+select 'json', c_custkey % 10 in (5, 6), count(*), count(*) filter (where c_custkey % 10 not in (5, 6))
+from customer group by 2"""
+SQL["bronze_json_array"] = "select cast(n_nationkey as integer) as n_nationkey, n_name from nation"
+SQL["lenient_ints"] = """
+select o_orderkey, case o_orderkey % 6 when 3 then null when 4 then o_orderkey + 1 else o_orderkey end as value
+from orders"""
+SQL["incremental_two_batches"] = with_ctes("fact_cases", "dim_district", "dim_class") + """
+select f.*, d.district_name, c.class_name from fact_cases f join dim_district d on d.district_id = f.district_id
+left join dim_class c on c.class_id = f.class_id"""
+SQL["named_source"] = "select r_regionkey, r_name from region"
+SQL["calendar_all_open"] = with_ctes("stg_cases") + calendar("date '2003-07-01'")
+SQL["file_sizes"] = """
+select 'customer_csv' as dataset, 'csv' as format, true as has_files, true as has_bytes
+union all select 'customer_parquet', 'parquet', true, true"""
 
 # --- optional tier ---------------------------------------------------------------------------
 
-SQL["quarantine_cases"] = with_ctes("typed_cases", "stg_districts") + """,
-d as (select distinct * from typed_cases),
-tagged as (
-  select d.*, case when d.case_id is null then 'missing_id'
-                   when k.district_id is null then 'unknown_district' end as reject_reason
-  from d left join stg_districts k on d.district_id = k.district_id)
-select * from tagged where reject_reason is not null"""
+SQL["quarantine_cases"] = with_ctes("bronze_cases", "stg_districts") + """
+select b.*, if(try_cast(b.case_id as bigint) is null, 'missing_id', 'unknown_district') as reject_reason
+from bronze_cases b
+where try_cast(b.case_id as bigint) is null or b.district_id is null
+   or try_cast(b.district_id as integer) not in (select district_id from stg_districts)"""
 
 SQL["duration_by_district_with_unknown"] = with_ctes("stg_cases", "stg_districts") + """,
 dim as (select district_id, district_name, uf from stg_districts
@@ -254,7 +239,9 @@ where duration_days is not null group by 1 order by 1"""
 SQL["bronze_lineage"] = """
 select cast(c_custkey as varchar) as c_custkey,
        sha256(concat_ws('␟', coalesce(cast(c_custkey as varchar), '␀'), coalesce(c_name, '␀'),
-                        coalesce(c_mktsegment, '␀'))) as _row_hash
+                        coalesce(cast(c_nationkey as varchar), '␀'), coalesce(cast(c_acctbal as varchar), '␀'),
+                        coalesce(c_mktsegment, '␀'))) as _row_hash,
+       'customer_csv' as _source
 from customer"""
 
 SQL["open_case_age"] = with_ctes("fact_cases", "dim_district") + """

@@ -19,7 +19,7 @@ from strata.plans.ingest import ingest_file
 from strata.plans.lakehouse import default_rules
 from strata.plans.medallion import parse_mixed_date
 from strata.session import scratch_dir
-from strata.sources import file_sizes, parquet_path_sql, storage_footprint
+from strata.sources import SourceCatalog, file_sizes, parquet_path_sql
 
 # --- gold reports -----------------------------------------------------------
 
@@ -125,7 +125,10 @@ def norm_cases(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def norm_events(spark: SparkSession, sf: str) -> DataFrame:
-    return tpch.normalised(spark, sf).movimentacao
+    """The events with a check that their ids are unique (which ids they are is open)."""
+    events = tpch.normalised(spark, sf).movimentacao
+    ids = events.agg((F.count_distinct("event_id") == F.count(F.lit(1))).alias("ids_unique"))
+    return events.drop("event_id").withColumn("ids_unique", F.lit(ids.first()[0]))
 
 
 def norm_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -234,17 +237,17 @@ ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_ord
 
 
 def _customer_csv(spark, sf) -> str:
-    src = scratch_dir(spark, "csv-src")
+    src = scratch_dir(spark, "csv-src") + "/customer_csv"
     (tpch.table(spark, sf, "customer").select(*CUSTOMER_COLS)
         .write.mode("overwrite").option("header", True).csv(src))
     return src
 
 
-def _typed_customer(bronze: DataFrame) -> DataFrame:
+def _typed_customer(bronze: DataFrame, *more) -> DataFrame:
     return bronze.select(safe_int("c_custkey", "bigint").alias("c_custkey"), "c_name",
                          safe_int("c_nationkey", "int").alias("c_nationkey"),
                          F.col("c_acctbal").try_cast("double").alias("c_acctbal"),
-                         "c_mktsegment")
+                         "c_mktsegment", *more)
 
 
 def bronze_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -281,21 +284,119 @@ def bronze_stream_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return _typed_customer(bronze)
 
 
+def bronze_csv_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """customer under other header names, in another order, with a further column."""
+    src = scratch_dir(spark, "csv-src")
+    c = tpch.table(spark, sf, "customer")
+    (c.select(F.col("c_mktsegment").alias("Segment"), F.lit("x").alias("Extra"), F.col("c_acctbal").alias("Balance"),
+              F.col("c_custkey").alias("Number"), F.col("c_nationkey").alias("Nation"), F.col("c_name").alias("Full name"))
+      .write.option("header", True).csv(f"{src}/in"))
+    names = {"c_custkey": "Number", "c_name": "Full name", "c_nationkey": "Nation", "c_acctbal": "Balance",
+             "c_mktsegment": "Segment"}
+    out = ingest_file(spark, "csv", f"{src}/in", f"{src}/bronze", columns=names)
+    return _typed_customer(out.bronze, F.col("Extra").alias("extra"))
+
+
+def bronze_malformed(spark: SparkSession, sf: str) -> DataFrame:
+    """Extracts with surplus fields and broken JSON: every record is accounted for, read
+    or put aside with its text."""
+    from strata.sources.text_files import CORRUPT, read_csv_text, read_json_text
+
+    base = scratch_dir(spark, "bad-src")
+    c = tpch.table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    line = F.concat_ws(",", k, F.when(k % 7 == 0, F.lit('"a, ""b"""')).otherwise(F.lit("a")), "c_nationkey")
+    line = F.when(k % 10 == 3, F.concat(line, F.lit(",surplus"))).when(k % 10 == 4, k.cast("string")).otherwise(line)
+    lines = spark.createDataFrame([("id,label,nation",)], "value string").unionByName(c.select(line.alias("value")))
+    # one file with the header in front
+    lines.coalesce(1).write.text(f"{base}/csv")
+    doc = F.concat(F.lit('{"id": '), k, F.lit(', "nation": '), "c_nationkey", F.lit("}"))
+    doc = (F.when(k % 10 == 5, F.concat(F.lit("{broken "), k)).when(k % 10 == 6, F.concat(F.lit('{"other": '), k, F.lit("}")))
+            .otherwise(doc))
+    c.select(doc.alias("value")).write.text(f"{base}/json")
+    csv = read_csv_text(spark, f"{base}/csv", ["id", "label", "nation"], multiline=False, on_malformed="quarantine")
+    js = read_json_text(spark, f"{base}/json", ["id", "nation"], array=False, on_malformed="quarantine")
+    parts = [df.groupBy(F.lit(name).alias("source"), F.col(CORRUPT).isNotNull().alias("malformed"))
+               .agg(F.count(F.lit(1)).alias("n_records"), F.count("nation").alias("n_nations"))
+             for name, df in (("csv", csv), ("json", js))]
+    return parts[0].unionByName(parts[1])
+
+
+def bronze_json_array(spark: SparkSession, sf: str) -> DataFrame:
+    """nation as one JSON document per region, each an array of objects."""
+    base = scratch_dir(spark, "json-src")
+    n = tpch.table(spark, sf, "nation")
+    record = F.to_json(F.struct(F.col("n_name").alias("name"), F.col("n_nationkey").alias("key")))
+    (n.groupBy("n_regionkey").agg(F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list(record)), ",\n"),
+                                           F.lit("]")).alias("value"))
+      .repartition(8, "n_regionkey").select("value", "n_regionkey").write.partitionBy("n_regionkey").text(f"{base}/in"))
+    out = ingest_file(spark, "json", f"{base}/in", f"{base}/bronze", columns={"n_nationkey": "key", "n_name": "name"})
+    return out.bronze.select(safe_int("n_nationkey", "int").alias("n_nationkey"), "n_name")
+
+
+def lenient_ints(spark: SparkSession, sf: str) -> DataFrame:
+    """Order keys in awkward spellings read back: long fractions, padded and overlong hex
+    and binary."""
+    k = F.col("o_orderkey")
+    text = (F.when(k % 6 == 0, F.concat(k.cast("string"), F.lit(".49999999999999")))
+             .when(k % 6 == 1, F.concat(F.lit("0x"), F.repeat(F.lit("0"), 70), F.hex(k)))
+             .when(k % 6 == 2, F.concat(F.lit("0b"), F.repeat(F.lit("0"), 300), F.bin(k)))
+             .when(k % 6 == 3, F.concat(F.lit("0x1"), F.repeat(F.lit("0"), 16), F.hex(k)))
+             .when(k % 6 == 4, F.concat(k.cast("string"), F.lit(".5")))
+             .otherwise(F.concat(k.cast("string"), F.lit("e0"))))
+    return tpch.table(spark, sf, "orders").select(k.alias("o_orderkey"), safe_int(text, "bigint").alias("value"))
+
+
+def incremental_two_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Two landed snapshots of all cases, districts and classes: the older one with cases
+    still open and other spellings. The fact is that of the newer one alone."""
+    from strata.plans.lakehouse import land_incremental, newest_per_key, KEYS
+    from strata.plans.medallion import medallion
+    from strata.streaming.bronze_stream import EXTRACT
+
+    base = scratch_dir(spark, "landing")
+    raw = tpch.bronze(spark, sf)
+    older = {"cases": raw["cases"].withColumn("closed", F.lit(None).cast("string")).withColumn("status", F.lit("Em andamento")),
+             "districts": raw["districts"].withColumn("district_name", F.lit("old name")),
+             "classes": raw["classes"].withColumn("class_name", F.lit("Aold"))}
+    sources = {role: ("json", f"{base}/{role}") for role in older}
+    for batch in (older, {role: raw[role] for role in older}):
+        for role, df in batch.items():
+            # an extract is one file
+            df.coalesce(1).write.mode("append").option("ignoreNullFields", False).json(f"{base}/{role}")
+        landed = land_incremental(spark, sources, f"{base}/lake", json_array=False)
+    frames = {role: newest_per_key(df, KEYS[role]).drop(EXTRACT) for role, df in landed.items()}
+    lake = medallion(frames)
+    return (lake["fact_cases"].join(lake["dim_district"], "district_id").join(lake["dim_class"], "class_id", "left")
+                .select(*lake["fact_cases"].columns, "district_name", "class_name"))
+
+
+def named_source(spark: SparkSession, sf: str) -> DataFrame:
+    """A declared source read through its path template."""
+    return SourceCatalog(sf.rstrip("/") + "/{name}.parquet").read(spark, "region").select("r_regionkey", "r_name")
+
+
+def calendar_all_open(spark: SparkSession, sf: str) -> DataFrame:
+    """The calendar when no case is closed: it ends today (here a fixed day)."""
+    from strata.operators.calendar import calendar
+
+    cases = tpch.model(spark, sf)["stg_cases"].withColumn("closed", F.lit(None).cast("date"))
+    return calendar(cases, "opened", "closed", today="2003-07-01")
+
+
 def ingest_checks(spark: SparkSession, sf: str) -> DataFrame:
     src = _customer_csv(spark, sf)
     out = ingest_file(spark, "csv", src, scratch_dir(spark, "bronze") + "/customer",
                       columns=CUSTOMER_COLS)
-    return Q.ingestion_checks(out.source, out.bronze, CUSTOMER_COLS)
+    return Q.ingestion_checks(out.source, out.bronze, CUSTOMER_COLS, records=out.records)
 
 
 def file_sizes_q(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit's machine-independent part: which forms of a table exist and hold bytes."""
     src = _customer_csv(spark, sf)
-    return file_sizes(spark, {"customer_csv": ("csv", src),
-                              "customer_parquet": ("parquet", f"{sf.rstrip('/')}/customer.parquet")})
-
-
-def storage_footprint_q(spark: SparkSession, sf: str) -> DataFrame:
-    return storage_footprint(spark, f"{sf.rstrip('/')}/lineitem.parquet")
+    sizes = file_sizes(spark, {"customer_csv": ("csv", src),
+                               "customer_parquet": ("parquet", f"{sf.rstrip('/')}/customer.parquet")})
+    return sizes.select("dataset", "format", (F.col("n_files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
 
 
 # --- SQL serving ------------------------------------------------------------------------
@@ -309,11 +410,22 @@ def flagship_sql(spark: SparkSession, sf: str) -> DataFrame:
     return run_report(spark, "by_district_class_year", prefix="gold_")
 
 
-def by_court_sql(spark: SparkSession, sf: str) -> DataFrame:
-    from strata.plans.sql_reports import run_report, serve_views
+def _sql_report(name):
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        from strata.plans.sql_reports import run_report, serve_views
 
-    serve_views(tpch.model(spark, sf), prefix="gold_")
-    return run_report(spark, "by_court", prefix="gold_", min_support=3)
+        serve_views(tpch.model(spark, sf), prefix="gold_")
+        return run_report(spark, name, prefix="gold_", min_support=3)
+
+    query.__name__, query.__doc__ = f"{name}_sql", f"The report {name} in SQL over the served views."
+    return query
+
+
+by_court_sql = _sql_report("by_court")
+by_district_year_sql = _sql_report("by_district_year")
+court_key_not_unique_sql = _sql_report("court_key_not_unique")
+grain_mean_sql = _sql_report("grain_mean")
+fanout_mean_sql = _sql_report("fanout_mean")
 
 
 def duration_from_events_sql(spark: SparkSession, sf: str) -> DataFrame:
@@ -352,15 +464,16 @@ def duration_by_district_with_unknown(spark: SparkSession, sf: str) -> DataFrame
 
 
 def bronze_lineage(spark: SparkSession, sf: str) -> DataFrame:
-    """Source file and row hash stamped at ingestion (hash over the text columns)."""
+    """Source and row hash (over every text column) stamped at ingestion. The source is
+    shown as the folder of the extract; part names differ by run."""
     from strata.operators.extras import with_lineage
-    from strata.sources.text_files import null_tokens_to_null, read_csv_text
+    from strata.sources.text_files import text_schema
 
-    src = _customer_csv(spark, sf)
-    raw = read_csv_text(spark, src, CUSTOMER_COLS, null_tokens=None)
-    lined = null_tokens_to_null(with_lineage(raw, ["c_custkey", "c_name", "c_mktsegment"]),
-                                columns=CUSTOMER_COLS)
-    return lined.select("c_custkey", "_row_hash")
+    raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("enforceSchema", False)
+                .schema(text_schema(CUSTOMER_COLS)).csv(_customer_csv(spark, sf)))
+    lined = with_lineage(raw, CUSTOMER_COLS)
+    return lined.select("c_custkey", "_row_hash",
+                        F.regexp_extract("_source_file", "([^/]+)/[^/]+$", 1).alias("_source"))
 
 
 def open_case_age(spark: SparkSession, sf: str) -> DataFrame:
@@ -493,7 +606,17 @@ QUERIES = {
     "bronze_stream_roundtrip": bronze_stream_roundtrip,
     "ingest_checks": ingest_checks,
     "file_sizes": file_sizes_q,
-    "storage_footprint": storage_footprint_q,
+    "bronze_csv_by_name": bronze_csv_by_name,
+    "bronze_malformed": bronze_malformed,
+    "bronze_json_array": bronze_json_array,
+    "lenient_ints": lenient_ints,
+    "incremental_two_batches": incremental_two_batches,
+    "named_source": named_source,
+    "calendar_all_open": calendar_all_open,
+    "by_district_year_sql": by_district_year_sql,
+    "court_key_not_unique_sql": court_key_not_unique_sql,
+    "grain_mean_sql": grain_mean_sql,
+    "fanout_mean_sql": fanout_mean_sql,
     "flagship_sql": flagship_sql,
     "by_court_sql": by_court_sql,
     "duration_from_events_sql": duration_from_events_sql,

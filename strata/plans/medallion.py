@@ -71,16 +71,17 @@ def silver_cases(bronze: DataFrame, c: CaseCols = CaseCols(), formats=DATE_FORMA
 
 
 def quarantine_cases(bronze: DataFrame, stg_districts: DataFrame, c: CaseCols = CaseCols(),
-                     d: DistrictCols = DistrictCols(), formats=DATE_FORMATS) -> DataFrame:
-    """The typed, de-duplicated cases that silver or gold leave out, with the reason
-    (``missing_id`` before ``unknown_district``) instead of a silent drop."""
+                     d: DistrictCols = DistrictCols()) -> DataFrame:
+    """Every raw row that silver or gold leave out, its text as it came, with the reason
+    (``missing_id`` before ``unknown_district``) instead of a silent drop. Copies stay:
+    the counts are those of the extract."""
     from strata.operators.extras import tag_rejects
 
-    typed = distinct_typed(type_cases(bronze, c, formats))
     known = stg_districts.select(F.col(d.district_id).alias("_known")).distinct()
-    joined = typed.join(known, typed[c.district_id] == F.col("_known"), "left")
-    tagged = tag_rejects(joined, [("missing_id", F.col(c.case_id).isNull()),
-                                  ("unknown_district", F.col("_known").isNull())]).drop("_known")
+    typed = bronze.withColumn("_district", safe_int(c.district_id, "int"))
+    joined = typed.join(known, F.col("_district") == F.col("_known"), "left")
+    tagged = tag_rejects(joined, [("missing_id", safe_int(c.case_id, "bigint").isNull()),
+                                  ("unknown_district", F.col("_known").isNull())]).drop("_known", "_district")
     return tagged.filter(F.col("reject_reason").isNotNull())
 
 

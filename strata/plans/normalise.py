@@ -103,9 +103,11 @@ class Normalised:
 
     @cached_property
     def movimentacao(self) -> DataFrame:
+        """Case events under any unique id: no order is asked for, so nothing is sorted or
+        shuffled. The ids are those of the partitions, fixed once the table is written."""
         events = lifecycle_events(self.proc_raw, "case_id", "opened", "closed")
-        return dense_ids(events, ["case_id", "event_type_id", "event_date"], "event_id").select(
-            "event_id", "case_id", "event_type_id", "event_date")
+        return events.select((F.monotonically_increasing_id() + 1).alias("event_id"),
+                             "case_id", "event_type_id", "event_date")
 
     TABLES = ("comarca", "vara", "classe", "situacao", "tipo_movimento", "processo",
               "movimentacao")

@@ -8,75 +8,83 @@ reports in ``strata.plans.reports`` (same broadcasts, same partial aggregates).
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 GOLD_VIEWS = ("fact_cases", "dim_district", "dim_class", "dim_calendar", "stg_events")
 NORMALISED_VIEWS = ("comarca", "vara", "processo", "movimentacao", "tipo_movimento")
 
-REPORT_SQL = {
-    "by_district_class_year": """
-        select d.district_name, c.class_name, t.cal_year,
-               count(*) as n_closed, round(avg(f.duration_days), 1) as avg_days
-        from {p}fact_cases f
-        join {p}dim_district d on f.district_id = d.district_id
-        join {p}dim_class c on f.class_id = c.class_id
-        join {p}dim_calendar t on f.opened = t.cal_date
-        where f.duration_days is not null
-        group by d.district_name, c.class_name, t.cal_year
-        order by d.district_name, c.class_name, t.cal_year""",
-    "by_district_year": """
-        select d.district_name, t.cal_year,
-               count(*) as n_closed, round(avg(f.duration_days), 1) as avg_days
-        from {p}fact_cases f
-        join {p}dim_district d on f.district_id = d.district_id
-        join {p}dim_calendar t on f.opened = t.cal_date
-        where f.duration_days is not null
-        group by d.district_name, t.cal_year
-        order by d.district_name, t.cal_year""",
-    "by_court": """
-        select d.district_name, f.court_id,
-               count(*) as n_closed, round(avg(f.duration_days), 1) as avg_days
-        from {p}fact_cases f
-        join {p}dim_district d on f.district_id = d.district_id
-        where f.duration_days is not null
-        group by d.district_name, f.court_id
-        having count(*) >= {min_support}
-        order by avg_days desc""",
-    "court_key_not_unique": """
-        select court_id, count(*) as n_cases, count(distinct district_id) as n_districts
-        from {p}fact_cases
-        where duration_days is not null
-        group by court_id order by court_id""",
-    "grain_mean": """
-        select count(*) as n_rows, round(avg(duration_days), 1) as mean_days
-        from {p}fact_cases where duration_days is not null""",
-    # Joining the case-grain fact to events changes the grain: the mean moves.
-    "fanout_mean": """
-        select count(*) as n_rows, round(avg(f.duration_days), 1) as mean_days
-        from {p}fact_cases f join {p}stg_events e on e.case_id = f.case_id
-        where f.duration_days is not null""",
+@dataclass(frozen=True)
+class Report:
+    """A duration question: group keys, the date role, support, and what to show."""
+
+    keys: tuple[str, ...] = ()
+    role: str | None = None           # date column the calendar plays
+    slowest_first: bool = False
+    support: bool = False             # drop groups below the minimum support
+    distinct: str | None = None       # count distinct values of this instead of averaging
+    per_event: bool = False           # weigh each case by its events (the fan-out grain)
+
+
+#: Where a key comes from: (view, its key, the fact's column).
+KEY_HOME = {"district_name": ("dim_district", "district_id", "district_id"),
+            "class_name": ("dim_class", "class_id", "class_id"), "cal_year": ("dim_calendar", "cal_date", None)}
+
+REPORTS = {
+    "by_district_class_year": Report(("district_name", "class_name", "cal_year"), "opened"),
+    "by_district_year": Report(("district_name", "cal_year"), "opened"),
+    "by_court": Report(("district_name", "court_id"), slowest_first=True, support=True),
+    "court_key_not_unique": Report(("court_id",), distinct="district_id"),
+    "grain_mean": Report(),
+    "fanout_mean": Report(per_event=True),
 }
 
-# The by-court question on the event-sourced model: closing is the first event of
-# the closing type, and the district is reached through the court.
-EVENT_MODEL_SQL = """
-    with closing as (
-        select m.case_id, min(m.event_date) as closed
-        from {p}movimentacao m
-        join {p}tipo_movimento t on t.event_type_id = m.event_type_id
-        where t.description = '{closing}'
-        group by m.case_id)
-    select c.district_name, v.court_name, count(*) as n_closed,
-           round(avg(datediff(k.closed, p.opened)), 1) as avg_days
-    from {p}processo p
-    join {p}vara v on v.court_id = p.court_id
-    join {p}comarca c on c.district_id = v.district_id
-    join closing k on k.case_id = p.case_id
-    where p.opened is not null and k.closed >= p.opened
-    group by c.district_name, v.court_name
-    having count(*) >= {min_support}
-    order by avg_days desc"""
+
+def report_sql(r: Report, prefix: str = "", min_support: int = 3) -> str:
+    """The report as SQL over the served views. NULL keys sort last; ties by the keys."""
+    source = f"{prefix}fact_cases"
+    weight = ""
+    if r.per_event:
+        # events are counted per case first, so the fan-out is never materialised
+        source += (f" join (select case_id as event_case, count(*) as n_events from {prefix}stg_events"
+                   " group by case_id) on case_id = event_case")
+        weight = " * n_events"
+    for k in r.keys:
+        if k in KEY_HOME:
+            view, key, column = KEY_HOME[k]
+            source += f" join (select {key} as {k}_key, {k} from {prefix}{view}) on {column or r.role} = {k}_key"
+    total = "sum(n_events)" if r.per_event else "count(*)"
+    if r.distinct:
+        shown = f"{total} as n_cases, count(distinct {r.distinct}) as n_{r.distinct.removesuffix('_id')}s"
+    else:
+        names = ("n_closed", "avg_days") if r.keys else ("n_rows", "mean_days")
+        mean = f"sum(duration_days{weight}) / {total}" if r.per_event else "avg(duration_days)"
+        shown = f"{total} as {names[0]}, round({mean}, 1) as {names[1]}"
+    sql = f"select {''.join(k + ', ' for k in r.keys)}{shown} from {source} where duration_days is not null"
+    if not r.keys:
+        return sql
+    order = [f"{k} nulls last" for k in r.keys]
+    if r.slowest_first:
+        order.insert(0, "avg_days desc nulls last")
+    having = f" having {total} >= {int(min_support)}" if r.support else ""
+    return f"{sql} group by {', '.join(r.keys)}{having} order by {', '.join(order)}"
+
+
+def event_model_sql(prefix: str, min_support: int, closing: str) -> str:
+    """The by-court question on the event-sourced model: a case is closed by its first
+    event of the closing type, and its district is that of its court."""
+    code = closing.replace("'", "''")
+    closed = (f"select case_id as closed_case, min(event_date) as closed from {prefix}movimentacao left semi join "
+              f"(select event_type_id as code from {prefix}tipo_movimento where description = '{code}') "
+              "on event_type_id = code group by case_id")
+    place = (f"select court_id as place, district_name, court_name from {prefix}vara "
+             f"join (select district_id as home, district_name from {prefix}comarca) on district_id = home")
+    days = (f"select district_name, court_name, datediff(closed, opened) as days from {prefix}processo "
+            f"join ({place}) on court_id = place join ({closed}) on case_id = closed_case")
+    return (f"select district_name, court_name, count(*) as n_closed, round(avg(days), 1) as avg_days from ({days}) "
+            f"where days >= 0 group by district_name, court_name having count(*) >= {int(min_support)} "
+            "order by avg_days desc nulls last, district_name nulls last, court_name nulls last")
 
 
 def serve_views(tables: Mapping[str, DataFrame], prefix: str = "",
@@ -98,10 +106,9 @@ def serve_normalised_views(norm, prefix: str = "") -> list[str]:
 def run_event_model_report(spark: SparkSession, prefix: str = "", min_support: int = 3) -> DataFrame:
     from strata.constants import CLOSURE_DESCRIPTION
 
-    return spark.sql(EVENT_MODEL_SQL.format(p=prefix, min_support=int(min_support),
-                                            closing=CLOSURE_DESCRIPTION.replace("'", "''")))
+    return spark.sql(event_model_sql(prefix, min_support, CLOSURE_DESCRIPTION))
 
 
 def run_report(spark: SparkSession, report: str, prefix: str = "", min_support: int = 3) -> DataFrame:
-    """One of ``REPORT_SQL`` over views registered with ``serve_views``."""
-    return spark.sql(REPORT_SQL[report].format(p=prefix, min_support=int(min_support)))
+    """One of ``REPORTS`` over views registered with ``serve_views``."""
+    return spark.sql(report_sql(REPORTS[report], prefix, min_support))

@@ -21,16 +21,19 @@ from __future__ import annotations
 
 import os
 import threading
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.constants import INGESTED_AT, STATUS_CLOSED, STATUS_OPEN
+from strata.operators.calendar import calendar
 from strata.operators.events import first_event
+from strata.operators.star import build_fact
 from strata.plans import medallion as M
 from strata.plans.normalise import normalise
-from strata.session import scratch_dir, session_id
-from strata.sinks.writers import batch_timestamp, write_bronze, write_tables
+from strata.session import layers_dir, session_id
+from strata.sinks.writers import batch_timestamp, write_bronze
 
 # --- fixed values ---------------------------------------------------------
 # Market segments, in the order that numbers the courts 1..5.
@@ -147,45 +150,89 @@ def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RAW = {"cases": bronze_cases, "districts": bronze_districts, "classes": bronze_classes, "events": bronze_events}
+
+
 def raw_extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four raw text tables (lazy derivations from the test tables)."""
-    return {"cases": bronze_cases(spark, sf_dir), "districts": bronze_districts(spark, sf_dir),
-            "classes": bronze_classes(spark, sf_dir), "events": bronze_events(spark, sf_dir)}
+    return {name: fn(spark, sf_dir) for name, fn in RAW.items()}
+
+
+class Layer(Mapping):
+    """Tables of a layer, each written on first use (once per session) and read back."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, what: str, builders: dict):
+        self._spark, self._sf, self._what, self._builders = spark, sf_dir, what, builders
+
+    def __getitem__(self, name: str) -> DataFrame:
+        build = self._builders[name]
+        if isinstance(build, str):  # the same table under another name
+            return self[build]
+        key = (*_key(self._spark, self._sf, self._what), name)
+        with _LOCK:
+            if key not in _BUILT:
+                path = f"{_folder(self._spark, self._sf, self._what)}/{name}"
+                _BUILT[key] = build(path)
+            return _BUILT[key]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self):
+        return len(self._builders)
+
 
+def _folder(spark: SparkSession, sf_dir: str, what: str) -> str:
+    key = (*_key(spark, sf_dir, what), "folder")
+    if key not in _BUILT:
+        _BUILT[key] = layers_dir(spark, what)
+    return _BUILT[key]
 
-def bronze(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str, DataFrame]:
-    """The bronze layer: the raw text tables landed once per session as stamped
-    Parquet in the shared checkpoint folder (the stamp column is dropped on read, as
-    silver never uses it). Silver and the normaliser both read these files, so the
-    joins that derive the raw cases run once."""
+
+def bronze(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Mapping[str, DataFrame]:
+    """The bronze layer: each raw text table is landed on first use as stamped Parquet
+    (the stamp column is dropped on read, as silver never uses it). Silver and the
+    normaliser both read these files, so the joins that derive the raw cases run once."""
     if not materialize:
         return raw_extracts(spark, sf_dir)
-    key = _key(spark, sf_dir, "bronze")
-    with _LOCK:
-        if key in _BUILT:
-            return _BUILT[key]
-        ts = batch_timestamp()
-        landed = write_tables(raw_extracts(spark, sf_dir), scratch_dir(spark, "bronze"),
-                              writer=lambda df, path: write_bronze(df, path, ts))
-        _BUILT[key] = {name: df.drop(INGESTED_AT) for name, df in landed.items()}
-        return _BUILT[key]
 
+    def land(name):
+        def build(path):
+            write_bronze(RAW[name](spark, sf_dir), path, batch_timestamp())
+            return spark.read.parquet(path).drop(INGESTED_AT)
+        return build
+
+    return Layer(spark, sf_dir, "bronze", {name: land(name) for name in RAW})
 
-def model(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str, DataFrame]:
+
+def model(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Mapping[str, DataFrame]:
     """Silver and gold tables of the bound model.
 
-    ``materialize`` (default) builds the layers once per session the way a
-    medallion runs: silver is written to Parquet in the shared checkpoint folder,
-    gold is built from the written silver and written too, and every report reads
-    those files. ``materialize=False`` returns the lazy end-to-end plans.
+    ``materialize`` (default) writes each table and its inputs on first use, once per
+    session: silver from the landed bronze, gold from the written silver; every report
+    reads those files. ``materialize=False`` returns the lazy end-to-end plans.
     """
     if not materialize:
         return M.medallion(raw_extracts(spark, sf_dir))
-    key = _key(spark, sf_dir, "medallion")
-    with _LOCK:
-        if key not in _BUILT:
-            _BUILT[key] = M.build_medallion(bronze(spark, sf_dir), scratch_dir(spark, "medallion"))
-        return _BUILT[key]
+    raw = bronze(spark, sf_dir)
+
+    def store(make):
+        def build(path):
+            make().write.mode("overwrite").parquet(path)
+            return spark.read.parquet(path)
+        return build
+
+    c = M.CaseCols()
+    layer = Layer(spark, sf_dir, "medallion", {
+        "stg_cases": store(lambda: M.silver_cases(raw["cases"])),
+        "stg_districts": store(lambda: M.silver_districts(raw["districts"])),
+        "stg_classes": store(lambda: M.silver_classes(raw["classes"])),
+        "stg_events": store(lambda: M.silver_events(raw["events"])),
+        "dim_district": "stg_districts", "dim_class": "stg_classes",
+        "dim_calendar": store(lambda: calendar(layer["stg_cases"], c.opened, c.closed)),
+        "fact_cases": store(lambda: build_fact(layer["stg_cases"], layer["stg_districts"], c.district_id,
+                                               c.opened, c.closed))})
+    return layer
 
 
 def normalised(spark: SparkSession, sf_dir: str, materialize: bool = True):
@@ -198,7 +245,7 @@ def normalised(spark: SparkSession, sf_dir: str, materialize: bool = True):
         if key not in _BUILT:
             b = bronze(spark, sf_dir)
             norm = normalise(b["cases"], b["districts"], b["classes"])
-            _BUILT[key] = norm.materialize(scratch_dir(spark, "normalised"))
+            _BUILT[key] = norm.materialize(layers_dir(spark, "normalised"))
         return _BUILT[key]
 
 

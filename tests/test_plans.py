@@ -56,9 +56,8 @@ def test_fanout_counts_events_before_joining(spark):
     assert p.index("partial_count") > 0
 
 
-def test_normalised_events_have_no_single_partition_window_over_data(spark):
+def test_normalised_event_ids_need_no_sort_and_no_shuffle_of_the_events(spark):
     n = tpch.normalised(spark, SF_SMALL, materialize=False)
     p = final_plan(n.movimentacao)
-    # the only window is over per-partition counts (one row per partition)
-    assert p.count("Window [") == 1
-    assert "partial_count" in p
+    assert "Window [" not in p and "rangepartitioning" not in p
+    assert "monotonically_increasing_id" in p
