@@ -34,14 +34,14 @@ class AnnParams:
     neighbours changed. ``beam`` nodes are kept per query, ``expand`` expanded at a time. A search returns fewer
     than ``ids_kept`` rows a query."""
 
-    degree: int = 20
-    projections: int = 4
+    degree: int = 30
+    projections: int = 6
     block: int = 256
     rounds: int = 8
-    settled: float = 0.01
-    offers: int = 4
-    beam: int = 64
-    expand: int = 16
+    settled: float = 0.02
+    offers: int = 6
+    beam: int = 128
+    expand: int = 32
     seeds: int = 256
     query_block: int = 1 << 14
     ids_kept: int = 101
