@@ -30,12 +30,12 @@ from strata.operators.keys import dense_ids
 class MixParams:
     """Weights repeat over the sources in code point order (null last); ``total`` is the
     mix's size as a multiple of all words. A shard holds about ``shard_words`` words and
-    ``shard_docs`` documents."""
+    ``shard_docs`` documents. A small block keeps small sources near their targets."""
 
     weights: tuple[float, ...] = (5, 2, 1)
     total: float = 1.5
     max_repeat: int = 2
-    block: int = 32
+    block: int = 8
     shard_words: int = 1 << 22
     shard_docs: int = 1 << 14
     seed: int = 7
