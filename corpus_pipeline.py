@@ -47,10 +47,12 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     found = near_duplicates(docs, NearDupParams(k=5)).filter(~F.col("kept"))
     gone = written(found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "dedup")
     kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_key"]), "left_anti")
-    again = (docs.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
-                 .filter("_n > 1 and _id is not null").select("_id"))
-    once = kept.join(again, kept["doc_id"] == again["_id"], "left_anti")
-    twice = kept.join(again, kept["doc_id"] == again["_id"], "left_semi").dropDuplicates(["doc_id", "text"])
+    # Few ids repeat, as a rule none: written, their size is known and the texts stay put.
+    again = written(docs.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+                        .filter("_n > 1").select("_id"), "dedup")
+    same = kept["doc_id"].eqNullSafe(again["_id"])
+    once = kept.join(again, same, "left_anti")
+    twice = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(twice)
 
 
@@ -70,8 +72,18 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words that each document gives to the mix; documents it takes nothing of go."""
-    return mix(docs, MixParams(), keep=tuple(docs.columns)).filter(F.col("taken") > 0)
+    """Words that each document gives to the mix; documents it takes nothing of go.
+
+    Only ids and sizes are mixed; the texts are joined once at the end. Rows that repeat an
+    id, source and text take the same number of words, the smallest of theirs.
+    """
+    key = F.xxhash64("doc_id", "source", "text")
+    narrow = mix(docs.select(key.alias("_key"), "source", "text"), MixParams(), keep=("_key",), order_col="_key")
+    taken = written(narrow.filter(F.col("taken") > 0).groupBy("_key").agg(
+        *[F.min(c).alias(c) for c in ("size", "source_size", "target", "taken")]), "mixed")
+    out = ["size", "source_size", "target", "taken"]
+    return docs.join(taken, key == taken["_key"]).select(
+        *[docs[c] for c in docs.columns if c not in out], *[taken[c] for c in out])
 
 
 STAGES = [("toxicity", toxicity), ("near_duplicates", near_duplicates_stage),
