@@ -10,8 +10,11 @@ the terms and of both together (the term within ``window`` words of the entity),
     IC(c) = -log2 p(c),    PMI(c; t) = log2 p(c, t) / (p(c) p(t)),    disclosure = PMI / IC
 
 is the share of the entity's information that the term gives away: 1 if it occurs nowhere
-else. Beside mentions of the entity, terms from ``generalise_at`` on are replaced by their
-category, terms from ``remove_at`` on are removed; ``support`` documents must show the pair.
+else. Since PMI / IC = 1 + log2 p(c | t) / IC, the estimate that matters is p(c | t). It is
+smoothed by ``prior`` documents of the term that show the entity no more often than chance,
+(both + prior p(c)) / (n_term + prior), so entities of a single document take part and what
+few documents show weighs less. Beside mentions of the entity, terms from ``generalise_at``
+on are replaced by their category, terms from ``remove_at`` on are removed.
 Everything runs on mention rows: no text is shuffled, and counts cover all documents.
 """
 
@@ -48,7 +51,7 @@ class PiiParams:
     """See the module text. ``total_docs`` of the probabilities is the table's row count."""
 
     window: int = 8
-    support: int = 3
+    prior: float = 1.0
     generalise_at: float = 0.8
     remove_at: float = 0.95
 
@@ -245,14 +248,14 @@ def disclosures(near: DataFrame, docs: DataFrame, text_col: str, n_docs: int, p:
     """
     together = near.groupBy("entity", "term").agg(F.countDistinct("row").alias("both"))
     entities = near.groupBy("entity").agg(F.countDistinct("row").alias("n_entity"))
-    pairs = together.filter(F.col("both") >= p.support).join(entities, "entity")
+    pairs = together.join(entities, "entity")
     pairs = written(pairs, "pii-pairs")
     terms = written(_term_hash(pairs.select("term").distinct()), "pii-terms")
     df = (_term_documents(docs, text_col).join(terms, "h").groupBy("term").agg(F.sum("df").alias("n_term")))
-    n = F.lit(float(max(n_docs, 1)))
-    ic = -F.log2(F.col("n_entity") / n)
-    pmi = F.log2(F.col("both") * n / (F.col("n_entity") * F.greatest("n_term", "both")))
-    return (pairs.join(df, "term").withColumn("disclosure", F.when(ic > 0, pmi / ic).otherwise(F.lit(0.0)))
+    p_entity = F.col("n_entity") / F.lit(float(max(n_docs, 1)))
+    ic = -F.log2(p_entity)
+    given = (F.col("both") + p.prior * p_entity) / (F.greatest("n_term", "both") + p.prior)
+    return (pairs.join(df, "term").withColumn("disclosure", F.when(ic > 0, 1 + F.log2(given) / ic).otherwise(F.lit(0.0)))
                  .filter(F.col("disclosure") >= p.generalise_at).select("entity", "term", "disclosure"))
 
 

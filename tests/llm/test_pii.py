@@ -53,6 +53,19 @@ def test_terms_that_reveal_an_entity_are_flagged(spark):
     assert all(clean[100 + i] == t for i, (_, t) in enumerate(rows[6:]))
 
 
+def flagged(row, text):
+    return {text[t.start:t.end] for t in row.terms}
+
+
+def test_an_entity_of_one_document_takes_part(spark):
+    """Addresses are rarely repeated: a word found only beside one is flagged, a usual one is not."""
+    rows = [(0, "meeting with zorblatt bob@example.com meeting")]
+    rows += [(i, f"plain meeting with number{i} goes on") for i in range(1, 200)]
+    out = {r.doc_id: r for r in find_pii(docs(spark, rows)).collect()}
+    assert flagged(out[0], rows[0][1]) == {"zorblatt"}
+    assert not any(out[i].terms for i in range(1, 200))
+
+
 def test_replacements():
     p = PiiParams()
     t = "call Anna 7 or x@y.zz"
