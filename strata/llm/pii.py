@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,10 +110,12 @@ def entity_value(kind: int, raw: str) -> str:
 
 
 def _term(word: str) -> tuple[str, int, int]:
-    """A word without the punctuation around it, and how much was cut on each side."""
+    """A word without the punctuation around it, as written, and where it lies in the word.
+    Terms are lowered per batch by ``utf8_lower``, everywhere: letter by letter, so places
+    in the text stay."""
     left = len(word) - len(word.lstrip(".,;:!?\"'()[]{}<>"))
     core = word.strip(".,;:!?\"'()[]{}<>")
-    return core.lower(), left, left + len(core)
+    return core, left, left + len(core)
 
 
 def mentions(text: str, spans: list[tuple[int, int, int]], window: int):
@@ -162,7 +165,9 @@ def _scan(docs: DataFrame, p: PiiParams) -> DataFrame:
                 text = t.as_py() or ""
                 own = base_spans(text)
                 spans.append([{"start": s, "kind": k, "end": e} for s, k, e in own])
-                near.append([{"entity": c, "term": w, "start": s, "end": e} for c, w, s, e in mentions(text, own, p.window)])
+                near.append(list(mentions(text, own, p.window)))
+            terms = iter(pc.utf8_lower(pa.array([w for own in near for _, w, _, _ in own], pa.string())).to_pylist())
+            near = [[{"entity": c, "term": next(terms), "start": s, "end": e} for c, _, s, e in own] for own in near]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(spans, pa.list_(span)), pa.array(near, pa.list_(place))],
                 ["doc_id", "text_key", "spans", "near"])
@@ -191,7 +196,7 @@ def _term_documents(docs: DataFrame, text_col: str) -> DataFrame:
             return u, np.bincount(inv, weights=n).astype(np.int64)
 
         for batch in batches:
-            for w in split_words(batch.column(0), SPACED):
+            for w in split_words(pc.utf8_lower(batch.column(0)), SPACED):
                 # strip punctuation at both ends
                 s, e = w.starts.copy(), w.ends.copy()
                 todo = np.arange(len(s))

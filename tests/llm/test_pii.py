@@ -66,6 +66,14 @@ def test_an_entity_of_one_document_takes_part(spark):
     assert not any(out[i].terms for i in range(1, 200))
 
 
+def test_capitals_outside_ascii_are_lowered_alike(spark):
+    rows = [(i, f"Écluse{i} ÉMILIENNE {w} bob@example.com Привет") for i, w in enumerate(["Émilienne", "émilienne"] * 4)]
+    rows += [(100 + i, f"plain text{i} with ÉTÉ and été") for i in range(60)]
+    out = {r.doc_id: r for r in find_pii(docs(spark, rows)).collect()}
+    for i in range(8):
+        assert {"ÉMILIENNE", rows[i][1].split()[2], "Привет"} <= flagged(out[i], rows[i][1])
+
+
 def test_replacements():
     p = PiiParams()
     t = "call Anna 7 or x@y.zz"
