@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,3 +54,33 @@ def most_frequent(df: DataFrame, count_col: str, n: int) -> DataFrame:
             break
         cut = r["level"]
     return df.filter(level >= cut) if cut is not None else df.limit(0)
+
+
+#: Bits of a ``key_filter`` as a power of two: 4 MB, whatever the number of keys.
+FILTER_BITS = 25
+
+
+def key_filter(keys: DataFrame, col: str) -> np.ndarray:
+    """Bloom filter of well-mixed 64-bit keys with two bits a key, made on the executors.
+
+    At most 4 MB reach the driver. More keys let more others through, so what passes must
+    still meet the keys in a join.
+    """
+    mask = (1 << FILTER_BITS) - 1
+    k = F.col(col)
+    bits = keys.filter(k.isNotNull()).select(F.explode(F.array(k.bitwiseAND(F.lit(mask)), F.shiftrightunsigned(k, 64 - FILTER_BITS))).alias("b"))
+    rows = bits.groupBy(F.floor(F.col("b") / 32768).alias("at")).agg(F.bitmap_construct_agg(F.col("b") % 32768).alias("m")).collect()
+    out = np.zeros(1 << FILTER_BITS - 3, np.uint8)
+    for r in rows:
+        out[r["at"] * 4096:(r["at"] + 1) * 4096] = np.frombuffer(r["m"], np.uint8)
+    return out
+
+
+def may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the keys pass the filter: all that are in it, and few others."""
+    k = keys.view(np.uint64)
+
+    def at(b):
+        return (bits[b >> np.uint64(3)] >> (b & np.uint64(7)).astype(np.uint8)) & 1 != 0
+
+    return at(k & np.uint64((1 << FILTER_BITS) - 1)) & at(k >> np.uint64(64 - FILTER_BITS))

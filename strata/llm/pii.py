@@ -31,8 +31,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm._tables import prepare, written
-from strata.llm._text import SPACED, split_words
+from strata.llm._tables import key_filter, may_hold, prepare, written
+from strata.llm._text import SPACED, Words, split_words
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -49,7 +49,7 @@ _DIGITS = re.compile(r"[0-9]")
 
 @dataclass(frozen=True)
 class PiiParams:
-    """See the module text. ``total_docs`` of the probabilities is the table's row count."""
+    """See the module text. All probabilities are shares of the table's distinct texts."""
 
     window: int = 8
     prior: float = 1.0
@@ -176,17 +176,41 @@ def _scan(docs: DataFrame, p: PiiParams) -> DataFrame:
                                  "near array<struct<entity string, term string, start long, end long>>")
 
 
-def _term_documents(docs: DataFrame, text_col: str) -> DataFrame:
-    """``(h, df)``: documents that hold each term, as partial counts per task.
+_TRIM = np.zeros(256, bool)
+_TRIM[list(b".,;:!?\"'()[]{}<>")] = True
+
+
+def _trim(w: Words) -> None:
+    """Words become terms: the punctuation at both ends goes (all of it may go)."""
+    s, e = w.starts.copy(), w.ends.copy()
+    todo = np.arange(len(s))
+    while len(todo):
+        todo = todo[(s[todo] < e[todo]) & _TRIM[w.data[np.minimum(s[todo], len(w.data) - 1)]]]
+        s[todo] += 1
+    todo = np.arange(len(s))
+    while len(todo):
+        todo = todo[(s[todo] < e[todo]) & _TRIM[w.data[e[todo] - 1]]]
+        e[todo] -= 1
+    w.starts, w.ends = s, e
+
+
+def _term_documents(docs: DataFrame, repeated: np.ndarray, wanted: np.ndarray) -> DataFrame:
+    """``(h, text_key, df)`` of ``(text_key, t)``: documents that hold each term, as partial
+    counts per task; the terms of texts that may occur again, each under its text's key.
 
     The terms of a document are its words without the punctuation around them; they are
-    matched by hash. Candidates join these partial rows before anything is shuffled.
+    matched by hash, and only those that pass the filter ``wanted`` are counted.
     """
-    prepare(docs.sparkSession)
-    trim = np.zeros(256, bool)
-    trim[list(b".,;:!?\"'()[]{}<>")] = True
+    spark = docs.sparkSession
+    prepare(spark)
+    shared = spark.sparkContext.broadcast((repeated, wanted))
+
+    def rows(h, key, n):
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(key, pa.int64()), pa.array(n, pa.int64())],
+                                          ["h", "text_key", "df"])
 
     def count(batches):
+        repeated, wanted = shared.value
         held: list[np.ndarray] = []
         sums: list[np.ndarray] = []
 
@@ -196,39 +220,36 @@ def _term_documents(docs: DataFrame, text_col: str) -> DataFrame:
             return u, np.bincount(inv, weights=n).astype(np.int64)
 
         for batch in batches:
-            for w in split_words(pc.utf8_lower(batch.column(0)), SPACED):
-                # strip punctuation at both ends
-                s, e = w.starts.copy(), w.ends.copy()
-                todo = np.arange(len(s))
-                while len(todo):
-                    todo = todo[(s[todo] < e[todo]) & trim[w.data[np.minimum(s[todo], len(w.data) - 1)]]]
-                    s[todo] += 1
-                todo = np.arange(len(s))
-                while len(todo):
-                    todo = todo[(s[todo] < e[todo]) & trim[w.data[e[todo] - 1]]]
-                    e[todo] -= 1
-                w.starts, w.ends = s, e
+            keys = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for w in split_words(pc.utf8_lower(batch.column(1)), SPACED):
+                _trim(w)
                 h = w.hashes()
-                doc = np.repeat(np.arange(len(w.counts), dtype=np.uint64), w.counts)
+                doc = np.repeat(np.arange(w.first, w.first + len(w.counts)), w.counts)
+                own = may_hold(wanted, h)
+                h, doc = h[own], doc[own]
                 order = np.lexsort((doc, h))
                 h, doc = h[order], doc[order]
                 new = np.ones(len(h), bool)
                 new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-                u, n = np.unique(h[new], return_counts=True)
+                h, key = h[new], keys[doc[new]]
+                again = may_hold(repeated, key)
+                if again.any():
+                    yield rows(h[again], key[again], np.ones(again.sum(), np.int64))
+                u, n = np.unique(h[~again], return_counts=True)
                 held.append(u)
                 sums.append(n)
             if sum(map(len, held)) > 1 << 21:
                 u, n = merge()
                 if len(u) > 1 << 20:  # hand on what is summed so far
-                    yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n)], ["h", "df"])
+                    yield rows(u, [None] * len(u), n)
                     held, sums = [], []
                 else:
                     held, sums = [u], [n]
         if held:
             u, n = merge()
-            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n)], ["h", "df"])
+            yield rows(u, [None] * len(u), n)
 
-    return docs.select(text_col).mapInArrow(count, "h long, df long")
+    return docs.select("text_key", "t").mapInArrow(count, "h long, text_key long, df long")
 
 
 def _term_hash(terms: DataFrame) -> DataFrame:
@@ -245,18 +266,24 @@ def _term_hash(terms: DataFrame) -> DataFrame:
     return terms.mapInArrow(hashes, "term string, h long")
 
 
-def disclosures(near: DataFrame, docs: DataFrame, text_col: str, n_docs: int, p: PiiParams) -> DataFrame:
+def disclosures(near: DataFrame, docs: DataFrame, texts: DataFrame, p: PiiParams) -> DataFrame:
     """``(entity, term, disclosure)`` of the pairs that reach ``generalise_at``.
 
-    ``near``: ``(row, entity, term)``. The entity's document count comes from all its
-    mentions; the term's from all documents.
+    ``near``: ``(text_key, entity, term)``; ``docs``: ``(text_key, t)``; ``texts``:
+    ``(text_key, copies)``. The entity's document count comes from all its mentions, the
+    term's from all documents; all four counts are of distinct texts.
     """
-    together = near.groupBy("entity", "term").agg(F.countDistinct("row").alias("both"))
-    entities = near.groupBy("entity").agg(F.countDistinct("row").alias("n_entity"))
+    n_docs = texts.count()
+    together = near.groupBy("entity", "term").agg(F.countDistinct("text_key").alias("both"))
+    entities = near.groupBy("entity").agg(F.countDistinct("text_key").alias("n_entity"))
     pairs = together.join(entities, "entity")
     pairs = written(pairs, "pii-pairs")
     terms = written(_term_hash(pairs.select("term").distinct()), "pii-terms")
-    df = (_term_documents(docs, text_col).join(terms, "h").groupBy("term").agg(F.sum("df").alias("n_term")))
+    counts = _term_documents(docs, key_filter(texts.filter("copies > 1"), "text_key"), key_filter(terms, "h"))
+    # copies of a text count once; null keys are sums over texts that occur once
+    once = F.when(F.col("text_key").isNull(), F.sum("df")).otherwise(F.lit(1))
+    df = (counts.join(terms, "h").groupBy("term", "text_key").agg(once.alias("df"))
+                .groupBy("term").agg(F.sum("df").alias("n_term")))
     p_entity = F.col("n_entity") / F.lit(float(max(n_docs, 1)))
     ic = -F.log2(p_entity)
     given = (F.col("both") + p.prior * p_entity) / (F.greatest("n_term", "both") + p.prior)
@@ -270,15 +297,14 @@ def find_pii(docs: DataFrame, p: PiiParams = PiiParams(), id_col: str = "doc_id"
     ``spans``: base findings ``(start, kind, end)``; ``terms``: ``(start, end, disclosure)``
     of the words that give an entity away, in order. ``text_key`` is a hash of the text.
     Null and empty texts have neither. Repeated rows are each reported, but copies of one
-    text show a pair of entity and term only once. An empty table gives no rows. Other columns are not read.
+    text count as one document. An empty table gives no rows. Other columns are not read.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"),
                          F.col(text_col).alias("t"))
     rows = written(_scan(source, p).withColumn("row", F.monotonically_increasing_id()), "pii-scan")
-    n_docs = rows.count()
+    texts = written(rows.groupBy("text_key").agg(F.count(F.lit(1)).alias("copies")), "pii-texts")
     near = rows.select("row", "text_key", F.explode("near").alias("m")).select("row", "text_key", "m.*")
-    flagged = written(disclosures(near.select(F.col("text_key").alias("row"), "entity", "term").distinct(),
-                                  docs, text_col, n_docs, p), "pii-flagged")
+    flagged = written(disclosures(near.select("text_key", "entity", "term").distinct(), source, texts, p), "pii-flagged")
     hits = (near.join(flagged, ["entity", "term"])
                 .groupBy("row", "start", "end").agg(F.max("disclosure").alias("disclosure"))
                 .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms")))

@@ -1,9 +1,13 @@
 import hashlib
+import math
 import re
 
+import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from strata.llm._tables import key_filter, may_hold
 from strata.llm.pii import PiiParams, base_spans, digest, find_pii, luhn, sanitise_text, sanitised
 from tests.llm.cases import clashing, docs, odd_rows
 
@@ -74,6 +78,24 @@ def test_capitals_outside_ascii_are_lowered_alike(spark):
         assert {"ÉMILIENNE", rows[i][1].split()[2], "Привет"} <= flagged(out[i], rows[i][1])
 
 
+def test_copies_of_a_text_count_once(spark):
+    """Groups of copies neither hide a disclosing term nor make a usual word one."""
+    rows = [(i, f"with zorblatt bob@example.com variant{i % 3} usual") for i in range(300)]
+    rows += [(1000 + i, f"usual words in text{i} with rest") for i in range(700)]
+    out = {r.doc_id: r for r in find_pii(docs(spark, rows)).collect()}
+    assert all("zorblatt" in flagged(out[i], t) and not {"with", "usual"} & flagged(out[i], t) for i, t in rows[:300])
+    want = 1 + math.log2((3 + 3 / 703) / 4) / math.log2(703 / 3)
+    text = rows[0][1]
+    assert [t.disclosure for t in out[0].terms if text[t.start:t.end] == "zorblatt"] == [pytest.approx(want)]
+
+
+def test_key_filter_lets_all_its_keys_through(spark):
+    rng = np.random.default_rng(7)
+    keys, others = (rng.integers(-2**63, 2**63 - 1, n) for n in (3000, 100_000))
+    bits = key_filter(spark.createDataFrame([(int(k),) for k in keys] + [(None,)], "k long"), "k")
+    assert may_hold(bits, keys).all() and may_hold(bits, others).mean() < 0.001
+
+
 def test_replacements():
     p = PiiParams()
     t = "call Anna 7 or x@y.zz"
