@@ -13,9 +13,11 @@ is the share of the entity's information that the term gives away: 1 if it occur
 else. Since PMI / IC = 1 + log2 p(c | t) / IC, the estimate that matters is p(c | t). It is
 smoothed by ``prior`` documents of the term that show the entity no more often than chance,
 (both + prior p(c)) / (n_term + prior), so entities of a single document take part and what
-few documents show weighs less. Beside mentions of the entity, terms from ``generalise_at``
-on are replaced by their category, terms from ``remove_at`` on are removed.
-Everything runs on mention rows: no text is shuffled, and counts cover all documents.
+few documents show weighs less. A term's disclosure is the largest over all entities; as it
+identifies the entity alone, it counts wherever the term stands, in any document. Terms from
+``generalise_at`` on are replaced by their category, terms from ``remove_at`` on are removed.
+Counts and matches cover all words of all documents. Terms are matched by hash, after a
+filter of fixed size; of the texts, only those with flagged terms are shuffled, to be cleaned.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm._tables import key_filter, may_hold, prepare, written
-from strata.llm._text import SPACED, Words, split_words
+from strata.llm._text import SPACED, Words, split_words, text_bytes
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -118,9 +120,8 @@ def _term(word: str) -> tuple[str, int, int]:
     return core, left, left + len(core)
 
 
-def mentions(text: str, spans: list[tuple[int, int, int]], window: int):
-    """``(entity, term, start, end)`` for the words within ``window`` words of each base
-    span, words that belong to a base span left out."""
+def _outside(spans: list[tuple[int, int, int]]):
+    """Whether ``(start, end)`` touches none of the base spans."""
     ends: list[int] = []  # running maximum: spans of different kinds may overlap
     for _, _, e in spans:
         ends.append(max(e, ends[-1]) if ends else e)
@@ -130,6 +131,13 @@ def mentions(text: str, spans: list[tuple[int, int, int]], window: int):
         i = bisect_left(starts, e)  # spans that start before e
         return i == 0 or ends[i - 1] <= s
 
+    return free
+
+
+def mentions(text: str, spans: list[tuple[int, int, int]], window: int):
+    """``(entity, term)`` for the words within ``window`` words of each base span, words
+    that belong to a base span left out."""
+    free = _outside(spans)
     for start, kind, end in spans:
         entity = f"{KINDS[kind]}:{entity_value(kind, text[start:end])}"
         # Words to the left are read from a stretch that grows until it holds enough.
@@ -147,33 +155,68 @@ def mentions(text: str, spans: list[tuple[int, int, int]], window: int):
                 break
         for m in left[-window:] + right:
             term, a, b = _term(m.group())
-            s, e = m.start() + a, m.start() + b
-            if term and free(s, e):
-                yield entity, term, s, e
+            if term and free(m.start() + a, m.start() + b):
+                yield entity, term
 
 
 def _scan(docs: DataFrame, p: PiiParams) -> DataFrame:
-    """Per row of ``(doc_id, t)``: key of the text, base spans and nearby words."""
+    """Per row of ``(doc_id, text_key, t)``: key of the text and words near base spans."""
     prepare(docs.sparkSession)
-    place = pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-    span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
+    pair = pa.struct([("entity", pa.string()), ("term", pa.string())])
 
     def scan(batches):
         for batch in batches:
-            spans, near = [], []
+            near = []
             for t in batch.column(2):
                 text = t.as_py() or ""
                 own = base_spans(text)
-                spans.append([{"start": s, "kind": k, "end": e} for s, k, e in own])
                 near.append(list(mentions(text, own, p.window)))
-            terms = iter(pc.utf8_lower(pa.array([w for own in near for _, w, _, _ in own], pa.string())).to_pylist())
-            near = [[{"entity": c, "term": next(terms), "start": s, "end": e} for c, _, s, e in own] for own in near]
+            terms = iter(pc.utf8_lower(pa.array([w for own in near for _, w in own], pa.string())).to_pylist())
+            near = [[{"entity": c, "term": next(terms)} for c, _ in own] for own in near]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(near, pa.list_(pair))], ["text_key", "near"])
+
+    return docs.mapInArrow(scan, "text_key long, near array<struct<entity string, term string>>")
+
+
+def _places(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """Per row of ``(doc_id, text_key, t)``: base spans, and the places and hashes of all its
+    terms that pass the filter ``wanted`` and are outside the base spans."""
+    spark = docs.sparkSession
+    prepare(spark)
+    shared = spark.sparkContext.broadcast(wanted)
+    span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
+    place = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("h", pa.int64())])
+
+    def scan(batches):
+        for batch in batches:
+            own = [base_spans(t.as_py() or "") for t in batch.column(2)]
+            found: list[list[dict]] = [[] for _ in own]
+            low = pc.utf8_lower(batch.column(2))
+            _, offs = text_bytes(low)
+            for w in split_words(low, SPACED):
+                _trim(w)
+                h = w.hashes()
+                at = np.flatnonzero(may_hold(shared.value, h) & (w.starts < w.ends))
+                if not len(at):
+                    continue
+                doc = np.repeat(np.arange(w.first, w.first + len(w.counts)), w.counts)[at]
+                # places in characters: lowering and the byte table keep their number
+                before = np.concatenate(([0], np.cumsum((w.data & 0xC0) != 0x80)))
+                first = before[offs[doc] - offs[w.first]]
+                for d, s, e, x in zip(doc.tolist(), (before[w.starts[at]] - first).tolist(),
+                                      (before[w.ends[at]] - first).tolist(), h[at].view(np.int64).tolist()):
+                    found[d].append({"start": s, "end": e, "h": x})
+            for spans, places in zip(own, found):
+                if spans and places:
+                    free = _outside(spans)
+                    places[:] = [x for x in places if free(x["start"], x["end"])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(spans, pa.list_(span)), pa.array(near, pa.list_(place))],
-                ["doc_id", "text_key", "spans", "near"])
+                [batch.column(0), batch.column(1),
+                 pa.array([[{"start": s, "kind": k, "end": e} for s, k, e in spans] for spans in own], pa.list_(span)),
+                 pa.array(found, pa.list_(place))], ["doc_id", "text_key", "spans", "places"])
 
     return docs.mapInArrow(scan, "doc_id long, text_key long, spans array<struct<start long, kind int, end long>>, "
-                                 "near array<struct<entity string, term string, start long, end long>>")
+                                 "places array<struct<start long, end long, h long>>")
 
 
 _TRIM = np.zeros(256, bool)
@@ -267,7 +310,7 @@ def _term_hash(terms: DataFrame) -> DataFrame:
 
 
 def disclosures(near: DataFrame, docs: DataFrame, texts: DataFrame, p: PiiParams) -> DataFrame:
-    """``(entity, term, disclosure)`` of the pairs that reach ``generalise_at``.
+    """``(entity, term, h, disclosure)`` of the pairs that reach ``generalise_at``.
 
     ``near``: ``(text_key, entity, term)``; ``docs``: ``(text_key, t)``; ``texts``:
     ``(text_key, copies)``. The entity's document count comes from all its mentions, the
@@ -282,34 +325,38 @@ def disclosures(near: DataFrame, docs: DataFrame, texts: DataFrame, p: PiiParams
     counts = _term_documents(docs, key_filter(texts.filter("copies > 1"), "text_key"), key_filter(terms, "h"))
     # copies of a text count once; null keys are sums over texts that occur once
     once = F.when(F.col("text_key").isNull(), F.sum("df")).otherwise(F.lit(1))
-    df = (counts.join(terms, "h").groupBy("term", "text_key").agg(once.alias("df"))
-                .groupBy("term").agg(F.sum("df").alias("n_term")))
+    df = (counts.join(terms, "h").groupBy("term", "h", "text_key").agg(once.alias("df"))
+                .groupBy("term", "h").agg(F.sum("df").alias("n_term")))
     p_entity = F.col("n_entity") / F.lit(float(max(n_docs, 1)))
     ic = -F.log2(p_entity)
     given = (F.col("both") + p.prior * p_entity) / (F.greatest("n_term", "both") + p.prior)
     return (pairs.join(df, "term").withColumn("disclosure", F.when(ic > 0, 1 + F.log2(given) / ic).otherwise(F.lit(0.0)))
-                 .filter(F.col("disclosure") >= p.generalise_at).select("entity", "term", "disclosure"))
+                 .filter(F.col("disclosure") >= p.generalise_at).select("entity", "term", "h", "disclosure"))
+
+
+_TERMS = "array<struct<start long, end long, disclosure double>>"
 
 
 def find_pii(docs: DataFrame, p: PiiParams = PiiParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, text_key, spans, terms``.
 
     ``spans``: base findings ``(start, kind, end)``; ``terms``: ``(start, end, disclosure)``
-    of the words that give an entity away, in order. ``text_key`` is a hash of the text.
+    of all words
+    that give some entity of the table away, in order. ``text_key`` is a hash of the text.
     Null and empty texts have neither. Repeated rows are each reported, but copies of one
     text count as one document. An empty table gives no rows. Other columns are not read.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"),
                          F.col(text_col).alias("t"))
-    rows = written(_scan(source, p).withColumn("row", F.monotonically_increasing_id()), "pii-scan")
-    texts = written(rows.groupBy("text_key").agg(F.count(F.lit(1)).alias("copies")), "pii-texts")
-    near = rows.select("row", "text_key", F.explode("near").alias("m")).select("row", "text_key", "m.*")
-    flagged = written(disclosures(near.select("text_key", "entity", "term").distinct(), source, texts, p), "pii-flagged")
-    hits = (near.join(flagged, ["entity", "term"])
-                .groupBy("row", "start", "end").agg(F.max("disclosure").alias("disclosure"))
+    seen = written(_scan(source, p), "pii-scan")
+    texts = written(seen.groupBy("text_key").agg(F.count(F.lit(1)).alias("copies")), "pii-texts")
+    near = seen.select("text_key", F.explode("near").alias("m")).select("text_key", "m.*").distinct()
+    flagged = written(disclosures(near, source, texts, p).groupBy("h").agg(F.max("disclosure").alias("disclosure")), "pii-flagged")
+    rows = written(_places(source, key_filter(flagged, "h")).withColumn("row", F.monotonically_increasing_id()), "pii-places")
+    hits = (rows.select("row", F.explode("places").alias("m")).select("row", "m.*").join(flagged, "h")
                 .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms")))
     return (rows.select("row", "doc_id", "text_key", "spans").join(hits, "row", "left")
-                .withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<start long, end long, disclosure double>>")))
+                .withColumn("terms", F.coalesce("terms", F.array().cast(_TERMS)))
                 .drop("row"))
 
 
@@ -359,15 +406,25 @@ def sanitise_text(text: str, spans, terms, p: PiiParams) -> str:
 def sanitised(docs: DataFrame, p: PiiParams = PiiParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with personal data and disclosing terms replaced in ``text_col``.
 
-    All columns and rows stay; null texts stay null. Only the flagged terms of the few
-    texts that have some are joined back; base spans are found again in place.
+    All columns and rows stay; null texts stay null. Flagged terms are joined back to the
+    texts that have some, which a filter of fixed size picks; all other texts stay where they
+    are. Base spans are found again in place.
     """
-    prepare(docs.sparkSession)
+    spark = docs.sparkSession
+    prepare(spark)
     found = find_pii(docs, p, id_col, text_col).filter(F.size("terms") > 0)
     terms = written(found.select(F.col("doc_id").alias("_i"), F.col("text_key").alias("_k"), F.col("terms").alias("_terms"))
                     .dropDuplicates(["_i", "_k"]), "pii-terms")
+    shared = spark.sparkContext.broadcast(key_filter(terms, "_k"))
+    names = docs.columns
     rows = docs.withColumn("_rk", F.xxhash64(F.col(text_col)))
-    joined = rows.join(terms, rows[id_col].cast("long").eqNullSafe(F.col("_i")) & (F.col("_rk") == F.col("_k")), "left")
+
+    def split(held):
+        def pick(batches):
+            for batch in batches:
+                own = may_hold(shared.value, batch.column("_rk").to_numpy(zero_copy_only=False).astype(np.int64))
+                yield batch.filter(pa.array(own if held else ~own))
+        return pick
 
     def clean(batches):
         for batch in batches:
@@ -381,5 +438,8 @@ def sanitised(docs: DataFrame, p: PiiParams = PiiParams(), id_col: str = "doc_id
             cols = [pa.array(out, pa.string()) if c == text_col else batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    names = docs.columns
-    return joined.select(*[F.col(c) for c in names], "_terms").mapInArrow(clean, docs.schema)
+    some = rows.mapInArrow(split(True), rows.schema)
+    some = some.join(terms, some[id_col].cast("long").eqNullSafe(F.col("_i")) & (F.col("_rk") == F.col("_k")), "left")
+    rest = rows.mapInArrow(split(False), rows.schema).withColumn("_terms", F.lit(None).cast(_TERMS))
+    both = [x.select(*[F.col(c) for c in names], "_terms").mapInArrow(clean, docs.schema) for x in (some, rest)]
+    return both[0].unionByName(both[1])

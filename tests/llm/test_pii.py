@@ -96,6 +96,23 @@ def test_key_filter_lets_all_its_keys_through(spark):
     assert may_hold(bits, keys).all() and may_hold(bits, others).mean() < 0.001
 
 
+def test_flagged_terms_are_found_anywhere(spark):
+    """Far from the address, in documents without it, capitalised, after wide characters."""
+    far = "usual " * 40
+    rows = [(i, f"note{i} zorblatt bob@example.com {far}«é😀» (Zorblatt), {far}x@zorblatt.com ZORBLATT") for i in range(20)]
+    rows += [(100, f"{far} 中 Zorblatt! goes on")]
+    rows += [(200 + i, f"usual text{i} goes on") for i in range(400)]
+    got = {r.doc_id: r for r in find_pii(docs(spark, rows)).collect()}
+    for i, t in rows[:21]:
+        want = [m.span() for m in re.finditer("zorblatt(?!\\.com)", t, re.I)]
+        assert [(x.start, x.end) for x in got[i].terms if (x.start, x.end) in want] == want and len(want) == (1 if i == 100 else 3)
+        assert not any("zorblatt.com" in t[x.start:x.end] for x in got[i].terms)
+    assert not any(got[200 + i].terms for i in range(400))
+    clean = {r.doc_id: r.text for r in sanitised(docs(spark, rows)).collect()}
+    assert len(clean) == len(rows) and not any("zorblatt" in t.lower() for t in clean.values())
+    assert all(clean[i] == t for i, t in rows[21:])
+
+
 def test_replacements():
     p = PiiParams()
     t = "call Anna 7 or x@y.zz"
