@@ -10,8 +10,9 @@ vocabulary and the classes:
 * the end of a text is a class of its own.
 
 The network (embeddings, GRU, output layers) is trained in numpy by truncated
-backpropagation. Every task trains a replica on its share of the training texts, the
-replicas are averaged, and the next round goes on from the average with other texts. To
+backpropagation. Every task trains a replica on its share of the round's texts, the
+replicas are averaged, and the next round goes on from the average with other texts; the
+rounds together make one pass over all training texts. To
 score a text its state is carried from window to window over the whole text, so the score
 is the log-likelihood of the complete document.
 
@@ -40,8 +41,8 @@ TAIL = 32
 
 @dataclass(frozen=True)
 class LmParams:
-    """``rounds`` rounds of training, each over the texts whose hash falls into its
-    ``1/share`` of all training texts; ``streams`` texts at a time, ``window`` tokens of
+    """``rounds`` rounds of training, each over another ``1/rounds`` of all training texts,
+    by hash, so every text is learnt from once; ``streams`` texts at a time, ``window`` tokens of
     backpropagation."""
 
     head: int = 2000
@@ -50,7 +51,6 @@ class LmParams:
     hidden: int = 16
     dim: int = 16
     rounds: int = 3
-    share: int = 32
     window: int = 32
     streams: int = 32
     score_streams: int = 512
@@ -305,10 +305,15 @@ def score_streams(net: Gru, s: Streams) -> np.ndarray:
     return out
 
 
-def train_streams(net: Gru, s: Streams, moments) -> None:
-    """Adam steps over the streams, window by window, gradients cut at window edges."""
+def train_streams(net: Gru, s: Streams, moments, rate: float | None = None) -> None:
+    """Adam steps over the streams, window by window, gradients cut at window edges.
+
+    A step is as long as its share of a full window's tokens: where few streams are left,
+    the end of one long text does not move the model as far as 32 texts do.
+    """
     p = net.p
     n = p.hidden
+    rate = p.rate if rate is None else rate
     params = net.arrays()
     h = np.zeros((len(s.sizes), n), np.float32)
     for at, live, active in _windows(s, p.window):
@@ -339,13 +344,14 @@ def train_streams(net: Gru, s: Streams, moments) -> None:
         norm = live.sum()
         moments["t"] += 1
         c1, c2 = 1 - 0.9 ** moments["t"], 1 - 0.99 ** moments["t"]
+        step = rate * norm / (p.streams * p.window)
         size = math.sqrt(sum(float((g * g).sum()) for g in grads)) / norm
         scale = np.float32(min(1.0, p.clip / max(size, 1e-12)) / norm)
         for i, (a, g) in enumerate(zip(params, grads)):
             g *= scale
             moments["m"][i] = m = 0.9 * moments["m"][i] + 0.1 * g
             moments["v"][i] = v = 0.99 * moments["v"][i] + 0.01 * g * g
-            a -= (p.rate * (m / c1) / (np.sqrt(v / c2) + 1e-6)).astype(np.float32)
+            a -= (step * (m / c1) / (np.sqrt(v / c2) + 1e-6)).astype(np.float32)
 
 
 def tokens_of(w, head: HashTable, n_head: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -365,9 +371,10 @@ def train(docs: DataFrame, vocab: Vocabulary, p: LmParams, text_col: str, pick_c
     net = Gru(p, vocab)
     for rnd in range(p.rounds):
         # every text falls into one part, whatever its length or source
-        part = F.pmod(F.xxhash64(F.lit(p.seed), F.col(pick_col), F.length(text_col)), F.lit(p.share))
-        own = docs.filter(part == rnd % p.share).select(text_col)
+        part = F.pmod(F.xxhash64(F.lit(p.seed), F.col(pick_col), F.length(text_col)), F.lit(p.rounds))
+        own = docs.filter(part == rnd).select(text_col)
         shared = spark.sparkContext.broadcast((net, vocab.head))
+        rate = p.rate * (p.rounds - rnd) / p.rounds  # falls over the pass
 
         def fit(batches):
             base, head_words = shared.value
@@ -379,7 +386,7 @@ def train(docs: DataFrame, vocab: Vocabulary, p: LmParams, text_col: str, pick_c
 
             def go():
                 t = deal(np.concatenate(toks), np.concatenate(counts), p.streams, mine.symbols - 1)
-                train_streams(mine, t, moments)
+                train_streams(mine, t, moments, rate)
                 toks.clear()
                 counts.clear()
 

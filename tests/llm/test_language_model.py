@@ -93,6 +93,23 @@ def test_base_score_and_gain_on_documents(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_every_training_text_is_learnt_from_once(spark, monkeypatch):
+    from strata.llm import language_model
+
+    seen = []
+
+    def spy(df, label, write=language_model.written):
+        out = write(df, label)
+        if label == "lm-replicas":
+            seen.extend(r.n for r in out.select("n").collect())
+        return out
+
+    monkeypatch.setattr(language_model, "written", spy)
+    rows = [(i, f"some words of text {i} " * (1 + i % 5)) for i in range(300)] + [(None, "no id"), (7, None)]
+    out = log_likelihood(docs(spark, rows), F.lit(True), LmParams(known=100, head=50)).collect()
+    assert sum(seen) == sum(r.n_tokens for r in out)
+
+
 def test_odd_rows_and_no_training_rows(spark):
     df = clashing(docs(spark, odd_rows()))
     p = LmParams(known=100, head=50)
