@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann, language_model, oracle, piece_encoding, prefix_trie, quality, toxicity
+from strata.llm import ann, language_model, oracle, piece_encoding, prefix_trie, quality, toxicity, whitening
 from strata.llm._labelled import fold
 from strata.llm.decontaminate import contamination
 from strata.llm.mixing import mix
@@ -103,6 +103,11 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(_table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op11_whitened_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    """Every embedding on the 8 leading principal components, scaled to unit variance."""
+    return whitening.whitened(_table(spark, sf, "embeddings"))
+
+
 def op12_conversation_trie(spark: SparkSession, sf: str) -> DataFrame:
     """Every distinct beginning of the conversations, rebuilt on shared heads, with its totals."""
     turns = prefix_trie.turn_sequences(_table(spark, sf, "conversations"))
@@ -117,5 +122,5 @@ def op13_piece_encoding(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_nn_descent_search, op2_sainte_lague_mix, op3_pii_disclosure, op4_positional_decontamination, op5_minhash_near_dup,
     op6_bradley_terry_quality, op7_gru_language_model, op8_cnn_toxicity, op9_revisit_resolution,
-    op10_token_counts, op12_conversation_trie, op13_piece_encoding)}
+    op10_token_counts, op11_whitened_embeddings, op12_conversation_trie, op13_piece_encoding)}
 SQL: dict[str, str] = dict(oracle.SQL)
