@@ -1,7 +1,8 @@
 """DuckDB SQL for the registered llm queries that SQL can express.
 
 op1, op2, op3, op6, op7, op8 depend on a search, a seeded choice, corpus-fitted spans or a
-trained model; op10 on a tokenizer library: these are tested by brute force instead. op5
+trained model; op10 on a tokenizer library, op11 on eigenvectors, op13 on a piece model: these are tested by
+brute force or against the library instead. op5
 compares sets pair by pair, which is no query for whole tables; it is tested against brute
 force on fixtures too.
 """
@@ -60,4 +61,24 @@ SQL = {
                    'Cache-Control=no-cache;Content-Length=' || size || ';Content-Type=text/html;X-Page=' || ri
                    || ';date=' || (t0 + 1) end as headers
         from judged""",
+    "op12_conversation_trie": r"""
+        WITH t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce("text", '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (SELECT c, list(struct_pack(r := r, x := x) ORDER BY turn NULLS FIRST, r, x) AS p FROM t GROUP BY c),
+        -- unsigned crc32 of the decimal id: one step a bit
+        crc AS (SELECT c, p, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+            lambda a, b: list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+              lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 6 AS h FROM own),
+        conv AS (SELECT m.c, list_concat(coalesce(l.p, [])[1:m.h], m.p[m.h + 1:]) AS p FROM crc m LEFT JOIN own l ON l.c = m.c - m.c % 100),
+        step AS (SELECT c, unnest(range(len(p) + 1)) AS d, p FROM conv),
+        node AS (SELECT d, p[1:d] AS k, min(c) AS id, count(*) AS n, string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE len(p) = d) AS ends
+          FROM step GROUP BY 1, 2),
+        up AS (SELECT m.d, m.k, m.id, m.n, m.ends, u.id AS parent FROM node m LEFT JOIN node u ON u.d = m.d - 1 AND u.k = m.k[1:m.d - 1]),
+        kids AS (SELECT parent AS id, d - 1 AS d, count(*) AS kids FROM up WHERE d > 0 GROUP BY 1, 2),
+        full_node AS (SELECT u.*, coalesce(q.kids, 0) AS kids, CASE WHEN u.d = 0 THEN 0 ELSE (u.n - 1) * length(u.k[u.d].x) END AS own
+          FROM up u LEFT JOIN kids q ON q.id = u.id AND q.d = u.d),
+        below AS (SELECT z.k[1:z.a] AS k, z.a AS d, sum(own) AS saved, count(*) FILTER (WHERE kids = 0) AS leaves
+          FROM (SELECT k, own, kids, unnest(range(d + 1)) AS a FROM full_node) z GROUP BY 1, 2)
+        SELECT f.id AS conv_id, f.d::BIGINT AS depth, f.parent AS parent_conv_id, f.n::BIGINT AS n_convs, f.kids::BIGINT AS n_children,
+          b.leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens, sha256(coalesce(f.ends, '')) AS ends_sha256
+        FROM full_node f JOIN below b ON b.d = f.d AND b.k = f.k""",
 }

@@ -18,7 +18,7 @@ def test_every_operator_and_the_pipeline_are_registered():
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "labels"):
+    for t in ("documents", "benchmark", "pages", "labels", "conversations"):
         path = f"{SF}/{t}.parquet"
         if os.path.exists(path):
             con.execute(f"create view {t} as select * from read_parquet('{path}')")
