@@ -16,9 +16,9 @@ Encoding therefore needs no merge queue:
 
 Compatibility is checked by merging the two pieces' characters anew, up to the first merge
 over their border; answers are remembered in a bounded table. Characters without a piece
-become byte pieces and part the text, as no merge crosses them. If no piece holds a space
-mark after another character, no merge crosses such a border either, so the text is cut
-there into units, and a bounded cache per worker answers units that come again.
+become byte pieces and part the text, as no merge crosses them. Nor does a merge cross a
+border whose two characters stand side by side in no piece; the text is cut at some such
+borders into units, and a bounded cache per worker answers units that come again.
 
 Normalisation (space marks, prefix) is the library's own; its encoder and decoder are not used.
 """
@@ -26,6 +26,7 @@ Normalisation (space marks, prefix) is the library's own; its encoder and decode
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 from itertools import groupby
 
@@ -38,7 +39,7 @@ from strata.llm._tables import prepare
 
 SPACE = "▁"
 #: Entries of the unit cache and of the pair table of a worker; longer units are not kept.
-UNIT_CACHE, PAIR_CACHE, UNIT_CHARS = 1 << 18, 1 << 20, 64
+UNIT_CACHE, PAIR_CACHE, UNIT_CHARS = 1 << 19, 1 << 20, 64
 
 
 class _Units(dict):
@@ -48,7 +49,7 @@ class _Units(dict):
         self.encode = encode
 
     def __missing__(self, unit: str) -> bytes:
-        out = np.array(self.encode(unit), np.int32).tobytes()
+        out = array("i", self.encode(unit)).tobytes()
         if len(unit) <= UNIT_CHARS:
             if len(self) >= UNIT_CACHE:
                 self.clear()
@@ -80,7 +81,7 @@ class PieceModel:
         self.order = {names[i]: levels[lib.get_score(i)] for i in plain}
         self.names = names
         own = {p: i for p, i in ids.items() if len(p) == 1 or self._merges_whole(p)}
-        self.single = {p: i for p, i in own.items() if len(p) == 1}
+        self.single = {p for p in own if len(p) == 1}
         automaton = ahocorasick.Automaton()
         for p, i in own.items():
             automaton.add_word(p, (i, len(p)))
@@ -89,8 +90,7 @@ class PieceModel:
         # the longest shorter piece that begins as each piece does
         self.shorter = {i: next((own[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in own), -1) for p, i in own.items()}
         self.length = {i: len(p) for p, i in own.items()}
-        cut = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in ids)
-        self.units_of = (lambda t: [t] if t else []) if cut else re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
+        self.units_of = self._units(ids)
         self.apart: dict[int, bool] = {}
         self.units = _Units(self._encode_unit)
         # decoding: what every id stands for, as UTF-8
@@ -105,6 +105,20 @@ class PieceModel:
         self.is_byte = frozenset(byte_ids)
         self.prefixed = self.normalise("a").startswith(SPACE)
 
+    @staticmethod
+    def _units(pieces):
+        """A function that cuts a text where no piece, and so no merge, can stand across the
+        cut: before space marks, around line ends, and after letters before those signs that
+        follow a letter in no piece. Each cut is used only if the pieces allow it."""
+        if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces):
+            return lambda text: [text] if text else []
+        letter = r"[^\W\d_]"
+        after = {c for p in pieces for c in re.findall(f"(?<={letter})[^{SPACE}]", p)}
+        signs = "".join(re.escape(chr(c)) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in after)
+        line = "" if any("\n" in p for p in pieces) else "\n"
+        return re.compile((f"{SPACE}*+{letter}++(?=[{signs}])|" if signs else "") + ("\n+|" if line else "")
+                          + f"{SPACE}*[^{SPACE}{line}]+|{SPACE}+").findall
+
     def _merges_whole(self, piece: str) -> bool:
         return len(self.merged(piece)) == 1
 
@@ -145,14 +159,14 @@ class PieceModel:
         for end, (i, size) in self.matches(text):  # by end, so the last one written is the longest
             longest[end + 1 - size] = i
         failed = bytearray(n + 1)
-        length, shorter, compatible = self.length, self.shorter, self.compatible
+        length, shorter, compatible, apart = self.length, self.shorter, self.compatible, self.apart.get
         out: list[int] = []
         pos, piece = 0, longest[0]
         while pos < n:
             before = out[-1] if out else -1
             while True:
                 end = pos + length[piece]
-                if not failed[end] and (before < 0 or compatible(before, piece)):
+                if not failed[end] and (before < 0 or (apart(before << 32 | piece) or compatible(before, piece))):
                     out.append(piece)
                     pos = end
                     if pos < n:
@@ -168,7 +182,7 @@ class PieceModel:
 
     def _encode_unit(self, unit: str) -> list[int]:
         single = self.single
-        if all(c in single for c in unit):
+        if single.issuperset(unit):
             return self._backtrack(unit)
         out: list[int] = []
         start = 0
