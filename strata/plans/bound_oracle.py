@@ -283,3 +283,73 @@ select district_id, district_name, uf, valid_from,
 from changes"""
 
 SQL["district_history_merged"] = SQL["district_history"]
+
+# --- type inference, readers in splits ------------------------------------------------------
+
+SQL["csv_inferred_customer"] = """
+select cast(c_custkey as bigint) as c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey, c_acctbal, c_mktsegment
+from customer"""
+
+_KINDS = """orders_text as (
+  select o_orderkey as k, cast(o_orderdate as date) as d, o_totalprice as price from orders)"""
+SQL["csv_inferred_orders"] = f"""
+with {_KINDS}
+select cast(k as bigint) as order_id, price, d as ordered, d as day_first, d as month_first,
+       case when k % 3 = 0 then cast(d as timestamp)
+            else cast(d as timestamp) + interval 12 hour + interval 30 minute + to_seconds(k % 60) end as stamp,
+       k % 2 = 0 as flag, lpad(cast(k as varchar), 12, '0') as code,
+       case when k % 7 = 0 then null when k % 11 = 0 then k + 0.5 else k end :: double as mostly_whole,
+       case when k % 97 = 0 then 'n/d' else cast(k as varchar) end as mostly_number,
+       cast(null as varchar) as blank
+from orders_text"""
+
+_TYPES = {
+    "customer": {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "bigint", "c_acctbal": "double", "c_mktsegment": "string"},
+    "orders": {"order_id": "bigint", "price": "double", "ordered": "date", "day_first": "date", "month_first": "date",
+               "stamp": "timestamp_ntz", "flag": "boolean", "code": "string", "mostly_whole": "double", "mostly_number": "string",
+               "blank": "string"}}
+_MISSING = {"mostly_whole": "count(*) filter (where o_orderkey % 7 = 0)", "blank": "count(*)"}
+SQL["csv_inferred_types"] = " union all ".join(
+    f"select '{t}' as table_name, '{c}' as column_name, '{kind}' as type, count(*) as n_rows, "
+    f"{_MISSING.get(c, '0')} :: bigint as n_null from {t}" for t, cols in _TYPES.items() for c, kind in cols.items())
+
+SQL["csv_quoted_lines"] = """
+select cast(c_custkey as bigint) as customer,
+       c_name || chr(10) || 'says "' || c_mktsegment || '",' || chr(10) || chr(10) || cast(c_custkey % 7 as varchar) as note,
+       c_mktsegment as segment
+from customer"""
+SQL["json_arrays_in_splits"] = """
+select cast(c_custkey as bigint) as customer, c_name || ' {"' || c_mktsegment || '"}]' as name,
+       '{"xs":[' || c_nationkey || ',1]}' as more
+from customer"""
+
+# --- sources and sinks shown in full ----------------------------------------------------------
+
+SQL["preview_longest_cases"] = with_ctes("fact_cases") + """
+select case_id, district_id, duration_days from fact_cases order by duration_days desc nulls last, case_id limit 10"""
+SQL["bronze_stamp"] = """
+select cast(c_custkey as varchar) as c_custkey, c_name, '2026-01-02T03:04:05.000006+00:00' as _ingerido_em,
+       count(*) over () as n_written
+from customer"""
+SQL["file_bytes"] = """
+select 'customer' as dataset, cast(sum(strlen(c_name) + 1) as bigint) as bytes, true as has_files from customer
+union all select 'part', cast(sum(strlen(p_name) + 1) as bigint), true from part"""
+
+# --- tables kept up to date -------------------------------------------------------------------
+
+SQL["stable_court_ids"] = with_ctes("stg_districts") + """
+select district_id, cast(n as integer) as court_number,
+       row_number() over (order by district_id % 2 <> 0, district_id, n) as court_id
+from stg_districts, range(1, 6) r(n)"""
+SQL["fact_changed_partitions"] = SQL["fact_cases"]
+SQL["duration_by_district_as_of"] = with_ctes("fact_cases", "stg_districts") + """
+select case when opened >= date '1998-06-01' and district_id % 5 = 0 then lower(district_name)
+            when opened >= date '1998-06-01' then district_name
+            when opened >= date '1995-03-01' and district_id % 3 = 0 then upper(district_name)
+            else district_name end as district_name,
+       count(duration_days) as n_closed, round(sum(duration_days) / count(duration_days), 1) as avg_days
+from fact_cases join stg_districts using (district_id) group by 1 having count(duration_days) > 0"""
+SQL["report_from_deltas"] = SQL["duration_by_district_year"]
+SQL["distinct_any_range"] = with_ctes("fact_cases") + """
+select court_id, count(distinct district_id) as n_districts, count(distinct case_id) as n_cases
+from fact_cases where opened between date '1994-03-15' and date '1996-09-20' group by 1"""

@@ -74,7 +74,7 @@ KEYS = {"cases": "case_id", "districts": "district_id", "classes": "class_id"}
 
 
 def newest_per_key(bronze: DataFrame, key: str, extract: str = EXTRACT) -> DataFrame:
-    """Rows of the newest extract (a file) that has their key (all of them: one extract may
+    """Rows of the newest extract (a file or a folder) that has their key (all of them: one extract may
     hold a key in several spellings). Rows without a readable key are kept.
 
     The newest extract per key is a partially aggregated maximum, joined back on the key.
@@ -87,7 +87,7 @@ def newest_per_key(bronze: DataFrame, key: str, extract: str = EXTRACT) -> DataF
 
 def land_incremental(spark: SparkSession, sources: Mapping[str, tuple[str, str]], root: str,
                      columns: Mapping[str, Columns] | None = None, json_array: bool = True,
-                     csv_multiline: bool = True) -> dict[str, DataFrame]:
+                     csv_multiline: bool = True, extract_folders: bool = False) -> dict[str, DataFrame]:
     """Land every role's landing folder into bronze with the streaming ingestion
     (only files not seen before are read; the checkpoints live under ``root``)."""
     from strata.streaming import ingest_available
@@ -101,14 +101,14 @@ def land_incremental(spark: SparkSession, sources: Mapping[str, tuple[str, str]]
         out[role] = ingest_available(spark, fmt, path, cols[role],
                                      f"{root.rstrip('/')}/bronze/{role}",
                                      f"{root.rstrip('/')}/_checkpoints/{role}",
-                                     json_array=json_array, csv_multiline=csv_multiline)
+                                     json_array=json_array, csv_multiline=csv_multiline, extract_folders=extract_folders)
     return out
 
 
 def build_lakehouse(spark: SparkSession, sources: Mapping[str, tuple[str, str]], root: str,
                     columns: Mapping[str, Columns] | None = None, today=None,
                     rules: Sequence[Q.Rule] | None = None, incremental: bool = False,
-                    json_array: bool = True, csv_multiline: bool = True) -> Lakehouse:
+                    json_array: bool = True, csv_multiline: bool = True, extract_folders: bool = False) -> Lakehouse:
     """``sources`` maps each role (cases, districts, classes, events) to
     ``(format, path)``; layers are written under ``root/bronze`` and ``root/model``.
 
@@ -119,12 +119,13 @@ def build_lakehouse(spark: SparkSession, sources: Mapping[str, tuple[str, str]],
     appended to bronze by the streaming ingestion, then silver and gold are rebuilt from
     the newest rows of every key (events: from all of them, distinct).
     ``json_array`` / ``csv_multiline``: set False for JSON-lines and single-line CSV
-    so large extracts split across tasks. Splits and shuffles are sized from the extracts.
+    so large extracts split across tasks. ``extract_folders``: a snapshot is a folder of files
+    in its landing folder, newest by name, instead of one file. Splits and shuffles are sized from the extracts.
     """
     apply_sizes(spark, input_bytes(spark, [path for _, path in sources.values()]))
     bronze: dict[str, Ingested] = {}
     if incremental:
-        landed = land_incremental(spark, sources, root, columns, json_array, csv_multiline)
+        landed = land_incremental(spark, sources, root, columns, json_array, csv_multiline, extract_folders)
         frames = {r: (newest_per_key(df, KEYS[r]) if r in KEYS else df).drop(INGESTED_AT, EXTRACT)
                   for r, df in landed.items()}
     else:

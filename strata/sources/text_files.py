@@ -54,9 +54,9 @@ def checked(df: DataFrame, bad: Column, what: str, on_malformed: str) -> DataFra
     raise ValueError(f"on_malformed must be fail or quarantine, not {on_malformed!r}")
 
 
-def csv_header(spark: SparkSession, path: str, multiline: bool = True) -> list[str]:
+def csv_header(spark: SparkSession, path: str, multiline: bool = True, recursive: bool = False) -> list[str]:
     """Column names of a CSV extract (reads the first record only)."""
-    return (spark.read.option("header", True).option("inferSchema", False)
+    return (spark.read.option("header", True).option("inferSchema", False).option("recursiveFileLookup", recursive)
                  .option("multiLine", multiline).option("escape", '"').csv(path).columns)
 
 

@@ -23,21 +23,27 @@ UTC_CLOCK = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 def read_landing(spark: SparkSession, fmt: str, landing_dir: str, columns: Columns,
                  json_array: bool = True, csv_multiline: bool = True,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = None, extract_folders: bool = False) -> DataFrame:
     """Streaming text read of a landing folder, every column a string, bound by name.
 
     The header of the files that have landed fixes the CSV columns; a later file with
     another header, a record with surplus fields and unreadable JSON fail the batch.
-    ``EXTRACT`` orders the extracts: modification time, then name, of a row's file.
+    ``EXTRACT`` orders the extracts: modification time, then name, of a row's file. With
+    ``extract_folders`` an extract is a folder of any number of files inside the landing
+    folder, and the folders' names order them.
     """
     mapping = column_mapping(columns)
-    reader = (spark.readStream.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
+    reader = (spark.readStream.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+                   .option("recursiveFileLookup", extract_folders))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     extract = F.concat(F.date_format("_metadata.file_modification_time", UTC_CLOCK), F.lit(" "),
-                       F.col("_metadata.file_name")).alias(EXTRACT)
+                       F.col("_metadata.file_name"))
+    if extract_folders:
+        extract = F.regexp_extract("_metadata.file_path", "([^/]+)/[^/]+$", 1)
+    extract = extract.alias(EXTRACT)
     if fmt == "csv":
-        header = csv_header(spark, landing_dir, csv_multiline)
+        header = csv_header(spark, landing_dir, csv_multiline, recursive=extract_folders)
         missing = [c for c in mapping.values() if c not in header]
         if missing:
             raise ValueError(f"columns {missing} are not in the header {header} of {landing_dir}")
