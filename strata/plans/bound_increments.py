@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.asof import as_of_join
+from strata.operators.batch_rules import rule_results
 from strata.operators.bitmaps import daily_sets, distinct_between
 from strata.operators.deltas import add_states, group_state, report, signed_changes
 from strata.operators.extras import scd2_history
 from strata.operators.keymap import load_key_map, with_key
 from strata.operators.measures import duration_by
+from strata.operators.shapes import frequent_shapes
+from strata.operators.spellings import spelling_clusters
 from strata.plans import tpch
 from strata.session import scratch_dir
 from strata.sinks.partitions import upsert_partitions
@@ -21,6 +24,7 @@ from strata.sources.files import file_sizes
 from strata.sources.infer import infer_types, merged, read_csv_inferred, state, types_of
 from strata.sources.split_records import read_csv_records, read_json_array_records
 from strata.sources.text_files import read_csv_text
+from strata.streaming.versions import ingest_versions
 
 # --- type inference ---------------------------------------------------------------------
 
@@ -205,7 +209,51 @@ def distinct_any_range(spark: SparkSession, sf: str) -> DataFrame:
     return out[0].join(out[1], "court_id")
 
 
+# --- rules, spellings and shapes ------------------------------------------------------------------
+
+
+def dq_batch_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules on the cases opened from 1997 on, with planted copies of older ones and unknown
+    districts, against the older cases: what the full rules say, without grouping the history."""
+    fact = tpch.model(spark, sf)["fact_cases"].select("case_id", "district_id", "opened")
+    late = F.col("opened") >= F.lit("1997-01-01").cast("date")
+    history, fresh = fact.filter(~late), fact.filter(late)
+    copies = history.filter("case_id % 211 = 5")
+    lost = fresh.filter("case_id % 97 = 1").withColumn("case_id", -F.col("case_id")).withColumn("district_id", F.lit(900))
+    batch = fresh.unionByName(copies).unionByName(lost)
+    return rule_results(history, batch, "case_id", tpch.model(spark, sf)["dim_district"], "district_id")
+
+
+def misspelt_words(spark: SparkSession, sf: str) -> DataFrame:
+    """First words of part names, some with a letter lost, doubled or swapped: clusters of
+    spellings that belong together."""
+    w, k = F.split("p_name", " ")[0], F.col("p_partkey") % 10
+    rest = F.substr(w, F.lit(3))
+    label = (F.when(k == 1, F.concat(F.left(w, F.lit(1)), rest)).when(k == 2, F.concat(w, F.right(w, F.lit(1))))
+              .when(k == 3, F.concat(F.substr(w, F.lit(2), F.lit(1)), F.left(w, F.lit(1)), rest)).otherwise(w))
+    return spelling_clusters(tpch.table(spark, sf, "part").select(label.alias("label")), "label")
+
+
+def format_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    """Shapes that at least one in a hundred values of a raw case column has."""
+    return frequent_shapes(tpch.bronze(spark, sf)["cases"])
+
+
+def bronze_header_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """customer landed in two deliveries, the second with its columns in another order, one
+    more and one less: one bronze with every record."""
+    base = scratch_dir(spark, "versions")
+    c = tpch.table(spark, sf, "customer")
+    first, second = c.filter("c_custkey % 2 = 0"), c.filter("c_custkey % 2 = 1")
+    places = (f"{base}/landing", f"{base}/bronze", f"{base}/checkpoint")
+    first.select("c_custkey", "c_name", "c_nationkey").write.option("header", True).mode("append").csv(places[0])
+    ingest_versions(spark, *places)
+    second.select("c_mktsegment", "c_name", "c_custkey").write.option("header", True).mode("append").csv(places[0])
+    bronze = ingest_versions(spark, *places)
+    return infer_types(bronze.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), ["c_custkey", "c_nationkey"])
+
+
 QUERIES = {f.__name__: f for f in (
     csv_inferred_customer, csv_inferred_orders, csv_inferred_types, csv_quoted_lines, json_arrays_in_splits, preview_longest_cases,
     bronze_stamp, file_bytes, stable_court_ids, fact_changed_partitions, duration_by_district_as_of, report_from_deltas,
-    distinct_any_range)}
+    distinct_any_range, dq_batch_rules, misspelt_words, format_shapes, bronze_header_versions)}

@@ -353,3 +353,48 @@ SQL["report_from_deltas"] = SQL["duration_by_district_year"]
 SQL["distinct_any_range"] = with_ctes("fact_cases") + """
 select court_id, count(distinct district_id) as n_districts, count(distinct case_id) as n_cases
 from fact_cases where opened between date '1994-03-15' and date '1996-09-20' group by 1"""
+
+# --- rules, spellings and shapes ----------------------------------------------------------------
+
+SQL["dq_batch_rules"] = with_ctes("fact_cases", "dim_district") + """,
+batch as (
+  select case_id, district_id from fact_cases where opened >= date '1997-01-01'
+  union all select case_id, district_id from fact_cases where opened < date '1997-01-01' and case_id % 211 = 5
+  union all select -case_id, 900 from fact_cases where opened >= date '1997-01-01' and case_id % 97 = 1),
+every as (select case_id from fact_cases where opened < date '1997-01-01' union all select case_id from batch),
+results as (
+  select 'unique' as rule, count(*) as violations from (select case_id from every group by 1 having count(*) > 1)
+  union all
+  select 'relationships', count(*) from batch where district_id not in (select district_id from dim_district))
+select *, violations = 0 as passed from results"""
+
+SQL["misspelt_words"] = """
+with recursive words as (select p_partkey % 10 as k, string_split(p_name, ' ')[1] as w from part),
+labels as (
+  select case k when 1 then left(w, 1) || substr(w, 3) when 2 then w || right(w, 1)
+                when 3 then substr(w, 2, 1) || left(w, 1) || substr(w, 3) else w end as label, count(*) as n_rows
+  from words group by 1),
+pairs as (
+  select a.label as a, b.label as b from labels a, labels b
+  where a.label <> b.label and least(length(a.label), length(b.label)) >= 3
+    and levenshtein(a.label, b.label) <= case when greatest(length(a.label), length(b.label)) >= 8 then 2 else 1 end),
+reach as (select a, b from pairs union select r.a, p.b from reach r join pairs p on p.a = r.b),
+named as (select a as label, min(least(a, b)) as component from reach group by 1)
+select first_value(label) over (partition by component order by n_rows desc, label) as cluster, label, n_rows,
+       count(*) over (partition by component) as n_labels
+from named join labels using (label)"""
+
+_CASE_COLUMNS = ("case_id", "class_id", "district_id", "court_id", "opened", "closed", "status")
+SQL["format_shapes"] = with_ctes("bronze_cases") + ",\ncells as (" + " union all ".join(
+    f"select '{c}' as column_name, {c} as v from bronze_cases where {c} is not null" for c in _CASE_COLUMNS) + r"""),
+shapes as (
+  select column_name, regexp_replace(regexp_replace(regexp_replace(v, '[A-Z]+', 'A', 'g'), '[a-z]+', 'a', 'g'), '[0-9]+', '9', 'g') as shape
+  from cells)
+select column_name, shape, count(*) as n, any_value(n_values) as n_values
+from shapes join (select column_name, count(*) as n_values from cells group by 1) using (column_name)
+group by 1, 2 having count(*) >= 0.01 * any_value(n_values)"""
+
+SQL["bronze_header_versions"] = """
+select cast(c_custkey as bigint) as c_custkey, c_name, cast(case when c_custkey % 2 = 0 then c_nationkey end as bigint) as c_nationkey,
+       case when c_custkey % 2 = 1 then c_mktsegment end as c_mktsegment
+from customer"""
