@@ -37,13 +37,16 @@ from strata.llm._text import SPACED, HashTable, split_words
 
 END = -1  # the end-of-text token's key in the count table
 TAIL = 32
+TILE = 32  # places of one class in a tile of the words' softmax
 
 
 @dataclass(frozen=True)
 class LmParams:
     """``rounds`` rounds of training, each over another ``1/rounds`` of all training texts,
-    by hash, so every text is learnt from once; ``streams`` texts at a time, ``window`` tokens of
-    backpropagation."""
+    by hash, so every text is learnt from once; ``streams`` texts at a time, more where a task has
+    many tokens (so that it still makes ``steps`` steps, at most ``most_streams``), ``window``
+    tokens of backpropagation. Texts of more than ``segment`` tokens are learnt from in segments,
+    so the end of a long text is no lonely stream; to be scored they stay whole."""
 
     head: int = 2000
     class_size: int = 40
@@ -53,24 +56,37 @@ class LmParams:
     rounds: int = 3
     window: int = 32
     streams: int = 32
-    score_streams: int = 512
+    most_streams: int = 256
+    steps: int = 128
+    score_streams: int = 256
+    segment: int = 2048
     group_words: int = 1 << 21
+    score_words: int = 1 << 22
     rate: float = 0.01
     clip: float = 1.0
     seed: int = 1
 
+    def width(self, tokens: int) -> int:
+        """Streams for a task's tokens."""
+        return max(self.streams, min(self.most_streams, tokens // (self.window * self.steps)))
 
-def shape_class(w) -> np.ndarray:
-    """Tail class of every word: its last character's kind, plain or not, its length."""
-    last = w.data[w.ends - 1]
-    kind = np.where(last == 46, 0, np.where(last == 44, 1, np.where(
-        ((last >= 97) & (last <= 122)) | ((last >= 48) & (last <= 57)) | (last >= 128), 2, 3)))
-    wide = np.concatenate(([0], np.cumsum(w.data >= 128)))
-    plain = (wide[w.ends] == wide[w.starts]).astype(int)
-    size = np.digitize(w.ends - w.starts, (5, 9, 13))
+
+def shape_class(w, at=slice(None)) -> np.ndarray:
+    """Tail class of every word (or of those ``at`` some places): its last character's kind,
+    plain or not, its length."""
+    starts, ends = w.starts[at], w.ends[at]
+    last = w.data[ends - 1]
+    kind = _LAST[last]
+    wide = np.concatenate(([0], np.cumsum(w.data >= 128, dtype=np.int32)))
+    plain = (wide[ends] == wide[starts]).astype(int)
+    size = np.digitize(ends - starts, (5, 9, 13))
     return kind * 8 + plain * 4 + size
 
 
+#: Kind of a last byte: full stop, comma, letter or digit or beyond ASCII, another.
+_LAST = np.array([0 if c == 46 else 1 if c == 44 else 2 if 97 <= c <= 122 or 48 <= c <= 57 or c >= 128 else 3 for c in range(256)])
+
+
 def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
     """``(h, cls, c)`` over all texts: counts per word, the end of a text under END."""
     prepare(docs.sparkSession)
@@ -143,8 +159,18 @@ def vocabulary(counts: DataFrame, p: LmParams) -> Vocabulary:
                       top["h"].to_numpy().astype(np.int64).view(np.uint64), top["c"].to_numpy().astype(np.int64), n, v)
 
 
-def _sigmoid(x):
-    return 1 / (1 + np.exp(-x))
+#: exp() of numbers up to this size, and sums of them, are exact enough in 32 bits as they are.
+SAFE = 60.0
+
+
+def _reach(w: np.ndarray, b: np.ndarray, axis: int) -> float:
+    """Bound of ``|s @ w + b|`` for states ``s`` between -1 and 1."""
+    return float((np.abs(w).sum(axis) + np.abs(b)).max()) if b.size else 0.0
+
+
+def _by(keys: np.ndarray, bound: int) -> np.ndarray:
+    """Stable order of whole numbers below ``bound`` (16-bit keys are sorted by counting)."""
+    return np.argsort(keys.astype(np.int16) if bound < 1 << 15 else keys, kind="stable")
 
 
 class Gru:
@@ -189,60 +215,92 @@ class Gru:
     def class_of(self, tok: np.ndarray) -> np.ndarray:
         return np.where(tok < self.n_head, tok // self.p.class_size, tok - self.n_head + self.head_classes)
 
-    def run(self, gates_in: np.ndarray, h: np.ndarray, fresh: np.ndarray):
+    def run(self, gates_in: np.ndarray, h: np.ndarray, fresh: np.ndarray, saved: np.ndarray | None = None):
         """States of one window: ``gates_in`` (steps, streams, 3 hidden); ``fresh`` marks
-        steps that begin a text, where the state starts at zero."""
+        steps that begin a text, where the state starts at zero. ``saved`` (5, steps, streams,
+        hidden) takes what backpropagation needs: state before, z, r, candidate, its recurrent part."""
         n = self.p.hidden
         out = np.empty((*gates_in.shape[:2], n), np.float32)
-        saved = []
+        begins = fresh.any(1)
+        half = gates_in[:, :, :2 * n] * np.float32(0.5)  # sigmoid(x) = tanh(x/2)/2 + 1/2
+        wh = self.wh.copy()
+        wh[:, :2 * n] *= np.float32(0.5)
         for t in range(len(gates_in)):
-            h = h * ~fresh[t][:, None]
-            a = h @ self.wh
-            zr = _sigmoid(gates_in[t, :, :2 * n] + a[:, :2 * n])
-            z, r = zr[:, :n], zr[:, n:]
-            c = np.tanh(gates_in[t, :, 2 * n:] + r * a[:, 2 * n:])
-            saved.append((h, z, r, c, a[:, 2 * n:]))
-            h = h + z * (c - h)
-            out[t] = h
+            if begins[t]:
+                h = h * ~fresh[t][:, None]
+            a = h @ wh
+            zr = a[:, :2 * n]
+            zr += half[t]
+            np.tanh(zr, out=zr)
+            zr *= np.float32(0.5)
+            zr += np.float32(0.5)
+            z, r, ac = zr[:, :n], zr[:, n:], a[:, 2 * n:]
+            c = r * ac
+            c += gates_in[t, :, 2 * n:]
+            np.tanh(c, out=c)
+            if saved is not None:
+                for k, v in enumerate((h, z, r, c, ac)):
+                    saved[k, t] = v
+            step = c - h
+            step *= z
+            h = np.add(h, step, out=out[t])
         return out, h, saved
 
     def log_probs(self, s: np.ndarray, tok: np.ndarray, grads: list[np.ndarray] | None = None):
         """Natural log P(token | state) (tail words: of their class); with ``grads`` the
-        output layers' gradients are added there and the states' gradient is returned."""
+        output layers' gradients are added there and the states' gradient is returned.
+
+        The words' softmax runs over tiles: ``TILE`` places of one class each, so all classes
+        go through one product whatever their share of the tokens."""
         cls = self.class_of(tok)
         z = s @ self.wc
         z += self.bc
-        z -= z.max(1, keepdims=True)
-        e = np.exp(z)
-        tot = e.sum(1)
+        if _reach(self.wc, self.bc, 0) > SAFE:
+            z -= z.max(1, keepdims=True)
         at = np.arange(len(tok))
-        out = z[at, cls] - np.log(tot)
+        out = z[at, cls]
+        e = np.exp(z, out=z)
+        tot = e @ np.ones(self.classes, np.float32)
+        out = out - np.log(tot)
         ds = None
         if grads is not None:
-            d = e / tot[:, None]
-            d[at, cls] -= 1
-            ds = d @ self.wc.T
-            grads[4] += s.T @ d
-            grads[5] += d.sum(0)
-        order = np.argsort(cls, kind="stable")
-        head = order[:np.searchsorted(cls[order], self.head_classes)]
+            e /= tot[:, None]
+            e[at, cls] -= 1
+            ds = e @ self.wc.T
+            grads[4] += s.T @ e
+            grads[5] += np.ones(len(e), np.float32) @ e
+        order = _by(cls, self.classes)
+        per = np.bincount(cls, minlength=self.classes)[:self.head_classes]
+        head = order[:per.sum()]
         if len(head):
-            cut = np.flatnonzero(np.diff(cls[head])) + 1
-            for own in np.split(head, cut):
-                k = cls[own[0]]
-                y = s[own] @ self.ww[k]
-                y += self.bw[k]
-                y -= y.max(1, keepdims=True)
-                e = np.exp(y)
-                tot = e.sum(1)
-                w, i = tok[own] - k * self.p.class_size, np.arange(len(own))
-                out[own] += y[i, w] - np.log(tot)
-                if grads is not None:
-                    d = e / tot[:, None]
-                    d[i, w] -= 1
-                    ds[own] += d @ self.ww[k].T
-                    grads[6][k] += s[own].T @ d
-                    grads[7][k] += d.sum(0)
+            tiles = -(-per // TILE)
+            first = np.cumsum(tiles) - tiles
+            own = cls[head]
+            place = np.arange(len(head)) - (np.cumsum(per) - per)[own] + first[own] * TILE
+            kinds = np.repeat(np.arange(self.head_classes), tiles)
+            x = np.zeros((len(kinds) * TILE, self.p.hidden), np.float32)
+            x[place] = s[head]
+            x = x.reshape(len(kinds), TILE, -1)
+            ww = self.ww[kinds]
+            y = np.matmul(x, ww)
+            y += self.bw[kinds][:, None, :]
+            if _reach(self.ww, np.where(self.bw > -1e3, self.bw, 0), 1) > SAFE:
+                y -= y.max(2, keepdims=True)
+            w = tok[head] - own * self.p.class_size
+            size = self.p.class_size
+            picked = y.reshape(-1, size)[place, w]
+            e = np.exp(y, out=y)
+            tot = (e.reshape(-1, size) @ np.ones(size, np.float32)).reshape(e.shape[:2])
+            out[head] += picked - np.log(tot.reshape(-1)[place])
+            if grads is not None:
+                used = np.zeros(len(kinds) * TILE, np.float32)
+                used[place] = 1
+                e *= (used.reshape(tot.shape) / tot)[:, :, None]  # empty places have no gradient
+                e.reshape(-1, size)[place, w] -= 1
+                ds[head] += np.matmul(e, ww.transpose(0, 2, 1)).reshape(-1, self.p.hidden)[place]
+                there = np.flatnonzero(tiles)
+                grads[6][there] += np.add.reduceat(np.matmul(x.transpose(0, 2, 1), e), first[there], axis=0)
+                grads[7][there] += np.add.reduceat(e.sum(1), first[there], axis=0)
         return out, ds
 
 
@@ -258,8 +316,17 @@ class Streams:
     doc_at: np.ndarray   # where each text begins in ``tok``
 
 
-def deal(tok: np.ndarray, counts: np.ndarray, n: int, bos: int) -> Streams:
-    """``tok``: the texts' tokens one after the other, ``counts`` tokens each (>= 1)."""
+def segments(counts: np.ndarray, most: int) -> np.ndarray:
+    """Sizes of the texts' segments of at most ``most`` tokens, in order."""
+    per = -(-counts // most)
+    out = np.full(per.sum(), most, counts.dtype)
+    out[np.cumsum(per) - 1] = counts - (per - 1) * most
+    return out
+
+
+def deal(tok: np.ndarray, counts: np.ndarray, n: int, bos: int, texts: np.ndarray | None = None) -> Streams:
+    """``tok``: the texts' tokens one after the other, ``counts`` tokens each (>= 1); with
+    ``texts`` (tokens of each text) ``counts`` are of their segments."""
     n = max(1, min(n, len(counts)))
     heap = [(0, i) for i in range(n)]
     lists: list[list[int]] = [[] for _ in range(n)]
@@ -277,8 +344,9 @@ def deal(tok: np.ndarray, counts: np.ndarray, n: int, bos: int) -> Streams:
     own = tok[src]
     fresh = np.zeros(len(own), bool)
     fresh[doc_at] = True
-    inp = np.concatenate(([bos], own[:-1])) if len(own) else own
-    inp[fresh] = bos
+    before = np.concatenate(([bos], tok[:-1])) if len(tok) else tok
+    before[offs[:-1] if texts is None else np.cumsum(texts) - texts] = bos
+    inp = before[src]
     sizes = sizes[by]
     return Streams(own, inp, fresh, np.concatenate(([0], np.cumsum(sizes)))[:-1], sizes, doc_at)
 
@@ -305,61 +373,83 @@ def score_streams(net: Gru, s: Streams) -> np.ndarray:
     return out
 
 
-def train_streams(net: Gru, s: Streams, moments, rate: float | None = None) -> None:
+def train_streams(net: Gru, s: Streams, moments, rate: float | None = None, width: int | None = None) -> None:
     """Adam steps over the streams, window by window, gradients cut at window edges.
 
-    A step is as long as its share of a full window's tokens: where few streams are left,
-    the end of one long text does not move the model as far as 32 texts do.
+    A step is as long as its share of the tokens of a full window of ``width`` streams: where
+    few streams are left, the end of one long text does not move the model as far as many
+    texts do. The rate grows with the root of the width, as the gradients' noise falls.
     """
     p = net.p
     n = p.hidden
-    rate = p.rate if rate is None else rate
+    width = width or p.streams
+    rate = (p.rate if rate is None else rate) * math.sqrt(width / p.streams)
     params = net.arrays()
     h = np.zeros((len(s.sizes), n), np.float32)
+    grads = [np.zeros_like(a) for a in params]
     for at, live, active in _windows(s, p.window):
         fresh = s.fresh[at] & live
+        begins = fresh.any(1)
         inp = s.inp[at]
         x = net.emb[inp]
-        states, h, saved = net.run(x @ net.wx + net.b, h[:active], fresh)
-        grads = [np.zeros_like(a) for a in params]
+        saved = np.empty((5, *at.shape, n), np.float32)
+        states, h, _ = net.run(x @ net.wx + net.b, h[:active], fresh, saved)
+        for g in grads:
+            g.fill(0)
         _, dl = net.log_probs(states[live], s.tok[at[live]], grads)
         ds = np.zeros_like(states)
         ds[live] = dl
         dh = np.zeros((active, n), np.float32)
-        dg = np.zeros((*inp.shape, 3 * n), np.float32)
+        prev, z, r, c, ac = saved
+        keep = 1 - z
+        to_z, to_c, to_r = (c - prev) * z * keep, z * (1 - c * c), ac * r * (1 - r)
+        dg = np.empty((*inp.shape, 3 * n), np.float32)  # of the input gates
+        da = np.empty_like(dg)                          # of the recurrent ones
         for t in range(len(at) - 1, -1, -1):
-            prev, z, r, c, ac = saved[t]
-            dh = dh + ds[t]
-            dz = dh * (c - prev) * z * (1 - z)
-            dc = dh * z * (1 - c * c)
-            dr = dc * ac * r * (1 - r)
-            dg[t] = np.concatenate((dz, dr, dc), 1)
-            da = np.concatenate((dz, dr, dc * r), 1)
-            grads[2] += prev.T @ da
-            dh = (dh * (1 - z) + da @ net.wh.T) * ~fresh[t][:, None]
+            dh += ds[t]
+            g = dg[t]
+            np.multiply(dh, to_z[t], out=g[:, :n])
+            dc = np.multiply(dh, to_c[t], out=g[:, 2 * n:])
+            np.multiply(dc, to_r[t], out=g[:, n:2 * n])
+            da[t, :, :2 * n] = g[:, :2 * n]
+            np.multiply(dc, r[t], out=da[t, :, 2 * n:])
+            dh *= keep[t]
+            dh += da[t] @ net.wh.T
+            if begins[t]:
+                dh *= ~fresh[t][:, None]
+        grads[2] += prev.reshape(-1, n).T @ da.reshape(-1, 3 * n)
         flat = dg.reshape(-1, 3 * n)
         grads[1] += x.reshape(-1, p.dim).T @ flat
         grads[3] += flat.sum(0)
-        np.add.at(grads[0], inp.reshape(-1), flat @ net.wx.T)
+        symbol = inp.reshape(-1)
+        by = _by(symbol, net.symbols)
+        first = np.flatnonzero(np.diff(symbol[by], prepend=-1))
+        grads[0][symbol[by[first]]] = np.add.reduceat((flat @ net.wx.T)[by], first, axis=0)
         norm = live.sum()
         moments["t"] += 1
         c1, c2 = 1 - 0.9 ** moments["t"], 1 - 0.99 ** moments["t"]
-        step = rate * norm / (p.streams * p.window)
-        size = math.sqrt(sum(float((g * g).sum()) for g in grads)) / norm
+        step = rate * norm / (width * p.window)
+        size = math.sqrt(sum(float(np.vdot(g, g)) for g in grads)) / norm
         scale = np.float32(min(1.0, p.clip / max(size, 1e-12)) / norm)
         for i, (a, g) in enumerate(zip(params, grads)):
             g *= scale
-            moments["m"][i] = m = 0.9 * moments["m"][i] + 0.1 * g
-            moments["v"][i] = v = 0.99 * moments["v"][i] + 0.01 * g * g
-            a -= (step * (m / c1) / (np.sqrt(v / c2) + 1e-6)).astype(np.float32)
+            moments["m"][i] = m = np.float32(0.9) * moments["m"][i] + np.float32(0.1) * g
+            moments["v"][i] = v = np.float32(0.99) * moments["v"][i] + np.float32(0.01) * g * g
+            div = np.sqrt(v)
+            div *= np.float32(1 / math.sqrt(c2))
+            div += np.float32(1e-6)
+            np.divide(m, div, out=div)
+            div *= np.float32(step / c1)
+            a -= div
 
 
 def tokens_of(w, head: HashTable, n_head: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of a slice's texts, each text closed by the end symbol; symbols per text;
     the hashes of its words."""
     h = w.hashes()
-    at = head.find(h)
-    sym = np.where(at >= 0, at, n_head + shape_class(w)).astype(np.int32)
+    sym = head.find(h).astype(np.int32)
+    rare = np.flatnonzero(sym < 0)
+    sym[rare] = n_head + shape_class(w, rare)
     offs = w.offsets()
     return np.insert(sym, offs[1:], n_head + TAIL).astype(np.int32), w.counts + 1, h
 
@@ -385,8 +475,9 @@ def train(docs: DataFrame, vocab: Vocabulary, p: LmParams, text_col: str, pick_c
             seen, toks, counts = 0, [], []
 
             def go():
-                t = deal(np.concatenate(toks), np.concatenate(counts), p.streams, mine.symbols - 1)
-                train_streams(mine, t, moments, rate)
+                tok, sizes = np.concatenate(toks), np.concatenate(counts)
+                width = p.width(len(tok))
+                train_streams(mine, deal(tok, segments(sizes, p.segment), width, mine.symbols - 1, sizes), moments, rate, width)
                 toks.clear()
                 counts.clear()
 
@@ -396,7 +487,7 @@ def train(docs: DataFrame, vocab: Vocabulary, p: LmParams, text_col: str, pick_c
                     toks.append(tok)
                     counts.append(n)
                     seen += len(tok)
-                    if sum(map(len, toks)) >= 1 << 18:
+                    if sum(map(len, toks)) >= p.group_words:
                         go()
             if toks:
                 go()
@@ -463,7 +554,10 @@ def log_likelihood(docs: DataFrame, training, p: LmParams = LmParams(), id_col:
             model_part = cum[s.doc_at + n] - cum[s.doc_at]
             words = n - 1
             offs = np.concatenate(([0], np.cumsum(words)))
-            at = known.find(h)
+            sym = np.delete(tok, np.cumsum(n) - 1)
+            at = sym.copy()  # the head words come first among the known ones
+            rare = np.flatnonzero(sym >= model.n_head)
+            at[rare] = known.find(h[rare])
             seen = at >= 0
             logs = np.zeros(len(h))
             logs[seen] = known_log[at[seen]]
@@ -472,7 +566,6 @@ def log_likelihood(docs: DataFrame, training, p: LmParams = LmParams(), id_col:
                 c = np.concatenate(([0.0], np.cumsum(x)))
                 return c[offs[1:]] - c[offs[:-1]]
 
-            sym = np.delete(tok, np.cumsum(n) - 1)
             model_part += per_doc(np.where(sym >= model.n_head, logs, 0.0))
             doc = np.repeat(np.arange(len(n)), words)
             rare_doc, rare_h = doc[~seen], h[~seen]
@@ -500,7 +593,7 @@ def log_likelihood(docs: DataFrame, training, p: LmParams = LmParams(), id_col:
                 toks.append(tok)
                 counts_.append(n)
                 hashes.append(h)
-                if sum(map(len, toks)) >= p.group_words:
+                if sum(map(len, toks)) >= p.score_words:
                     yield from go()
         if ids:
             yield from go()

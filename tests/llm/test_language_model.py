@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm.language_model import TAIL, Gru, LmParams, Vocabulary, deal, log_likelihood, score_streams, train_streams
+from strata.llm.language_model import TAIL, Gru, LmParams, Vocabulary, deal, log_likelihood, score_streams, segments, train_streams
 from tests.llm.cases import SF, clashing, docs, odd_rows
 
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -76,6 +76,28 @@ def test_windows_and_streams_do_not_change_a_score():
         assert all(np.allclose(a, b, atol=1e-4) for a, b in zip(ref, own))
 
 
+def test_segments_keep_every_token_and_what_stood_before_it():
+    rng = np.random.default_rng(6)
+    counts = np.array([5, 1, 17, 8, 4])
+    tok = rng.integers(0, 40, counts.sum())
+    parts = segments(counts, 4)
+    assert parts.tolist() == [4, 1, 1, 4, 4, 4, 4, 1, 4, 4, 4]
+    s = deal(tok, parts, 3, 99, counts)
+    assert s.fresh.sum() == len(parts) and sorted(s.tok.tolist()) == sorted(tok.tolist())
+    before = np.concatenate(([99], tok[:-1]))
+    before[np.cumsum(counts)[:-1]] = 99
+    at = np.cumsum(parts) - parts
+    for i, (a, n) in enumerate(zip(at, parts)):
+        own = slice(s.doc_at[i], s.doc_at[i] + n)
+        assert (s.tok[own] == tok[a:a + n]).all() and (s.inp[own] == before[a:a + n]).all()
+
+
+def test_a_long_text_is_learnt_from_in_segments(spark):
+    rows = [(1, "one two three four five " * 400)] + [(i, f"short text {i}") for i in range(2, 30)]
+    out = log_likelihood(docs(spark, rows), F.lit(True), LmParams(known=100, head=50, segment=64)).collect()
+    assert all(math.isfinite(r.score) and r.score < 0 for r in out) and max(r.n_tokens for r in out) == 2001
+
+
 def test_base_score_and_gain_on_documents(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = d.select("doc_id", "text", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2).alias("out")).collect()
