@@ -1,12 +1,15 @@
-"""A bounded, reproducible sample of labelled texts for fitting a classifier."""
+"""A bounded, reproducible sample of labelled texts, encoded, for fitting a classifier."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm._tables import prepare, written
+
 
 def fold(id_col: str, parts: int):
     """crc32 of the id as text, modulo ``parts`` (null ids are in no fold)."""
@@ -14,13 +17,18 @@ def fold(id_col: str, parts: int):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, allowed, per_class: tuple[int, int],
-                    max_bytes: int, id_col: str = "doc_id", text_col: str = "text", extra: tuple[str, ...] = ()):
-    """Rows ``(text, label, *extra)`` on the driver: of the label rows that ``allowed``
+                    max_bytes: int, encode, budget: int, id_col: str = "doc_id", text_col: str = "text",
+                    extra: tuple[str, ...] = ()):
+    """Rows ``(encoded, label, *extra)`` on the driver: of the label rows that ``allowed``
     admits, at most ``per_class[0]`` with label 0 and ``per_class[1]`` with label 1, by a
     hash of their id; texts above ``max_bytes`` and null texts are not used to fit.
 
-    The ids are chosen before any text is touched, so only the sample's texts move.
+    ``encode`` makes one ``bytes`` of each text of an Arrow column; it runs on the executors,
+    and what reaches the driver stays within ``budget`` bytes (in the order of the hash). The
+    ids are chosen before any text is touched, so only the sample's texts move. Of several
+    texts under one id the one with the smallest hash counts.
     """
+    prepare(docs.sparkSession)
     known = labels.filter(F.col(label_col).isin(*range(len(per_class))))
     known = (known.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_label"))
                    .filter(F.col("_id").isNotNull() & allowed("_id")).distinct())
@@ -33,9 +41,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, allowed,
         known.filter((F.col("_label") == v) & (F.pmod(draw, F.lit(1 << 30)) < F.lit(int(share[v] * (1 << 30)))))
              .orderBy(draw, "_id").limit(n)
         for v, n in enumerate(per_class)])
+    names = [f"_x{i}" for i in range(len(extra))]
     own = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"),
-                      *[F.col(c).alias(f"_x{i}") for i, c in enumerate(extra)])
+                      *[F.col(c).cast("string").alias(x) for c, x in zip(extra, names)])
     own = own.filter(F.octet_length("_text") <= max_bytes)
-    rows = own.join(F.broadcast(picked), "_id").dropDuplicates(["_id", "_label"]).collect()  # sum(per_class) ids at most
-    rows.sort(key=lambda r: (r["_id"], r["_label"], r["_text"]))
-    return [(r["_text"], r["_label"], *(r[f"_x{i}"] for i in range(len(extra)))) for r in rows]
+    first = F.min(F.struct(F.xxhash64("_text").alias("_h"), "_text", *names)).alias("_m")
+    texts = own.join(F.broadcast(picked), "_id").groupBy("_id", "_label").agg(first)  # sum(per_class) ids at most
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(2 + len(names))), pa.array(encode(b.column(b.num_columns - 1)), pa.binary())],
+                                             ["_id", "_label", *names, "_code"])
+
+    schema = ", ".join(["_id long", "_label int", *(f"{x} string" for x in names), "_code binary"])
+    coded = written(texts.select("_id", "_label", *[f"_m.{x}" for x in names], "_m._text").mapInArrow(run, schema), "labelled")
+    # One row per text of the sample, whose number is a parameter.
+    spent = F.sum(F.length("_code")).over(Window.orderBy(draw, "_id", "_label").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = coded.withColumn("_spent", spent).filter(F.col("_spent") <= budget).collect()
+    rows.sort(key=lambda r: (r["_id"], r["_label"]))
+    return [(bytes(r["_code"]), r["_label"], *(r[x] for x in names)) for r in rows]
