@@ -11,8 +11,8 @@ node is bounded by the degree, and every vector is a node.
 Searching. A query that is itself a node starts there, others at the nearest of a bounded
 set of seeds. Each round expands the best unexpanded nodes of the query's beam by a join
 with the graph, scores the new ones by a join with the vectors, and keeps the best
-``beam``. It ends when nothing in any beam is unexpanded. Queries run in blocks of bounded
-size, whose vectors are broadcast; every row is a candidate.
+``beam``. It ends when nothing in any beam is unexpanded. All queries take part in each
+round, so the number of jobs does not grow with them; every row is a candidate.
 """
 
 from __future__ import annotations
@@ -65,15 +65,15 @@ def usable(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int]:
     """``(id, v array<double>)`` of the vectors that take part, and their length.
 
     Null ids, null vectors, vectors with null or non-finite components, zero vectors and
-    vectors of another length than the most frequent one take no part; rows that repeat
-    an id count once.
+    vectors of another length than the most frequent one take no part; of rows that repeat
+    an id the smallest vector counts.
     """
     v = F.col("v")
     rows = (df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
               .filter(F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0)
                       & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
                       & F.exists(v, lambda x: x != 0)))
-    rows = written(rows.dropDuplicates(["id"]), "ann-vectors")
+    rows = written(rows.groupBy("id").agg(F.min("v").alias("v")), "ann-vectors")
     top = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     dim = top["d"] if top else 1
     return rows.filter(F.size("v") == dim), dim
@@ -109,9 +109,14 @@ def _decode(cells, dim: int) -> np.ndarray:
     return raw[:, 4:].view(np.int8).astype(np.float32) * scale
 
 
-def _start(codes: DataFrame, dim: int, p: AnnParams) -> DataFrame:
-    """Offers ``(id, n, s)`` among vectors that lie in one block of a projection."""
+def _start(codes: DataFrame, n: int, dim: int, p: AnnParams) -> DataFrame:
+    """Offers ``(id, n, s)`` among the ``n`` vectors that lie in one block of a projection.
+
+    A block never reaches into the next partition, so there are only as many partitions as
+    leave several blocks to each, whatever the session's setting.
+    """
     spark = codes.sparkSession
+    parts = max(1, min(shuffle_partitions(spark), p.projections * n // (4 * p.block)))
     rng = np.random.default_rng(p.seed)
     lines = rng.standard_normal((p.projections, dim)).astype(np.float32)
 
@@ -151,7 +156,7 @@ def _start(codes: DataFrame, dim: int, p: AnnParams) -> DataFrame:
             yield from block(held)
 
     placed = codes.mapInArrow(project, "k int, y double, id long, c binary")
-    return (placed.repartitionByRange(shuffle_partitions(spark), "k", "y", "id")
+    return (placed.repartitionByRange(parts, "k", "y", "id")
                   .sortWithinPartitions("k", "y", "id").mapInArrow(blocks, "id long, n long, s float"))
 
 
@@ -229,6 +234,11 @@ def _meetings(graph: DataFrame, codes: DataFrame, dim: int, p: AnnParams, rnd: i
                 .sortWithinPartitions("at").mapInArrow(runs, "id long, n long, s float"))
 
 
+def _seeds(nodes: DataFrame, p: AnnParams) -> list[int]:
+    """A bounded set of nodes, by a hash of their ids."""
+    return [r["id"] for r in nodes.orderBy(F.xxhash64("id", F.lit(p.seed)), "id").limit(p.seeds).select("id").collect()]
+
+
 def build_index(df: DataFrame, p: AnnParams = AnnParams(), id_col: str = "vec_id", vec_col: str = "embedding") -> AnnIndex:
     """NN-descent graph over every usable vector of ``df``."""
     vectors, dim = usable(df, id_col, vec_col)
@@ -240,7 +250,13 @@ def build_index(df: DataFrame, p: AnnParams = AnnParams(), id_col: str = "vec_id
     nodes = members.filter("_r = 1").select("id", "v")
     codes = written(_codes(nodes, dim), "ann-codes")
     n = codes.count()
-    graph = written(_best(_start(codes, dim, p).withColumn("old", F.lit(False)), p), "ann-graph")
+    graph = _best(_start(codes, n, dim, p).withColumn("old", F.lit(False)), p)
+    # a node that met nobody (a partition of its own in every projection) begins at some seeds
+    far = F.array(*[F.struct(F.lit(1.0).cast("float").alias("d"), F.lit(i).cast("long").alias("n"), F.lit(False).alias("old"))
+                    for i in _seeds(nodes, p)[:p.degree]]).cast(graph.schema["nbrs"].dataType)
+    alone = codes.select("id").join(graph.select("id"), "id", "left_anti").select(
+        "id", F.filter(far, lambda e: e["n"] != F.col("id")).alias("nbrs"))
+    graph = written(graph.unionByName(alone), "ann-graph")
     for rnd in range(p.rounds):
         offers = _meetings(graph, codes, dim, p, rnd).withColumn("old", F.lit(False))
         kept = graph.select("id", F.explode("nbrs").alias("e")).select(
@@ -262,10 +278,15 @@ def build_index(df: DataFrame, p: AnnParams = AnnParams(), id_col: str = "vec_id
     return AnnIndex(vectors, nodes, members.select("node", "id"), written(nbrs, "ann-both"), dim)
 
 
-def _search_block(index: AnnIndex, queries: DataFrame, p: AnnParams, k: int) -> DataFrame:
-    """``(q, n, s)``: the beam of every query ``(id, v)``; distinct vectors, bounded many."""
+def _search_all(index: AnnIndex, queries: DataFrame, n: int, p: AnnParams, k: int) -> DataFrame:
+    """``(q, n, s)``: the beam of each of the ``n`` queries ``(id, v)`` of distinct vectors.
+
+    All queries go through one chain of rounds. Up to ``query_block`` query vectors are
+    broadcast, of more each pair is joined with its query's.
+    """
     spark, dim = queries.sparkSession, index.dim
-    rows = queries.select("id", "v").orderBy("id").collect()  # about query_block at most
+    few = n <= p.query_block
+    rows = queries.select("id", "v").orderBy("id").collect() if few else []
     q_ids = np.array([r["id"] for r in rows], np.int64)
     shared = spark.sparkContext.broadcast((q_ids, np.array([r["v"] for r in rows], np.float64).reshape(-1, dim)))
 
@@ -273,20 +294,22 @@ def _search_block(index: AnnIndex, queries: DataFrame, p: AnnParams, k: int) ->
         ids, x = shared.value
         for batch in batches:
             if batch.num_rows:
-                q = x[np.searchsorted(ids, batch.column(0).to_numpy())]
+                q = x[np.searchsorted(ids, batch.column(0).to_numpy())] if few else _matrix(batch.column(3), dim)
                 s = np.einsum("ij,ij->i", q, _matrix(batch.column(2), dim))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s)], ["q", "n", "s"])
 
+    own_vectors = queries.select(F.col("id").alias("q"), F.col("v").alias("w"))
+
     def scored(pairs):
-        return (pairs.join(index.nodes.withColumnRenamed("id", "n"), "n").select("q", "n", "v")
-                     .mapInArrow(score, "q long, n long, s double"))
+        met = pairs.join(index.nodes.withColumnRenamed("id", "n"), "n")
+        met = met.select("q", "n", "v") if few else met.join(own_vectors, "q").select("q", "n", "v", "w")
+        return met.mapInArrow(score, "q long, n long, s double")
 
     # A query whose vector is a node starts there, the others at the bounded set of seeds.
     own = queries.select(F.col("id").alias("q"), "v").join(index.nodes.withColumnRenamed("id", "n"), "v").select("q", "n")
     own = written(own, "ann-own")
     lost = queries.select(F.col("id").alias("q")).join(own, "q", "left_anti")
-    seeds = index.nodes.orderBy(F.xxhash64("id", F.lit(p.seed)), "id").limit(p.seeds).select("id").collect()
-    start = own.unionByName(lost.withColumn("n", F.explode(F.lit([r["id"] for r in seeds]).cast("array<long>"))))
+    start = own.unionByName(lost.withColumn("n", F.explode(F.lit(_seeds(index.nodes, p)).cast("array<long>"))))
     beam = scored(start).withColumn("done", F.lit(False))
     while True:
         lists = (beam.groupBy("q", "n").agg(F.max("s").alias("s"), F.max("done").alias("done"))
@@ -319,14 +342,7 @@ def search(index: AnnIndex, queries: DataFrame, k: int, p: AnnParams = AnnParams
     firsts = queries.groupBy("v").agg(F.min("id").alias("q"))
     firsts = written(firsts, "ann-queries")
     n = firsts.count()
-    blocks = max(1, -(-n // p.query_block))
-    blocks = blocks if blocks == 1 else blocks + blocks // 4 + 1  # room for uneven hashes
-    beams = None
-    for b in range(blocks):
-        own = firsts.select(F.col("q").alias("id"), "v")
-        own = own if blocks == 1 else own.filter(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)) == b)
-        part = _search_block(index, own, p, k + 1)
-        beams = part if beams is None else beams.unionByName(part)
+    beams = _search_all(index, firsts.select(F.col("q").alias("id"), "v"), n, p, k + 1)
     order = Window.partitionBy("q").orderBy(F.desc("s"), "id")
     found = (beams.join(index.members, beams["n"] == index.members["node"]).select("q", "id", "s")
                   .withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k + 1))

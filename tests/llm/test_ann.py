@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from strata.llm.ann import AnnParams, build_index, search, usable
@@ -73,3 +74,38 @@ def test_ties_go_to_the_smaller_id_and_small_tables(spark):
     assert search(one, one.vectors, 20).count() == 0
     none = build_index(table(spark, []))
     assert search(none, none.vectors, 20).count() == 0
+
+
+@pytest.mark.parametrize("n, parts", [(10, 200), (25, 1000), (25, 3), (300, 200), (300, 1000)])
+def test_small_tables_whatever_the_number_of_partitions(spark, n, parts):
+    rng = np.random.default_rng(n)
+    x = rng.standard_normal((n, 8)).astype(np.float32)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        index = build_index(table(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)]))
+        got = lists(search(index, index.vectors.filter("id % 20 = 0"), 20))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    ids = np.arange(n)
+    want = brute(x, ids, [i for i in ids if i % 20 == 0], 20)
+    assert set(got) == set(want) and all(len(got[q]) == min(20, n - 1) for q in want)
+    found = np.mean([len({a for a, _ in got[q]} & {a for a, _ in want[q]}) / len(want[q]) for q in want])
+    assert found >= 0.9 and (n > 30 or found == 1)
+
+
+def test_unequal_lengths_and_joined_queries(spark):
+    """Long vectors win by inner product wherever they point; queries above the block are joined."""
+    rng = np.random.default_rng(12)
+    x = (rng.standard_normal((1500, 16)) * rng.lognormal(0, 1, 1500)[:, None]).astype(np.float32)
+    ids = np.arange(1500)
+    index = build_index(table(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)]))
+    got = lists(search(index, index.vectors.filter("id % 20 = 0"), 20, AnnParams(query_block=10)))
+    want = brute(x, ids, ids[ids % 20 == 0], 20)
+    assert np.mean([len({a for a, _ in got[q]} & {a for a, _ in want[q]}) / 20 for q in want]) >= 0.9
+
+
+def test_repeated_ids_have_one_vector(spark):
+    rows = [(1, [1.0, 2.0], 0), (1, [0.5, 9.0], 0), (2, [1.0, 1.0], 0)]
+    for order in (rows, rows[::-1]):
+        assert {r.id: list(r.v) for r in usable(table(spark, order), "vec_id", "embedding")[0].collect()} == {1: [0.5, 9.0], 2: [1.0, 1.0]}
