@@ -53,6 +53,10 @@ def main(argv=None) -> int:
     b.add_argument("--incremental", action="store_true")
     b.add_argument("--splittable", action="store_true",
                    help="JSON-lines and single-line CSV: split large files across tasks")
+    b.add_argument("--splits", action="store_true",
+                   help="JSON arrays and CSV with quoted line ends, read in splits")
+    b.add_argument("--extract-folders", action="store_true",
+                   help="with --incremental: an extract is a folder of files, newest by name")
     b.add_argument("--column", action="append", metavar="ROLE.COLUMN=NAME",
                    help="an extract's own name of a model column, e.g. cases.case_id=number")
     b.add_argument("--today", default=None)
@@ -73,6 +77,7 @@ def main(argv=None) -> int:
 
         sources = {role: getattr(args, role) for role in ("cases", "districts", "classes", "events")
                    if getattr(args, role)}
+        form = "split" if args.splits else not args.splittable
         rules = None
         if args.rules:
             from strata.operators.quality import rules_from_spec
@@ -80,8 +85,8 @@ def main(argv=None) -> int:
             with open(args.rules, encoding="utf-8") as f:
                 rules = rules_from_spec(f.read())
         lake = build_lakehouse(spark, sources, args.root, columns=_columns(args.column), today=args.today, rules=rules,
-                               incremental=args.incremental, json_array=not args.splittable,
-                               csv_multiline=not args.splittable)
+                               incremental=args.incremental, json_array=form, csv_multiline=form,
+                               extract_folders=args.extract_folders)
         _show(lake.quality.orderBy("table_name", "column_name", "rule"))
         return 0
     from strata.plans.lakehouse import open_lakehouse

@@ -86,8 +86,8 @@ def newest_per_key(bronze: DataFrame, key: str, extract: str = EXTRACT) -> DataF
 
 
 def land_incremental(spark: SparkSession, sources: Mapping[str, tuple[str, str]], root: str,
-                     columns: Mapping[str, Columns] | None = None, json_array: bool = True,
-                     csv_multiline: bool = True, extract_folders: bool = False) -> dict[str, DataFrame]:
+                     columns: Mapping[str, Columns] | None = None, json_array: bool | str = True,
+                     csv_multiline: bool | str = True, extract_folders: bool = False) -> dict[str, DataFrame]:
     """Land every role's landing folder into bronze with the streaming ingestion
     (only files not seen before are read; the checkpoints live under ``root``)."""
     from strata.streaming import ingest_available
@@ -108,7 +108,7 @@ def land_incremental(spark: SparkSession, sources: Mapping[str, tuple[str, str]]
 def build_lakehouse(spark: SparkSession, sources: Mapping[str, tuple[str, str]], root: str,
                     columns: Mapping[str, Columns] | None = None, today=None,
                     rules: Sequence[Q.Rule] | None = None, incremental: bool = False,
-                    json_array: bool = True, csv_multiline: bool = True, extract_folders: bool = False) -> Lakehouse:
+                    json_array: bool | str = True, csv_multiline: bool | str = True, extract_folders: bool = False) -> Lakehouse:
     """``sources`` maps each role (cases, districts, classes, events) to
     ``(format, path)``; layers are written under ``root/bronze`` and ``root/model``.
 
@@ -119,7 +119,8 @@ def build_lakehouse(spark: SparkSession, sources: Mapping[str, tuple[str, str]],
     appended to bronze by the streaming ingestion, then silver and gold are rebuilt from
     the newest rows of every key (events: from all of them, distinct).
     ``json_array`` / ``csv_multiline``: set False for JSON-lines and single-line CSV
-    so large extracts split across tasks. ``extract_folders``: a snapshot is a folder of files
+    so large extracts split across tasks, or ``"split"`` to read arrays and quoted line ends
+    in splits. ``extract_folders``: a snapshot is a folder of files
     in its landing folder, newest by name, instead of one file. Splits and shuffles are sized from the extracts.
     """
     apply_sizes(spark, input_bytes(spark, [path for _, path in sources.values()]))

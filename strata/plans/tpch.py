@@ -22,6 +22,7 @@ from __future__ import annotations
 import os
 import threading
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +45,18 @@ OTHER_EVENT = "Despacho"
 
 
 _BUILT: dict[tuple, object] = {}
-_LOCK = threading.RLock()  # one build per key even when queries run from several threads
+_LOCKS: dict[tuple, threading.RLock] = {}  # one build per key even when queries run from several threads
+_GUARD = threading.Lock()
+
+
+def _built(key: tuple, build):
+    """What ``build`` makes, once per key; other keys are built meanwhile."""
+    with _GUARD:
+        lock = _LOCKS.setdefault(key, threading.RLock())
+    with lock:
+        if key not in _BUILT:
+            _BUILT[key] = build()
+        return _BUILT[key]
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
@@ -169,11 +181,13 @@ class Layer(Mapping):
         if isinstance(build, str):  # the same table under another name
             return self[build]
         key = (*_key(self._spark, self._sf, self._what), name)
-        with _LOCK:
-            if key not in _BUILT:
-                path = f"{_folder(self._spark, self._sf, self._what)}/{name}"
-                _BUILT[key] = build(path)
-            return _BUILT[key]
+        return _built(key, lambda: build(f"{_folder(self._spark, self._sf, self._what)}/{name}"))
+
+    def build_all(self, names=None, parallel: int = 4) -> None:
+        """Write the named tables (all of them) as concurrent jobs; a table that another one
+        needs is built once, by whoever comes first."""
+        with ThreadPoolExecutor(parallel) as pool:
+            list(pool.map(self.__getitem__, names or self))
 
     def __iter__(self):
         return iter(self._builders)
@@ -183,10 +197,7 @@ class Layer(Mapping):
 
 
 def _folder(spark: SparkSession, sf_dir: str, what: str) -> str:
-    key = (*_key(spark, sf_dir, what), "folder")
-    if key not in _BUILT:
-        _BUILT[key] = layers_dir(spark, what)
-    return _BUILT[key]
+    return _built((*_key(spark, sf_dir, what), "folder"), lambda: layers_dir(spark, what))
 
 
 def bronze(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Mapping[str, DataFrame]:
@@ -240,13 +251,12 @@ def normalised(spark: SparkSession, sf_dir: str, materialize: bool = True):
     if not materialize:
         b = raw_extracts(spark, sf_dir)
         return normalise(b["cases"], b["districts"], b["classes"])
-    key = _key(spark, sf_dir, "normalised")
-    with _LOCK:
-        if key not in _BUILT:
-            b = bronze(spark, sf_dir)
-            norm = normalise(b["cases"], b["districts"], b["classes"])
-            _BUILT[key] = norm.materialize(layers_dir(spark, "normalised"))
-        return _BUILT[key]
+    def build():
+        b = bronze(spark, sf_dir)
+        b.build_all(("cases", "districts", "classes"))
+        return normalise(b["cases"], b["districts"], b["classes"]).materialize(layers_dir(spark, "normalised"))
+
+    return _built(_key(spark, sf_dir, "normalised"), build)
 
 
 def clean_part_names(spark: SparkSession, sf_dir: str) -> DataFrame:

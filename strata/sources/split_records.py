@@ -233,3 +233,13 @@ def read_json_array_records(spark: SparkSession, path: str, columns: Columns, on
     parsed = records.select(F.from_json("text", ", ".join(f"`{c}` string" for c in names),
                                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r")).select("r.*")
     return renamed(checked(parsed, unreadable_json(list(mapping.values())), "JSON", on_malformed), mapping)
+
+
+def count_split_records(spark: SparkSession, fmt: str, path: str) -> DataFrame:
+    """``(n)``: records of CSV files (headers and blank lines left out) or JSON arrays, counted
+    on their text in splits, before any parsing."""
+    if fmt == "csv":
+        records = split_records(spark, path, CSV).filter(~F.regexp_like("text", F.lit(r"^\s*$")) & ~F.col("first"))
+    else:
+        records = split_records(spark, path, JSON_ARRAY).filter(~F.regexp_like("text", F.lit(r"^[\s,\[\]]*$")))
+    return records.agg(F.count(F.lit(1)).alias("n"))

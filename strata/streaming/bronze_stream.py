@@ -33,6 +33,7 @@ def read_landing(spark: SparkSession, fmt: str, landing_dir: str, columns: Colum
     folder, and the folders' names order them.
     """
     mapping = column_mapping(columns)
+    json_array, csv_multiline = bool(json_array), bool(csv_multiline)  # a stream reads such files whole
     reader = (spark.readStream.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
                    .option("recursiveFileLookup", extract_folders))
     if max_files_per_trigger:

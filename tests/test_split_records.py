@@ -6,6 +6,8 @@ import random
 
 import pytest
 
+from strata.operators.quality import ingestion_checks
+from strata.plans.ingest import ingest_file
 from strata.sources.split_records import CSV, JSON_ARRAY, read_csv_records, read_json_array_records, split_records, split_states
 from strata.sources.text_files import CORRUPT, read_csv_text, read_json_text
 
@@ -125,3 +127,15 @@ def test_json_odd_documents(small_splits, tmp_dir):
     assert sorted(str(r.id) for r in got if r[CORRUPT] is None) == ["1", "2", "3"]
     assert [r[CORRUPT] for r in got if r[CORRUPT] is not None] == ['{"id":4,']
     assert next(r.a for r in got if r.id == "1") == 'x}"{' * 2000
+
+
+def test_ingestion_in_splits_equals_the_default(small_splits, tmp_dir):
+    rng = random.Random(8)
+    csv_file(f"{tmp_dir}/c/f.csv", [(str(i), field(rng), "x") for i in range(200)], rng)
+    write(f"{tmp_dir}/j/f.json", "[" + ",\n".join(json.dumps({"id": i, "a": field(rng)}) for i in range(200)) + "]\n")
+    for fmt, folder, columns in (("csv", "c", ["id", "a", "b"]), ("json", "j", ["id", "a"])):
+        one, two = (ingest_file(small_splits, fmt, f"{tmp_dir}/{folder}", f"{tmp_dir}/bronze-{fmt}-{form}", columns, "now",
+                                json_array=form, csv_multiline=form) for form in (True, "split"))
+        assert rows(one.bronze) == rows(two.bronze) and two.rows == 200
+        assert two.records.first()["n"] == one.records.first()["n"] == 200
+        assert all(r.passed for r in ingestion_checks(two.source, two.bronze, columns, records=two.records).collect())
