@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
+from contextlib import contextmanager
+
 import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +24,32 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
-def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
+_SCOPES = threading.local()
+
+
+@contextmanager
+def passing_tables(spark: SparkSession):
+    """A scope whose written tables go when it ends. What outlives it must not read them: its
+    result is written with ``outlives=True``, so it lands outside the scope."""
+    open_ = _SCOPES.__dict__.setdefault("roots", [])
+    root = scratch_dir(spark, "passing")
+    open_.append(root)
+    try:
+        yield
+    finally:
+        open_.pop()
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def written(df: DataFrame, label: str, compression: str = "snappy", outlives: bool = False) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: the lineage ends
-    there, so a lost executor never recomputes (or re-randomises) what came before."""
+    there, so a lost executor never recomputes (or re-randomises) what came before.
+    Inside ``passing_tables`` the table lives as long as the scope (``outlives``: the one around it)."""
     spark = df.sparkSession
-    path = scratch_dir(spark, label)
+    roots = _SCOPES.__dict__.get("roots", [])
+    roots = roots[:-1] if outlives else roots
+    path = f"{roots[-1]}/{label}-{uuid.uuid4().hex[:12]}" if roots else scratch_dir(spark, label)
     df.write.mode("overwrite").parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 

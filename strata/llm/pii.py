@@ -13,11 +13,19 @@ is the share of the entity's information that the term gives away: 1 if it occur
 else. Since PMI / IC = 1 + log2 p(c | t) / IC, the estimate that matters is p(c | t). It is
 smoothed by ``prior`` documents of the term that show the entity no more often than chance,
 (both + prior p(c)) / (n_term + prior), so entities of a single document take part and what
-few documents show weighs less. A term's disclosure is the largest over all entities; as it
-identifies the entity alone, it counts wherever the term stands, in any document. Terms from
-``generalise_at`` on are replaced by their category, terms from ``remove_at`` on are removed.
+few documents show weighs less. A term's disclosure is the largest over all entities. In the
+documents that show it beside the entity it is this estimate. In any other document the
+estimate leaves one joint document out, (both - 1 + prior p(c)) / (n_term - 1 + prior): what a
+single document shows proves nothing about others, what several show holds wherever the term
+stands. Terms from ``generalise_at`` on are replaced by their category, terms from
+``remove_at`` on are removed.
+
 Counts and matches cover all words of all documents. Terms are matched by hash, after a
 filter of fixed size; of the texts, only those with flagged terms are shuffled, to be cleaned.
+A term that occurs in too many texts cannot reach ``generalise_at`` whatever else is known of
+it. A count over a part of the texts is a lower bound of the whole count, so terms that
+exceed their bound in a 64th, then in an eighth of the texts drop out before all texts are
+counted; this leaves every flagged term and spares counting the common words.
 """
 
 from __future__ import annotations
@@ -33,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm._tables import key_filter, may_hold, prepare, written
+from strata.llm._tables import key_filter, may_hold, passing_tables, prepare, written
 from strata.llm._text import SPACED, Words, split_words, text_bytes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -309,8 +317,31 @@ def _term_hash(terms: DataFrame) -> DataFrame:
     return terms.mapInArrow(hashes, "term string, h long")
 
 
+#: Shares (one in so many) of the texts that are counted before all of them.
+PARTS = (64, 8)
+
+
+def _term_counts(docs: DataFrame, texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """``(term, n_term)``: distinct texts that hold each term, of ``(term, h, bound)``; terms
+    that a part of the texts shows to be above their bound are left out."""
+    repeated = key_filter(texts.filter("copies > 1"), "text_key")
+    # copies of a text count once; null keys are sums over texts that occur once
+    once = F.when(F.col("text_key").isNull(), F.sum("df")).otherwise(F.lit(1))
+
+    def counted(some: DataFrame, terms: DataFrame) -> DataFrame:
+        rows = _term_documents(some, repeated, key_filter(terms, "h"))
+        return (rows.join(terms, "h").groupBy("term", "h", "bound", "text_key").agg(once.alias("df"))
+                    .groupBy("term", "h", "bound").agg(F.sum("df").alias("n_term")))
+
+    for share in PARTS:
+        over = counted(docs.filter(F.pmod("text_key", F.lit(share)) == 0), terms).filter("n_term > bound")
+        terms = written(terms.join(over.select("term"), "term", "left_anti"), "pii-terms")
+    return counted(docs, terms).select("term", "n_term")
+
+
 def disclosures(near: DataFrame, docs: DataFrame, texts: DataFrame, p: PiiParams) -> DataFrame:
-    """``(entity, term, h, disclosure)`` of the pairs that reach ``generalise_at``.
+    """``(entity, term, h, disclosure, elsewhere)`` of the pairs that reach ``generalise_at``:
+    the estimate for documents that show the pair, and that for all others.
 
     ``near``: ``(text_key, entity, term)``; ``docs``: ``(text_key, t)``; ``texts``:
     ``(text_key, copies)``. The entity's document count comes from all its mentions, the
@@ -319,19 +350,23 @@ def disclosures(near: DataFrame, docs: DataFrame, texts: DataFrame, p: PiiParams
     n_docs = texts.count()
     together = near.groupBy("entity", "term").agg(F.countDistinct("text_key").alias("both"))
     entities = near.groupBy("entity").agg(F.countDistinct("text_key").alias("n_entity"))
-    pairs = together.join(entities, "entity")
-    pairs = written(pairs, "pii-pairs")
-    terms = written(_term_hash(pairs.select("term").distinct()), "pii-terms")
-    counts = _term_documents(docs, key_filter(texts.filter("copies > 1"), "text_key"), key_filter(terms, "h"))
-    # copies of a text count once; null keys are sums over texts that occur once
-    once = F.when(F.col("text_key").isNull(), F.sum("df")).otherwise(F.lit(1))
-    df = (counts.join(terms, "h").groupBy("term", "h", "text_key").agg(once.alias("df"))
-                .groupBy("term", "h").agg(F.sum("df").alias("n_term")))
     p_entity = F.col("n_entity") / F.lit(float(max(n_docs, 1)))
+    # (both + prior p) / (n + prior) >= p ** (1 - generalise_at), solved for n; a hair is left for rounding
+    most = (F.col("both") + p.prior * p_entity) / F.pow(p_entity, F.lit(1 - p.generalise_at)) - p.prior
+    pairs = written(together.join(entities, "entity").withColumn("most", most * (1 + 1e-9) + 1e-9)
+                    .filter((p_entity < 1) & (F.col("both") <= F.col("most"))), "pii-pairs")
+    hashed = _term_hash(pairs.select("term").distinct())
+    terms = written(hashed.join(pairs.groupBy("term").agg(F.max("most").alias("bound")), "term"), "pii-terms")
+    df = _term_counts(docs, texts, terms)
     ic = -F.log2(p_entity)
-    given = (F.col("both") + p.prior * p_entity) / (F.greatest("n_term", "both") + p.prior)
-    return (pairs.join(df, "term").withColumn("disclosure", F.when(ic > 0, 1 + F.log2(given) / ic).otherwise(F.lit(0.0)))
-                 .filter(F.col("disclosure") >= p.generalise_at).select("entity", "term", "h", "disclosure"))
+
+    def share(less: int):
+        given = (F.col("both") - less + p.prior * p_entity) / (F.greatest("n_term", "both") - less + p.prior)
+        return F.when(ic > 0, 1 + F.log2(given) / ic).otherwise(F.lit(0.0))
+
+    return (pairs.join(df, "term").join(terms.select("term", "h"), "term")
+                 .withColumn("disclosure", share(0)).withColumn("elsewhere", share(1))
+                 .filter(F.col("disclosure") >= p.generalise_at).select("entity", "term", "h", "disclosure", "elsewhere"))
 
 
 _TERMS = "array<struct<start long, end long, disclosure double>>"
@@ -341,8 +376,7 @@ def find_pii(docs: DataFrame, p: PiiParams = PiiParams(), id_col: str = "doc_id"
     """One row per input row: ``doc_id, text_key, spans, terms``.
 
     ``spans``: base findings ``(start, kind, end)``; ``terms``: ``(start, end, disclosure)``
-    of all words
-    that give some entity of the table away, in order. ``text_key`` is a hash of the text.
+    of all words that give some entity of the table away, in order. ``text_key`` is a hash of the text.
     Null and empty texts have neither. Repeated rows are each reported, but copies of one
     text count as one document. An empty table gives no rows. Other columns are not read.
     """
@@ -351,9 +385,14 @@ def find_pii(docs: DataFrame, p: PiiParams = PiiParams(), id_col: str = "doc_id"
     seen = written(_scan(source, p), "pii-scan")
     texts = written(seen.groupBy("text_key").agg(F.count(F.lit(1)).alias("copies")), "pii-texts")
     near = seen.select("text_key", F.explode("near").alias("m")).select("text_key", "m.*").distinct()
-    flagged = written(disclosures(near, source, texts, p).groupBy("h").agg(F.max("disclosure").alias("disclosure")), "pii-flagged")
-    rows = written(_places(source, key_filter(flagged, "h")).withColumn("row", F.monotonically_increasing_id()), "pii-places")
-    hits = (rows.select("row", F.explode("places").alias("m")).select("row", "m.*").join(flagged, "h")
+    pairs = written(disclosures(near, source, texts, p), "pii-flagged")
+    # what the texts that show a pair say of it, and what holds anywhere
+    here = written(near.join(pairs, ["entity", "term"]).groupBy("text_key", "h").agg(F.max("disclosure").alias("here")), "pii-here")
+    anywhere = pairs.groupBy("h").agg(F.max("elsewhere").alias("anywhere")).filter(F.col("anywhere") >= p.generalise_at)
+    rows = written(_places(source, key_filter(pairs, "h")).withColumn("row", F.monotonically_increasing_id()), "pii-places")
+    hits = rows.select("row", "text_key", F.explode("places").alias("m")).select("row", "text_key", "m.*")
+    hits = hits.join(anywhere, "h", "left").join(here, ["text_key", "h"], "left")
+    hits = (hits.withColumn("disclosure", F.greatest("anywhere", "here")).filter("disclosure is not null")
                 .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms")))
     return (rows.select("row", "doc_id", "text_key", "spans").join(hits, "row", "left")
                 .withColumn("terms", F.coalesce("terms", F.array().cast(_TERMS)))
@@ -412,9 +451,10 @@ def sanitised(docs: DataFrame, p: PiiParams = PiiParams(), id_col: str = "doc_id
     """
     spark = docs.sparkSession
     prepare(spark)
-    found = find_pii(docs, p, id_col, text_col).filter(F.size("terms") > 0)
-    terms = written(found.select(F.col("doc_id").alias("_i"), F.col("text_key").alias("_k"), F.col("terms").alias("_terms"))
-                    .dropDuplicates(["_i", "_k"]), "pii-terms")
+    with passing_tables(spark):
+        found = find_pii(docs, p, id_col, text_col).filter(F.size("terms") > 0)
+        terms = written(found.select(F.col("doc_id").alias("_i"), F.col("text_key").alias("_k"), F.col("terms").alias("_terms"))
+                        .dropDuplicates(["_i", "_k"]), "pii-terms", outlives=True)
     shared = spark.sparkContext.broadcast(key_filter(terms, "_k"))
     names = docs.columns
     rows = docs.withColumn("_rk", F.xxhash64(F.col(text_col)))

@@ -1,14 +1,16 @@
 import hashlib
 import math
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from strata.llm._tables import key_filter, may_hold
-from strata.llm.pii import PiiParams, base_spans, digest, find_pii, luhn, sanitise_text, sanitised
+from strata.llm._tables import key_filter, may_hold, written
+from strata.llm.pii import PiiParams, _scan, base_spans, digest, disclosures, find_pii, luhn, mentions, sanitise_text, sanitised
 from tests.llm.cases import clashing, docs, odd_rows
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -113,6 +115,59 @@ def test_flagged_terms_are_found_anywhere(spark):
     assert all(clean[i] == t for i, t in rows[21:])
 
 
+def test_flagged_pairs_equal_a_plain_count(spark):
+    """All counts over all words, without the passes that leave hopeless terms out."""
+    p = PiiParams()
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").alias("t"))
+    texts = {r.text_key: r.t or "" for r in d.collect()}
+    near, n_term = {}, Counter()
+    strip = ".,;:!?\"'()[]{}<>"
+    for key, t in texts.items():
+        for entity, term in mentions(t, base_spans(t), p.window):
+            near.setdefault((entity, term.lower()), set()).add(key)
+        n_term.update({w.strip(strip) for w in re.split("[\x20\x09-\x0D]+", t.lower())} - {""})
+    n_entity = {}
+    for (entity, _), keys in near.items():
+        n_entity.setdefault(entity, set()).update(keys)
+    want = {}
+    for (entity, term), keys in near.items():
+        if not n_term[term]:  # the rest of a word that the entity is part of, nowhere a word
+            continue
+        share = len(n_entity[entity]) / len(texts)
+        n = max(n_term[term], len(keys))
+        one, two = ((len(keys) - k + p.prior * share) / (n - k + p.prior) for k in (0, 1))
+        disclosure, elsewhere = (1 - math.log2(x) / math.log2(share) for x in (one, two))
+        if disclosure >= p.generalise_at:
+            want[(entity, term)] = (pytest.approx(disclosure), pytest.approx(elsewhere))
+    seen = written(_scan(d, p), "test-scan")
+    pairs = seen.select("text_key", F.explode("near").alias("m")).select("text_key", "m.*").distinct()
+    counted = seen.groupBy("text_key").agg(F.count(F.lit(1)).alias("copies"))
+    got = {(r.entity, r.term): (r.disclosure, r.elsewhere) for r in disclosures(pairs, d, counted, p).collect()}
+    assert got.keys() == want.keys() and len(want) > 50
+    assert all(got[k] == want[k] for k in want)
+
+
+def test_planted_terms_precision_and_recall(spark):
+    """Words that give an address away are flagged in every document; words that one document
+    shows beside an address are flagged there at most."""
+    rows, telling, innocent = [], [], []
+    for j in range(30):
+        rows += [(1000 * j + i, f"note{j}x{i} with zorb{j} box{j}@mail.com today") for i in range(5)]
+        rows.append((1000 * j + 5, f"other note{j}x5 of zorb{j} today"))
+        telling += [(1000 * j + i, f"zorb{j}") for i in range(6)]
+        rows.append((1000 * j + 10, f"meet plain{j} at once{j}@mail.com now{j}"))
+        for i in range(11, 13):
+            rows.append((1000 * j + i, f"text{j}x{i} on plain{j} goes on"))
+            innocent.append((1000 * j + i, f"plain{j}"))
+    rows += [(100_000 + i, f"with today meet at of on goes now other text nr{i}") for i in range(1500)]
+    got = {r.doc_id: r for r in find_pii(docs(spark, rows)).collect()}
+    text = dict(rows)
+    assert all(w in flagged(got[i], text[i]) for i, w in telling)
+    assert not any(w in flagged(got[i], text[i]) for i, w in innocent)
+    clean = [i for i, t in rows if i >= 100_000 or i % 1000 in (11, 12)]
+    assert not any(got[i].terms for i in clean)
+
+
 def test_replacements():
     p = PiiParams()
     t = "call Anna 7 or x@y.zz"
