@@ -2,7 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is written as
 Parquet and read again as the next stage's ``docs``. All but the last return the columns
-of documents.
+of documents. The tables an operator works with are removed once the stage's decisions (keys,
+numbers, places) are written, so only these stand beside the texts.
 
 1. toxicity: documents whose score reaches their language's calibrated threshold go;
 2. near_duplicates: one document of each group of near copies (five-word shingles,
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import toxicity as toxic
-from strata.llm._tables import written
+from strata.llm._tables import passing_tables, written
 from strata.llm.decontaminate import contamination
 from strata.llm.mixing import MixParams, mix
 from strata.llm.near_dup import NearDupParams, near_duplicates
@@ -44,8 +45,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group; rows that repeat an id and text are one document."""
-    found = near_duplicates(docs, NearDupParams(k=5)).filter(~F.col("kept"))
-    gone = written(found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "dedup")
+    with passing_tables(spark):
+        found = near_duplicates(docs, NearDupParams(k=5)).filter(~F.col("kept"))
+        gone = written(found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "dedup", outlives=True)
     kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_key"]), "left_anti")
     # Few ids repeat, as a rule none: written, their size is known and the texts stay put.
     again = written(docs.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
@@ -59,9 +61,10 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a window of ten consecutive words of a benchmark item."""
     key = F.xxhash64("doc_id", "text")  # rows of one id with different texts are judged apart
-    found = contamination(docs.select(key.alias("_key"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
-                          width=10, id_col="_key")
-    gone = written(found.filter(F.col("n_hit") > 0).select(F.col("doc_id").alias("_gone")).distinct(), "contaminated")
+    with passing_tables(spark):
+        found = contamination(docs.select(key.alias("_key"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
+                              width=10, id_col="_key")
+        gone = written(found.filter(F.col("n_hit") > 0).select(F.col("doc_id").alias("_gone")).distinct(), "contaminated", outlives=True)
     return docs.join(gone, key == gone["_gone"], "left_anti")
 
 
@@ -78,9 +81,10 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     id, source and text take the same number of words, the smallest of theirs.
     """
     key = F.xxhash64("doc_id", "source", "text")
-    narrow = mix(docs.select(key.alias("_key"), "source", "text"), MixParams(), keep=("_key",), order_col="_key")
-    taken = written(narrow.filter(F.col("taken") > 0).groupBy("_key").agg(
-        *[F.min(c).alias(c) for c in ("size", "source_size", "target", "taken")]), "mixed")
+    with passing_tables(spark):
+        narrow = mix(docs.select(key.alias("_key"), "source", "text"), MixParams(), keep=("_key",), order_col="_key")
+        taken = written(narrow.filter(F.col("taken") > 0).groupBy("_key").agg(
+            *[F.min(c).alias(c) for c in ("size", "source_size", "target", "taken")]), "mixed", outlives=True)
     out = ["size", "source_size", "target", "taken"]
     return docs.join(taken, key == taken["_key"]).select(
         *[docs[c] for c in docs.columns if c not in out], *[taken[c] for c in out])
