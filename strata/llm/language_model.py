@@ -61,7 +61,7 @@ class LmParams:
     score_streams: int = 256
     segment: int = 2048
     group_words: int = 1 << 21
-    score_words: int = 1 << 22
+    score_words: int = 3 << 20
     rate: float = 0.01
     clip: float = 1.0
     seed: int = 1
@@ -340,11 +340,12 @@ def deal(tok: np.ndarray, counts: np.ndarray, n: int, bos: int, texts: np.ndarra
     offs = np.concatenate(([0], np.cumsum(counts)))
     doc_at = np.empty(len(counts), np.int64)
     doc_at[order] = np.concatenate(([0], np.cumsum(counts[order])))[:-1]
-    src = np.repeat(offs[:-1][order] - doc_at[order], counts[order]) + np.arange(offs[-1])
+    src = np.repeat((offs[:-1][order] - doc_at[order]).astype(np.int32), counts[order])  # a group is far below 2**31 tokens
+    src += np.arange(offs[-1], dtype=np.int32)
     own = tok[src]
     fresh = np.zeros(len(own), bool)
     fresh[doc_at] = True
-    before = np.concatenate(([bos], tok[:-1])) if len(tok) else tok
+    before = np.roll(tok, 1)
     before[offs[:-1] if texts is None else np.cumsum(texts) - texts] = bos
     inp = before[src]
     sizes = sizes[by]
@@ -546,12 +547,12 @@ def log_likelihood(docs: DataFrame, training, p: LmParams = LmParams(), id_col:
             tok, n, h = np.concatenate(toks), np.concatenate(counts_), np.concatenate(hashes)
             s = deal(tok, n, p.score_streams, model.symbols - 1)
             lp = score_streams(model, s) / math.log(10)
-            tail = s.tok - model.n_head
-            in_tail = (tail >= 0) & (tail < TAIL)
-            lp[in_tail] -= tail_log[tail[in_tail]]
+            in_tail = np.flatnonzero((s.tok >= model.n_head) & (s.tok < model.n_head + TAIL))
+            lp[in_tail] -= tail_log[s.tok[in_tail] - model.n_head]
             # texts back in their order
             cum = np.concatenate(([0.0], np.cumsum(lp)))
             model_part = cum[s.doc_at + n] - cum[s.doc_at]
+            del s, lp, cum, in_tail
             words = n - 1
             offs = np.concatenate(([0], np.cumsum(words)))
             sym = np.delete(tok, np.cumsum(n) - 1)
@@ -567,7 +568,7 @@ def log_likelihood(docs: DataFrame, training, p: LmParams = LmParams(), id_col:
                 return c[offs[1:]] - c[offs[:-1]]
 
             model_part += per_doc(np.where(sym >= model.n_head, logs, 0.0))
-            doc = np.repeat(np.arange(len(n)), words)
+            doc = np.repeat(np.arange(len(n), dtype=np.int32), words)
             rare_doc, rare_h = doc[~seen], h[~seen]
             order = np.lexsort((rare_h, rare_doc))
             rare_doc, rare_h = rare_doc[order], rare_h[order]
