@@ -219,7 +219,7 @@ def dq_batch_rules(spark: SparkSession, sf: str) -> DataFrame:
     late = F.col("opened") >= F.lit("1997-01-01").cast("date")
     history, fresh = fact.filter(~late), fact.filter(late)
     copies = history.filter("case_id % 211 = 5")
-    lost = fresh.filter("case_id % 97 = 1").withColumn("case_id", -F.col("case_id")).withColumn("district_id", F.lit(900))
+    lost = fresh.filter("case_id % 97 = 1").withColumn("case_id", -F.col("case_id")).withColumn("district_id", F.col("district_id") + 900)
     batch = fresh.unionByName(copies).unionByName(lost)
     return rule_results(history, batch, "case_id", tpch.model(spark, sf)["dim_district"], "district_id")
 

@@ -360,7 +360,7 @@ SQL["dq_batch_rules"] = with_ctes("fact_cases", "dim_district") + """,
 batch as (
   select case_id, district_id from fact_cases where opened >= date '1997-01-01'
   union all select case_id, district_id from fact_cases where opened < date '1997-01-01' and case_id % 211 = 5
-  union all select -case_id, 900 from fact_cases where opened >= date '1997-01-01' and case_id % 97 = 1),
+  union all select -case_id, district_id + 900 from fact_cases where opened >= date '1997-01-01' and case_id % 97 = 1),
 every as (select case_id from fact_cases where opened < date '1997-01-01' union all select case_id from batch),
 results as (
   select 'unique' as rule, count(*) as violations from (select case_id from every group by 1 having count(*) > 1)
