@@ -31,11 +31,13 @@ HEADERS = "array<struct<name string, value string>>"
 
 
 def canonical_url(url: Column) -> Column:
-    """Scheme and host in lower case, no fragment, no default port, a path at least ``/``."""
+    """Scheme and host in lower case (user information as it is), no fragment, no default
+    port, a path at least ``/``."""
     u = F.regexp_replace(F.trim(url), "#.*$", "")
     parts = "^([A-Za-z][A-Za-z0-9+.-]*)://([^/?]*)(.*)$"
     scheme = F.lower(F.regexp_extract(u, parts, 1))
-    host = F.lower(F.regexp_extract(u, parts, 2))
+    authority = F.regexp_extract(u, parts, 2)
+    host = F.concat(F.regexp_extract(authority, "^(.*@)?", 0), F.lower(F.regexp_extract(authority, "[^@]*$", 0)))
     rest = F.regexp_extract(u, parts, 3)
     host = F.when(scheme == "http", F.regexp_replace(host, ":80$", "")).when(
         scheme == "https", F.regexp_replace(host, ":443$", "")).otherwise(host)
@@ -104,7 +106,8 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     or ``missing`` (no earlier response, also for null URLs or times). ``headers`` are the
     merged ones of resolved and unverified records, else null. A response at the same
     time is not earlier; of several at one time the largest record id counts. Repeated
-    revisit rows are each resolved, repeated response rows count once.
+    revisit rows are each resolved, repeated response rows count once; of several header
+    lists under one record id the smallest counts.
     """
     known = (records.filter(F.col("kind").isin("response", "revisit"))
                     .withColumn("full", F.coalesce((F.col("kind") == "response") & (F.col("status") == 200), F.lit(False))))
@@ -122,10 +125,8 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         "id", "key", "ts", F.lit(None).cast("string").alias("resolved_from"), F.lit("missing").alias("outcome")))
     # Headers: those of revisits by their own id, those of responses by the matched id.
     heads = known.select("record_id", "kind", "full", F.col("headers").cast(HEADERS).alias("headers"))
-    mine = heads.filter(F.col("kind") == "revisit").dropDuplicates(["record_id"]).select(
-        F.col("record_id").alias("id"), F.col("headers").alias("_mine"))
-    theirs = heads.filter("full").dropDuplicates(["record_id"]).select(
-        F.col("record_id").alias("resolved_from"), F.col("headers").alias("_theirs"))
+    mine = heads.filter(F.col("kind") == "revisit").groupBy(F.col("record_id").alias("id")).agg(F.min("headers").alias("_mine"))
+    theirs = heads.filter("full").groupBy(F.col("record_id").alias("resolved_from")).agg(F.min("headers").alias("_theirs"))
     taken = F.col("outcome").isin("resolved", "unverified")
     return (decided.join(mine, "id", "left").join(theirs, "resolved_from", "left")
                    .select(F.col("id").alias("record_id"), F.col("key").alias("url_key"), "ts", "resolved_from", "outcome",

@@ -22,11 +22,20 @@ def result(df):
 
 def test_canonical_urls(spark):
     pairs = {"HTTP://Ex.COM:80/A?b#c": "http://ex.com/A?b", "https://ex.com:443": "https://ex.com/", " http://e.com?q ": "http://e.com/?q",
-             "https://ex.com:8443/": "https://ex.com:8443/", "not a url": "not a url", "": ""}
+             "https://ex.com:8443/": "https://ex.com:8443/", "not a url": "not a url", "": "",
+             "HTTPS://User:Pa@Ss@Ex.COM:443/X": "https://User:Pa@Ss@ex.com/X"}
     df = spark.createDataFrame([(k, v) for k, v in pairs.items()] + [(None, None)], "u string, w string")
     assert all(r.c == r.w for r in df.select(canonical_url(F.col("u")).alias("c"), "w").collect())
 
 
+def test_repeated_record_ids_have_one_header_list(spark):
+    rows = [row("r", "http://a/", 1, etag="x", headers=[("X", "2")]), row("r", "http://a/", 1, etag="x", headers=[("X", "1")]),
+            row("v", "http://a/", 5, "revisit", etag="x", headers=[("Age", "8")]), row("v", "http://a/", 5, "revisit", etag="x", headers=[("Age", "7")])]
+    for order in (rows, rows[::-1]):
+        out = resolve_revisits(table(spark, order)).collect()
+        assert [sorted((h.name, h.value) for h in r.headers) for r in out] == [[("Age", "7"), ("X", "1")]] * 2
+
+
 def test_outcomes_and_header_merge(spark):
     h = [("Content-Type", "text/html"), ("Date", "1"), ("X", "old")]
     rows = [row("r1", "http://a/x", 10, etag='"v1"', headers=h), row("r2", "http://a/x", 20, etag='"v2"', headers=h),
