@@ -28,6 +28,7 @@ def tree(df) -> str:
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     from strata.plans import medallion as M
+    from strata.plans import bound_increments as I
     from strata.plans import reports as R
     from strata.plans import tpch
     from strata.plans.normalise import normalise
@@ -53,14 +54,22 @@ def main():
         ("gold fact (from written silver)", M.gold(m["stg_cases"], m["stg_districts"],
                                                    m["stg_classes"])["fact_cases"]),
         ("normalised cases", norm.processo),
-        ("normalised events (dense ids; the checkpoint job runs when this is built)",
-         norm.movimentacao),
+        ("normalised events (ids from partition and position)", norm.movimentacao),
         ("report: flagship by district, class, year", R.by_district_class_year(m)),
         ("report: by court, min support 3", R.by_court(m, 3)),
         ("report: fan-out mean", R.fanout(m, m["stg_events"])),
         ("report: by court from the event model", R.duration_from_events(stored, 3)),
         ("check: both paths agree", R.events_equal_gold(m, stored, 3)),
         ("quality suite (20 rules)", Q.run_suite(m, default_rules())),
+        *[(title, I.QUERIES[name](spark, sf)) for title, name in (
+            ("CSV typed by its values (after the aggregate that infers the types)", "csv_inferred_customer"),
+            ("CSV with quoted line ends, read in splits", "csv_quoted_lines"),
+            ("duration by the district name valid at opening (as-of join)", "duration_by_district_as_of"),
+            ("report from signed changes", "report_from_deltas"),
+            ("distinct counts over a range of days (from stored sets)", "distinct_any_range"),
+            ("rules on a batch against history", "dq_batch_rules"),
+            ("misspelt words (after the components)", "misspelt_words"),
+            ("frequent shapes", "format_shapes"))],
     ]
     print(f"# Physical plans (final, after AQE) at {os.path.basename(sf)}\n")
     print("Generated by `tools/plan_report.py`. Build steps are shown as the lazy plans that the "
