@@ -56,9 +56,9 @@ class LmParams:
     rounds: int = 3
     window: int = 32
     streams: int = 32
-    most_streams: int = 256
+    most_streams: int = 128
     steps: int = 128
-    score_streams: int = 256
+    score_streams: int = 128
     segment: int = 2048
     group_words: int = 1 << 21
     score_words: int = 3 << 20
@@ -108,8 +108,12 @@ def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
             ends += batch.num_rows
             for w in split_words(batch.column(0), SPACED):
                 h = w.hashes()
-                u, at, n = np.unique(h, return_index=True, return_counts=True)
-                held.append((u, shape_class(w)[at], n))
+                if not len(h):
+                    continue
+                by = np.argsort(h)  # any of a word's places tells its class
+                h = h[by]
+                first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+                held.append((h[first], shape_class(w, by[first]), np.diff(np.append(first, len(h)))))
             if sum(len(x[0]) for x in held) > 1 << 21:
                 held = [merged()]
                 if len(held[0][0]) > 1 << 20:
