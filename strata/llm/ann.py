@@ -40,8 +40,8 @@ class AnnParams:
     rounds: int = 8
     settled: float = 0.02
     offers: int = 6
-    beam: int = 128
-    expand: int = 32
+    beam: int = 256
+    expand: int = 64
     seeds: int = 256
     query_block: int = 1 << 14
     ids_kept: int = 101
