@@ -13,6 +13,7 @@ from strata.functions import case_number, safe_int
 from strata.operators import profile as P
 from strata.operators import quality as Q
 from strata.operators.events import lifecycle_events
+from strata.operators.keys import dense_ids
 from strata.plans import reports as R
 from strata.plans import tpch
 from strata.plans.ingest import ingest_file
@@ -125,8 +126,10 @@ def norm_cases(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def norm_events(spark: SparkSession, sf: str) -> DataFrame:
-    """The events without their ids: which ids they are is open (a test proves them unique)."""
-    return tpch.normalised(spark, sf).movimentacao.drop("event_id")
+    """The events numbered from 1 in the order of case, type and date."""
+    events = tpch.normalised(spark, sf).movimentacao.drop("event_id")
+    return dense_ids(events, ["case_id", "event_type_id", "event_date"], "event_id").select(
+        "event_id", "case_id", "event_type_id", "event_date")
 
 
 def norm_counts(spark: SparkSession, sf: str) -> DataFrame:

@@ -157,3 +157,12 @@ def test_distinct_over_any_days(spark, dense):
 def test_event_ids_are_unique(spark):
     ids = tpch.normalised(spark, SF_SMALL).movimentacao.select("event_id")
     assert ids.distinct().count() == ids.count() > 0
+
+
+def test_queried_events_are_numbered_in_order(spark):
+    from strata.plans.bound_queries import norm_events
+
+    rows = sorted(map(tuple, norm_events(spark, SF_SMALL).collect()))
+    assert [r[0] for r in rows] == list(range(1, len(rows) + 1)) and len(rows) > 1000
+    keys = [(case, kind, day is None, str(day)) for _, case, kind, day in rows]
+    assert keys == sorted(keys)
