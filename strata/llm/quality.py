@@ -1,10 +1,11 @@
 """Quality scores from preference pairs: a Bradley-Terry ranking.
 
 Every whole text becomes a vector of shape statistics (letters, symbols, repetition, lines,
-local extremes over windows of words). From labelled texts, pairs (preferred, other) are
-drawn and P(preferred beats other) = sigmoid(score difference) is fitted by logistic loss
-on feature differences, so a document's score is linear in its features. The decision
-threshold is a quantile of the scores of the fitted sample.
+local extremes over windows of words). All labelled texts are dealt to shards; in each, pairs
+(preferred, other) are drawn so that every text meets another, and P(preferred beats other)
+= sigmoid(score difference) is fitted by logistic loss on feature differences, so a document's
+score is linear in its features. The weights are the mean of the shards'; feature quantiles
+and the decision threshold, a quantile of the scores, are those of all labelled texts.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from strata.llm._labelled import labelled_sample
-from strata.llm._tables import prepare
+from strata.llm._labelled import dealt, labelled_texts, per_shard, totals
+from strata.llm._tables import passing_tables, prepare, written
 from strata.llm._text import SPACED, slices, split_words, text_bytes
 
 _CLASSES = ("upper", "lower", "digit", "space", "newline", "stop", "bang", "bar", "mark", "other", "wide")
@@ -109,11 +110,11 @@ def features(col) -> np.ndarray:
 
 @dataclass(frozen=True)
 class RankParams:
-    """The fit uses at most ``per_class`` labelled texts a class, of at most
-    ``max_bytes`` bytes, and ``pairs`` preference pairs among them."""
+    """The fit uses all labelled texts, in shards of about ``shard_rows`` (more if a label is so
+    rare that shards would lack it), and ``pairs`` preference pairs a shard, more if its
+    texts are more."""
 
-    per_class: int = 3000
-    max_bytes: int = 1 << 18
+    shard_rows: int = 6000
     pairs: int = 60_000
     steps: int = 150
     rate: float = 0.5
@@ -148,44 +149,111 @@ class Ranking:
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def train(x: np.ndarray, y: np.ndarray, p: RankParams) -> Ranking:
-    """Fit the pair ranking; without texts of both labels all scores are equal."""
+def _pairs(good: np.ndarray, bad: np.ndarray, p: RankParams, every: bool) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(p.seed)
+    if not every:
+        return rng.choice(good, p.pairs), rng.choice(bad, p.pairs)
+    n = max(p.pairs, len(good), len(bad))
+    return tuple(np.concatenate([rng.permutation(v) for _ in range(-(-n // len(v)))])[:n] for v in (good, bad))
+
+
+def _flat(d: int, p: RankParams) -> Ranking:
+    return Ranking(np.zeros((d, _BINS - 1)), np.zeros(d), np.ones(d), np.zeros(d * _BINS), 0.0, p.cut)
+
+
+def train(x: np.ndarray, y: np.ndarray, p: RankParams, base: Ranking | None = None) -> Ranking:
+    """Fit the pair ranking; without texts of both labels all scores are equal. ``base`` gives
+    edges and scales (those of ``x``, if there is none); every text is then in a pair."""
     d = x.shape[1]
     if len(x) == 0 or len(set(y.tolist())) < 2:
-        return Ranking(np.zeros((d, _BINS - 1)), np.zeros(d), np.ones(d), np.zeros(d * _BINS), 0.0, p.cut)
-    edges = np.quantile(x, np.arange(1, _BINS) / _BINS, axis=0).T
-    model = Ranking(edges, x.mean(0), x.std(0) + 1e-9, np.zeros(d * _BINS), 0.0, p.cut)
+        return _flat(d, p)
+    if base is None:
+        edges = np.quantile(x, np.arange(1, _BINS) / _BINS, axis=0).T
+        model = Ranking(edges, x.mean(0), x.std(0) + 1e-9, np.zeros(d * _BINS), 0.0, p.cut)
+    else:
+        model = Ranking(base.edges, base.centre, base.scale, np.zeros(d * _BINS), 0.0, p.cut)
     e = model.expand(x)
-    rng = np.random.default_rng(p.seed)
-    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    diff_at = rng.choice(good, p.pairs), rng.choice(bad, p.pairs)
+    diff_at = _pairs(np.flatnonzero(y == 1), np.flatnonzero(y == 0), p, base is not None)
     w, grad_sq = model.weights, np.full(e.shape[1], 1e-8)
     for _ in range(p.steps):
         s = e @ w
         lose = 1 / (1 + np.exp(np.clip(s[diff_at[0]] - s[diff_at[1]], -60, 60)))
         # gradient of -log sigmoid(difference), gathered per text
         g = np.bincount(diff_at[0], lose, len(x)) - np.bincount(diff_at[1], lose, len(x))
-        grad = -(g @ e) / p.pairs + p.l2 * w
+        grad = -(g @ e) / len(diff_at[0]) + p.l2 * w
         grad_sq += grad * grad
         w -= p.rate * grad / np.sqrt(grad_sq)
     s = e @ w
-    # the quantile at which the sample's share of unpreferred texts lies below
+    # the quantile at which the share of unpreferred texts lies below
     order, share = np.sort(s), (y == 0).mean()
     k = int(np.clip(round(share * len(s)), 1, len(s) - 1))
     model.threshold = float((order[k - 1] + order[k]) / 2)
     return model
 
 
+def _matrix(column) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _scales(rows: DataFrame, width: int, p: RankParams) -> Ranking:
+    """Edges, centres and scales of all rows; the quantiles lie within 1/10000 of their ranks."""
+    cuts = F.array(*[F.lit(k / _BINS) for k in range(1, _BINS)])
+    x = [F.col("_x")[i] for i in range(width)]
+    got = rows.agg(F.array(*[F.avg(v) for v in x]), F.array(*[F.stddev_pop(v) for v in x]),
+                   F.array(*[F.percentile_approx(v, cuts, 10_000) for v in x])).first()
+    return Ranking(np.array(got[2], float), np.array(got[0], float), np.array(got[1], float) + 1e-9,
+                   np.zeros(width * _BINS), 0.0, p.cut)
+
+
+def _threshold(rows: DataFrame, model: Ranking, n: int, share: float) -> float:
+    """Between the two scores of all labelled texts that ``share`` of them lie below."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(shared.value.raw(_matrix(b.column(0))))], ["_s"])
+
+    k = int(np.clip(round(share * n), 1, n - 1))
+    at = F.array(F.lit((k - 0.5) / n), F.lit((k + 0.5) / n))
+    got = rows.select("_x").mapInArrow(run, "_s double").agg(F.percentile_approx("_s", at, 100_000)).first()[0]
+    return float(sum(got) / 2)
+
+
 def fit(docs: DataFrame, labels: DataFrame, p: RankParams = RankParams(), allowed=None, label_col: str = "quality",
         id_col: str = "doc_id", text_col: str = "text") -> Ranking:
-    def encode(texts):
-        return [x.tobytes() for x in features(texts)]
-
-    rows = labelled_sample(docs, labels, label_col, allowed or (lambda c: F.lit(True)), (p.per_class, p.per_class),
-                           p.max_bytes, encode, 1 << 26, id_col, text_col)  # a few hundred bytes a text
+    """Fit on every labelled text: only sums, quantiles and mean weights reach the driver."""
     width = features(pa.array([], pa.string())).shape[1]
-    x = np.frombuffer(b"".join(r[0] for r in rows), np.float64).reshape(-1, width)
-    return train(x, np.array([r[1] for r in rows], int), p)
+    texts = labelled_texts(docs, labels, label_col, allowed or (lambda c: F.lit(True)), 2, id_col, text_col)
+
+    def encode(batches):
+        for b in batches:
+            x = pa.FixedSizeListArray.from_arrays(pa.array(features(b.column(3)).reshape(-1)), width).cast(pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), x], ["_id", "_label", "_h", "_x"])
+
+    with passing_tables(docs.sparkSession):
+        rows = texts.mapInArrow(encode, "_id long, _label int, _h long, _x array<double>")
+        return _fitted(written(rows.dropDuplicates(["_id", "_label", "_h"]), "labelled"), width, p)
+
+
+def _fitted(rows: DataFrame, width: int, p: RankParams) -> Ranking:
+    count = {k: n for k, (n, _) in totals(rows, F.lit(0)).items()}
+    if len(count) < 2:
+        return _flat(width, p)
+    n = sum(count.values())
+    # a shard's rarer label has sixteen texts or more as a rule
+    shards = max(1, min(-(-n // p.shard_rows), min(count.values()) // 16))
+    model = _scales(rows, width, p)
+
+    def learn(t):
+        w = train(_matrix(t.column("_x")), t.column("_label").to_numpy(), p, model).weights
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(len(w), dtype=np.int32)), pa.array(w)], ["_at", "_w"])
+
+    learnt = per_shard(dealt(rows, shards), shards, learn, "_at int, _w double")
+    for r in learnt.groupBy("_at").agg(F.avg("_w").alias("_w")).collect():
+        model.weights[r["_at"]] = r["_w"]
+    model.threshold = _threshold(rows, model, n, count[0] / n)
+    return model
 
 
 def score_texts(docs: DataFrame, model: Ranking, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

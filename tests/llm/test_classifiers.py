@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import quality, toxicity
-from strata.llm._labelled import fold, labelled_sample
+from strata.llm._labelled import dealt, fold, labelled_sample, labelled_texts, per_shard, totals
 from strata.llm._text import ALNUM, split_words
 from tests.llm.cases import LABEL, clashing, docs, odd_rows
 
@@ -187,3 +187,48 @@ def test_odd_rows_without_usable_labels(spark, module):
     assert module.score_texts(docs(spark, []), model).count() == 0
     same = module.score_texts(docs(spark, [(1, None), (2, "")]), model).select(F.countDistinct("score")).first()[0]
     assert same == 1
+
+
+def _labelled_many(spark, n, text):
+    rows = [(i, text(i)) for i in range(n)]
+    return docs(spark, rows), spark.createDataFrame([(i, int(i % 3 > 0), int(i % 4 == 0)) for i in range(n)], LABEL)
+
+
+def test_every_labelled_text_is_in_one_shard_whatever_its_length_and_the_order(spark):
+    d, labels = _labelled_many(spark, 900, lambda i: f"text {i} " * (i % 5 + 1) if i else "long " * 80_000)
+    d = d.unionByName(d.filter("doc_id < 50")).unionByName(docs(spark, [(3, "another"), (4, None), (None, "x")]))
+    got = []
+    for rows in (d, d.orderBy(F.col("doc_id").desc())):
+        texts = labelled_texts(rows, labels, "toxic", lambda c: F.lit(True))
+        keep = lambda t: pa.RecordBatch.from_arrays(
+            [pa.array([i]) for i in (t.column("_shard")[0].as_py(), ",".join(map(str, t.column("_id").to_pylist())))], ["s", "ids"])
+        shards = per_shard(dealt(texts, 7), 7, keep, "s long, ids string").collect()
+        got.append(sorted((r.s, r.ids) for r in shards))
+    assert got[0] == got[1] and [s for s, _ in got[0]] == list(range(7))
+    assert sorted(int(i) for _, ids in got[0] for i in ids.split(",")) == sorted([*range(900), 3])
+    assert {k: n for k, (n, _) in totals(texts, F.lit(0)).items()} == {0: 676, 1: 225}
+
+
+def test_fits_learn_what_only_few_of_many_labelled_texts_show(spark):
+    """Words that a bounded draw of the labels would mostly miss."""
+    d, labels = _labelled_many(spark, 1200, lambda i: "plain words " * 4 + (f"zzidot{i % 40} " if i % 4 == 0 else f"other{i % 40} ") + "more plain words")
+    net = toxicity.fit(d, labels, toxicity.CnnParams(shard_rows=200, steps=60))
+    rows = toxicity.score_texts(d, net).join(labels, "doc_id").collect()
+    assert np.mean([(r.score >= 0.7) == (r.toxic == 1) for r in rows]) > 0.95
+    d, labels = _labelled_many(spark, 1200, lambda i: f"Plain words number {i}, and some more of them.\n" if i % 3 else f"BUY!!! {i} $$$ {i}")
+    model = quality.fit(d, labels, quality.RankParams(shard_rows=200))
+    s, y = map(np.array, zip(*[(r.score, r.quality) for r in quality.score_texts(d, model).join(labels, "doc_id").collect()]))
+    assert auc(s, y) > 0.99 and abs((s < 0.7).mean() - (y == 0).mean()) < 0.01
+
+
+def test_weight_lines_can_be_put_back():
+    net, other = toxicity.Cnn(small_cnn()), toxicity.Cnn(toxicity.CnnParams(**{**small_cnn().__dict__, "seed": 9}))
+    lines = toxicity._flat(other)
+    toxicity._put(net, np.arange(len(lines)), lines)
+    assert all(np.array_equal(a, b) for a, b in zip([net.emb, *net.arrays()], [other.emb, *other.arrays()]))
+
+
+def test_pairs_hold_every_text():
+    good, bad = np.arange(50), np.arange(50, 60)
+    a, b = quality._pairs(good, bad, quality.RankParams(pairs=12), True)
+    assert len(a) == len(b) and set(a) == set(good) and set(b) == set(bad)
