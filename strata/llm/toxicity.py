@@ -2,9 +2,11 @@
 
 A word's embedding is the sum of table rows picked by hashes of the word and of its first
 3, 4 and 5 bytes. Filters of widths 1, 2 and 3 slide over the word sequence, ReLU and a
-maximum over the whole text follow, then a logistic layer. Everything is trained in numpy
-(Adam) on a bounded sample of labelled texts. The score depends on the text alone; only
-the decision threshold is calibrated by language.
+maximum over the whole text follow, then a logistic layer. All labelled texts are dealt to
+shards. The first one trains the network (Adam, in numpy, in a task); from there every
+shard trains it on, and what each has learnt is averaged, weight by weight over the shards that moved
+it. The score depends on the text alone; only the decision threshold is calibrated by
+language, on the scores of all labelled texts.
 """
 
 from __future__ import annotations
@@ -17,21 +19,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from strata.llm._labelled import labelled_sample
-from strata.llm._tables import prepare
+from strata.llm._labelled import dealt, labelled_texts, per_shard, totals
+from strata.llm._tables import passing_tables, prepare, written
 from strata.llm._text import ALNUM, split_words
 
 
 @dataclass(frozen=True)
 class CnnParams:
-    """The fit uses at most ``n_clean`` + ``n_toxic`` labelled texts of at most
-    ``max_bytes`` bytes and ``max_words`` words together; a fifth of them is kept back to
-    calibrate thresholds."""
-
-    n_clean: int = 2000
-    n_toxic: int = 1000
-    max_bytes: int = 1 << 18
-    max_words: int = 6_000_000
+    """The fit uses all labelled texts, in shards of about ``shard_rows`` texts and
+    ``shard_bytes`` bytes. Toxic ones weigh at least ``toxic_share`` of all together. A step
+    takes ``batch`` texts, fewer if they have more than ``step_words`` words; ``steps`` is the
+    length of the first training."""
+
+    shard_rows: int = 4096
+    shard_bytes: int = 1 << 24
+    toxic_share: float = 1 / 3
+    step_words: int = 1 << 19
     word_buckets: int = 1 << 16
     prefix_buckets: int = 1 << 15
     dim: int = 8
@@ -132,25 +135,39 @@ def train(texts: list[str], labels: list[int], p: CnnParams) -> Cnn:
     return train_ids(_encode(pa.array(texts, pa.string()), p), labels, p)
 
 
-def train_ids(docs: list[np.ndarray], labels: list[int], p: CnnParams) -> Cnn:
-    """``train`` on encoded texts."""
-    net = Cnn(p)
+def _steps(docs: list[np.ndarray], n: int, p: CnnParams, rng) -> list[np.ndarray]:
+    """``n`` draws of texts, all of them once before any comes again, cut into steps."""
+    order = np.concatenate([rng.permutation(len(docs)) for _ in range(-(-n // len(docs)))])[:n]
+    words = np.array([len(docs[i]) for i in order])
+    out, start, held = [], 0, 0
+    for i, w in enumerate(words):
+        if i > start and (i - start == p.batch or held + w > p.step_words):
+            out.append(order[start:i])
+            start, held = i, 0
+        held += w
+    return [*out, order[start:]]
+
+
+def train_ids(docs: list[np.ndarray], labels: list[int], p: CnnParams, start: Cnn | None = None, draws: int | None = None,
+              weights: tuple[float, float] = (1.0, 1.0)) -> Cnn:
+    """``train`` on encoded texts; ``start`` is trained on, and changed, if given. ``draws``
+    texts are taken (``steps`` batches), ``weights`` go by label."""
+    net = start or Cnn(p)
     y = np.array(labels, np.float32)
-    if len(set(labels)) < 2:
+    if start is None and len(set(labels)) < 2:
         net.out[:] = 0
         return net
     rng = np.random.default_rng(p.seed)
+    weight = np.array(weights, np.float32)[y.astype(int)]
     params = net.arrays()
     m, v = [np.zeros_like(a) for a in params], [np.zeros_like(a) for a in params]
     em, ev = np.zeros_like(net.emb), np.zeros_like(net.emb)
-    order = np.concatenate([rng.permutation(len(docs)) for _ in range(-(-p.steps * p.batch // len(docs)))])
-    for step in range(1, p.steps + 1):
-        own = order[(step - 1) * p.batch:step * p.batch]
+    for step, own in enumerate(_steps(docs, draws or p.steps * p.batch, p, rng), 1):
         ids = np.concatenate([docs[i] for i in own])
         counts = np.array([len(docs[i]) for i in own])
         f, where, x, starts, offs = net.features(ids, counts, positions=True)
         pr = 1 / (1 + np.exp(-np.clip(f @ net.out + net.out_bias[0], -60, 60)))
-        g = ((pr - y[own]) / len(own)).astype(np.float32)
+        g = (weight[own] * (pr - y[own]) / len(own)).astype(np.float32)
         grads = {id(net.out): f.T @ g, id(net.out_bias): np.array([g.sum()], np.float32)}
         df = g[:, None] * net.out[None, :] * (f > 0)
         dx_at, dx_val = [], []
@@ -187,39 +204,119 @@ def train_ids(docs: list[np.ndarray], labels: list[int], p: CnnParams) -> Cnn:
     return net
 
 
-def best_threshold(scores: np.ndarray, labels: np.ndarray, default: float) -> float:
+def best_threshold(scores: np.ndarray, labels: np.ndarray, default: float, counts: np.ndarray | None = None) -> float:
     """The cut with the fewest errors; in a range of equally good cuts the one nearest
-    to ``default`` (so a clean separation keeps it)."""
+    to ``default`` (so a clean separation keeps it). ``counts``: texts of each score."""
+    counts = np.ones(len(scores), int) if counts is None else counts
     cuts = np.unique(np.concatenate((scores, [default, 1.0])))
     cuts = np.concatenate((cuts, (cuts[1:] + cuts[:-1]) / 2))
-    errors = np.array([((scores >= c) != (labels == 1)).sum() for c in cuts])
+    errors = np.zeros(len(cuts), int)
+    for label in (0, 1):
+        at = np.argsort(scores[labels == label])
+        below = np.concatenate(([0], np.cumsum(counts[labels == label][at])))[np.searchsorted(scores[labels == label][at], cuts)]
+        errors += below if label == 1 else counts[labels == 0].sum() - below
     good = cuts[errors == errors.min()]
     return float(good[np.argmin(np.abs(good - default))])
 
 
+def _flat(net: Cnn) -> np.ndarray:
+    """All weights as lines of ``dim``: a line of the embedding table each, then the others."""
+    rest = np.concatenate([a.reshape(-1) for a in net.arrays()])
+    rest = np.concatenate((rest, np.zeros(-len(rest) % net.p.dim, np.float32)))
+    return np.concatenate((net.emb, rest.reshape(-1, net.p.dim)))
+
+
+def _put(net: Cnn, lines: np.ndarray, values: np.ndarray) -> None:
+    flat = _flat(net)
+    flat[lines] = values
+    net.emb[:] = flat[:len(net.emb)]
+    rest, at = flat[len(net.emb):].reshape(-1), 0
+    for a in net.arrays():
+        a[...] = rest[at:at + a.size].reshape(a.shape)
+        at += a.size
+
+
+def _train_on(net: Cnn, rows: DataFrame, shards: int, steps: int, weights: tuple[float, float]) -> None:
+    """Train the network on in every shard and put the mean of each weight line over the
+    shards that changed it; a shard takes all its texts, ``steps`` batches at least. A few
+    megabytes reach the driver."""
+    shared, p = rows.sparkSession.sparkContext.broadcast(net), net.p
+
+    def learn(t):
+        own = Cnn(p)
+        before = _flat(shared.value)
+        _put(own, np.arange(len(before)), before)
+        docs = _encode(t.column("_text").combine_chunks(), p)
+        train_ids(docs, t.column("_label").to_pylist(), p, own, max(steps * p.batch, len(docs)), weights)
+        after = _flat(own)
+        at = np.flatnonzero((after != before).any(axis=1))
+        return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(after[at, k]) for k in range(p.dim))],
+                                          ["_at", *(f"_w{k}" for k in range(p.dim))])
+
+    names = [f"_w{k}" for k in range(p.dim)]
+    learnt = per_shard(rows, shards, learn, ", ".join(["_at int", *(f"{c} float" for c in names)]))
+    mean = learnt.groupBy("_at").agg(*[F.avg(c).cast("float").alias(c) for c in names]).toArrow()
+    if mean.num_rows:
+        _put(net, mean.column("_at").to_numpy(), np.stack([mean.column(c).to_numpy() for c in names], axis=1))
+
+
+def _calibrate(net: Cnn, rows: DataFrame, langs: tuple[str, ...]) -> None:
+    """Thresholds from the scores of all rows, counted by language, label and score to four
+    decimals: the counts of one language fit one group."""
+    shared = rows.sparkSession.sparkContext.broadcast(net)
+    p = net.p
+
+    def score(batches):
+        for b in batches:
+            s = [shared.value.score(word_ids(w, p), w.counts) for w in split_words(b.column(0), ALNUM, 1 << 18)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.round(np.concatenate(s) if s else np.zeros(0), 4)), *b.columns[1:]],
+                                             ["_score", "_label", "_h", "_id", "_lang"])
+
+    lang = F.coalesce(F.col(langs[0]), F.lit("")) if langs else F.lit("")
+    scored = rows.select("_text", "_label", "_h", "_id", lang.alias("_lang")).mapInArrow(
+        score, "_score double, _label int, _h long, _id long, _lang string")
+    counted = (scored.dropDuplicates(["_id", "_label", "_h"]).groupBy("_lang", "_label", "_score")
+                     .agg(F.count(F.lit(1)).alias("_n")))
+
+    def cut(t: pa.Table) -> tuple[float | None, int]:
+        y, n = t.column("_label").to_numpy(), t.column("_n").to_numpy()
+        return (best_threshold(t.column("_score").to_numpy(), y, p.threshold, n) if len(set(y.tolist())) == 2 else None), int(n.sum())
+
+    def of_language(t: pa.Table) -> pa.Table:
+        c, n = cut(t)
+        return pa.table({"_lang": t.column("_lang").slice(0, 1), "_cut": pa.array([c], pa.float64()), "_n": pa.array([n], pa.int64())})
+
+    counted = written(counted, "calibration")
+    every = cut(counted.groupBy("_label", "_score").agg(F.sum("_n").alias("_n")).toArrow())[0]
+    net.fallback = p.threshold if every is None else every
+    found = counted.groupBy("_lang").applyInArrow(of_language, "_lang string, _cut double, _n long")
+    for r in found.filter(F.col("_cut").isNotNull() & (F.col("_n") >= p.min_language)).collect():
+        net.thresholds[r["_lang"]] = r["_cut"]
+
+
 def fit(docs: DataFrame, labels: DataFrame, p: CnnParams = CnnParams(), allowed=None, label_col: str = "toxic",
         id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Cnn:
-    """Train on the bounded sample and calibrate a threshold per language."""
-    def encode(texts):
-        return [x.tobytes() for x in _encode(texts, p)]
-
-    rows = labelled_sample(docs, labels, label_col, allowed or (lambda c: F.lit(True)), (p.n_clean, p.n_toxic),
-                           p.max_bytes, encode, 16 * p.max_words, id_col, text_col, (lang_col,) if lang_col in docs.columns else ())
-    rows = [(np.frombuffer(r[0], np.int32).reshape(-1, 4), *r[1:]) for r in rows]
-    back = np.arange(len(rows)) % 5 == 4
-    net = train_ids([r[0] for r, b in zip(rows, back) if not b], [r[1] for r, b in zip(rows, back) if not b], p)
-    own = [r for r, b in zip(rows, back) if b]
-    if own:
-        enc = [r[0] for r in own]
-        s = net.score(np.concatenate(enc), np.array([len(e) for e in enc]))
-        y = np.array([r[1] for r in own])
-        lang = np.array([(r[2] if len(r) > 2 else None) or "" for r in own])
-        if len(set(y.tolist())) == 2:
-            net.fallback = best_threshold(s, y, p.threshold)
-        for code in np.unique(lang):
-            at = lang == code
-            if at.sum() >= p.min_language and len(set(y[at].tolist())) == 2:
-                net.thresholds[str(code)] = best_threshold(s[at], y[at], p.threshold)
+    """Train on every labelled text and calibrate a threshold per language."""
+    langs = (lang_col,) if lang_col in docs.columns else ()
+    with passing_tables(docs.sparkSession):
+        rows = labelled_texts(docs, labels, label_col, allowed or (lambda c: F.lit(True)), 2, id_col, text_col, langs)
+        return _fitted(written(rows, "labelled"), p, langs)
+
+
+def _fitted(rows: DataFrame, p: CnnParams, langs: tuple[str, ...]) -> Cnn:
+    count = totals(rows, F.octet_length("_text"))
+    net = Cnn(p)
+    if len(count) < 2:
+        net.out[:] = 0
+        return net
+    texts, size = (sum(v[k] for v in count.values()) for k in (0, 1))
+    shards = max(1, -(-texts // p.shard_rows), -(-size // p.shard_bytes))
+    weights = (1.0, max(1.0, count[0][0] * p.toxic_share / (1 - p.toxic_share) / count[1][0]))
+    rows = dealt(rows, shards)
+    _train_on(net, rows.filter("_shard = 0"), 1, p.steps, weights)
+    if shards > 1:
+        _train_on(net, rows, shards, 0, weights)
+    _calibrate(net, rows, langs)
     return net
 
 
