@@ -26,13 +26,12 @@ DAY_FIRST = r"^\s*([0-9]{1,2})/([0-9]{1,2})/(?!0+\s*$)([0-9]{1,4})\s*$"
 def _rewritten_date(col: Column, pattern: str, year: int, month: int, day: int) -> Column:
     """DATE from the groups of ``pattern``, NULL when it does not match or names no day.
 
-    One pass: the match is rewritten to ``y-m-d`` (anything else to ``--``, which is no
-    date) and cast once; short years are padded without another pattern.
+    The match is rewritten to ``y-m-d`` (anything else to ``--``, which is no date), short
+    years are padded, and the text is cast once. Each step is written once, never in the branches
+    of a condition: the code Spark generates for a row must stay small enough to be compiled.
     """
     ymd = F.regexp_replace(col, rf"(?s){pattern}.*$|^.*$", f"${year}-${month}-${day}")
-    dash = F.instr(ymd, "-")
-    padded = F.when(dash.between(2, 4), F.concat(F.substring(F.lit("000"), F.lit(1), 5 - dash), ymd)).otherwise(ymd)
-    return padded.try_cast(T.DateType())
+    return F.regexp_replace(ymd, "^([0-9]{1,3})-", "000$1-").try_cast(T.DateType())
 
 
 def _drop_digit_separators(col: Column, digits: str) -> Column:
@@ -45,11 +44,9 @@ def _drop_digit_separators(col: Column, digits: str) -> Column:
 
 def _radix_value(text: Column, mark: str, digits: str, base: int, most: int) -> Column:
     """Decimal text of ``0x…`` / ``0b…`` values, NULL for other text and for values of more
-    than ``most`` digits after leading zeros (beyond 64 bits)."""
-    bare = F.when(F.regexp_like(text, F.lit(rf"^0{mark}[{digits}]+$")),
-                  F.regexp_replace(text, rf"^0{mark}0*", ""))
-    # the guarded text, not the guarded result: conv raises on what 64 bits cannot hold
-    return F.conv(F.when(bare == "", F.lit("0")).when(F.length(bare) <= most, bare), base, 10)
+    than ``most`` digits after leading zeros (beyond 64 bits), which become no digits."""
+    bare = F.regexp_replace(text, rf"(?s)^0{mark}0*([{digits}]{{1,{most}}})$|^.*$", "$1")
+    return F.conv(bare, base, 10)
 
 
 def safe_int(c, type_name: str = "bigint") -> Column:

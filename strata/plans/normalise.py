@@ -7,7 +7,8 @@ which closing is an *event*: districts, courts, classes, two code tables, cases
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Mapping
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -155,6 +156,31 @@ class StoredModel:
         return table_counts(self.tables())
 
 
+class LayeredModel(Normalised):
+    """The model over a layer: each table is written on first use, from the files of those it
+    needs, so asking for one table builds no other."""
+
+    def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame], layer):
+        """``raw``: the extracts, each landed on first use. ``layer``: makes the mapping that
+        holds the tables from ``{name: table}`` functions."""
+        self._raw, self._codes, self._per = raw, code_tables(spark), COURTS_PER_DISTRICT
+        self._c, self._d, self._k = CaseCols(), DistrictCols(), ClassCols()
+        own = {name: getattr(Normalised, name) for name in dict.fromkeys((*self.TABLES, *self.STORED))}
+        self._layer = layer({name: partial(getattr(v, "func", None) or v.fget, self) for name, v in own.items()})
+
+    _cases = property(lambda self: self._raw["cases"])
+    _districts = property(lambda self: self._raw["districts"])
+    _classes = property(lambda self: self._raw["classes"])
+    comarca = property(lambda self: self._layer["comarca"])
+    vara = property(lambda self: self._layer["vara"])
+    classe = property(lambda self: self._layer["classe"])
+    situacao = property(lambda self: self._layer["situacao"])
+    tipo_movimento = property(lambda self: self._layer["tipo_movimento"])
+    proc_raw = property(lambda self: self._layer["proc_raw"])
+    processo = property(lambda self: self._layer["processo"])
+    movimentacao = property(lambda self: self._layer["movimentacao"])
+
+
 def normalise(cases: DataFrame, districts: DataFrame, classes: DataFrame,
               c: CaseCols = CaseCols(), d: DistrictCols = DistrictCols(),
               k: ClassCols = ClassCols(), per_district: int = COURTS_PER_DISTRICT) -> Normalised:

@@ -23,6 +23,7 @@ import os
 import threading
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ from strata.operators.calendar import calendar
 from strata.operators.events import first_event
 from strata.operators.star import build_fact
 from strata.plans import medallion as M
-from strata.plans.normalise import normalise
+from strata.plans.normalise import LayeredModel, normalise
 from strata.session import layers_dir, session_id
 from strata.sinks.writers import batch_timestamp, write_bronze
 
@@ -196,6 +197,14 @@ class Layer(Mapping):
         return len(self._builders)
 
 
+def _store(spark: SparkSession, make):
+    """A builder of ``Layer``: writes what ``make`` gives and reads it back."""
+    def build(path):
+        make().write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    return build
+
+
 def _folder(spark: SparkSession, sf_dir: str, what: str) -> str:
     return _built((*_key(spark, sf_dir, what), "folder"), lambda: layers_dir(spark, what))
 
@@ -225,14 +234,7 @@ def model(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Mapping
     """
     if not materialize:
         return M.medallion(raw_extracts(spark, sf_dir))
-    raw = bronze(spark, sf_dir)
-
-    def store(make):
-        def build(path):
-            make().write.mode("overwrite").parquet(path)
-            return spark.read.parquet(path)
-        return build
-
+    raw, store = bronze(spark, sf_dir), partial(_store, spark)
     c = M.CaseCols()
     layer = Layer(spark, sf_dir, "medallion", {
         "stg_cases": store(lambda: M.silver_cases(raw["cases"])),
@@ -247,16 +249,16 @@ def model(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Mapping
 
 
 def normalised(spark: SparkSession, sf_dir: str, materialize: bool = True):
-    """The event-sourced model of the bound cases (written once per session by default)."""
+    """The event-sourced model of the bound cases (by default each table is written once per
+    session, on first use)."""
     if not materialize:
         b = raw_extracts(spark, sf_dir)
         return normalise(b["cases"], b["districts"], b["classes"])
-    def build():
-        b = bronze(spark, sf_dir)
-        b.build_all(("cases", "districts", "classes"))
-        return normalise(b["cases"], b["districts"], b["classes"]).materialize(layers_dir(spark, "normalised"))
 
-    return _built(_key(spark, sf_dir, "normalised"), build)
+    def layer(tables):
+        return Layer(spark, sf_dir, "normalised", {name: _store(spark, make) for name, make in tables.items()})
+
+    return _built(_key(spark, sf_dir, "normalised"), lambda: LayeredModel(spark, bronze(spark, sf_dir), layer))
 
 
 def clean_part_names(spark: SparkSession, sf_dir: str) -> DataFrame:

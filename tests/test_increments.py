@@ -166,3 +166,39 @@ def test_queried_events_are_numbered_in_order(spark):
     assert [r[0] for r in rows] == list(range(1, len(rows) + 1)) and len(rows) > 1000
     keys = [(case, kind, day is None, str(day)) for _, case, kind, day in rows]
     assert keys == sorted(keys)
+
+
+def test_one_table_of_the_event_model_builds_no_other(spark, tmp_path):
+    from strata.operators.counts import table_counts
+    from strata.plans.normalise import LayeredModel
+
+    class Kept(dict):
+        def __init__(self, makers):
+            super().__init__()
+            self.makers = makers
+
+        def __missing__(self, name):
+            self[name] = self.makers[name]()
+            return self[name]
+
+    class Raw(dict):
+        def __missing__(self, name):
+            self[name] = tpch.RAW[name](spark, SF_SMALL)
+            return self[name]
+
+    raw = Raw()
+    model = LayeredModel(spark, raw, Kept)
+    assert model.classe.count() == 5 and set(model._layer) == {"classe"} and set(raw) == {"classes"}
+    assert dict(table_counts(model.tables()).collect()) == dict(tpch.normalised(spark, SF_SMALL, materialize=False).counts.collect())
+
+
+def test_casts_of_odd_numbers_and_short_years(spark):
+    from strata.functions import parse_mixed_date, safe_int
+
+    ints = {"0x0": 0, "0x00fF": 255, "0X1_0": 16, "0x": None, "0xffffffffffffffff1": None, "0x0000000000000000000001": 1, "0b101": 5, "0b2": None,
+            "0b" + "1" * 65: None, "12.5": 13, " 7 ": 7, "x": None, "": None, "1_000": 1000}
+    days = {"1/2/3": "0001-02-03", "31/12/99": "0099-12-31", "123-4-5": "0123-04-05", "2020/1/2 10:30": "2020-01-02", "0000-01-01": None,
+            "2021-02-29": None, "29/02/2020": "2020-02-29", "n/d": None, "": None, "--": None, " 5/6/2001 ": "2001-06-05"}
+    df = spark.createDataFrame([(k,) for k in {**ints, **days}], "v string")
+    got = {r.v: (r.i, str(r.d) if r.d else None) for r in df.select("v", safe_int("v").alias("i"), parse_mixed_date("v").alias("d")).collect()}
+    assert {k: got[k][0] for k in ints} == ints and {k: got[k][1] for k in days} == days
