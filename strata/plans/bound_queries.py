@@ -476,7 +476,7 @@ def bronze_lineage(spark: SparkSession, sf: str) -> DataFrame:
                 .schema(text_schema(CUSTOMER_COLS)).csv(_customer_csv(spark, sf)))
     lined = with_lineage(raw, CUSTOMER_COLS)
     return lined.select("c_custkey", "_row_hash",
-                        F.regexp_extract("_source_file", "([^/]+)/[^/]+$", 1).alias("_source"))
+                        F.substring_index(F.substring_index("_source_file", "/", -2), "/", 1).alias("_source"))
 
 
 def open_case_age(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,7 +1,9 @@
 import os
+import re
 import shutil
 
 from strata.streaming import ingest_available, start_bronze_stream
+from strata.streaming.bronze_stream import EXTRACT, read_landing
 from tests.conftest import FIXTURES
 
 COLS = ["case_id", "class_id", "district_id", "court_id", "opened", "closed", "status"]
@@ -44,3 +46,18 @@ def test_stream_stamp_has_the_batch_stamp_shape(spark, tmp_dir):
                            os.path.join(tmp_dir, "c"))
     stamp = out.select("_ingerido_em").first()[0]
     assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}\+00:00", stamp), stamp
+
+
+def test_folder_names_of_extracts_are_cut_without_a_pattern_per_record(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "a b", "landing")
+    for name in ("extract-2", "extract 10", "é"):
+        os.makedirs(os.path.join(landing, name))
+        with open(os.path.join(landing, name, "part.json"), "w") as f:
+            f.write('{"case_id": "%s"}\n' % name)
+    read = read_landing(spark, "json", landing, ["case_id"], json_array=False, extract_folders=True)
+    assert "regexp_extract" not in read._jdf.queryExecution().analyzed().toString()
+    got = ingest_available(spark, "json", landing, ["case_id"], os.path.join(tmp_dir, "b"), os.path.join(tmp_dir, "c"),
+                           json_array=False, extract_folders=True).collect()
+    old = r"([^/]+)/[^/]+$"
+    paths = [r.p for r in spark.read.option("recursiveFileLookup", True).json(landing).selectExpr("_metadata.file_path as p").collect()]
+    assert len(got) == 3 and {r[EXTRACT] for r in got} == {re.search(old, p).group(1) for p in paths}
