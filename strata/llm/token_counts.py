@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +31,33 @@ from strata.llm._tables import most_frequent, prepare, written
 from strata.llm._text import slices, text_bytes
 
 
+#: Runs that go to the library as one text.
+JOINED = 64
+
+
 def _encode_json(path: str, runs: list[str]) -> list[int]:
-    return [len(e) for e in _tokenizer(path).encode_batch_fast(runs, add_special_tokens=False)]
+    """Tokens of each run. Plain ASCII runs are encoded many in one text, between blanks that no token
+    crosses: a token belongs to the run it starts in. Runs with special strings, which may take
+    blanks in, and with other characters go alone."""
+    t = _tokenizer(path)
+    special = _special(path)
+    plain = [i for i, r in enumerate(runs) if r.isascii() and not any(x in r for x in special)]
+    out = np.full(len(runs), -1, np.int64)
+    for k in range(0, len(plain), JOINED):
+        at = plain[k:k + JOINED]
+        own = [runs[i] for i in at]
+        e = t.encode(" ".join(own), add_special_tokens=False)
+        ends = np.cumsum(np.fromiter(map(len, own), np.int64, len(own)) + 1)
+        starts = np.fromiter((a for a, _ in e.offsets), np.int64, len(e))
+        out[at] = np.bincount(np.searchsorted(ends, starts, side="right"), minlength=len(own))
+    for i in np.flatnonzero(out < 0).tolist():
+        out[i] = len(t.encode(runs[i], add_special_tokens=False))
+    return out.tolist()
+
+
+@lru_cache(maxsize=2)
+def _special(path: str) -> list[str]:
+    return [a.content for a in _tokenizer(path).get_added_tokens_decoder().values()]
 
 
 @lru_cache(maxsize=2)
@@ -44,12 +70,18 @@ def _tokenizer(path: str):
     return t
 
 
-def _runs(col) -> Iterable[tuple[int, list[list[bytes]]]]:
-    """Per slice of texts: the index of its first text and each text's runs."""
-    raw, offs = text_bytes(col)
+def _runs(col) -> Iterable[tuple[int, np.ndarray, list[bytes], np.ndarray]]:
+    """Per slice of texts: the index of its first text, where each text's runs begin (and the last
+    one's end), the distinct runs, and for each place which of them stands there. Texts that
+    begin or end with white space, or are empty, have empty runs."""
+    col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
+    col = col.fill_null("").cast(pa.large_string())
+    _, offs = text_bytes(col)
     for i, j in slices(offs, 1 << 22):
-        data, cuts = raw[offs[i]:offs[j]].tobytes(), (offs[i:j + 1] - offs[i]).tolist()
-        yield i, [data[a:b].split() for a, b in zip(cuts, cuts[1:])]
+        split = pc.ascii_split_whitespace(col.slice(i, j - i))
+        coded = split.flatten().dictionary_encode()
+        begins = np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False)))).astype(np.int64)
+        yield i, begins, coded.dictionary.cast(pa.large_binary()).to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
 
 
 def frequent_runs(docs: DataFrame, text_col: str, frequent: int, run_bytes: int,
@@ -60,11 +92,12 @@ def frequent_runs(docs: DataFrame, text_col: str, frequent: int, run_bytes: int,
     def summarise(batches):
         seen: Counter = Counter()
         for batch in batches:
-            for _, texts in _runs(batch.column(0)):
-                for own in texts:
-                    seen.update(own)
+            for _, _, runs, at in _runs(batch.column(0)):
+                for w, n in zip(runs, np.bincount(at, minlength=len(runs)).tolist()):
+                    seen[w] = seen.get(w, 0) + n
                 if len(seen) > 2 * summary:
                     seen = Counter(dict(seen.most_common(summary)))
+        seen.pop(b"", None)
         best = [(w, n) for w, n in seen.most_common(frequent) if len(w) <= run_bytes]
         yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in best], pa.binary()),
                                           pa.array([n for _, n in best], pa.int64())], ["run", "n"])
@@ -93,29 +126,25 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
         (b" ".join(runs), np.array(counts, np.int32).tobytes()))
 
     def count(batches):
-        blob, lens = table.value
-        known = dict(zip(blob.split(b" "), np.frombuffer(lens, np.int32).tolist())) if lens else {}
+        blob, sizes = table.value
+        known = dict(zip(blob.split(b" "), np.frombuffer(sizes, np.int32).tolist())) if sizes else {}
+        known[b""] = 0
         held: dict[bytes, int] = {}
         for batch in batches:
             n_tokens = np.zeros(batch.num_rows, np.int64)
-            for first, texts in _runs(batch.column(1)):
-                missing = {w for own in texts for w in own if w not in known and w not in held}
+            for first, begins, runs, at in _runs(batch.column(1)):
+                get, rare = known.get, held.get
+                lens = [rare(w) if (v := get(w)) is None else v for w in runs]
+                missing = [i for i, v in enumerate(lens) if v is None]
                 if missing:
-                    fresh = list(missing)
-                    new = dict(zip(fresh, _encode_json(tokenizer_path, [w.decode() for w in fresh])))
+                    new = _encode_json(tokenizer_path, [runs[i].decode() for i in missing])
+                    for i, v in zip(missing, new):
+                        lens[i] = v
                     if len(held) + len(new) > cache:
                         held = {}
-                        # runs of this slice that the dropped cache had answered
-                        again = [w for w in {w for own in texts for w in own} if w not in known and w not in new]
-                        new |= zip(again, _encode_json(tokenizer_path, [w.decode() for w in again]))
-                    held |= new
-                get, rare = known.get, held
-                for i, own in enumerate(texts, first):
-                    total = 0
-                    for w in own:
-                        v = get(w)
-                        total += rare[w] if v is None else v
-                    n_tokens[i] = total
+                    held |= zip([runs[i] for i in missing], new)
+                sums = np.concatenate(([0], np.cumsum(np.array(lens, np.int64)[at])))
+                n_tokens[first:first + len(begins) - 1] = sums[begins[1:]] - sums[begins[:-1]]
             _, offs = text_bytes(batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(np.diff(offs)), pa.array(n_tokens),

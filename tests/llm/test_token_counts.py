@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+import strata.llm.token_counts as counts_module
 from strata.llm.queries import tokenizer_path
 from strata.llm.token_counts import _tokenizer, frequent_runs, token_counts
 from tests.llm.cases import SF, clashing, docs, odd_rows
@@ -43,3 +44,21 @@ def test_odd_rows_and_empty_table(spark):
 def test_frequent_runs_are_bounded(spark):
     df = docs(spark, [(1, "a a a b b " + "x" * 100 + " " + "x" * 100)])
     assert frequent_runs(df, "text", 2, 64) == [b"a", b"b"]
+
+
+def test_plain_runs_go_to_the_library_many_at_once(monkeypatch):
+    rng = random.Random(3)
+    bits = ["a", "The", "'s", "'", "9", "42", ".", "!?", "<|", "|>", "ing", "\x00", "\x1c", "x" * 30]
+    runs = ["".join(rng.choice(bits) for _ in range(rng.randint(1, 8))) for _ in range(640)]
+    odd = ["é", "İ'sΣ", "́", "क़", "a<|endoftext|>b", "<|startoftext|>", "\x85", " ", "中ß😀"]
+    library, calls = _tokenizer(PATH), []
+
+    class Counted:
+        def __getattr__(self, name):
+            got = getattr(library, name)
+            return (lambda *a, **k: calls.append(name) or got(*a, **k)) if name.startswith("encode") else got
+
+    monkeypatch.setattr(counts_module, "_tokenizer", lambda path: Counted())
+    lens = counts_module._encode_json(PATH, runs + odd)
+    assert calls == ["encode"] * (640 // counts_module.JOINED + len(odd))
+    assert lens == [len(library.encode(r, add_special_tokens=False)) for r in runs + odd]
