@@ -205,8 +205,12 @@ class HashTable:
         return ((h * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
     def find(self, h: np.ndarray) -> np.ndarray:
-        out = np.full(len(h), -1, np.int32)
-        todo, at = np.arange(len(h)), self._home(h)
+        at = self._home(h)
+        s = self.slot[at]
+        hit = (s >= 0) & (self.keys[at] == h)
+        out = np.where(hit, s, np.int32(-1))
+        todo = np.flatnonzero((s >= 0) & ~hit)  # few keys are not at their first place
+        at = (at[todo] + 1) & self.mask
         while len(todo):
             s = self.slot[at]
             hit = (s >= 0) & (self.keys[at] == h[todo])

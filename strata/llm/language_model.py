@@ -70,6 +70,10 @@ class LmParams:
         """Streams for a task's tokens."""
         return max(self.streams, min(self.most_streams, tokens // (self.window * self.steps)))
 
+    def score_width(self, tokens: int) -> int:
+        """Streams to score a group's tokens in; any number gives the same scores."""
+        return self.score_streams * (2 if tokens >= self.score_streams * self.window * self.steps else 1)
+
 
 def shape_class(w, at=slice(None)) -> np.ndarray:
     """Tail class of every word (or of those ``at`` some places): its last character's kind,
@@ -219,36 +223,45 @@ class Gru:
     def class_of(self, tok: np.ndarray) -> np.ndarray:
         return np.where(tok < self.n_head, tok // self.p.class_size, tok - self.n_head + self.head_classes)
 
-    def run(self, gates_in: np.ndarray, h: np.ndarray, fresh: np.ndarray, saved: np.ndarray | None = None):
-        """States of one window: ``gates_in`` (steps, streams, 3 hidden); ``fresh`` marks
-        steps that begin a text, where the state starts at zero. ``saved`` (5, steps, streams,
-        hidden) takes what backpropagation needs: state before, z, r, candidate, its recurrent part."""
+    def run(self, gates_in: np.ndarray, h: np.ndarray, fresh: np.ndarray, saved: tuple[np.ndarray, ...] | None = None):
+        """States of one window: ``gates_in`` (steps, streams, 3 hidden), those of z and r halved
+        (``halved``); ``fresh`` marks steps that begin a text, where the state starts at zero. ``saved``
+        takes what backpropagation needs, step by step: states before, z, r and the candidate's
+        recurrent part side by side, candidates."""
         n = self.p.hidden
-        out = np.empty((*gates_in.shape[:2], n), np.float32)
-        begins = fresh.any(1)
-        half = gates_in[:, :, :2 * n] * np.float32(0.5)  # sigmoid(x) = tanh(x/2)/2 + 1/2
-        wh = self.wh.copy()
-        wh[:, :2 * n] *= np.float32(0.5)
-        for t in range(len(gates_in)):
+        steps, streams = gates_in.shape[:2]
+        out = np.empty((steps, streams, n), np.float32)
+        begins = fresh.any(1).tolist()
+        wh = self.halved(self.wh)  # sigmoid(x) = tanh(x/2)/2 + 1/2
+        before, gates, cand = saved or (None, np.empty((1, streams, 3 * n), np.float32), np.empty((1, streams, n), np.float32))
+        half = np.float32(0.5)
+        step = np.empty((streams, n), np.float32)
+        for t in range(steps):
             if begins[t]:
                 h = h * ~fresh[t][:, None]
-            a = h @ wh
+            k = 0 if saved is None else t
+            if saved is not None:
+                before[t] = h
+            a, c = gates[k], cand[k]
+            np.matmul(h, wh, out=a)
             zr = a[:, :2 * n]
-            zr += half[t]
+            zr += gates_in[t, :, :2 * n]
             np.tanh(zr, out=zr)
-            zr *= np.float32(0.5)
-            zr += np.float32(0.5)
-            z, r, ac = zr[:, :n], zr[:, n:], a[:, 2 * n:]
-            c = r * ac
+            zr *= half
+            zr += half
+            np.multiply(a[:, n:2 * n], a[:, 2 * n:], out=c)
             c += gates_in[t, :, 2 * n:]
             np.tanh(c, out=c)
-            if saved is not None:
-                for k, v in enumerate((h, z, r, c, ac)):
-                    saved[k, t] = v
-            step = c - h
-            step *= z
+            np.subtract(c, h, out=step)
+            step *= a[:, :n]
             h = np.add(h, step, out=out[t])
-        return out, h, saved
+        return out, h
+
+    def halved(self, gates: np.ndarray) -> np.ndarray:
+        """A copy with the columns of z and r halved."""
+        gates = gates.copy()
+        gates[..., :2 * self.p.hidden] *= np.float32(0.5)
+        return gates
 
     def log_probs(self, s: np.ndarray, tok: np.ndarray, grads: list[np.ndarray] | None = None):
         """Natural log P(token | state) (tail words: of their class); with ``grads`` the
@@ -369,12 +382,12 @@ def _windows(s: Streams, window: int):
 def score_streams(net: Gru, s: Streams) -> np.ndarray:
     """Natural log-probability of every token, the state carried through each text."""
     out = np.zeros(len(s.tok))
-    table = net.emb @ net.wx + net.b  # input projections of all symbols
+    table = net.halved(net.emb @ net.wx + net.b)  # input projections of all symbols
     h = np.zeros((len(s.sizes), net.p.hidden), np.float32)
     for at, live, active in _windows(s, net.p.window):
-        states, h, _ = net.run(table[s.inp[at]], h[:active], s.fresh[at] & live)
-        lp, _ = net.log_probs(states[live], s.tok[at[live]])
-        out[at[live]] = lp
+        states, h = net.run(table[s.inp[at]], h[:active], s.fresh[at] & live)
+        places = at[live]
+        out[places], _ = net.log_probs(states[live], s.tok[places])
     return out
 
 
@@ -397,32 +410,36 @@ def train_streams(net: Gru, s: Streams, moments, rate: float | None = None, widt
         begins = fresh.any(1)
         inp = s.inp[at]
         x = net.emb[inp]
-        saved = np.empty((5, *at.shape, n), np.float32)
-        states, h, _ = net.run(x @ net.wx + net.b, h[:active], fresh, saved)
+        gates_in = x @ net.wx + net.b
+        gates_in[:, :, :2 * n] *= np.float32(0.5)
+        prev, gates, c = (np.empty((*at.shape, k * n), np.float32) for k in (1, 3, 1))
+        states, h = net.run(gates_in, h[:active], fresh, (prev, gates, c))
         for g in grads:
             g.fill(0)
         _, dl = net.log_probs(states[live], s.tok[at[live]], grads)
         ds = np.zeros_like(states)
         ds[live] = dl
         dh = np.zeros((active, n), np.float32)
-        prev, z, r, c, ac = saved
+        z, r, ac = gates[:, :, :n], gates[:, :, n:2 * n], gates[:, :, 2 * n:]
         keep = 1 - z
         to_z, to_c, to_r = (c - prev) * z * keep, z * (1 - c * c), ac * r * (1 - r)
-        dg = np.empty((*inp.shape, 3 * n), np.float32)  # of the input gates
-        da = np.empty_like(dg)                          # of the recurrent ones
+        da = np.empty((*inp.shape, 3 * n), np.float32)  # of the recurrent gates
+        dcs = np.empty((*inp.shape, n), np.float32)
+        back = np.empty((active, n), np.float32)
         for t in range(len(at) - 1, -1, -1):
             dh += ds[t]
-            g = dg[t]
+            g, dc = da[t], dcs[t]
             np.multiply(dh, to_z[t], out=g[:, :n])
-            dc = np.multiply(dh, to_c[t], out=g[:, 2 * n:])
+            np.multiply(dh, to_c[t], out=dc)
             np.multiply(dc, to_r[t], out=g[:, n:2 * n])
-            da[t, :, :2 * n] = g[:, :2 * n]
-            np.multiply(dc, r[t], out=da[t, :, 2 * n:])
+            np.multiply(dc, r[t], out=g[:, 2 * n:])
             dh *= keep[t]
-            dh += da[t] @ net.wh.T
+            dh += np.matmul(g, net.wh.T, out=back)
             if begins[t]:
                 dh *= ~fresh[t][:, None]
         grads[2] += prev.reshape(-1, n).T @ da.reshape(-1, 3 * n)
+        dg = da  # of the input gates: they differ in the candidate's
+        dg[:, :, 2 * n:] = dcs
         flat = dg.reshape(-1, 3 * n)
         grads[1] += x.reshape(-1, p.dim).T @ flat
         grads[3] += flat.sum(0)
@@ -549,7 +566,7 @@ def log_likelihood(docs: DataFrame, training, p: LmParams = LmParams(), id_col:
 
         def go():
             tok, n, h = np.concatenate(toks), np.concatenate(counts_), np.concatenate(hashes)
-            s = deal(tok, n, p.score_streams, model.symbols - 1)
+            s = deal(tok, n, p.score_width(len(tok)), model.symbols - 1)
             lp = score_streams(model, s) / math.log(10)
             in_tail = np.flatnonzero((s.tok >= model.n_head) & (s.tok < model.n_head + TAIL))
             lp[in_tail] -= tail_log[s.tok[in_tail] - model.n_head]

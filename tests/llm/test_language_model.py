@@ -142,3 +142,20 @@ def test_odd_rows_and_no_training_rows(spark):
     blank = log_likelihood(df, F.lit(None).cast("boolean"), p).collect()
     assert all(r.n_known == 0 and r.train_tokens == 0 and math.isfinite(r.score) for r in blank)
     assert log_likelihood(docs(spark, []), F.lit(True), p).count() == 0
+
+
+def test_groups_of_many_tokens_are_scored_in_more_streams_with_the_same_scores():
+    p = LmParams()
+    most = p.score_streams * p.window * p.steps
+    assert (p.score_width(most - 1), p.score_width(most)) == (p.score_streams, 2 * p.score_streams)
+    rng = np.random.default_rng(8)
+    net = Gru(small(window=6), vocab())
+    sizes = rng.integers(1, 60, 40)
+    tok = rng.integers(0, net.symbols, sizes.sum())
+    few, many = (deal(tok, sizes, n, net.symbols - 1) for n in (4, 8))
+
+    def per_text(s):
+        c = np.concatenate(([0.0], np.cumsum(score_streams(net, s))))
+        return c[s.doc_at + sizes] - c[s.doc_at]
+
+    assert per_text(few) == pytest.approx(per_text(many), rel=1e-6)
