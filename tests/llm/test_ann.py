@@ -1,8 +1,14 @@
+import json
+import os
+import pickle
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm.ann import AnnParams, build_index, search, usable
+from strata.llm.ann import AnnParams, _nearest, build_index, search, usable
 from tests.llm.cases import SF
 
 
@@ -109,3 +115,68 @@ def test_repeated_ids_have_one_vector(spark):
     rows = [(1, [1.0, 2.0], 0), (1, [0.5, 9.0], 0), (2, [1.0, 1.0], 0)]
     for order in (rows, rows[::-1]):
         assert {r.id: list(r.v) for r in usable(table(spark, order), "vec_id", "embedding")[0].collect()} == {1: [0.5, 9.0], 2: [1.0, 1.0]}
+
+
+SHUFFLES = """
+import sys
+sys.path.insert(0, {root!r})
+import numpy as np
+from strata.llm.ann import build_index, search
+from strata.session import build_session
+spark = build_session("local[4]", 4, extra={{
+    "spark.checkpoint.dir": "file://{tmp}/kept", "spark.eventLog.enabled": "true", "spark.eventLog.dir": "file://{tmp}/events",
+    "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false", "spark.driver.host": "127.0.0.1"}})
+x = np.random.default_rng(4).standard_normal(({n}, 16)).astype(np.float32)
+df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+index = build_index(df)
+print(search(index, index.vectors.filter("id % 20 = 0"), 20).count())
+spark.stop()
+"""
+
+
+def test_edges_and_candidates_are_no_rows(tmp_path):
+    """What shuffles move are the vectors, a few times, and rows of arrays: their number follows
+    neither the degree nor the beam."""
+    n = 3000
+    (tmp_path / "events").mkdir()
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", SHUFFLES.format(root=root, tmp=tmp_path, n=n)], capture_output=True, text=True, timeout=600)
+    assert done.stdout.split()[-1] == str(n // 20 * 20), done.stderr[-2000:]
+    tasks = [json.loads(line) for f in (tmp_path / "events").iterdir() for line in f.open() if "SparkListenerTaskEnd" in line]
+    moved = sum(t.get("Task Metrics", {}).get("Shuffle Write Metrics", {}).get("Shuffle Records Written", 0) for t in tasks)
+    assert n <= moved <= 20 * n
+
+
+def test_shards_and_trees_lose_no_node(spark):
+    """Some nodes of each shard: all have lists, and a query's nearest are found across shards."""
+    rng = np.random.default_rng(6)
+    x = np.concatenate((rng.standard_normal((2500, 12)), np.repeat(rng.standard_normal((1, 12)), 600, 0) * rng.uniform(1, 2, (600, 1)))).astype(np.float32)
+    ids = np.arange(len(x)) * 3
+    index = build_index(table(spark, [(int(i), v.tolist(), 0) for i, v in zip(ids, x)]))
+    shards = {r.dest: pickle.loads(r.keys)[0] for r in index.shards.select("dest", "keys").collect()}
+    assert len(shards) > 1 and np.array_equal(np.sort(np.concatenate(list(shards.values()))), ids)
+    for r in index.graph.collect():
+        ends, nbrs = pickle.loads(r.data)
+        assert len(ends) == len(shards[r.dest]) + 1 and (np.diff(ends) > 0).all()
+    got = lists(search(index, index.vectors.filter("id % 20 = 0"), 20))
+    want = brute(x, ids, ids[ids % 20 == 0], 20)
+    assert set(got) == set(want) and all(len(v) == 20 for v in got.values())
+    assert np.mean([len({a for a, _ in got[q]} & {a for a, _ in want[q]}) / 20 for q in want]) >= 0.9
+    assert all(own == sorted(own, key=lambda t: (-t[1], t[0])) for own in got.values())
+
+
+def test_nearest_of_each_keeps_the_first_of_equal_ones():
+    rng = np.random.default_rng(3)
+    at, n = rng.integers(0, 40, 5000), rng.integers(0, 60, 5000)
+    steps = rng.integers(0, 9, 60).astype(np.uint32)  # a pair has one nearness, many are as near
+    s = steps[n]
+    best = _nearest(at, n, s, 8)
+    named = np.zeros(60)
+    for a in range(40):
+        own = best[at[best] == a]
+        assert len(set(n[own])) == len(own) and all(i == np.flatnonzero((at == a) & (n == n[i]))[0] for i in own)
+        assert s[own].tolist() == sorted((int(steps[m]) for m in set(n[at == a])), reverse=True)[:8]
+        named[n[own]] += 1
+    assert (at[best] == np.sort(at[best])).all()
+    last = steps == steps[named > 0].min()
+    assert (named[last] > 0).sum() > 8 or named[last].max() < 40  # not the same few of them everywhere
